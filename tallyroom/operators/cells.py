@@ -1,0 +1,31 @@
+"""Packed cells: many names in one text, without an unbounded group."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+PAGE_NAMES = 20_000
+
+
+def names_cell(names: DataFrame, name: str, limit_chars: int) -> DataFrame:
+    """One row ``(n, total_chars, text)`` for a distinct list of names.
+
+    ``text`` is the sorted list cut at ``limit_chars``. A name takes at least
+    one character plus its separator, so no more than ``limit_chars / 3 + 2`` names can
+    reach the cut; only those are gathered, while the count and the full length
+    are plain aggregates.
+    """
+    distinct = names.select(F.col(name).alias("nm")).where(F.col(name).isNotNull()).distinct()
+    size = distinct.agg(F.count("*").alias("n"),
+                        (F.sum(F.length("nm")) + 2 * (F.count("*") - 1)).alias("total_chars"))
+    head = distinct.orderBy("nm").limit(limit_chars // 3 + 2)
+    text = head.agg(F.expr("string_agg(nm, ', ') WITHIN GROUP (ORDER BY nm)"))
+    return size.withColumn("text", F.substring(text.scalar(), 1, limit_chars))
+
+
+def paged_names(rows: DataFrame, sort: str, page_size: int = PAGE_NAMES) -> DataFrame:
+    """Give rows a page number so that no packed cell holds more than about
+    ``page_size`` entries; a list that fits is page 0 alone."""
+    pages = rows.agg(F.ceil(F.count("*") / page_size))
+    return rows.withColumn("page", F.pmod(F.xxhash64(sort), F.greatest(pages.scalar(), F.lit(1))))
