@@ -60,15 +60,21 @@ def exact_rank(df: DataFrame, within: list[str], levels: list[Column], last: lis
     names = [f"__l{i}" for i in range(len(levels))]
     df = df.withColumns(dict(zip(names, levels)))
     sizes = df.groupBy(*within, *names).agg(F.count("*").alias("__n"))
-    offsets = sizes
+    before = F.lit(0)
+    if not within:
+        # The first level of an ungrouped rank is totalled before its window, so
+        # that window holds one row per value.
+        top = sizes.groupBy(names[0]).agg(F.sum("__n").alias("__c"))
+        running = Window.orderBy(names[0]).rowsBetween(Window.unboundedPreceding, -1)
+        top = top.select(names[0], F.coalesce(F.sum("__c").over(running), F.lit(0)).alias("__top"))
+        sizes = sizes.join(top, names[0])
+        before = F.col("__top")
     for i, name in enumerate(names):
         prefix = within + names[:i]
-        before = Window.partitionBy(*prefix).orderBy(name).rowsBetween(Window.unboundedPreceding, -1)
-        level = sizes.groupBy(*prefix, name).agg(F.sum("__n").alias("__c"))
-        level = level.select(*prefix, name, F.coalesce(F.sum("__c").over(before), F.lit(0)).alias(f"__o{i}"))
-        offsets = offsets.join(level, prefix + [name])
-    total = sum((F.col(f"__o{i}") for i in range(len(names))), F.lit(0))
-    offsets = offsets.select(*within, *names, total.alias("__before"))
+        if prefix:
+            upto = Window.partitionBy(*prefix).orderBy(name).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+            before = before + F.sum("__n").over(upto) - F.sum("__n").over(Window.partitionBy(*prefix, name))
+    offsets = sizes.select(*within, *names, before.alias("__before"))
     inside = Window.partitionBy(*within, *names).orderBy(*last)
     return (df.withColumn("__in", F.row_number().over(inside)).join(offsets, within + names)
             .withColumn(out, (F.col("__before") + F.col("__in")).cast("bigint"))

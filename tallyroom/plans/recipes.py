@@ -15,6 +15,7 @@ from tallyroom.operators.ranking import commonest, share_of_total, top_n
 from tallyroom.operators.sets import tagged_union
 from tallyroom.operators.snapshots import in_force_row
 from tallyroom.operators.swaps import cheapest_unused, ranked_catalog
+from tallyroom.sources.sinks import written_once
 
 DEAREST_SHOWN = 3
 DEAREST_CONTEXT = 14
@@ -158,7 +159,8 @@ def swap_catalog(t, as_of: date) -> DataFrame:
     priced = v_ingredient_current_cost(t, as_of).where("is_costed").select(
         "ingredient_id", "ingredient_name", "price_inr_per_kg", "supplier_name",
         name_tags(F.col("ingredient_name")).alias("tags"))
-    return ranked_catalog(priced.join(roles, "ingredient_id"), "role", "price_inr_per_kg", "ingredient_id")
+    ranked = ranked_catalog(priced.join(roles, "ingredient_id"), "role", "price_inr_per_kg", "ingredient_id")
+    return written_once(ranked, "swap-catalog")
 
 
 def recipe_members(t) -> DataFrame:
@@ -311,7 +313,7 @@ def v_recipe_formulation_context(t, as_of: date) -> DataFrame:
         "recipe_id", F.size("bans").cast("bigint").alias("n_bans"),
         F.array_join(F.transform(ordered, lambda b: F.concat(b["rule"], F.lit("~"), b["banned_tag"], F.lit("~"),
                                                              b["source"])), "|").alias("bans"))
-    return (v_recipe_cogs(t, as_of)
+    return (v_recipe_cogs(t, as_of).drop("lines")
             .join(packed_lines(t, as_of), "recipe_id", "left")
             .join(candidate_counts(t, as_of), "recipe_id", "left")
             .join(packed_swaps(t, as_of), "recipe_id", "left")

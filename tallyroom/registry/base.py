@@ -51,17 +51,23 @@ def with_views(sql: str) -> str:
     return f"WITH {ctes}\nSELECT * FROM ({sql}) AS checked"
 
 
+def half_up(expr: str, digits: int) -> str:
+    """Round a double half up on its decimal form, the tie rule Spark's
+    ``round`` follows; DuckDB's own ``round`` works on the binary value."""
+    return f"round(CAST(CAST(CAST({expr} AS DOUBLE) AS VARCHAR) AS DECIMAL(38,16)), {digits})"
+
+
+def rounded(expr: str, digits: int) -> str:
+    return f"CAST({half_up(expr, digits)} AS DOUBLE)"
+
+
 def num_text(expr: str, digits: int) -> str:
     """DuckDB text of a rounded number without trailing zeros."""
-    text = f"CAST(CAST(round(CAST({expr} AS DOUBLE), {digits}) AS DECIMAL(30,{digits})) AS VARCHAR)"
+    text = f"CAST(CAST({half_up(expr, digits)} AS DECIMAL(30,{digits})) AS VARCHAR)"
     if digits == 0:
         return text
     return f"regexp_replace(regexp_replace({text}, '0+$', ''), '\\.$', '')"
 
 
 def whole_text(expr: str) -> str:
-    return f"CAST(CAST(round({expr}) AS BIGINT) AS VARCHAR)"
-
-
-def sql_list(values) -> str:
-    return ", ".join("'" + str(v) + "'" for v in values)
+    return f"CAST(CAST({half_up(expr, 0)} AS BIGINT) AS VARCHAR)"

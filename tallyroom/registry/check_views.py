@@ -2,7 +2,7 @@
 they check the Spark plans rather than repeat them."""
 
 from tallyroom.constants import (FAMILY_PREFIX_RX, FAMILY_SIZE_RX, FORMULATION_RULES, INGREDIENT_TAGS, OPS_TERMS)
-from tallyroom.registry.base import C, I, R, S, check_view, num_text, whole_text
+from tallyroom.registry.base import C, I, R, S, check_view, num_text, rounded, whole_text
 
 
 def family(expr: str) -> str:
@@ -120,22 +120,22 @@ check_view("priced", """
            r.is_costed, r.price_source, r.supplier_name,
            l.qty_net_g / nullif(1 - l.loss_pct / 100, 0) / 1000 * r.price_inr_per_kg AS raw_cost
     FROM map_recipe_ingredient l LEFT JOIN ingredient_rates r USING (ingredient_id)""")
-check_view("line_costs", """
-    SELECT * EXCLUDE (raw_cost), round(raw_cost, 4) AS line_cost_inr,
-           round(raw_cost / nullif(sum(raw_cost) OVER (PARTITION BY recipe_id), 0) * 100, 1) AS cost_share_pct
+check_view("line_costs", f"""
+    SELECT * EXCLUDE (raw_cost), {rounded('raw_cost', 4)} AS line_cost_inr,
+           {rounded('raw_cost / nullif(sum(raw_cost) OVER (PARTITION BY recipe_id), 0) * 100', 1)} AS cost_share_pct
     FROM priced""")
 check_view("recipe_costs", f"""
     SELECT recipe_id, sku, idea_id, recipe_name, parent_recipe_id, status, is_current, version_no, batch_size_g,
            target_cogs_inr, packaging_cost_inr, labour_overhead_inr, lines, uncosted_lines, net_mass_g, gross_mass_g,
-           ingredient_cost_inr, master_cogs_inr, round(total, 3) AS recipe_cogs_inr,
+           ingredient_cost_inr, master_cogs_inr, {rounded('total', 3)} AS recipe_cogs_inr,
            uncosted_lines = 0 AS is_fully_costed,
-           round(net_mass_g / nullif(gross_mass_g, 0) * 100, 2) AS yield_pct,
-           round(net_mass_g - batch_size_g, 3) AS mass_variance_g,
-           round(ingredient_cost_inr / nullif(total, 0) * 100, 1) AS ingredient_share_pct,
-           round(labour_overhead_inr / nullif(total, 0) * 100, 1) AS overhead_share_pct,
-           round(total / nullif(net_mass_g, 0) * 100, 3) AS cogs_per_100g_inr,
-           round(total - master_cogs_inr, 3) AS master_variance_inr,
-           round((total - master_cogs_inr) / nullif(master_cogs_inr, 0) * 100, 2) AS master_variance_pct,
+           {rounded('net_mass_g / nullif(gross_mass_g, 0) * 100', 2)} AS yield_pct,
+           {rounded('net_mass_g - batch_size_g', 3)} AS mass_variance_g,
+           {rounded('ingredient_cost_inr / nullif(total, 0) * 100', 1)} AS ingredient_share_pct,
+           {rounded('labour_overhead_inr / nullif(total, 0) * 100', 1)} AS overhead_share_pct,
+           {rounded('total / nullif(net_mass_g, 0) * 100', 3)} AS cogs_per_100g_inr,
+           {rounded('total - master_cogs_inr', 3)} AS master_variance_inr,
+           {rounded('(total - master_cogs_inr) / nullif(master_cogs_inr, 0) * 100', 2)} AS master_variance_pct,
            CASE WHEN target_cogs_inr IS NULL THEN 'UNKNOWN' WHEN total <= target_cogs_inr + 0.005 THEN 'INSIDE'
                 WHEN total <= target_cogs_inr * 1.05 THEN 'MARGINAL' ELSE 'OVER' END AS target_fit
     FROM (SELECT r.* REPLACE (coalesce(version_no, TRY_CAST(regexp_extract(recipe_id, '-v([0-9]+)$', 1) AS BIGINT))
@@ -146,8 +146,8 @@ check_view("recipe_costs", f"""
                  CAST(pp.total_cogs_inr AS DOUBLE) AS master_cogs_inr
           FROM dim_recipe r LEFT JOIN (
             SELECT recipe_id, count(*) AS lines, count(*) FILTER (NOT coalesce(is_costed, false)) AS uncosted_lines,
-                   round(sum(qty_net_g), 3) AS net_mass_g, round(sum(qty_gross_g), 3) AS gross_mass_g,
-                   round(sum(line_cost_inr), 4) AS cost FROM line_costs GROUP BY recipe_id) a USING (recipe_id)
+                   {rounded('sum(qty_net_g)', 3)} AS net_mass_g, {rounded('sum(qty_gross_g)', 3)} AS gross_mass_g,
+                   {rounded('sum(line_cost_inr)', 4)} AS cost FROM line_costs GROUP BY recipe_id) a USING (recipe_id)
           LEFT JOIN product_pricing pp ON pp.sku = r.sku)""")
 TAG_ROWS = ", ".join(f"('{tag}', '{rx}', '{no}')" for tag, rx, no in INGREDIENT_TAGS)
 RULE_ROWS = ", ".join(f"('{rule}', '{rx}', '{tag}', '{src}')" for rule, rx, tag, src in FORMULATION_RULES)
@@ -181,9 +181,6 @@ check_view("role_swaps", """
     JOIN (SELECT * FROM swap_pool, deepest WHERE pos <= 12 + most) s ON s.role = w.role
     ANTI JOIN own_items o ON o.recipe_id = w.recipe_id AND o.ingredient_id = s.ingredient_id
     QUALIFY rnk <= 12""")
-check_view("verdict_of", """
-    SELECT recipe_id, ingredient_id, string_agg(DISTINCT rule, '+' ORDER BY rule) AS broken
-    FROM recipe_rules JOIN ingredient_tags ON tag = banned_tag GROUP BY ALL""")
 check_view("all_swaps", """
     SELECT q.recipe_id, q.role, q.rnk, q.ingredient_id, q.ingredient_name, q.price_inr_per_kg,
            coalesce('VIOLATES:' || (SELECT string_agg(DISTINCT rr.rule, '+' ORDER BY rr.rule)
@@ -242,6 +239,11 @@ check_view("budget_rows", """
       ON s.segment_code = b.segment_type AND upper(s.channel) = upper(b.channel)""")
 
 
+IMPACT = """CASE WHEN rung IN ('zero', 'stop') THEN ad_spend_rs WHEN rung = 'reduce' THEN ad_spend_rs * 0.3::DOUBLE
+                 WHEN rung = 'cautious' THEN ad_spend_rs * 0.15::DOUBLE * r
+                 WHEN rung = 'confident' THEN ad_spend_rs * 0.3::DOUBLE * r END"""
+
+
 def ladder_sql(source: str, actions: dict) -> str:
     """All ladder outputs over a campaign rowset."""
     roi = "coalesce(roi, 0)"
@@ -259,9 +261,7 @@ def ladder_sql(source: str, actions: dict) -> str:
       CASE WHEN rung IN ('no_spend', 'thin') THEN 'LOW'
            WHEN ad_spend_rs >= 5000 AND rung IN ('zero', 'stop', 'cautious', 'confident') THEN 'HIGH'
            WHEN ad_spend_rs < 1000 OR rung IN ('hold', 'outlier') THEN 'LOW' ELSE 'MEDIUM' END AS priority,
-      round(CASE WHEN rung IN ('zero', 'stop') THEN ad_spend_rs WHEN rung = 'reduce' THEN ad_spend_rs * 0.3::DOUBLE
-                 WHEN rung = 'cautious' THEN ad_spend_rs * 0.15::DOUBLE * r
-                 WHEN rung = 'confident' THEN ad_spend_rs * 0.3::DOUBLE * r END, 2) AS estimated_impact
+      {rounded(IMPACT, 2)} AS estimated_impact
     FROM (SELECT *, {roi} AS r, {edge} AS edge,
             CASE WHEN ad_spend_rs = 0 THEN 'no_spend' WHEN ad_orders < 5 THEN 'thin' WHEN {roi} = 0 THEN 'zero'
                  WHEN {roi} < 0.75 THEN 'stop' WHEN {roi} < 1 THEN 'reduce' WHEN {roi} < 1.5 THEN 'hold'

@@ -147,7 +147,7 @@ add("dq_bom_closed", lambda t: t.dim_product.where("is_active").join(
     "SELECT sku FROM dim_product WHERE is_active AND sku NOT IN (SELECT sku FROM map_product_allergen)")
 add("dq_result_pass", quality.dq_result_pass,
     "SELECT supplier_id, certificate_id FROM supplier_certificate WHERE NOT (result <> 'Fail')")
-LATER = AS_OF_SALES.replace(year=2002, month=10)
+LATER = AS_OF_SALES.replace(year=2002, month=10, day=25)
 add("dq_report_age", lambda t: quality.dq_report_age(t, LATER), f"""
     SELECT supplier_id, max(expires_on) AS reported_on, DATE '{LATER}' - max(expires_on) AS age_days
     FROM supplier_certificate GROUP BY 1 HAVING DATE '{LATER}' - max(expires_on) > 365""")
@@ -204,14 +204,15 @@ check_view("claim_words", r"""
 suppliers = lambda t: t.lineitem.select(
     col("l_partkey").cast("string").alias("sku"), col("l_suppkey").alias("supplier_id"))
 add("regulation_impact", lambda t: compliance.regulation_impact(
-    t.documents, "doc_id", "text", t.dim_product, "sku", "description", suppliers(t)), """
-    SELECT h.doc_id, count(DISTINCT h.w) AS matched_words, count(DISTINCT v.sku) AS affected_skus,
+    t.regulatory_change, "change_id", "body", t.dim_product, "sku", "description", suppliers(t)), """
+    SELECT h.change_id, count(DISTINCT h.w) AS matched_words, count(DISTINCT v.sku) AS affected_skus,
            count(DISTINCT s.l_suppkey) AS affected_suppliers
-    FROM doc_words h JOIN sku_words v ON v.w = h.w
+    FROM change_words h JOIN sku_words v ON v.w = h.w
     LEFT JOIN (SELECT DISTINCT l_partkey, l_suppkey FROM lineitem) s ON CAST(s.l_partkey AS VARCHAR) = v.sku
-    GROUP BY h.doc_id""")
-check_view("doc_words", """
-    SELECT DISTINCT doc_id, w FROM (SELECT doc_id, unnest(regexp_split_to_array(lower(text), '[^a-z]+')) AS w FROM documents)
+    GROUP BY h.change_id""")
+check_view("change_words", """
+    SELECT DISTINCT change_id, w FROM (
+      SELECT change_id, unnest(regexp_split_to_array(lower(body), '[^a-z]+')) AS w FROM regulatory_change)
     WHERE length(w) > 2""")
 check_view("sku_words", """
     SELECT DISTINCT sku, w FROM (SELECT sku, unnest(regexp_split_to_array(lower(description), '[^a-z]+')) AS w

@@ -6,7 +6,7 @@ from tallyroom.constants import (AS_OF_CAMPAIGN, AS_OF_INVENTORY, AS_OF_REVIEWS,
                                  GOAL_KPIS, GOALS, KPI_TARGETS, OPS_RX, PRODUCT_RX, SEASONAL_ACTIONS)
 from tallyroom.operators.ranking import top_n
 from tallyroom.plans import complaints, ideas, inventory, kpis, marketing, products, recipes
-from tallyroom.registry.base import C, I, R, S, add, check_view, num_text, whole_text
+from tallyroom.registry.base import C, I, R, S, add, check_view, num_text, rounded, whole_text
 from tallyroom.registry.check_views import ladder_sql
 from tallyroom.registry.reads_writes import edits
 
@@ -273,10 +273,11 @@ def goal_measures(t):
 
 
 add("agg_kpi_goal", goal_measures, """
-    SELECT store_id AS goal, CAST(date_trunc('year', order_date) AS DATE) AS period, order_state AS kpi,
-           CASE order_state WHEN 'Cancelled' THEN 'min' WHEN 'Placed' THEN 'avg' ELSE 'sum' END AS op,
-           round(CASE order_state WHEN 'Cancelled' THEN min(quantity) WHEN 'Placed' THEN avg(quantity)
-                 ELSE sum(quantity) END, 4) AS value FROM business_analytics GROUP BY ALL""")
+    SELECT goal, period, kpi, op, round(CASE op WHEN 'min' THEN min(quantity) WHEN 'avg' THEN avg(quantity)
+           ELSE sum(quantity) END, 4) AS value
+    FROM (SELECT store_id AS goal, CAST(date_trunc('year', order_date) AS DATE) AS period, order_state AS kpi,
+                 CASE order_state WHEN 'Cancelled' THEN 'min' WHEN 'Placed' THEN 'avg' ELSE 'sum' END AS op, quantity
+          FROM business_analytics) GROUP BY goal, period, kpi, op""")
 
 # ---- widgets ------------------------------------------------------------------------------------------
 add("w_avg_rating", lambda t: t.customer_review_events.groupBy("master_store_id").agg(
@@ -336,8 +337,7 @@ add("w_budget_by_store", lambda t: inventory.top_per_entity(marketing.v_segment_
 # ---- process pipelines -------------------------------------------------------------------------------------
 add("p_shelf_life_risk", lambda t: inventory.p_shelf_life_risk(t, INV), f"""
     SELECT r.*, s.store_name, p.display_name AS product_name FROM (
-      SELECT store_id, product_sku, total_available, soonest_expiry, batches, days_to_expiry,
-             CASE WHEN days_to_expiry <= min_days_shelf_life AND total_available <= min_count THEN 'both'
+      SELECT q.*, CASE WHEN days_to_expiry <= min_days_shelf_life AND total_available <= min_count THEN 'both'
                   WHEN days_to_expiry <= min_days_shelf_life THEN 'wastage'
                   WHEN total_available <= absolute_risk_count THEN 'critical_low'
                   WHEN total_available <= min_count THEN 'low_stock' ELSE 'ok' END AS risk_type
@@ -609,17 +609,19 @@ add("name_similarity", lambda t: ideas.similar_names(t.dim_product.select("displ
 check_view("name_words", """
     SELECT nm, list_filter(list_distinct(regexp_split_to_array(lower(trim(nm)), '[^a-z0-9]+')), lambda x: x <> '') AS w
     FROM (SELECT DISTINCT display_name AS nm FROM dim_product)""")
-add("recipe_what_if", lambda t: recipes.recipe_what_if(t, edits(t), INV), """
-    SELECT b.recipe_id, b.recipe_cogs_inr AS baseline_cogs_inr, round(a.total, 3) AS projected_cogs_inr,
+LINE_AFTER = "l.qty_net_g / nullif(1 - l.loss_pct / 100, 0) / 1000 * i.price_inr_per_kg"
+add("recipe_what_if", lambda t: recipes.recipe_what_if(t, edits(t), INV), f"""
+    SELECT b.recipe_id, b.recipe_cogs_inr AS baseline_cogs_inr, {rounded('a.total', 3)} AS projected_cogs_inr,
            CASE WHEN b.target_cogs_inr IS NULL THEN 'UNKNOWN' WHEN a.total <= b.target_cogs_inr + 0.005 THEN 'INSIDE'
                 WHEN a.total <= b.target_cogs_inr * 1.05 THEN 'MARGINAL' ELSE 'OVER' END AS projected_fit,
-           a.mass AS projected_mass_g, round(b.recipe_cogs_inr - round(a.total, 3), 2) AS saving_inr,
+           a.mass AS projected_mass_g,
+           {rounded(f"b.recipe_cogs_inr - {rounded('a.total', 3)}", 2)} AS saving_inr,
            abs(coalesce(a.mass, 0) - b.batch_size_g) <= 0.01 * b.batch_size_g AS mass_closes
     FROM recipe_costs b JOIN (
       SELECT r.recipe_id, coalesce(x.cost, 0) + r.packaging_cost_inr + r.labour_overhead_inr AS total, x.mass
       FROM recipe_costs r LEFT JOIN (
         SELECT l.recipe_id, round(sum(l.qty_net_g), 3) AS mass,
-               round(sum(round(l.qty_net_g / nullif(1 - l.loss_pct / 100, 0) / 1000 * i.price_inr_per_kg, 4)), 4) AS cost
+               round(sum({rounded(LINE_AFTER, 4)}), 4) AS cost
         FROM replayed_lines l LEFT JOIN ingredient_rates i USING (ingredient_id) GROUP BY 1) x USING (recipe_id)) a USING (recipe_id)
     WHERE b.recipe_id IN (SELECT recipe_id FROM edit_rows)""")
 add("recipe_fork", lambda t: recipes.recipe_fork(t, edits(t))[0].select("recipe_id", "parent_recipe_id", "status", "version_no"), """

@@ -366,7 +366,7 @@ add("win_qualify", lambda t: SNAP.latest_row(t.forecast_results, ["sku_id"], "fo
 add("win_qualify_over_agg", lambda t: K.first_per(
     t.business_analytics.groupBy("store_id", "sku_id").agg(F.count("*").alias("n")), ["store_id"],
     [F.desc("n"), F.asc("sku_id")]),
-    """SELECT store_id, sku_id, count(*) AS n FROM business_analytics GROUP BY ALL
+    """SELECT store_id, sku_id, count(*) AS n FROM business_analytics GROUP BY store_id, sku_id
        QUALIFY row_number() OVER (PARTITION BY store_id ORDER BY count(*) DESC, sku_id) = 1""")
 add("win_latest_snapshot", lambda t: SNAP.latest_snapshot(t.store_inventory_daily, ["store_id"], "snapshot_date"),
     "SELECT * FROM newest_stock")

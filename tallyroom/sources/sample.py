@@ -301,15 +301,17 @@ SAMPLE_SQL = {
         SELECT CAST(s_suppkey AS STRING) AS master_store_id, s_suppkey AS zomato_id, s_suppkey + 1 AS swiggy_id
         FROM {supplier}""",
     "marketing_segment_master": """
-        SELECT DISTINCT 'SEG-' || c_mktsegment || '-' || CASE WHEN c_acctbal > 2000 THEN '1' ELSE '2' END
-                   AS segment_id,
+        SELECT DISTINCT 'SEG-' || c_mktsegment || '-' || CASE WHEN c_acctbal > 5000 THEN '1'
+                   WHEN c_acctbal > 1000 THEN '2' ELSE '3' END AS segment_id,
                c_mktsegment AS segment_code, lower(c_mktsegment) AS segment_name,
-               CASE WHEN c_acctbal > 2000 THEN 'SWIGGY' ELSE 'ZOMATO' END AS channel
+               CASE WHEN c_acctbal > 5000 THEN 'SWIGGY' WHEN c_acctbal > 1000 THEN 'ZOMATO'
+                    ELSE 'PETPOOJA' END AS channel
         FROM {customer}""",
     "marketing_budget": """
         SELECT CAST(c_nationkey AS STRING) AS master_store_id,
                'Store ' || CAST(c_nationkey AS STRING) AS store_name,
-               CASE WHEN c_custkey % 2 = 0 THEN 'swiggy' ELSE 'zomato' END AS channel,
+               CASE WHEN c_acctbal > 8000 THEN 'petpooja' WHEN c_custkey % 2 = 0 THEN 'swiggy'
+                    ELSE 'zomato' END AS channel,
                CAST(date_trunc('month', DATE '2001-06-15' + CAST(c_custkey % 3 * 31 AS INT)) AS DATE) AS budget_month,
                CAST(c_acctbal AS DECIMAL(18,2)) AS allocated_budget_rs,
                CAST(c_acctbal AS DECIMAL(18,2)) * 2 AS expected_revenue_rs,
@@ -348,7 +350,9 @@ SAMPLE_SQL = {
                DATE '2001-08-01' + CAST(floor(s_acctbal / 100) AS INT) AS licence_expires_on
         FROM {supplier}""",
     "regulatory_change": """
-        SELECT CAST(item_id AS STRING) AS change_id, lower(text) AS body FROM {benchmark}""",
+        SELECT 'REG-' || p_brand || '-' || p_type AS change_id,
+               'Draft limit for ' || min(p_name) || ' sold as ' || lower(p_type) AS body
+        FROM {part} GROUP BY p_brand, p_type""",
     "signal_catalog": """
         SELECT CAST(p_partkey AS STRING) AS signal_id, p_type AS category,
                CASE WHEN p_size > 25 THEN 'Signal' ELSE 'Event' END AS kind, p_brand AS owner,

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from tallyroom.constants import STAGE_RANK
 from tallyroom.functions import generated_key, mapped
 from tallyroom.operators.ranking import first_per
+from tallyroom.session import scratch_dir
 
 
 class VersionedTable:
@@ -92,6 +93,14 @@ def stage_advance(ideas: DataFrame, approved: DataFrame, to: str = "Pipeline") -
             .withColumn("stage", F.when(moves, F.lit(to)).otherwise(F.col("stage"))).drop("__ok"))
 
 
+def written_once(df: DataFrame, label: str) -> DataFrame:
+    """Write an intermediate that several branches of a plan read to the shared
+    folder, and read it back. A lost executor costs a re-read, not a recompute."""
+    path = scratch_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def report_table(df: DataFrame, columns: list[str], order_by: list[str], path: str) -> DataFrame:
     """Named export of a result: the columns, in order, written and read back."""
     df.select(*columns).orderBy(*order_by).write.mode("overwrite").parquet(path)

@@ -53,7 +53,8 @@ def complaint_stream(events: DataFrame) -> DataFrame:
     return events.select(
         F.coalesce(F.when(F.col("event_id") % 10 != 0, F.concat(F.lit("e"), F.col("event_id").cast("string"))),
                    F.concat(F.lit("m"), F.col("event_id").cast("string"))).alias("event_id"),
-        F.col("user_id").cast("string").alias("master_store_id"), issue.alias("issue_type"), "value", "ts")
+        F.col("user_id").cast("string").alias("master_store_id"), issue.alias("issue_type"), "value",
+        F.col("ts").cast("timestamp").alias("ts"))
 
 
 def tumbling_daily(complaints: DataFrame, delay: str = "2 days") -> DataFrame:
