@@ -23,7 +23,7 @@ def join_any_id(facts: DataFrame, fact_id: str, entities: DataFrame, id_columns:
                              F.lit(label).alias("__tag")) for i, (c, label) in enumerate(id_columns.items())])
     cols = [c for c in id_columns]
     first = F.filter(ids, lambda x: ~F.exists(
-        ids, lambda y: (y["__id"] == x["__id"]) & (y["__pos"] < x["__pos"])) & x["__id"].isNotNull())
+        ids, lambda y: y["__id"].eqNullSafe(x["__id"]) & (y["__pos"] < x["__pos"])) & x["__id"].isNotNull())
     rows = entities.select("*", F.inline(first)).drop("__pos", *cols)
     out = facts.join(rows, facts[fact_id] == rows["__id"], "inner").drop("__id")
     return out.withColumnRenamed("__tag", tag) if tag else out.drop("__tag")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tallyroom.operators.ranking import top_n
 from tallyroom.operators.sets import union_rows
 from tallyroom.plans.products import product_facets, v_product_ingredient
+from tallyroom.sources.readers import literal_table
 
 
 def load_nodes(df: DataFrame, entity_type: str, key: str, properties: dict[str, str]) -> DataFrame:
@@ -105,7 +106,7 @@ VOCABULARIES = {
 
 def vocabulary(spark, name: str) -> DataFrame:
     rows = [(m, i + 1, m.lower()) for i, m in enumerate(VOCABULARIES[name])]
-    return spark.createDataFrame(rows, "id string, sort_order bigint, label string")
+    return literal_table(spark, rows, "id string, sort_order bigint, label string")
 
 
 def vocab_check(df: DataFrame, column: str, vocab: DataFrame) -> DataFrame:

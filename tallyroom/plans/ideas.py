@@ -14,6 +14,7 @@ from tallyroom.operators.cells import names_cell
 from tallyroom.operators.ranking import exact_rank, top_n
 from tallyroom.operators.sets import tagged_union
 from tallyroom.plans.products import product_facets, v_category_market_signal, v_product_line_capability
+from tallyroom.sources.sinks import written_once
 
 
 def cost_envelope(t) -> DataFrame:
@@ -155,6 +156,7 @@ def pipeline_rank(scored: DataFrame) -> DataFrame:
     scored = scored.withColumn("priority_band", ladder((F.col("priority_score") >= BAND_HIGH, "HIGH"),
                                                        (F.col("priority_score") >= BAND_MEDIUM, "MEDIUM"),
                                                        otherwise="LOW"))
+    scored = written_once(scored, "scored-briefs")
     levels = [-F.col("priority_score"), -F.coalesce("stage_rank", F.lit(0)),
               -F.coalesce("days_in_stage", F.lit(-1)), F.right("idea_id", F.lit(2))]
     return exact_rank(scored, [], levels, [F.asc("idea_id")], "rank")

@@ -18,6 +18,7 @@ from tallyroom.plans.ideas import v_idea_priority_inputs
 from tallyroom.plans.inventory import newest_per_store, sold, v_stocked_at
 from tallyroom.plans.marketing import v_store_campaign_current
 from tallyroom.plans.products import product_facets
+from tallyroom.sources.readers import literal_table
 
 
 def listing_kpis(t, as_of) -> DataFrame:
@@ -202,8 +203,8 @@ def kpi_goal_rollup(board: DataFrame, spark) -> DataFrame:
             yield goal
             goal = parents[goal]
 
-    links = spark.createDataFrame([(above, kpi, op) for goal, kpi, op in GOAL_KPIS for above in chain(goal)],
-                                  "goal string, kpi string, aggregation string").distinct()
+    pairs = sorted({(above, kpi) for goal, kpi, _ in GOAL_KPIS for above in chain(goal)})
+    links = literal_table(spark, pairs, "goal string, kpi string")
     status = board.select("kpi", "value", "on_target")
     return links.join(status, "kpi").groupBy("goal").agg(
         F.count("*").alias("kpis"), F.count_if("on_target").alias("on_target"),

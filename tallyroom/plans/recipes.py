@@ -159,8 +159,8 @@ def swap_catalog(t, as_of: date) -> DataFrame:
     priced = v_ingredient_current_cost(t, as_of).where("is_costed").select(
         "ingredient_id", "ingredient_name", "price_inr_per_kg", "supplier_name",
         name_tags(F.col("ingredient_name")).alias("tags"))
-    ranked = ranked_catalog(priced.join(roles, "ingredient_id"), "role", "price_inr_per_kg", "ingredient_id")
-    return written_once(ranked, "swap-catalog")
+    pool = written_once(priced.join(roles, "ingredient_id"), "swap-pool")
+    return ranked_catalog(pool, "role", "price_inr_per_kg", "ingredient_id")
 
 
 def recipe_members(t) -> DataFrame:
@@ -176,10 +176,10 @@ def swap_candidates_role(t, as_of: date, n: int = SWAPS_SHOWN) -> DataFrame:
     return top_n(found, ["recipe_id"], [F.asc_nulls_first("price_inr_per_kg"), F.asc("ingredient_id")], n)
 
 
-def swap_candidates_all(t, as_of: date, n: int = SWAPS_PER_ROLE) -> DataFrame:
+def swap_candidates_all(t, as_of: date, n: int = SWAPS_PER_ROLE, catalog: DataFrame | None = None) -> DataFrame:
     """The ``n`` cheapest unused ingredients of every role, judged against the
     recipe's bans."""
-    catalog = swap_catalog(t, as_of)
+    catalog = swap_catalog(t, as_of) if catalog is None else catalog
     roles = catalog.agg(F.sort_array(F.collect_set("role")))
     wanted = recipe_bans(t).withColumn("role", F.explode(roles.scalar()))
     found = cheapest_unused(wanted, recipe_members(t), catalog, "recipe_id", "role", "ingredient_id", n)
@@ -189,10 +189,10 @@ def swap_candidates_all(t, as_of: date, n: int = SWAPS_PER_ROLE) -> DataFrame:
                         .otherwise(F.concat(F.lit("VIOLATES:"), F.array_join(broken, "+")))))
 
 
-def candidate_counts(t, as_of: date) -> DataFrame:
+def candidate_counts(t, as_of: date, catalog: DataFrame | None = None) -> DataFrame:
     """How many priced ingredients a recipe does not use: the catalog size less
     its own members found there."""
-    catalog = swap_catalog(t, as_of).select("ingredient_id")
+    catalog = (swap_catalog(t, as_of) if catalog is None else catalog).select("ingredient_id")
     own = recipe_members(t).join(catalog, "ingredient_id", "left_semi").groupBy("recipe_id").agg(
         F.count("*").alias("own"))
     return (t.dim_recipe.select("recipe_id").join(own, "recipe_id", "left")
@@ -231,18 +231,20 @@ def verdict_rows(cogs: DataFrame) -> DataFrame:
     return cogs.select("recipe_id", "status", F.inline(rows))
 
 
-def version_diff_lines(t, as_of: date, n: int = DEAREST_SHOWN) -> DataFrame:
+def version_diff_lines(t, as_of: date, n: int = DEAREST_SHOWN, lines: DataFrame | None = None) -> DataFrame:
     """The parent version's dearest lines under the child's id."""
+    lines = v_recipe_line_cost(t, as_of) if lines is None else lines
     children = t.dim_recipe.where(F.col("parent_recipe_id").isNotNull()).select(
         "recipe_id", "parent_recipe_id", "status")
-    dearest = _dearest(v_recipe_line_cost(t, as_of), n)
+    dearest = _dearest(lines, n)
     return attach_parent(children, "parent_recipe_id", dearest, "recipe_id")
 
 
 def v_recipe_workbench(t, as_of: date) -> DataFrame:
     """Header, dearest lines, parent's lines, verdicts, swap rates and an end
     marker per recipe, packed behind one tag."""
-    cogs = v_recipe_cogs(t, as_of)
+    costed = written_once(v_recipe_line_cost(t, as_of), "line-cost")
+    cogs = cost_recipes(t.dim_recipe, costed, t.product_pricing)
     status = F.coalesce("status", F.lit("")).alias("st")
     statuses = t.dim_recipe.select("recipe_id", "status")
     head = cogs.select(
@@ -253,14 +255,14 @@ def v_recipe_workbench(t, as_of: date) -> DataFrame:
                  num_text("labour_overhead_inr", 2), F.lit("|"), num_text("recipe_cogs_inr", 2), F.lit("|"),
                  F.coalesce(num_text("target_cogs_inr", 2), F.lit("none")), F.lit("|"), F.col("target_fit"),
                  F.lit("|"), F.when(F.col("is_fully_costed"), "costed").otherwise("partial")).alias("d"), status)
-    lines = _dearest(v_recipe_line_cost(t, as_of), DEAREST_SHOWN).join(statuses, "recipe_id").select(
+    lines = _dearest(costed, DEAREST_SHOWN).join(statuses, "recipe_id").select(
         F.col("recipe_id").alias("id"), F.col("ingredient_name").alias("nm"),
         F.concat(F.coalesce("role", F.lit("")), F.lit("|"), num_text("qty_net_g", 2), F.lit("|"),
                  num_text("loss_pct", 1), F.lit("|"),
                  F.coalesce(whole_text("price_inr_per_kg"), F.lit("uncosted")), F.lit("|"),
                  F.coalesce(num_text("line_cost_inr", 2), F.lit("uncosted")), F.lit("|"),
                  F.coalesce(num_text("cost_share_pct", 1), F.lit("na"))).alias("d"), status)
-    base = version_diff_lines(t, as_of).select(
+    base = version_diff_lines(t, as_of, lines=costed).select(
         F.col("recipe_id").alias("id"), F.col("ingredient_name").alias("nm"),
         F.concat(F.coalesce("role", F.lit("")), F.lit("|"), num_text("qty_net_g", 2), F.lit("|"),
                  F.coalesce(num_text("line_cost_inr", 2), F.lit("uncosted"))).alias("d"), status)
@@ -279,8 +281,7 @@ def v_recipe_workbench(t, as_of: date) -> DataFrame:
 
 # ---- formulation context ---------------------------------------------------------------------
 
-def packed_lines(t, as_of: date) -> DataFrame:
-    lines = v_recipe_line_cost(t, as_of)
+def packed_lines(t, lines: DataFrame) -> DataFrame:
     counts = lines.groupBy("recipe_id").agg(F.count("*").alias("n_lines"))
     broken = broken_rules(F.col("bans"), name_tags(F.col("ingredient_name")))
     shown = _dearest(lines, DEAREST_CONTEXT).join(recipe_bans(t), "recipe_id").select(
@@ -295,8 +296,8 @@ def packed_lines(t, as_of: date) -> DataFrame:
     return counts.join(text, "recipe_id", "left")
 
 
-def packed_swaps(t, as_of: date) -> DataFrame:
-    rows = swap_candidates_all(t, as_of).select(
+def packed_swaps(t, as_of: date, catalog: DataFrame) -> DataFrame:
+    rows = swap_candidates_all(t, as_of, catalog=catalog).select(
         "recipe_id", "role", "rnk",
         F.concat("ingredient_id", F.lit("~"), "ingredient_name", F.lit("~"), "role", F.lit("~"),
                  whole_text("price_inr_per_kg"), F.lit("~"), "verdict").alias("d"))
@@ -306,6 +307,8 @@ def packed_swaps(t, as_of: date) -> DataFrame:
 
 def v_recipe_formulation_context(t, as_of: date) -> DataFrame:
     """One row per recipe: costing header plus packed lines, swaps and bans."""
+    costed = written_once(v_recipe_line_cost(t, as_of), "line-cost")
+    catalog = swap_catalog(t, as_of)
     bans = recipe_bans(t)
     ordered = F.array_sort(F.transform("bans", lambda b: F.struct(
         b["source"].alias("source"), b["rule"].alias("rule"), b["banned_tag"].alias("banned_tag"))))
@@ -313,10 +316,10 @@ def v_recipe_formulation_context(t, as_of: date) -> DataFrame:
         "recipe_id", F.size("bans").cast("bigint").alias("n_bans"),
         F.array_join(F.transform(ordered, lambda b: F.concat(b["rule"], F.lit("~"), b["banned_tag"], F.lit("~"),
                                                              b["source"])), "|").alias("bans"))
-    return (v_recipe_cogs(t, as_of).drop("lines")
-            .join(packed_lines(t, as_of), "recipe_id", "left")
-            .join(candidate_counts(t, as_of), "recipe_id", "left")
-            .join(packed_swaps(t, as_of), "recipe_id", "left")
+    return (cost_recipes(t.dim_recipe, costed, t.product_pricing).drop("lines")
+            .join(packed_lines(t, costed), "recipe_id", "left")
+            .join(candidate_counts(t, as_of, catalog), "recipe_id", "left")
+            .join(packed_swaps(t, as_of, catalog), "recipe_id", "left")
             .join(packed_bans, "recipe_id", "left")
             .select("recipe_id", "recipe_name", "idea_id", "sku", "version_no", "parent_recipe_id", "status",
                     "recipe_cogs_inr", "target_cogs_inr", "target_fit", "is_fully_costed", "batch_size_g",

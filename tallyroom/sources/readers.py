@@ -47,4 +47,7 @@ def read_param_sql(spark: SparkSession, sql: str, args: dict, **tables: DataFram
 
 
 def literal_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
-    return spark.createDataFrame(rows, schema)
+    """A few fixed rows as a table (an inline array of structs)."""
+    fields = [f.split() for f in schema.split(",")]
+    structs = [F.struct(*[F.lit(v).cast(typ).alias(name) for v, (name, typ) in zip(row, fields)]) for row in rows]
+    return spark.range(1).select(F.inline(F.array(*structs)))
