@@ -22,15 +22,16 @@ def cheapest_unused(wanted: DataFrame, used: DataFrame, catalog: DataFrame, owne
 
     Of the positions an owner uses in a group, only those with fewer than ``k``
     unused ones before them can push a candidate back. With ``m`` such
-    positions the answer lies exactly in positions ``1 .. k + m``, so an
-    owner costs ``k`` rows per group plus its own lines.
+    positions the answer is exactly positions ``1 .. k + m`` without those
+    ``m``; they are left out before any row is made, so an owner costs ``k``
+    rows per group.
     """
-    mine = used.join(catalog.select(item, group, "pos"), item).select(owner, group, item, "pos")
+    mine = used.join(catalog.select(item, group, "pos"), item).select(owner, group, "pos")
     w = Window.partitionBy(owner, group).orderBy("pos")
     pushed = (mine.withColumn("__j", F.row_number().over(w))
               .where(F.col("pos") - F.col("__j") < k)
-              .groupBy(owner, group).agg(F.count("*").alias("__m")))
-    reach = wanted.join(pushed, [owner, group], "left").withColumn(
-        "pos", F.explode(F.sequence(F.lit(1).cast("bigint"), F.lit(k) + F.coalesce("__m", F.lit(0)))))
-    return (reach.drop("__m").join(catalog, [group, "pos"])
-            .join(mine.select(owner, item), [owner, item], "left_anti"))
+              .groupBy(owner, group).agg(F.collect_list("pos").alias("__used")))
+    taken = F.coalesce("__used", F.array().cast("array<bigint>"))
+    free = F.array_except(F.sequence(F.lit(1).cast("bigint"), k + F.size(taken).cast("bigint")), taken)
+    reach = wanted.join(pushed, [owner, group], "left").withColumn("pos", F.explode(free)).drop("__used")
+    return reach.join(catalog, [group, "pos"])
