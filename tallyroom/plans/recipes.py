@@ -176,12 +176,14 @@ def swap_candidates_role(t, as_of: date, n: int = SWAPS_SHOWN) -> DataFrame:
     return top_n(found, ["recipe_id"], [F.asc_nulls_first("price_inr_per_kg"), F.asc("ingredient_id")], n)
 
 
-def swap_candidates_all(t, as_of: date, n: int = SWAPS_PER_ROLE, catalog: DataFrame | None = None) -> DataFrame:
+def swap_candidates_all(t, as_of: date, n: int = SWAPS_PER_ROLE, catalog: DataFrame | None = None,
+                        bans: DataFrame | None = None) -> DataFrame:
     """The ``n`` cheapest unused ingredients of every role, judged against the
     recipe's bans."""
     catalog = swap_catalog(t, as_of) if catalog is None else catalog
     roles = catalog.agg(F.sort_array(F.collect_set("role")))
-    wanted = recipe_bans(t).withColumn("role", F.explode(roles.scalar()))
+    bans = recipe_bans(t) if bans is None else bans
+    wanted = bans.withColumn("role", F.explode(roles.scalar()))
     found = cheapest_unused(wanted, recipe_members(t), catalog, "recipe_id", "role", "ingredient_id", n)
     broken = broken_rules(F.col("bans"), F.col("tags"))
     return (top_n(found, ["recipe_id", "role"], [F.asc("pos")], n)
@@ -281,10 +283,10 @@ def v_recipe_workbench(t, as_of: date) -> DataFrame:
 
 # ---- formulation context ---------------------------------------------------------------------
 
-def packed_lines(t, lines: DataFrame) -> DataFrame:
+def packed_lines(lines: DataFrame, bans: DataFrame) -> DataFrame:
     counts = lines.groupBy("recipe_id").agg(F.count("*").alias("n_lines"))
     broken = broken_rules(F.col("bans"), name_tags(F.col("ingredient_name")))
-    shown = _dearest(lines, DEAREST_CONTEXT).join(recipe_bans(t), "recipe_id").select(
+    shown = _dearest(lines, DEAREST_CONTEXT).join(bans, "recipe_id").select(
         "recipe_id", "rnk",
         F.concat(F.coalesce("ingredient_id", F.lit("?")), F.lit("~"), "ingredient_name", F.lit("~"),
                  F.coalesce("role", F.lit("")), F.lit("~"), num_text("qty_net_g", 1), F.lit("~"),
@@ -296,8 +298,8 @@ def packed_lines(t, lines: DataFrame) -> DataFrame:
     return counts.join(text, "recipe_id", "left")
 
 
-def packed_swaps(t, as_of: date, catalog: DataFrame) -> DataFrame:
-    rows = swap_candidates_all(t, as_of, catalog=catalog).select(
+def packed_swaps(t, as_of: date, catalog: DataFrame, bans: DataFrame) -> DataFrame:
+    rows = swap_candidates_all(t, as_of, catalog=catalog, bans=bans).select(
         "recipe_id", "role", "rnk",
         F.concat("ingredient_id", F.lit("~"), "ingredient_name", F.lit("~"), "role", F.lit("~"),
                  whole_text("price_inr_per_kg"), F.lit("~"), "verdict").alias("d"))
@@ -309,7 +311,7 @@ def v_recipe_formulation_context(t, as_of: date) -> DataFrame:
     """One row per recipe: costing header plus packed lines, swaps and bans."""
     costed = written_once(v_recipe_line_cost(t, as_of), "line-cost")
     catalog = swap_catalog(t, as_of)
-    bans = recipe_bans(t)
+    bans = written_once(recipe_bans(t), "recipe-bans")
     ordered = F.array_sort(F.transform("bans", lambda b: F.struct(
         b["source"].alias("source"), b["rule"].alias("rule"), b["banned_tag"].alias("banned_tag"))))
     packed_bans = bans.select(
@@ -317,9 +319,9 @@ def v_recipe_formulation_context(t, as_of: date) -> DataFrame:
         F.array_join(F.transform(ordered, lambda b: F.concat(b["rule"], F.lit("~"), b["banned_tag"], F.lit("~"),
                                                              b["source"])), "|").alias("bans"))
     return (cost_recipes(t.dim_recipe, costed, t.product_pricing).drop("lines")
-            .join(packed_lines(t, costed), "recipe_id", "left")
+            .join(packed_lines(costed, bans), "recipe_id", "left")
             .join(candidate_counts(t, as_of, catalog), "recipe_id", "left")
-            .join(packed_swaps(t, as_of, catalog), "recipe_id", "left")
+            .join(packed_swaps(t, as_of, catalog, bans), "recipe_id", "left")
             .join(packed_bans, "recipe_id", "left")
             .select("recipe_id", "recipe_name", "idea_id", "sku", "version_no", "parent_recipe_id", "status",
                     "recipe_cogs_inr", "target_cogs_inr", "target_fit", "is_fully_costed", "batch_size_g",
