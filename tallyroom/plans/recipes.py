@@ -160,7 +160,7 @@ def swap_catalog(t, as_of: date) -> DataFrame:
         "ingredient_id", "ingredient_name", "price_inr_per_kg", "supplier_name",
         name_tags(F.col("ingredient_name")).alias("tags"))
     pool = written_once(priced.join(roles, "ingredient_id"), "swap-pool")
-    return ranked_catalog(pool, "role", "price_inr_per_kg", "ingredient_id")
+    return written_once(ranked_catalog(pool, "role", "price_inr_per_kg", "ingredient_id"), "swap-catalog")
 
 
 def recipe_members(t) -> DataFrame:
@@ -183,10 +183,11 @@ def swap_candidates_all(t, as_of: date, n: int = SWAPS_PER_ROLE, catalog: DataFr
     catalog = swap_catalog(t, as_of) if catalog is None else catalog
     roles = catalog.agg(F.sort_array(F.collect_set("role")))
     bans = recipe_bans(t) if bans is None else bans
-    wanted = bans.withColumn("role", F.explode(roles.scalar()))
+    # Only ids travel through the search; the bans join the few rows it returns.
+    wanted = t.dim_recipe.select("recipe_id").withColumn("role", F.explode(roles.scalar()))
     found = cheapest_unused(wanted, recipe_members(t), catalog, "recipe_id", "role", "ingredient_id", n)
     broken = broken_rules(F.col("bans"), F.col("tags"))
-    return (top_n(found, ["recipe_id", "role"], [F.asc("pos")], n)
+    return (top_n(found, ["recipe_id", "role"], [F.asc("pos")], n).join(bans, "recipe_id")
             .withColumn("verdict", F.when(F.size(broken) == 0, F.lit("ALLOWED"))
                         .otherwise(F.concat(F.lit("VIOLATES:"), F.array_join(broken, "+")))))
 
