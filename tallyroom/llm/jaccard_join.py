@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import heapq
 from collections.abc import Iterator
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +28,7 @@ from tallyroom.llm.tables import components, long_lists, text_views, written
 from tallyroom.llm.wordhash import Words, mix, windows
 
 WORDS = Words(b" \t\n\x0b\x0c\r")
-LONG = 256  # a list with more documents counts as long when shingles are ordered
+LONG = 64  # a list with more documents counts as long when shingles are ordered
 MAX_LONG = 100_000  # long lists that are named to the tasks, the longest first: 0.8 MB
 SHORT = 64  # members of a list that are merged as pairs
 BITS = 1 << 22  # size of the filter that picks the texts to shingle again
@@ -117,44 +118,52 @@ def _merge(percent: int):
         for batch in batches:
             a, b = [], []
             for row in range(batch.num_rows):  # one document's lists at a time
-                x, nx, n_long, lists = (batch.column(i)[row].as_py() for i in range(4))
-                rest = nx - (nx - needed(nx, percent) + 1)
-                merged = heapq.merge(*([(m["rep"], m["n"]) for m in members if m["rep"] < x] for members in lists))
-                last, count = None, 0
-                for member in merged:
-                    if member == last:
-                        count += 1
-                        continue
-                    if last is not None and _reaches(nx, last[1], count + n_long, rest, percent):
-                        a.append(last[0])
+                x, nx, n_long, lists, sizes = (batch.column(i)[row].as_py() for i in range(5))
+                size = {y: n for ys, ns in zip(lists, sizes, strict=True) for y, n in zip(ys, ns, strict=True)}
+                for y, same in groupby(heapq.merge(*lists)):
+                    if _reaches(nx, size[y], sum(1 for _ in same) + n_long, percent):
+                        a.append(y)
                         b.append(x)
-                    last, count = member, 1
-                if last is not None and _reaches(nx, last[1], count + n_long, rest, percent):
-                    a.append(last[0])
-                    b.append(x)
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
     return run
 
 
-def _reaches(nx: int, ny: int, count: int, rest: int, percent: int) -> bool:
-    """Can the overlap still reach the bound, given what the prefixes share?"""
+def _prefix_test(percent: int):
+    """Candidates whose indexed shingles leave the bound within reach."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            na, nb = (batch.column(i).to_numpy() for i in (2, 3))
+            rows = [j for j, (x, y) in enumerate(_paired(batch, 4))
+                    if _reaches(int(na[j]), int(nb[j]), len(np.intersect1d(x, y, assume_unique=True)), percent)]
+            rows = pa.array(rows, pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(rows), batch.column(1).take(rows)], names=["a", "b"])
+    return run
+
+
+def _paired(batch: pa.RecordBatch, first: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Integer arrays of two neighbouring list columns, row by row."""
+    parts = []
+    for i in (first, first + 1):
+        parts.append((batch.column(i).offsets.to_numpy(), batch.column(i).values.to_numpy()))
+    (at_a, a), (at_b, b) = parts
+    for j in range(batch.num_rows):
+        yield a[at_a[j]:at_a[j + 1]], b[at_b[j]:at_b[j + 1]]
+
+
+def _reaches(nx: int, ny: int, count: int, percent: int) -> bool:
+    """Can the overlap still reach the bound, given how many indexed shingles are shared?"""
     if 100 * min(nx, ny) < percent * max(nx, ny):
         return False
     overlap = -(-percent * (nx + ny) // (100 + percent))
-    return count + max(rest, needed(ny, percent) - 1) >= overlap
+    return count + needed(max(nx, ny), percent) - 1 >= overlap
 
 
 def _overlaps(percent: int):
     """Exact test: binary probes of the smaller set in the larger one."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = []
-            for i in (2, 3):
-                column = batch.column(i)
-                at, flat = column.offsets.to_numpy(), column.values.to_numpy()
-                sets.append([flat[at[j]:at[j + 1]] for j in range(batch.num_rows)])
             keep = np.zeros(batch.num_rows, bool)
-            for j, (x, y) in enumerate(zip(*sets, strict=True)):
+            for j, (x, y) in enumerate(_paired(batch, 2)):
                 few, many = (x, y) if len(x) <= len(y) else (y, x)
                 if not len(few):
                     continue
@@ -199,21 +208,23 @@ def near_copies(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
                                   F.min_by("n", "rep").alias("hub_n"))
 
     short = live.join(sizes.where(F.col("members") <= SHORT).select("h"), "h")
-    lists = short.groupBy("h").agg(F.array_sort(F.collect_list(F.struct("rep", "n"))).alias("members"))
+    lists = (short.groupBy("h").agg(F.array_sort(F.collect_list(F.struct("rep", "n"))).alias("m"))
+             .select(F.col("m.rep").alias("reps"), F.col("m.n").alias("sizes")))
     in_long = (live.join(sizes.where(F.col("members") > SHORT).select("h"), "h")
                .groupBy("rep").agg(F.count("*").alias("n_long")))
-    merged = (lists.select(F.explode("members").alias("m"), "members")
-              .groupBy(F.col("m.rep").alias("x"), F.col("m.n").alias("nx")).agg(F.collect_list("members").alias("lists"))
+    merged = (lists.select(F.posexplode("reps").alias("at", "x"), "reps", "sizes").where("at > 0")
+              .select("x", F.expr("sizes[at]").alias("nx"), F.expr("slice(reps, 1, at)").alias("reps"),
+                      F.expr("slice(sizes, 1, at)").alias("sizes"))
+              .groupBy("x").agg(F.min("nx").alias("nx"), F.collect_list(F.struct("reps", "sizes")).alias("l"))
               .join(in_long.withColumnRenamed("rep", "x"), "x", "left")
-              .select("x", "nx", F.coalesce("n_long", F.lit(0)).alias("n_long"), "lists")
+              .select("x", "nx", F.coalesce("n_long", F.lit(0)).alias("n_long"), "l.reps", "l.sizes")
               .mapInArrow(_merge(percent), "a long, b long"))
     hubs = sizes.where(F.col("members") > SHORT).select("h", "hub", "hub_n")
     to_hub = (live.join(hubs, "h").where("rep <> hub")
               .where(100 * F.least("n", "hub_n") >= percent * F.greatest("n", "hub_n"))
               .select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct())
 
-    sets = _shingle_sets(spark, rows, live, first, k)
-    links = written(_linked(merged.unionByName(to_hub), sets, percent), "copy-links")
+    links = _linked(spark, rows, index, merged.unionByName(to_hub), k, percent)
     found = components(links, "copy-components")
 
     # long lists whose members are not all in one component yet
@@ -227,7 +238,7 @@ def near_copies(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
         across = (left.join(right, "h").where("ca <> cb AND a < b")
                   .where(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
                   .select("a", "b").distinct())
-        more = written(_linked(across, sets, percent), "copy-links")
+        more = _linked(spark, rows, index, across, k, percent)
         found = components(links.unionByName(more), "copy-components")
 
     return (index.select("doc_id", "sig", "n").join(first, "sig", "left")
@@ -237,11 +248,23 @@ def near_copies(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
                     .alias("component_id")))
 
 
-def _shingle_sets(spark: SparkSession, rows: DataFrame, live: DataFrame, first: DataFrame, k: int) -> DataFrame:
-    """(rep, shingles) of every document in a shared list. Texts are picked by a bit filter of
-    fixed size, so the text column is not shuffled; false hits drop out in the join."""
+def _linked(spark: SparkSession, rows: DataFrame, index: DataFrame, pairs: DataFrame, k: int,
+            percent: int) -> DataFrame:
+    """Candidate pairs that link: tested on the indexed shingles, then on the whole sets."""
+    known = index.select("doc_id", "n", "prefix")
+    near = (pairs.join(known.toDF("a", "na", "pa").dropDuplicates(["a"]), "a")
+            .join(known.toDF("b", "nb", "pb").dropDuplicates(["b"]), "b")
+            .select("a", "b", "na", "nb", "pa", "pb").mapInArrow(_prefix_test(percent), "a long, b long"))
+    near = written(near, "copy-candidates")
+    sets = _shingle_sets(spark, rows, near.select(F.explode(F.array("a", "b")).alias("rep")).distinct(), k)
+    both = near.join(sets.toDF("a", "sa"), "a").join(sets.toDF("b", "sb"), "b")
+    return written(both.select("a", "b", "sa", "sb").mapInArrow(_overlaps(percent), "a long, b long"), "copy-links")
+
+
+def _shingle_sets(spark: SparkSession, rows: DataFrame, reps: DataFrame, k: int) -> DataFrame:
+    """(rep, shingles) of the named documents. Texts are picked by a bit filter of fixed size, so
+    the text column is not shuffled; false hits drop out in the join."""
     slot = F.pmod(F.xxhash64("rep"), F.lit(BITS))
-    reps = live.select("rep").distinct()
     words = (reps.select(slot.alias("slot")).groupBy(F.shiftright("slot", 6).cast("int").alias("w"))
              .agg(F.bit_or(F.expr("shiftleft(1L, int(slot & 63))")).alias("b")).collect())
     filled = np.zeros(BITS >> 6, np.uint64)
@@ -253,12 +276,6 @@ def _shingle_sets(spark: SparkSession, rows: DataFrame, live: DataFrame, first:
     return written(picked.join(reps, "rep").dropDuplicates(["rep"]), "shingle-sets")
 
 
-def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    both = (pairs.join(sets.select(F.col("rep").alias("a"), F.col("shingles").alias("sa")), "a")
-            .join(sets.select(F.col("rep").alias("b"), F.col("shingles").alias("sb")), "b"))
-    return both.select("a", "b", "sa", "sb").mapInArrow(_overlaps(percent), "a long, b long")
-
-
 def one_per_component(docs: DataFrame, found: DataFrame) -> DataFrame:
     """Rows of ``docs`` that stand for their component: one per component, the smallest doc_id.
     Rows without a doc_id stay, as nothing can name them."""
