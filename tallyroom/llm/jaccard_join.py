@@ -9,8 +9,10 @@ the bound on the rest cannot exclude is probed by binary search in the candidate
 set, which gives the exact overlap.
 
 Lists that stay longer than ``SHORT`` are not expanded into pairs: every member is compared with
-the list's first document, members of one component need no further comparison, and only pairs
-across components that are left in a list are compared after that. Equal sets are one node.
+the list's first document, its hub. Pairs inside a component need no comparison, and Jaccard
+distance is a metric, so a document whose similarity to the hub is below 1 - 2 * (1 - percent / 100)
+cannot link with any that links with the hub; only what both rules leave is compared after that.
+Equal sets are one node.
 """
 
 from __future__ import annotations
@@ -29,7 +31,7 @@ from tallyroom.llm.wordhash import Words, mix, windows
 
 WORDS = Words(b" \t\n\x0b\x0c\r")
 LONG = 64  # a list with more documents counts as long when shingles are ordered
-MAX_LONG = 100_000  # long lists that are named to the tasks, the longest first: 0.8 MB
+MAX_LONG = 400_000  # long lists that are named to the tasks, the longest first: 1.6 MB
 SHORT = 64  # members of a list that are merged as pairs
 BITS = 1 << 22  # size of the filter that picks the texts to shingle again
 
@@ -49,37 +51,63 @@ def needed(n, percent: int):
 
 
 def prefix_of(shingles: np.ndarray, percent: int, long_ones: np.ndarray) -> np.ndarray:
+    """The shingles of a set that enter the index; ``long_ones`` are sorted slots."""
     n = len(shingles)
     p = n - needed(n, percent) + 1 if n else 0
     if len(long_ones) and n:
-        at = np.minimum(np.searchsorted(long_ones, shingles), len(long_ones) - 1)
-        is_long = long_ones[at] == shingles
+        own = slots(shingles)
+        is_long = long_ones[np.minimum(np.searchsorted(long_ones, own), len(long_ones) - 1)] == own
         if is_long[:p].any():
             return np.concatenate((shingles[~is_long], shingles[is_long]))[:p]
     return shingles[:p]
 
 
-def _counted_prefixes(k: int, percent: int):
-    none = np.zeros(0, np.int64)
+def slots(shingles: np.ndarray) -> np.ndarray:
+    """The upper 32 bits of hashes, by which long lists are named. Shingles that share a slot are
+    ordered alike, which any total order of shingles allows."""
+    return (shingles.view(np.uint64) >> np.uint64(32)).astype(np.uint32)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def out(held):
-            h, c = np.unique(np.concatenate(held), return_counts=True)
-            return pa.RecordBatch.from_arrays([pa.array(h), pa.array(c)], names=["h", "c"])
 
+def _slot_counts(k: int, parts: int):
+    """Slots of all shingles, sorted and cut into ``parts`` ranges; differences are written as byte
+    planes, of which the upper ones are nearly empty and compress away in the shuffle."""
+    width = -(-(1 << 32) // parts)
+
+    def out(held):
+        flat = np.sort(np.concatenate(held))
+        cuts = np.searchsorted(flat, np.arange(parts + 1, dtype=np.uint64) * np.uint64(width))
+        rows = []
+        for i in range(parts):
+            piece = flat[cuts[i]:cuts[i + 1]]
+            if len(piece):
+                rows.append((i, np.diff(piece, prepend=np.uint32(0)).view(np.uint8).reshape(-1, 4).T.tobytes()))
+        return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()),
+                                           pa.array([r[1] for r in rows], pa.binary())], names=["part", "planes"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
         for batch in batches:
-            held, size = [], 0
             for text in text_views(batch.column(0)):
-                held.append(prefix_of(shingle_set(text, k), percent, none))
+                held.append(slots(shingle_set(text, k)))
                 size += len(held[-1])
-                if size > 200_000:
+                if size > 4_000_000:
                     yield out(held)
                     held, size = [], 0
-            if held:
-                yield out(held)
+        if held:
+            yield out(held)
     return run
 
 
+def _long_slots(key, frame):
+    """Slots of one range with more than LONG occurrences."""
+    import pandas as pd
+
+    flat = np.concatenate([np.cumsum(np.frombuffer(x, np.uint8).reshape(4, -1).T.copy().view(np.uint32).ravel(),
+                                     dtype=np.uint32) for x in frame["planes"]])
+    slot, count = np.unique(flat, return_counts=True)
+    return pd.DataFrame({"slot": slot[count > LONG].astype(np.int64), "c": count[count > LONG].astype(np.int64)})
+
+
 def _prefixes(k: int, percent: int, long_ones):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -162,16 +190,18 @@ def _overlaps(percent: int):
     """Exact test: binary probes of the smaller set in the larger one."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = np.zeros(batch.num_rows, bool)
+            linked, gray = np.zeros((2, batch.num_rows), bool)
             for j, (x, y) in enumerate(_paired(batch, 2)):
                 few, many = (x, y) if len(x) <= len(y) else (y, x)
                 if not len(few):
                     continue
                 found = many[np.minimum(np.searchsorted(many, few), len(many) - 1)] == few
                 both = int(found.sum())
-                keep[j] = 100 * both >= percent * (len(x) + len(y) - both)
-            rows = pa.array(np.flatnonzero(keep))
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(rows), batch.column(1).take(rows)], names=["a", "b"])
+                union = len(x) + len(y) - both
+                linked[j] = 100 * both >= percent * union
+                gray[j] = 100 * both >= (2 * percent - 100) * union
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(linked), pa.array(gray & ~linked)],
+                                             names=["a", "b", "linked", "gray"])
     return run
 
 
@@ -187,11 +217,13 @@ def near_copies(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
 
-    # which lists are long, over all documents
-    long_rows = (rows.select("text").mapInArrow(_counted_prefixes(k, percent), "h long, c long")
-                 .groupBy("h").agg(F.sum("c").alias("c")).where(F.col("c") > LONG)
-                 .orderBy(F.desc("c"), "h").limit(MAX_LONG).select("h").collect())
-    long_ones = spark.sparkContext.broadcast(np.sort(np.array([r.h for r in long_rows], np.int64)))
+    # which lists are long, over all shingles of all documents
+    words = rows.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0] // 6
+    parts = int(min(1 << 16, max(16, words // 2_000_000)))
+    long_rows = (rows.select("text").mapInArrow(_slot_counts(k, parts), "part int, planes binary")
+                 .groupBy("part").applyInPandas(_long_slots, "slot long, c long")
+                 .orderBy(F.desc("c"), "slot").limit(MAX_LONG).select("slot").collect())
+    long_ones = spark.sparkContext.broadcast(np.sort(np.array([r.slot for r in long_rows], np.uint32)))
 
     index = written(rows.mapInArrow(_prefixes(k, percent, long_ones),
                                     "doc_id long, sig long, n long, prefix array<long>"), "shingle-prefixes")
@@ -199,13 +231,12 @@ def near_copies(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
 
     # inverted lists with at least two different sets
     entries = index.select("sig", "n", F.explode("prefix").alias("h"))
-    shared = (entries.groupBy("h").agg(F.min("sig").alias("lo"), F.max("sig").alias("hi"))
-              .where("lo < hi").select("h"))
+    shared = entries.groupBy("h").count().where("count > 1").select("h")
     live = (entries.join(shared, "h").groupBy("h", "sig").agg(F.min("n").alias("n"))
             .join(first, "sig").where("rep IS NOT NULL").select("h", "rep", "n"))
     live = written(live, "shingle-lists")
-    sizes = live.groupBy("h").agg(F.count("*").alias("members"), F.min("rep").alias("hub"),
-                                  F.min_by("n", "rep").alias("hub_n"))
+    sizes = live.groupBy("h").agg(F.count("*").alias("members"), F.min(F.struct("rep", "n")).alias("hub"))
+    sizes = sizes.select("h", "members", F.col("hub.rep").alias("hub"), F.col("hub.n").alias("hub_n"))
 
     short = live.join(sizes.where(F.col("members") <= SHORT).select("h"), "h")
     lists = (short.groupBy("h").agg(F.array_sort(F.collect_list(F.struct("rep", "n"))).alias("m"))
@@ -224,22 +255,26 @@ def near_copies(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
               .where(100 * F.least("n", "hub_n") >= percent * F.greatest("n", "hub_n"))
               .select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct())
 
-    links = _linked(spark, rows, index, merged.unionByName(to_hub), k, percent)
-    found = components(links, "copy-components")
+    near = _reachable(index, merged, percent).unionByName(to_hub).distinct()
+    tested = _tested(spark, rows, near, k, percent)
+    found = components(tested.where("linked").select("a", "b"), "copy-components")
 
-    # long lists whose members are not all in one component yet
-    placed = (live.join(hubs.select("h"), "h").join(found.withColumnRenamed("node", "rep"), "rep", "left")
-              .select("h", "rep", "n", F.coalesce("component", "rep").alias("component")))
+    # long lists whose members are not all in one component
+    placed = (live.join(hubs, "h").join(found.withColumnRenamed("node", "rep"), "rep", "left")
+              .select("h", "hub", "rep", "n", F.coalesce("component", "rep").alias("component")))
     opened = placed.groupBy("h").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
-    open_rows = written(placed.join(opened.select("h"), "h"), "open-lists")
-    if not open_rows.isEmpty():
-        left = open_rows.select("h", F.col("rep").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"))
-        right = open_rows.select("h", F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"))
-        across = (left.join(right, "h").where("ca <> cb AND a < b")
-                  .where(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
-                  .select("a", "b").distinct())
-        more = _linked(spark, rows, index, across, k, percent)
-        found = components(links.unionByName(more), "copy-components")
+    to_own_hub = tested.select(F.col("a").alias("hub"), F.col("b").alias("rep"), "linked", "gray")
+    open_rows = written(placed.join(opened.select("h"), "h").join(to_own_hub, ["hub", "rep"], "left").select(
+        "h", "rep", "n", "component", (F.coalesce("linked", F.lit(False)) | (F.col("rep") == F.col("hub"))).alias("linked"),
+        F.coalesce("gray", F.lit(False)).alias("gray")), "open-lists")
+    if not open_rows.where("NOT linked").isEmpty():
+        left = open_rows.where("NOT linked").toDF("h", "x", "nx", "cx", "lx", "gx")
+        right = open_rows.toDF("h", "y", "ny", "cy", "ly", "gy")
+        across = (left.join(right, "h").where("cx <> cy AND (gx OR NOT ly)")
+                  .where(100 * F.least("nx", "ny") >= percent * F.greatest("nx", "ny"))
+                  .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
+        more = _tested(spark, rows, _reachable(index, across, percent), k, percent)
+        found = components(tested.unionByName(more).where("linked").select("a", "b"), "copy-components")
 
     return (index.select("doc_id", "sig", "n").join(first, "sig", "left")
             .join(found.withColumnRenamed("node", "rep"), "rep", "left")
@@ -248,17 +283,20 @@ def near_copies(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
                     .alias("component_id")))
 
 
-def _linked(spark: SparkSession, rows: DataFrame, index: DataFrame, pairs: DataFrame, k: int,
-            percent: int) -> DataFrame:
-    """Candidate pairs that link: tested on the indexed shingles, then on the whole sets."""
-    known = index.select("doc_id", "n", "prefix")
-    near = (pairs.join(known.toDF("a", "na", "pa").dropDuplicates(["a"]), "a")
-            .join(known.toDF("b", "nb", "pb").dropDuplicates(["b"]), "b")
+def _reachable(index: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
+    """Candidate pairs (a, b) that their indexed shingles do not exclude."""
+    known = index.where("n > 0").select("doc_id", "n", "prefix").dropDuplicates(["doc_id"])
+    return (pairs.join(known.toDF("a", "na", "pa"), "a").join(known.toDF("b", "nb", "pb"), "b")
             .select("a", "b", "na", "nb", "pa", "pb").mapInArrow(_prefix_test(percent), "a long, b long"))
-    near = written(near, "copy-candidates")
-    sets = _shingle_sets(spark, rows, near.select(F.explode(F.array("a", "b")).alias("rep")).distinct(), k)
-    both = near.join(sets.toDF("a", "sa"), "a").join(sets.toDF("b", "sb"), "b")
-    return written(both.select("a", "b", "sa", "sb").mapInArrow(_overlaps(percent), "a long, b long"), "copy-links")
+
+
+def _tested(spark: SparkSession, rows: DataFrame, pairs: DataFrame, k: int, percent: int) -> DataFrame:
+    """Pairs with the outcome of the exact comparison: linked, or gray (near enough to a hub to link
+    with a document that the hub links with)."""
+    pairs = written(pairs, "copy-candidates")
+    sets = _shingle_sets(spark, rows, pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct(), k)
+    both = pairs.join(sets.toDF("a", "sa"), "a").join(sets.toDF("b", "sb"), "b").select("a", "b", "sa", "sb")
+    return written(both.mapInArrow(_overlaps(percent), "a long, b long, linked boolean, gray boolean"), "copy-tests")
 
 
 def _shingle_sets(spark: SparkSession, rows: DataFrame, reps: DataFrame, k: int) -> DataFrame:
