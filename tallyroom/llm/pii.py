@@ -65,23 +65,23 @@ def _matches(df: DataFrame, name: str, pattern: str, group: int, needs: Column)
     width = f"length({name}_h[i - 1])" if group == 0 else "0"
     found = _cumulative(f"{name}_p", f"{name}_h", 0 if group == 0 else -1).replace("{width}", width)
     empty = "cast(array() AS array<struct<start:long,hit:string>>)"
-    return (df.withColumn(name, F.expr(f"CASE WHEN size({name}_h) > 0 THEN {found} ELSE {empty} END"))
+    with_digits = "transform({a}, x -> struct(x.start AS start, x.hit AS hit, regexp_replace(x.hit, '[^0-9]', '') AS d))"
+    return (df.withColumn(name, F.expr(f"CASE WHEN size({name}_h) > 0 THEN {with_digits.format(a=found)} "
+                                       f"ELSE {with_digits.format(a=empty)} END"))
             .drop(f"{name}_h", f"{name}_p"))
 
 
-LUHN = """aggregate(sequence(1, length({d})), 0, (s, i) -> s + CASE WHEN (length({d}) - i) % 2 = 0
-    THEN cast(substring({d}, i, 1) AS int)
-    ELSE cast(substring({d}, i, 1) AS int) * 2 - CASE WHEN substring({d}, i, 1) >= '5' THEN 9 ELSE 0 END END) % 10 = 0"""
-DIGITS = "regexp_replace({h}, '[^0-9]', '')"
+LUHN = """aggregate(sequence(1, length(x.d)), 0, (s, i) -> s + CASE WHEN (length(x.d) - i) % 2 = 0
+    THEN ascii(substring(x.d, i, 1)) - 48
+    ELSE (ascii(substring(x.d, i, 1)) - 48) * 2 - CASE WHEN substring(x.d, i, 1) >= '5' THEN 9 ELSE 0 END END) % 10 = 0"""
 
 
 def _accepts(kind: str) -> str:
     """SQL test of a strict match ``x.hit``."""
-    digits = DIGITS.format(h="x.hit")
     return {"email": "true",
             "ip": "forall(split(x.hit, '[.]'), p -> length(ltrim('0', p)) <= 3 AND coalesce(try_cast(right(p, 3) AS int), 256) <= 255)",
-            "card": f"length({digits}) BETWEEN 16 AND 19 AND " + LUHN.format(d=digits),
-            "phone": f"length({digits}) BETWEEN 8 AND 15"}[kind]
+            "card": f"length(x.d) BETWEEN 16 AND 19 AND {LUHN}",
+            "phone": "length(x.d) BETWEEN 8 AND 15"}[kind]
 
 
 def _based(docs: DataFrame, keep: list[str]) -> DataFrame:
@@ -109,7 +109,6 @@ def _candidates(df: DataFrame) -> DataFrame:
     parts = []
     for g, (kind, pattern) in enumerate(GENERATORS):
         df = _matches(df, f"c{g}", pattern, 1, at if kind == "email" else digit)
-        digits = DIGITS.format(h="x.hit")
         context = "CASE " + " ".join(f"WHEN f RLIKE '{w}' THEN {i + 1}" for i, w in enumerate(WORDS)) + " ELSE 0 END"
         side = "CASE WHEN s = '' OR s RLIKE '^\\\\s$' THEN 0 WHEN s RLIKE '^\\\\p{L}$' THEN 1 WHEN s RLIKE '^[0-9]$' THEN 2 ELSE 3 END"
 
@@ -118,8 +117,8 @@ def _candidates(df: DataFrame) -> DataFrame:
 
         features = {
             "generator": str(g),
-            "digits": f"least(cast(length({digits}) AS int), 20)",
-            "checksum": f"CASE WHEN length({digits}) BETWEEN 1 AND 19 AND {LUHN.format(d=digits)} THEN 1 ELSE 0 END",
+            "digits": "least(length(x.d), 20)",
+            "checksum": f"CASE WHEN length(x.d) BETWEEN 1 AND 19 AND {LUHN} THEN 1 ELSE 0 END",
             "octets": "CASE WHEN x.hit RLIKE '^[0-9.]+$' AND forall(split(x.hit, '[.]'), p -> coalesce(try_cast(p AS bigint), 256) <= 255) "
                       "THEN 1 ELSE 0 END",
             "separators": "least(length(regexp_replace(x.hit, '[^\\\\x20().-]', '')), 6)",
@@ -232,12 +231,19 @@ def fit(cells: list[dict]) -> Boosted:
 def train(docs: DataFrame) -> Boosted:
     """Count every candidate of the corpus per feature cell and fit. The result of the counting is
     bounded by the number of cells (at most the product of the features' few values)."""
-    part = F.pmod(F.xxhash64("body"), F.lit(2)).cast("int")
-    seen = _candidates(_based(docs, [])).where(F.size("candidates") > 0)
-    cells = (seen.select(part.alias("part"), F.explode("candidates").alias("c"))
-             .where("c.label IS NOT NULL").groupBy("part", *[F.col(f"c.{f}").alias(f) for f in FEATURES])
-             .agg(F.sum("c.label").alias("ones"), F.sum(1 - F.col("c.label")).alias("zeros")))
-    return fit([r.asDict() for r in cells.orderBy("part", *FEATURES).collect()])
+    part = F.pmod(F.xxhash64("body"), F.lit(2)).cast("string")
+    # one text per candidate, so that the arrays are computed once and not once per field
+    cell = "transform(candidates, x -> concat_ws(',', " + ", ".join(f"x.{f}" for f in FEATURES) + ", coalesce(x.label, 2)))"
+    seen = _candidates(_based(docs, [])).select(part.alias("part"), F.explode(F.expr(cell)).alias("cell"))
+    rows = seen.groupBy("part", "cell").count().orderBy("part", "cell").collect()
+    cells: dict[tuple, dict] = {}
+    for r in rows:
+        *values, label = map(int, r.cell.split(","))
+        found = cells.setdefault((r.part, *values), {"part": int(r.part), "ones": 0, "zeros": 0,
+                                                     **dict(zip(FEATURES, values, strict=True))})
+        if label < 2:
+            found["ones" if label else "zeros"] += r["count"]
+    return fit([c for c in cells.values() if c["ones"] + c["zeros"]])
 
 
 def find(docs: DataFrame, model: Boosted, keep: list[str]) -> DataFrame:
