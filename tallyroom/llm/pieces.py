@@ -32,7 +32,7 @@ GUARD = "\ue000"  # a private-use character
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 CHUNK = 32_768  # characters of a chunk
 BLOCK = 256  # chunks that are multiplied in one task
-CACHE = 300_000  # words whose pieces a task remembers
+CACHE = 80_000  # words whose pieces a task remembers
 
 
 class Pieces:
@@ -397,8 +397,8 @@ def _unpack(rows) -> Matrix:
 def _encode_small(model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in range(0, batch.num_rows, 500):
-                rows = batch.slice(part, 500)
+            for part in range(0, batch.num_rows, 200):
+                rows = batch.slice(part, 200)
                 ids = model.value.encode_texts(rows.column(1).to_pylist())
                 yield pa.RecordBatch.from_arrays([rows.column(0), ids], names=["key", "ids"])
     return run
@@ -512,8 +512,8 @@ def tokenised(docs: DataFrame, model: Pieces, keep: list[str], chunk: int = CHUN
 def _decoded(model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in range(0, batch.num_rows, 500):
-                rows = batch.slice(part, 500)
+            for part in range(0, batch.num_rows, 100):
+                rows = batch.slice(part, 100)
                 texts = [None if x is None else model.value.decode(x) for x in rows.column(1).to_pylist()]
                 yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(texts, pa.string())], names=["key", "text"])
     return run
