@@ -33,7 +33,6 @@ WEIGHTS = {
 }
 BAND_HIGH = 70
 BAND_MEDIUM = 45
-PACKED_NAMES_CHARS = 4000
 
 # --- ingredient name tags: (tag, pattern, exclusion) ---------------------------
 INGREDIENT_TAGS = [

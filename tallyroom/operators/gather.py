@@ -4,7 +4,7 @@ presentation step only."""
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -71,9 +71,25 @@ def compute(df: DataFrame, specs: list[dict], as_of: date) -> DataFrame:
     return df
 
 
+def date_bounds(specs: list[dict], where, as_of: date) -> list[Column]:
+    """Bounds on the dates themselves for conditions on days until them, which a scan can use."""
+    dates = {s["as"]: s["days_until"] for s in specs if "days_until" in s}
+    out = []
+    for c in where if isinstance(where, list) else []:
+        if c.get("field") in dates and isinstance(c.get("value"), int):
+            column, day = F.col(dates[c["field"]]), as_of + timedelta(c["value"])
+            if c["op"] in ("gte", "eq"):
+                out.append(column >= F.lit(day))
+            if c["op"] in ("lte", "eq"):
+                out.append(column < F.lit(day + timedelta(1)))
+    return out
+
+
 def rollup(df: DataFrame, spec: dict, as_of: date) -> DataFrame:
     """``{group_by, filter_rows: {compute, where}, agg: [{as, op, col}]}``."""
     pre = spec.get("filter_rows", {})
+    for bound in date_bounds(pre.get("compute", []), pre.get("where"), as_of):
+        df = df.where(bound)
     df = compute(df, pre.get("compute", []), as_of)
     if pre.get("where"):
         df = df.where(condition(pre["where"]))

@@ -7,9 +7,6 @@ from pyspark.sql import functions as F
 
 from tallyroom.operators.ranking import first_per
 
-MAX_ROW_LOCAL_TERMS = 2000
-
-
 def join_any_id(facts: DataFrame, fact_id: str, entities: DataFrame, id_columns: dict[str, str],
                 tag: str | None = None) -> DataFrame:
     """Join where a fact's id equals any of several id columns.
@@ -29,69 +26,35 @@ def join_any_id(facts: DataFrame, fact_id: str, entities: DataFrame, id_columns:
     return out.withColumnRenamed("__tag", tag) if tag else out.drop("__tag")
 
 
-def _trie_pattern(terms: list[str]) -> str:
-    """Regular expression that finds, at one position, the longest given term."""
-    trie: dict = {}
-    for term in terms:
-        node = trie
-        for ch in term:
-            node = node.setdefault(ch, {})
-        node[""] = {}
-
-    def render(node: dict) -> str:
-        arms = ["\\Q" + ch + "\\E" + render(sub) for ch, sub in sorted(node.items()) if ch]
-        if not arms:
-            return ""
-        return "(?:" + "|".join(arms) + ")" + ("?" if "" in node else "")
+PIECE = 8  # characters by which a longer term is looked up
 
-    return render(trie)
 
-
-def longest_term(texts: DataFrame, text: str, key: str, terms: DataFrame, term: str, value: str,
-                 row_local_terms: int = MAX_ROW_LOCAL_TERMS) -> DataFrame:
+def longest_term(texts: DataFrame, text: str, key: str, terms: DataFrame, term: str, value: str) -> DataFrame:
     """Add ``value`` of the longest dictionary term found inside ``text``
     (substring, case-insensitive; NULL when none is found; equal lengths are
     settled by the alphabet). Every text is searched whole.
 
-    A dictionary of at most ``row_local_terms`` terms becomes one expression
-    evaluated in the scan's stage: no shuffle, no row pairs. A larger one goes
-    through an equi-join on three-character pieces, then an exact test.
+    Texts and terms meet in an equi-join on the term's first eight characters, or on the whole
+    term where it is shorter; longer terms are then looked for in the text. Each candidate is a
+    row, and a text brings back its best one only. A text whose key is NULL gets NULL.
     """
     words = terms.where(F.length(term) > 0).groupBy(F.upper(term).alias("__term")).agg(
         F.min(value).alias("__value"))
-    head = words.limit(row_local_terms + 1).collect()
-    if len(head) <= row_local_terms:
-        if not head:
-            return texts.withColumn(value, F.lit(None).cast(terms.schema[value].dataType))
-        hits = F.regexp_extract_all(F.upper(text), F.lit(f"(?=({_trie_pattern([r['__term'] for r in head])}))"),
-                                    F.lit(1))
-        lookup = F.create_map(*[F.lit(x) for r in head for x in (r["__term"], r["__value"])])
-        return (texts.withColumn("__hits", F.array_distinct(hits))
-                .withColumn("__len", F.array_max(F.transform("__hits", F.length)))
-                .withColumn("__best", F.array_min(F.filter("__hits", lambda h: F.length(h) == F.col("__len"))))
-                .withColumn(value, F.when(F.col("__best").isNotNull(), F.element_at(lookup, F.col("__best"))))
-                .drop("__hits", "__len", "__best"))
-    return _longest_term_shuffled(texts, text, key, words, value)
-
-
-def _longest_term_shuffled(texts: DataFrame, text: str, key: str, words: DataFrame, value: str) -> DataFrame:
-    upper = F.upper(F.col(text))
+    size = F.least(F.length("__term"), F.lit(PIECE))
+    anchors = words.withColumn("__piece", F.substr("__term", F.lit(1), size))
+    sizes = words.agg(F.collect_set(size))  # at most PIECE numbers
 
-    def pieces(n: int):
-        return F.when(F.length(upper) >= n,
-                      F.transform(F.sequence(F.lit(1), F.length(upper) - (n - 1)),
-                                  lambda i: F.substr(upper, i, F.lit(n)))).otherwise(F.array().cast("array<string>"))
-
-    grams = texts.select(key, F.explode(F.array_distinct(F.concat(pieces(1), pieces(2), pieces(3)))).alias("__gram"))
-    anchors = words.withColumn("__gram", F.substring("__term", 1, 3))
-    candidates = (grams.join(anchors, "__gram").groupBy(key)
-                  .agg(F.collect_set(F.struct(F.length("__term").alias("n"), F.col("__term").alias("t"),
-                                              F.col("__value").alias("v"))).alias("__cand")))
-    found = F.filter("__cand", lambda c: F.instr(upper, c["t"]) > 0)
-    longest = F.array_max(F.transform(found, lambda c: c["n"]))
-    best = F.array_min(F.transform(F.filter(found, lambda c: c["n"] == longest),
-                                   lambda c: F.struct(c["t"].alias("t"), c["v"].alias("v"))))
-    return texts.join(candidates, key, "left").withColumn(value, best["v"]).drop("__cand")
+    upper = F.upper(F.col(text))
+    found = texts.where(F.col(key).isNotNull()).select(F.col(key).alias("__key"), upper.alias("__text"))
+    # a look-ahead at every place: the text is walked once per size
+    pieces = F.flatten(F.transform("__sizes", lambda n: F.regexp_extract_all(
+        F.col("__text"), F.concat(F.lit("(?s)(?=(.{"), n.cast("string"), F.lit("}))")), F.lit(1))))
+    candidates = (found.withColumn("__sizes", sizes.scalar()).select("__key", F.explode(F.array_distinct(pieces)).alias("__piece")).join(anchors, "__piece")
+                  .select("__key", "__term", "__value").distinct())
+    best = (candidates.join(found, "__key")
+            .where((F.length("__term") <= PIECE) | (F.instr(F.col("__text"), F.col("__term")) > 0))
+            .groupBy("__key").agg(F.min_by("__value", F.struct(-F.length("__term"), "__term")).alias(value)))
+    return texts.join(best, texts[key] == best["__key"], "left").drop("__key")
 
 
 def join_same_day(left: DataFrame, right: DataFrame, keys: dict[str, str]) -> DataFrame:

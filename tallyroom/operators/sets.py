@@ -30,9 +30,19 @@ def concat_unless_rejected(parts: list[tuple[DataFrame, bool]]) -> DataFrame:
     return union_rows(*kept) if kept else parts[0][0].where(F.lit(False))
 
 
+VALUES_PER_CELL = 64
+
+
 def missing_values(owners: DataFrame, owner: str, present: DataFrame, value: str) -> DataFrame:
-    """Values seen anywhere but not at an owner. The value set is one scalar
-    array; only the missing pairs come out."""
-    universe = present.where(F.col(value).isNotNull()).agg(F.sort_array(F.collect_set(value)))
-    pairs = owners.select(owner).distinct().withColumn(value, F.explode(universe.scalar()))
+    """Values seen anywhere but not at an owner.
+
+    The values are packed by hash into cells of a few, each cell meets the owners by an
+    equi-join on its number, and an owner's own values are taken out. The result, every
+    owner with every value it lacks, is what is asked for."""
+    values = present.where(F.col(value).isNotNull()).select(value).distinct()
+    cells = values.agg(F.greatest(F.ceil(F.count("*") / VALUES_PER_CELL), F.lit(1)).cast("int"))
+    packed = (values.withColumn("__cell", F.pmod(F.xxhash64(value), cells.scalar()).cast("int"))
+              .groupBy("__cell").agg(F.collect_list(value).alias("__values")))
+    pairs = (owners.select(owner).distinct().withColumn("__cell", F.explode(F.sequence(F.lit(0), cells.scalar() - 1)))
+             .join(packed, "__cell").select(owner, F.explode("__values").alias(value)))
     return pairs.join(present.select(owner, value).distinct(), [owner, value], "left_anti")

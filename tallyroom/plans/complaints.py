@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyroom.constants import (CONDITION_TERMS, LATE_TERMS, OPS_BAR, OPS_CATEGORIES, OPS_TERMS, PRODUCT_RX,
                                  ROOT_CAUSE_CLASSES, SPAN_DAYS, SPAN_MIN_REVIEWS, WRONG_MISSING_TERMS)
-from tallyroom.functions import contains_any, day_index, days_until, in_trailing_days, ladder, match_key, matches_any
+from tallyroom.functions import contains_any, day_index, in_trailing_days, ladder, match_key, matches_any
 from tallyroom.operators.joins import join_same_day
 from tallyroom.operators.ranking import best_span, top_n
 
@@ -31,13 +31,13 @@ def issue_class(c="issue_type"):
 def p_complaint_root_cause(t, as_of: date, complaint_days: int = 7, order_days: int = 14) -> DataFrame:
     """Recent complaints traced to their order lines and to the stock held in
     that store on the order day."""
-    complaints = (v_complaint_events(t).where(days_until("complaint_received_at", as_of) >= -complaint_days)
+    complaints = (v_complaint_events(t).where(F.col("complaint_received_at") >= F.lit(as_of - timedelta(complaint_days)))
                   .select(F.col("order_id").alias("online_order_id"), "master_store_id", "issue_type", "item_name",
                           "customer_comments", "complaint_received_at"))
-    lines = (t.business_analytics.where(days_until("order_date", as_of) >= -order_days)
+    lines = (t.business_analytics.where(F.col("order_date") >= F.lit(as_of - timedelta(order_days)))
              .select("online_order_id", "store_id", "sku_id", "item_source_name", "order_date"))
     stock = (t.order_day_inventory
-             .where((F.col("available_quantity") > 0) & (days_until("snapshot_date", as_of) >= -order_days))
+             .where((F.col("available_quantity") > 0) & (F.col("snapshot_date") >= F.lit(as_of - timedelta(order_days))))
              .groupBy("store_id", F.col("product_sku").alias("sku_id"), F.col("snapshot_date").alias("order_date"))
              .agg(F.min("expiry_date").alias("earliest_expiry_that_day"),
                   F.sum("available_quantity").alias("inventory_that_day")))
@@ -57,7 +57,7 @@ def p_complaint_root_cause(t, as_of: date, complaint_days: int = 7, order_days:
 
 
 def p_store_reviews(t, as_of: date, days: int = 30) -> DataFrame:
-    return (t.customer_review_events.where(days_until("review_date", as_of) >= -days)
+    return (t.customer_review_events.where(F.col("review_date") >= F.lit(as_of - timedelta(days)))
             .join(t.master_store.select("master_store_id", "store_name"), "master_store_id", "left")
             .select("master_store_id", "store_name", F.col("star_rating").alias("rating"),
                     F.col("review_text").alias("review"), F.col("review_date").cast("date").alias("review_date"),

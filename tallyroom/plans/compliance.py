@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -97,8 +97,8 @@ def declaration_matrix(t) -> DataFrame:
 
 
 def expiry_within(df: DataFrame, expires: str, as_of: date, days: int = RENEWAL_DAYS) -> DataFrame:
-    left = days_until(expires, as_of)
-    return df.withColumn("days_left", left).where(left <= days).withColumn(
+    return df.where(F.col(expires) < F.lit(as_of + timedelta(days + 1))).withColumn(
+        "days_left", days_until(expires, as_of)).withColumn(
         "status", F.when(F.col("days_left") < 0, "expired").otherwise("expiring"))
 
 

@@ -9,6 +9,7 @@ from tallyroom.operators.ranking import top_n
 from tallyroom.operators.sets import union_rows
 from tallyroom.plans.products import product_facets, v_product_ingredient
 from tallyroom.sources.readers import literal_table
+from tallyroom.sources.sinks import written_once
 
 
 def load_nodes(df: DataFrame, entity_type: str, key: str, properties: dict[str, str]) -> DataFrame:
@@ -74,18 +75,22 @@ def related_grouped(edges: DataFrame) -> DataFrame:
     return edges.groupBy("src", "type").agg(F.sort_array(F.collect_set("dst")).alias("neighbours"))
 
 
-def ancestor_closure(members: DataFrame, child: str, parent: str, levels: int) -> DataFrame:
-    """``(descendant, ancestor, depth)`` for every member, itself included. The
-    number of joins is the number of levels of the hierarchy."""
+def ancestor_closure(members: DataFrame, child: str, parent: str) -> DataFrame:
+    """``(descendant, ancestor, depth)`` for every member, itself included, up to the
+    roots whatever the depth: each round follows one more link, until none is left.
+    A member that is its own ancestor is an error."""
     links = members.where(F.col(parent).isNotNull()).select(F.col(child).alias("__c"), F.col(parent).alias("__p"))
     step = members.select(F.col(child).alias("descendant"), F.col(child).alias("ancestor"),
                           F.lit(0).cast("bigint").alias("depth"))
     out = step
-    for _ in range(levels - 1):
-        step = step.join(links, F.col("ancestor") == F.col("__c")).select(
-            "descendant", F.col("__p").alias("ancestor"), (F.col("depth") + 1).alias("depth"))
+    while True:
+        step = written_once(step.join(links, F.col("ancestor") == F.col("__c")).select(
+            "descendant", F.col("__p").alias("ancestor"), (F.col("depth") + 1).alias("depth")), "closure")
+        if step.isEmpty():
+            return out
+        if not step.where("descendant = ancestor").isEmpty():
+            raise ValueError("the hierarchy has a cycle")
         out = out.unionByName(step)
-    return out
 
 
 def hier_rollup(df: DataFrame, levels: list[str], aggregates: list[Column]) -> DataFrame:
@@ -96,16 +101,20 @@ def hier_rollup(df: DataFrame, levels: list[str], aggregates: list[Column]) -> D
 # ---- vocabularies --------------------------------------------------------------------
 
 VOCABULARIES = {
-    # fixed values: vocabulary -> ordered member ids
-    "ProductStatus": ["Live", "OccasionallyLive", "UnderTrial", "UnderDevelopment", "Discontinued"],
-    "VegNonVeg": ["Veg", "NonVeg"],
-    "ChannelType": ["Delivery", "QCommerce", "D2C", "Retail", "HoReCa", "Gifting", "QSR", "Corporate", "Vending"],
-    "IdeaStage": ["Capture", "Triage", "Feasibility", "Pipeline", "Development", "Launch", "Rejected"],
+    # fixed values: vocabulary -> members in order, with their labels
+    "ProductStatus": [("Live", "Live"), ("OccasionallyLive", "Occasionally Live"), ("UnderTrial", "Under Trial"),
+                      ("UnderDevelopment", "Under Development"), ("Discontinued", "Discontinued")],
+    "VegNonVeg": [("Veg", "Veg"), ("NonVeg", "Non-Veg")],
+    "ChannelType": [("Delivery", "Delivery aggregator"), ("QCommerce", "Quick commerce"), ("D2C", "Direct-to-consumer"),
+                    ("Retail", "Modern retail"), ("HoReCa", "HoReCa"), ("Gifting", "Gifting"), ("QSR", "QSR"),
+                    ("Corporate", "Corporate"), ("Vending", "Vending")],
+    "IdeaStage": [("Capture", "Capture"), ("Triage", "Triage"), ("Feasibility", "Feasibility"), ("Pipeline", "Pipeline"),
+                  ("Development", "Development"), ("Launch", "Launch"), ("Rejected", "Rejected")],
 }
 
 
 def vocabulary(spark, name: str) -> DataFrame:
-    rows = [(m, i + 1, m.lower()) for i, m in enumerate(VOCABULARIES[name])]
+    rows = [(m, i + 1, label) for i, (m, label) in enumerate(VOCABULARIES[name])]
     return literal_table(spark, rows, "id string, sort_order bigint, label string")
 
 
@@ -139,15 +148,15 @@ def catalog_symmetry(left: DataFrame, right: DataFrame, keys: list[str]) -> Data
 
 # ---- stored vectors -----------------------------------------------------------------------
 
-MAX_PROBES = 64
+PROBE_BLOCK = 64  # probes that one row of a block carries
 
 
 def vector_neighbors(vectors: DataFrame, probes: DataFrame, key: str, vector: str, k: int) -> DataFrame:
     """The ``k`` nearest stored vectors by cosine for each probe.
 
-    The probes, at most ``MAX_PROBES`` of them, become one scalar array; every
-    stored vector is compared in the scan's stage and only the best ``k`` per
-    probe and task are shuffled.
+    The probes are packed into blocks of about ``PROBE_BLOCK``; every stored vector
+    meets every block by an equi-join on the block number, and only the best ``k``
+    per probe and task are shuffled.
     """
     def dot(a, b):
         return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda acc, v: acc + v)
@@ -156,11 +165,12 @@ def vector_neighbors(vectors: DataFrame, probes: DataFrame, key: str, vector: st
         return F.col(c).cast("array<double>")
 
     probe = probes.select(F.col(key).alias("probe_id"), doubles(vector).alias("pv"))
-    packed = probe.agg(F.collect_list(F.struct("probe_id", "pv")).alias("a"), F.count("*").alias("n")).select(
-        F.when(F.col("n") <= MAX_PROBES, F.col("a")).otherwise(
-            F.raise_error(F.lit(f"more than {MAX_PROBES} probe vectors"))).alias("a"))
-    pairs = (vectors.select(F.col(key).alias("neighbor_id"), doubles(vector).alias("nv"))
-             .withColumn("p", F.explode(packed.scalar())).where(F.col("p.probe_id") != F.col("neighbor_id"))
+    blocks = probe.agg(F.greatest(F.ceil(F.count("*") / PROBE_BLOCK), F.lit(1)).cast("int"))
+    packed = (probe.withColumn("block", F.pmod(F.xxhash64("probe_id"), blocks.scalar()).cast("int"))
+              .groupBy("block").agg(F.collect_list(F.struct("probe_id", "pv")).alias("a")))
+    pairs = (vectors.select(F.col(key).alias("neighbor_id"), doubles(vector).alias("nv"),
+                            F.explode(F.sequence(F.lit(0), blocks.scalar() - 1)).alias("block"))
+             .join(packed, "block").withColumn("p", F.explode("a")).where(F.col("p.probe_id") != F.col("neighbor_id"))
              .select(F.col("p.probe_id").alias("probe_id"), "neighbor_id",
                      F.try_divide(dot(F.col("p.pv"), F.col("nv")),
                                   F.sqrt(dot(F.col("p.pv"), F.col("p.pv"))) * F.sqrt(dot(F.col("nv"), F.col("nv"))))

@@ -8,9 +8,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyroom.constants import (BAND_HIGH, BAND_MEDIUM, CLOSED_STAGES, COGS_SCORE, NEUTRAL_SCORE, OPEN_STAGES,
-                                 PACKED_NAMES_CHARS, STAGE_RANK, TIME_LADDER, TIME_TOP, WEIGHTS)
+                                 STAGE_RANK, TIME_LADDER, TIME_TOP, WEIGHTS)
 from tallyroom.functions import (days_since, flags_list, ladder, mapped, num_text, pack, safe_divide, score_text)
-from tallyroom.operators.cells import names_cell
 from tallyroom.operators.ranking import exact_rank, top_n
 from tallyroom.operators.sets import tagged_union
 from tallyroom.plans.products import product_facets, v_category_market_signal, v_product_line_capability
@@ -97,14 +96,14 @@ def v_pipeline_priority_candidates(t, as_of: date) -> DataFrame:
         nothing, F.lit("portfolio cost envelope").alias("name"),
         F.concat(F.lit("cogs_min="), F.coalesce(num_text("lo", 0), F.lit("unknown")),
                  F.lit("; cogs_max="), F.coalesce(num_text("hi", 0), F.lit("unknown"))).alias("data"))
-    cell = names_cell(t.dim_ingredient.select(F.lower(F.trim("ingredient_name")).alias("nm")), "nm",
-                      PACKED_NAMES_CHARS)
-    ingredients = cell.select(
-        nothing, F.lit("ingredient master (already sourced)").alias("name"),
-        F.concat(F.lit("count="), F.col("n").cast("string"),
-                 F.lit("; list="), F.when(F.col("total_chars") > PACKED_NAMES_CHARS, "partial").otherwise("complete"),
-                 F.lit("; names: "), F.coalesce("text", F.lit("none")), F.lit("; end_of_list")).alias("data"))
-    return tagged_union(BRIEF=briefs, CATEGORY=cats, ENVELOPE=envelope, INGREDIENT=ingredients)
+    # the ingredient list is one row per name, and one row that states how many there are
+    names = (t.dim_ingredient.select(F.lower(F.trim("ingredient_name")).alias("data"))
+             .where(F.col("data").isNotNull()).distinct())
+    label = F.lit("ingredient master (already sourced)").alias("name")
+    count = names.agg(F.count("*").alias("n")).select(
+        nothing, label, F.concat(F.lit("count="), F.col("n").cast("string"), F.lit("; list=complete")).alias("data"))
+    return tagged_union(BRIEF=briefs, CATEGORY=cats, ENVELOPE=envelope, INGREDIENT=count,
+                        INGREDIENT_NAME=names.select(nothing, label, "data"))
 
 
 def v_triage_similarity_candidates(t, as_of: date) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -35,25 +35,33 @@ def names_of(df: DataFrame, key: str, name: str) -> DataFrame:
     return df.select(F.col(key).alias("id"), F.col(name).alias("name"))
 
 
-def newest_per_store(t, value_cols: list) -> DataFrame:
-    """Rolled-up stock of each store's newest snapshot.
+def newest_rows(t, stores: DataFrame | None = None) -> DataFrame:
+    """Batches of each store's newest snapshot; with ``stores`` (store_id), of those only.
 
-    Rows are summed per (store, day, SKU) before the newest day is picked, so
-    the join sees one row per group instead of every batch.
+    The newest day per store is one small aggregate; history is dropped by a semi-join
+    before anything is summed.
     """
-    rolled = t.store_inventory_daily.groupBy("store_id", "snapshot_date", "product_sku").agg(*value_cols)
-    newest = t.store_inventory_daily.groupBy("store_id").agg(F.max("snapshot_date").alias("snapshot_date"))
-    return rolled.join(newest, ["store_id", "snapshot_date"], "left_semi")
+    stock = t.store_inventory_daily
+    if stores is not None:
+        stock = stock.join(stores.select("store_id").distinct(), "store_id", "left_semi")
+    newest = stock.groupBy("store_id").agg(F.max("snapshot_date").alias("snapshot_date"))
+    return stock.join(newest, ["store_id", "snapshot_date"], "left_semi")
 
 
-def p_shelf_life_risk(t, as_of: date) -> DataFrame:
-    """At-risk (store, SKU) pairs of the newest snapshot, expired stock left out."""
+def newest_per_store(t, value_cols: list, stores: DataFrame | None = None) -> DataFrame:
+    """Rolled-up stock of each store's newest snapshot."""
+    return newest_rows(t, stores).groupBy("store_id", "snapshot_date", "product_sku").agg(*value_cols)
+
+
+def p_shelf_life_risk(t, as_of: date, stores: DataFrame | None = None) -> DataFrame:
+    """At-risk (store, SKU) pairs of the newest snapshot, expired stock left out; with
+    ``stores`` (store_id), of those stores only."""
     alive = days_until("expiry_date", as_of) >= 0
     stock = newest_per_store(t, [
         F.sum(F.when(alive, F.col("available_quantity"))).alias("total_available"),
         F.min(F.when(alive, F.col("expiry_date"))).alias("soonest_expiry"),
         F.count_if(alive & F.col("batch_row_number").isNotNull()).alias("batches"),
-        F.count_if(alive).alias("live_rows")]).where("live_rows > 0").drop("live_rows", "snapshot_date")
+        F.count_if(alive).alias("live_rows")], stores).where("live_rows > 0").drop("live_rows", "snapshot_date")
     limits = t.low_stock_config.select(F.col("sku_id").alias("product_sku"), "store_id", "min_days_shelf_life",
                                        "min_count", "absolute_risk_count")
     days, qty = F.col("days_to_expiry"), F.col("total_available")
@@ -72,8 +80,8 @@ def p_shelf_life_risk(t, as_of: date) -> DataFrame:
 
 def p_demand_plan(t, as_of: date) -> DataFrame:
     """Three-day forecast against unexpired stock with one action per pair."""
-    ahead = days_until("forecast_date", as_of)
-    forecast = (t.forecast_results.where(F.col("is_latest_forecast") & ahead.between(1, 3))
+    ahead = F.col("forecast_date").between(F.lit(as_of + timedelta(1)), F.lit(as_of + timedelta(3)))
+    forecast = (t.forecast_results.where(F.col("is_latest_forecast") & ahead)
                 .groupBy(F.col("master_store_id").alias("store_id"), F.col("sku_id").alias("product_sku"))
                 .agg(F.sum("predicted_sales_quantity").alias("forecast_3d")))
     left = days_until("expiry_date", as_of)

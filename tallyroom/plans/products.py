@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from tallyroom.constants import LOW_STARS
 from tallyroom.functions import day_index, in_trailing_days, is_present, match_key, product_family, safe_divide, sum_if
-from tallyroom.operators.cells import paged_names
 from tallyroom.operators.joins import longest_term
 from tallyroom.operators.sets import prefer
 
@@ -153,19 +152,14 @@ def families(t) -> DataFrame:
 
 
 def v_product_family_names(t) -> DataFrame:
-    """The closed family vocabulary packed in one row; a vocabulary too large
-    for one cell continues on further pages."""
-    rows = paged_names(families(t), "fam").withColumn(
-        "pair", F.when(F.col("cogs").isNotNull(), F.format_string("%s=%d", "fam", "cogs")))
-    return rows.groupBy("page").agg(
-        F.expr("string_agg(fam, ' | ') WITHIN GROUP (ORDER BY fam)").alias("nm"),
-        F.expr("string_agg(pair, ' | ') WITHIN GROUP (ORDER BY fam)").alias("cg"),
-    ).select(F.lit("FAMILIES").alias("id"), "page", "nm", "cg")
-
-
-def v_review_complaint_candidates(t, as_of: date, days: int = 30, excerpt: int = 140) -> DataFrame:
-    """Low-rated recent reviews with the SKU of the longest family they name.
-    The whole text is searched; ``t`` is the excerpt that is shown."""
+    """The closed family vocabulary, one row per family: its name, and its name with the
+    entry pack's cost where there is one. No cell grows with the vocabulary."""
+    pair = F.when(F.col("cogs").isNotNull(), F.format_string("%s=%d", "fam", "cogs"))
+    return families(t).select(F.lit("FAMILIES").alias("id"), F.col("fam").alias("nm"), pair.alias("cg"))
+
+
+def v_review_complaint_candidates(t, as_of: date, days: int = 30) -> DataFrame:
+    """Low-rated recent reviews, whole, with the SKU of the longest family they name."""
     low = (t.customer_review_events
            .where(in_trailing_days("review_date", as_of, days) & (F.col("star_rating") <= LOW_STARS))
            .select("review_id", F.col("master_store_id").alias("s"), F.col("review_date").cast("date").alias("day"),
@@ -173,7 +167,7 @@ def v_review_complaint_candidates(t, as_of: date, days: int = 30, excerpt: int =
     named = longest_term(low, "review_text", "review_id", families(t).select("fam", "sku"), "fam", "sku")
     return named.select(
         "review_id", "s", F.date_format("day", "yyyy-MM-dd").alias("d"), day_index("day").alias("n"),
-        F.substring("review_text", 1, excerpt).alias("t"), F.coalesce("sku", F.lit("")).alias("p"))
+        F.col("review_text").alias("t"), F.coalesce("sku", F.lit("")).alias("p"))
 
 
 def v_product_ingredient(t) -> DataFrame:

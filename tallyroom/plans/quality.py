@@ -34,24 +34,26 @@ def dq_result_pass(t) -> DataFrame:
 
 
 def dq_report_age(t, as_of: date) -> DataFrame:
-    """Suppliers whose newest report is over a year old."""
-    return (t.supplier_certificate.groupBy("supplier_id").agg(F.max("expires_on").alias("reported_on"))
+    """Active products whose newest nutrition lab report is over a year old; one without a dated
+    report is not listed, as it has no age."""
+    newest = t.product_nutrition.groupBy("sku").agg(F.max("lab_reported_on").alias("reported_on"))
+    return (t.dim_product.where("is_active").select("sku").join(newest, "sku")
             .withColumn("age_days", days_since("reported_on", as_of)).where(F.col("age_days") > REPORT_MAX_AGE_DAYS))
 
 
 def dq_transfer_viable(t, as_of: date, km_per_day: float = 500.0, min_days_left: int = 2) -> DataFrame:
     """Stock whose life after the trip to the nearest store falls under the
-    minimum. Stock is reduced to its soonest expiry per pair first."""
+    minimum: live batches of each store's newest snapshot, by their soonest expiry."""
     from tallyroom.operators.joins import nearest_link
-    from tallyroom.plans.inventory import v_transfer_route
+    from tallyroom.plans.inventory import newest_rows, v_transfer_route
 
     route = nearest_link(v_transfer_route(t), "from_store_id", "to_store_id", "distance_km").select(
         F.col("from_store_id").alias("store_id"), F.col("to_store_id").alias("nearest_store_id"), "distance_km")
-    stock = (t.store_inventory_daily.groupBy("store_id", "product_sku")
-             .agg(F.max("expiry_date").alias("expiry_date")))
+    stock = (newest_rows(t).where(F.col("expiry_date") >= F.lit(as_of)).groupBy("store_id", "product_sku")
+             .agg(F.min("expiry_date").alias("expiry_date")))
     left = days_until("expiry_date", as_of) - F.ceil(F.col("distance_km") / km_per_day)
     return (stock.join(route, "store_id").withColumn("days_after_transit", left.cast("bigint"))
-            .where((days_until("expiry_date", as_of) >= 0) & (F.col("days_after_transit") < min_days_left))
+            .where(F.col("days_after_transit") < min_days_left)
             .select("store_id", "product_sku", "nearest_store_id", "days_after_transit"))
 
 

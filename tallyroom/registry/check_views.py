@@ -307,7 +307,7 @@ check_view("edit_rows", """
            CASE WHEN l_returnflag = 'R' THEN 0.85::DOUBLE WHEN l_returnflag = 'N' AND l_linestatus = 'F' THEN 0
                 ELSE l_quantity - 20 END AS amount,
            l_discount > 0.085 AS withdrawn
-    FROM lineitem WHERE l_quantity > 25""")
+    FROM lineitem""")
 check_view("live_edits", "SELECT * FROM edit_rows WHERE NOT withdrawn")
 check_view("last_absolute", """
     SELECT recipe_id, ingredient_id, round_no, kind, amount FROM live_edits WHERE kind <> 'SCALE'

@@ -1,5 +1,7 @@
 """Graph, hierarchy, catalog, quality, compliance, streaming and spec queries."""
 
+import time
+
 from pyspark.sql import functions as F
 
 from tallyroom.constants import AS_OF_INVENTORY, AS_OF_SALES
@@ -10,7 +12,7 @@ from tallyroom.registry.reads_writes import COLLECT_SPEC, COLLECT_SQL
 from tallyroom.registry.relational import ROLLUP, ROLLUP_SQL
 from tallyroom.registry.scalars import BUCKET
 from tallyroom.session import scratch_dir
-from tallyroom.sources.sinks import VersionedTable
+from tallyroom.sources.sinks import KeyedTable, written_once
 from tallyroom.streaming import jobs
 
 col = F.col
@@ -82,7 +84,7 @@ def geography(t):
                                            F.concat(F.lit("N"), "c_nationkey").alias("parent"))))
 
 
-add("hier_closure", lambda t: graph.ancestor_closure(geography(t), "id", "parent", levels=3), """
+add("hier_closure", lambda t: graph.ancestor_closure(geography(t), "id", "parent"), """
     WITH RECURSIVE geo AS (
       SELECT 'R' || r_regionkey AS id, NULL AS parent FROM region
       UNION ALL SELECT 'N' || n_nationkey, 'R' || n_regionkey FROM nation
@@ -112,8 +114,9 @@ add("vocab_check", lambda t: graph.vocab_check(t.dim_product, "status", graph.vo
     WHERE status NOT IN ('Live', 'OccasionallyLive', 'UnderTrial', 'UnderDevelopment', 'Discontinued') GROUP BY 1""")
 add("vocab_label_order", lambda t: graph.vocab_label_order(
     t.dim_idea.select("idea_id", "stage"), "stage", graph.vocabulary(t.spark, "IdeaStage")), """
-    SELECT idea_id, stage, lower(stage) AS label, CAST(nullif(list_position(['Capture', 'Triage', 'Feasibility',
-           'Pipeline', 'Development', 'Launch', 'Rejected'], stage), 0) AS BIGINT) AS sort_order FROM dim_idea""")
+    SELECT idea_id, stage, label, CAST(o AS BIGINT) AS sort_order FROM dim_idea LEFT JOIN (VALUES STAGE_ROWS)
+      AS v(stage, label, o) USING (stage)""".replace("STAGE_ROWS", ", ".join(
+    f"('{m}', '{label}', {i + 1})" for i, (m, label) in enumerate(graph.VOCABULARIES["IdeaStage"]))))
 catalog = lambda t: t.signal_catalog.select(
     "signal_id", "category", "kind", "cadence", "owner", F.split("feeds_text", " ").alias("feeds"),
     F.filter(F.split("entities_text", " "), lambda x: x != "").alias("entities"))
@@ -142,31 +145,34 @@ add("dq_resolves", lambda t: quality.dq_resolves(
     SELECT master_store_id AS k, count(*) AS rows FROM customer_complaint_events
     WHERE master_store_id NOT IN (SELECT master_store_id FROM master_store) GROUP BY 1""")
 check_view("dq_bom", "SELECT sku FROM dim_product WHERE is_active AND sku NOT IN (SELECT sku FROM members)")
-add("dq_bom_closed", lambda t: t.dim_product.where("is_active").join(
-    t.map_product_allergen, "sku", "left_anti").select("sku"),
-    "SELECT sku FROM dim_product WHERE is_active AND sku NOT IN (SELECT sku FROM map_product_allergen)")
+add("dq_bom_closed", quality.dq_bom_closed, "SELECT sku FROM dq_bom")
 add("dq_result_pass", quality.dq_result_pass,
     "SELECT supplier_id, certificate_id FROM supplier_certificate WHERE NOT (result <> 'Fail')")
-LATER = AS_OF_SALES.replace(year=2002, month=10, day=25)
-add("dq_report_age", lambda t: quality.dq_report_age(t, LATER), f"""
-    SELECT supplier_id, max(expires_on) AS reported_on, DATE '{LATER}' - max(expires_on) AS age_days
-    FROM supplier_certificate GROUP BY 1 HAVING DATE '{LATER}' - max(expires_on) > 365""")
+AFTER_SNAPSHOTS = AS_OF_INVENTORY.replace(month=11, day=2)  # when the newest batches come near their dates
+A = f"DATE '{AFTER_SNAPSHOTS}'"
+check_view("old_reports", f"""
+    SELECT sku, max(lab_reported_on) AS reported_on, {A} - max(lab_reported_on) AS age_days
+    FROM product_nutrition JOIN dim_product USING (sku) WHERE is_active GROUP BY 1
+    HAVING {A} - max(lab_reported_on) > 365""")
+add("dq_report_age", lambda t: quality.dq_report_age(t, AFTER_SNAPSHOTS), "SELECT * FROM old_reports")
 check_view("transfer_rows", f"""
     SELECT store_id, product_sku, nearest_store_id, left_days AS days_after_transit FROM (
-      SELECT q.store_id, q.product_sku, n.nearest_store_id, e - {I} AS life,
-             CAST(e - {I} - ceil(n.distance_km / 500.0) AS BIGINT) AS left_days
-      FROM (SELECT store_id, product_sku, max(expiry_date) AS e FROM store_inventory_daily GROUP BY 1, 2) q
-      JOIN nearest n USING (store_id)) WHERE life >= 0 AND left_days < 2""")
-add("dq_transfer_viable", lambda t: quality.dq_transfer_viable(t, AS_OF_INVENTORY), "SELECT * FROM transfer_rows")
-add("dq_report", lambda t: quality.dq_report(t, AS_OF_INVENTORY), f"""
+      SELECT q.store_id, q.product_sku, n.nearest_store_id,
+             CAST(e - {A} - ceil(n.distance_km / 500.0) AS BIGINT) AS left_days
+      FROM (SELECT s.store_id, s.product_sku, min(s.expiry_date) AS e FROM store_inventory_daily s
+            JOIN (SELECT store_id, max(snapshot_date) AS d FROM store_inventory_daily GROUP BY 1) m
+              ON m.store_id = s.store_id AND m.d = s.snapshot_date
+            WHERE s.expiry_date >= {A} GROUP BY 1, 2) q
+      JOIN nearest n USING (store_id)) WHERE left_days < 2""")
+add("dq_transfer_viable", lambda t: quality.dq_transfer_viable(t, AFTER_SNAPSHOTS), "SELECT * FROM transfer_rows")
+add("dq_report", lambda t: quality.dq_report(t, AFTER_SNAPSHOTS), f"""
     SELECT 'product_sku_unique' AS constraint_name, 'error' AS severity,
            (SELECT count(*) FROM (SELECT sku FROM dim_product GROUP BY 1 HAVING count(*) > 1)) AS violations
     UNION ALL SELECT 'live_sku_resolves', 'warning', (SELECT count(DISTINCT sku_id) FROM flagged_inventory
            WHERE upper(trim(sku_id)) NOT IN (SELECT upper(trim(sku)) FROM dim_product))
     UNION ALL SELECT 'bom_must_close', 'warning', (SELECT count(*) FROM dq_bom)
     UNION ALL SELECT 'quality_inspection_validity', 'error', (SELECT count(*) FROM supplier_certificate WHERE result = 'Fail')
-    UNION ALL SELECT 'nutrition_report_current', 'info', (SELECT count(*) FROM (SELECT supplier_id FROM supplier_certificate
-           GROUP BY 1 HAVING {I} - max(expires_on) > 365))
+    UNION ALL SELECT 'nutrition_report_current', 'info', (SELECT count(*) FROM old_reports)
     UNION ALL SELECT 'channel_transfer_viability', 'warning', (SELECT count(*) FROM transfer_rows)""")
 add("dq_truncation_check", lambda t: quality.dq_truncation_check(
     recipes.v_recipe_workbench(t, AS_OF_INVENTORY), by=["id"]).groupBy("is_complete").agg(F.count("*").alias("rowsets")),
@@ -218,12 +224,12 @@ check_view("sku_words", """
     SELECT DISTINCT sku, w FROM (SELECT sku, unnest(regexp_split_to_array(lower(description), '[^a-z]+')) AS w
                                  FROM dim_product) WHERE length(w) > 2""")
 cited = lambda t: t.product_highlight.join(
-    t.map_competitor_product.where("match_confidence > 0.8").select("sku"), "sku", "left_semi").where("highlight_seq = 1")
+    t.map_competitor_product.where("match_confidence > 0.8").select("sku"), "sku", "left_semi")
 add("exposure_overlap", lambda t: compliance.exposure_overlap(
-    t.product_highlight.where("highlight_seq = 1").select("sku", "highlight_text"), cited(t), "highlight_text"), """
-    SELECT sku, highlight_text FROM product_highlight WHERE highlight_seq = 1 AND highlight_text IN (
-      SELECT highlight_text FROM product_highlight WHERE highlight_seq = 1
-        AND sku IN (SELECT sku FROM map_competitor_product WHERE match_confidence > 0.8))""")
+    t.product_highlight.select("sku", "highlight_text"), cited(t), "highlight_text"), """
+    SELECT sku, highlight_text FROM product_highlight WHERE highlight_text IN (
+      SELECT highlight_text FROM product_highlight
+      WHERE sku IN (SELECT sku FROM map_competitor_product WHERE match_confidence > 0.8))""")
 add("listing_drift", compliance.listing_drift, """
     SELECT l.sku, l.field, l.channel_id, l.live_value, a.approved_value FROM (
       SELECT sku, channel_id, unnest(['brand', 'net_quantity', 'claim']) AS field,
@@ -239,11 +245,10 @@ add("declaration_matrix", compliance.declaration_matrix, """
                      CAST(shelf_life_days AS VARCHAR), gs1_barcode, org_labelling_compliance,
                      CAST(total_cogs_inr AS VARCHAR)]) AS v
       FROM facets WHERE is_active)""")
-add("expiry_within", lambda t: compliance.expiry_within(t.supplier_certificate, "expires_on", AS_OF_SALES).where(
-    "days_left > -365").select("supplier_id", "certificate_id", "expires_on", "days_left", "status"), f"""
+add("expiry_within", lambda t: compliance.expiry_within(t.supplier_certificate, "expires_on", AS_OF_SALES).select("supplier_id", "certificate_id", "expires_on", "days_left", "status"), f"""
     SELECT supplier_id, certificate_id, expires_on, expires_on - {S} AS days_left,
            CASE WHEN expires_on < {S} THEN 'expired' ELSE 'expiring' END AS status
-    FROM supplier_certificate WHERE expires_on <= {S} + 60 AND expires_on > {S} - 365""")
+    FROM supplier_certificate WHERE expires_on <= {S} + 60""")
 add("non_responders", lambda t: compliance.non_responders(t, AS_OF_SALES, days=4), f"""
     SELECT * FROM (
       SELECT r.*, c.checkin_date, c.address, CASE WHEN c.checkin_date IS NULL OR c.checkin_date < {S} - 4 THEN 'no_response'
@@ -303,9 +308,8 @@ def st_latest_state(t):
     source = jobs.file_stream(t.spark, t.folder, "lineitem").select(
         col("l_suppkey").alias("store_id"), col("l_partkey").alias("sku_id"),
         col("l_shipdate").cast("date").alias("report_date"), col("l_quantity").alias("total_stock"))
-    table = VersionedTable(t.spark, scratch_dir(t.spark, "state"))
-    jobs.latest_state(source, table, ["store_id", "sku_id"], ["report_date", "total_stock"],
-                      scratch_dir(t.spark, "state-checkpoint"))
+    table = KeyedTable(t.spark, scratch_dir(t.spark, "state"), ["store_id", "sku_id"])
+    jobs.latest_state(source, table, ["report_date", "total_stock"], scratch_dir(t.spark, "state-checkpoint"))
     return table.read()
 
 
@@ -339,14 +343,15 @@ add("st_threshold_join", st_threshold_join, """
 
 
 def st_sweep(t):
-    """The expiry-risk pipeline run from a stock trigger: each batch re-evaluates
-    the pipeline over the current tables."""
-    out = VersionedTable(t.spark, scratch_dir(t.spark, "sweep"))
-    trigger = jobs.file_stream(t.spark, t.folder, "supplier").select("s_suppkey")
+    """The expiry-risk pipeline run from the stock stream: each batch re-evaluates the
+    stores that it brings stock rows for, and replaces those stores' risks."""
+    out = KeyedTable(t.spark, scratch_dir(t.spark, "sweep"), ["store_id"])  # a store's rows share a bucket
+    trigger = jobs.file_stream(t.spark, t.folder, "lineitem").select(col("l_suppkey").cast("string").alias("store_id"))
 
-    def write(_batch, _batch_id):
-        out.replace(inventory.p_shelf_life_risk(t, AS_OF_INVENTORY).select(
-            "store_id", "product_sku", "total_available", "risk_type"))
+    def write(batch, batch_id):
+        stores = written_once(batch.select("store_id").distinct(), "sweep-stores")
+        out.replace_groups(inventory.p_shelf_life_risk(t, AS_OF_INVENTORY, stores).select(
+            "store_id", "product_sku", "total_available", "risk_type"), stores, batch_id)
 
     jobs.run_available(trigger, write, scratch_dir(t.spark, "sweep-checkpoint"), mode="append")
     return out.read()
@@ -364,17 +369,28 @@ add("st_sweep", st_sweep, f"""
 
 
 def st_late_data(t):
-    """Daily counts of a stream in which old events arrive after newer ones: the
-    file is read as a second, late source behind a watermark of zero delay."""
-    counted = jobs.tumbling_daily(stream(t), delay="0 seconds")
-    table = VersionedTable(t.spark, scratch_dir(t.spark, "late"))
-    query = jobs.run_available(counted, jobs.into_table(table, ["master_store_id", "day"]),
-                               scratch_dir(t.spark, "late-checkpoint"))
-    dropped = sum(n for _, n in jobs.late_counts(query))
-    return table.read().agg(F.sum("complaints").alias("kept")).withColumn("dropped", F.lit(dropped).cast("bigint"))
-
-
-add("st_late_data", st_late_data, "SELECT count(*) AS kept, 0::BIGINT AS dropped FROM events")
+    """Daily counts of a stream whose last file brings events that happened long before those of
+    the first ones: the ones behind the watermark are dropped, the rest are counted."""
+    folder = scratch_dir(t.spark, "late-source")
+    turn = F.coalesce(col("event_id") % 10, F.lit(1))
+    for number, part in enumerate((turn.between(1, 5), turn > 5, turn == 0)):
+        t.events.where(part).coalesce(1).write.parquet(f"{folder}/part={number}")
+        time.sleep(1.1)  # files are taken in the order of their times
+    source = (t.spark.readStream.schema(t.events.schema).option("maxFilesPerTrigger", 1)
+              .option("pathGlobFilter", "*.parquet").parquet(f"{folder}/part=*"))
+    table = KeyedTable(t.spark, scratch_dir(t.spark, "late"), ["master_store_id", "day"])
+    jobs.run_available(jobs.tumbling_daily(jobs.complaint_stream(source), delay="2 days"), jobs.into_table(table),
+                       scratch_dir(t.spark, "late-checkpoint"))
+    events = t.events.agg(F.count("*"))
+    return table.read().agg(F.sum("complaints").alias("kept")).withColumn("dropped", events.scalar() - col("kept"))
+
+
+# late rows are judged by the watermark of the batch before the last: the first file's newest time
+# less two days; a day that ends by then is closed
+add("st_late_data", st_late_data, """
+    SELECT count(*) FILTER (open) AS kept, count(*) FILTER (NOT open) AS dropped FROM (
+      SELECT event_id % 10 <> 0 OR date_trunc('day', ts) + INTERVAL 1 DAY
+             > (SELECT max(ts) - INTERVAL 2 DAY FROM events WHERE event_id % 10 BETWEEN 1 AND 5) AS open FROM events)""")
 
 # ---- declarative specs ----------------------------------------------------------------------------------------
 add("udf_dsl_compute", lambda t: G.compute(t.flagged_inventory, [

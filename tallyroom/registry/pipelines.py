@@ -56,12 +56,10 @@ check_view("priority_rows", f"""
            || coalesce({num_text('growth_pct', 1)}, 'no_baseline') FROM category_scores
     UNION ALL SELECT 'ENVELOPE', NULL, 'portfolio cost envelope', 'cogs_min=' || {num_text('min(min_cogs_inr)', 0)}
            || '; cogs_max=' || {num_text('max(max_cogs_inr)', 0)} FROM capability
-    UNION ALL SELECT 'INGREDIENT', NULL, 'ingredient master (already sourced)', 'count=' || n || '; list='
-           || CASE WHEN length(names) > 4000 THEN 'partial' ELSE 'complete' END || '; names: ' || substr(names, 1, 4000)
-           || '; end_of_list'
-    FROM (SELECT count(DISTINCT lower(trim(ingredient_name))) AS n,
-                 string_agg(DISTINCT lower(trim(ingredient_name)), ', ' ORDER BY lower(trim(ingredient_name))) AS names
-          FROM dim_ingredient)""")
+    UNION ALL SELECT 'INGREDIENT', NULL, 'ingredient master (already sourced)',
+           'count=' || count(DISTINCT lower(trim(ingredient_name))) || '; list=complete' FROM dim_ingredient
+    UNION ALL SELECT DISTINCT 'INGREDIENT_NAME', CAST(NULL AS VARCHAR), 'ingredient master (already sourced)',
+           lower(trim(ingredient_name)) FROM dim_ingredient WHERE ingredient_name IS NOT NULL""")
 add("v_pipeline_priority_candidates", lambda t: ideas.v_pipeline_priority_candidates(t, SALES), "SELECT * FROM priority_rows")
 add("v_complaint_events", complaints.v_complaint_events, "SELECT * FROM complaints")
 add("v_stocked_at", inventory.v_stocked_at, "SELECT * FROM stocked")
@@ -77,14 +75,13 @@ add("v_segment_on_channel", marketing.v_segment_on_channel, """
 add("v_segment_budget", marketing.v_segment_budget, "SELECT * FROM budget_rows")
 add("v_review_complaint_candidates", lambda t: products.v_review_complaint_candidates(t, REV), """
     SELECT v.review_id, v.master_store_id AS s, strftime(v.day, '%Y-%m-%d') AS d, v.day - DATE '2026-01-01' AS n,
-           substr(v.review_text, 1, 140) AS t, coalesce(f.sku, '') AS p
+           v.review_text AS t, coalesce(f.sku, '') AS p
     FROM review_rows v LEFT JOIN (SELECT upper(fam) AS fam, min(sku) AS sku FROM family_list GROUP BY 1) f
       ON contains(upper(v.review_text), f.fam)
     WHERE v.star_rating <= 3
     QUALIFY row_number() OVER (PARTITION BY v.review_id ORDER BY length(f.fam) DESC NULLS LAST, f.fam) = 1""")
 add("v_product_family_names", products.v_product_family_names, """
-    SELECT 'FAMILIES' AS id, 0::BIGINT AS page, string_agg(fam, ' | ' ORDER BY fam) AS nm,
-           string_agg(CASE WHEN cogs IS NOT NULL THEN fam || '=' || cogs END, ' | ' ORDER BY fam) AS cg FROM family_list""")
+    SELECT 'FAMILIES' AS id, fam AS nm, CASE WHEN cogs IS NOT NULL THEN fam || '=' || cogs END AS cg FROM family_list""")
 add("v_ingredient_current_cost", lambda t: recipes.v_ingredient_current_cost(t, INV), "SELECT * FROM ingredient_rates")
 add("v_product_ingredient", products.v_product_ingredient, "SELECT * FROM members")
 add("v_recipe_line_cost", lambda t: recipes.v_recipe_line_cost(t, INV), "SELECT * FROM line_costs")
@@ -161,10 +158,17 @@ add("score_weighted", lambda t: brief_scores(t).select(col("idea_id").alias("id"
     .unionByName(cat_scores(t).select(col("category_name").alias("id"), col("cat_subtotal").cast("double").alias("subtotal"))),
     """SELECT idea_id AS id, brief_subtotal AS subtotal FROM brief_scores
        UNION ALL SELECT category_name, cat_subtotal FROM category_scores""")
-add("pack_complete_flag", lambda t: ideas.v_pipeline_priority_candidates(t, SALES).where(col("src") == "INGREDIENT").select(
-    "data", col("data").contains("list=complete").alias("complete"), col("data").endswith("end_of_list").alias("closed")),
-    """SELECT data, contains(data, 'list=complete') AS complete, suffix(data, 'end_of_list') AS closed
-       FROM priority_rows WHERE src = 'INGREDIENT'""")
+def pack_complete_flag(t):
+    """Does the stated number of ingredients match the rows that follow it?"""
+    rows = ideas.v_pipeline_priority_candidates(t, SALES)
+    return rows.agg(F.max(F.when(col("src") == "INGREDIENT", F.regexp_extract("data", r"count=(\d+)", 1).try_cast("bigint")))
+                    .alias("stated"), F.count_if(col("src") == "INGREDIENT_NAME").alias("listed")).select(
+        "stated", "listed", (col("stated") == col("listed")).alias("complete"))
+
+
+add("pack_complete_flag", pack_complete_flag, """
+    SELECT count(DISTINCT lower(trim(ingredient_name))) AS stated, count(DISTINCT lower(trim(ingredient_name))) AS listed,
+           true AS complete FROM dim_ingredient""")
 add("tag_by_regex", recipes.tag_by_regex, "SELECT * FROM ingredient_tags")
 add("rules_activate", recipes.rules_activate, "SELECT * FROM recipe_rules")
 add("text_profile", recipes.text_profile, "SELECT * FROM recipe_texts")
@@ -384,8 +388,8 @@ add("p_complaint_root_cause", lambda t: complaints.p_complaint_root_cause(t, SAL
     LEFT JOIN low_stock_config k ON k.sku_id = l.sku_id AND k.store_id = l.store_id
     LEFT JOIN master_store s ON s.master_store_id = c.master_store_id LEFT JOIN dim_product p ON p.sku = l.sku_id
     WHERE CAST(c.complaint_received_at AS DATE) >= {S} - 7""")
-add("p_store_reviews", lambda t: complaints.p_store_reviews(t, REV).drop("review"), """
-    SELECT v.master_store_id, s.store_name, v.star_rating AS rating, v.day AS review_date, v.customer_name AS customer,
+add("p_store_reviews", lambda t: complaints.p_store_reviews(t, REV), """
+    SELECT v.master_store_id, s.store_name, v.star_rating AS rating, v.review_text AS review, v.day AS review_date, v.customer_name AS customer,
            CASE WHEN v.star_rating <= 3 THEN 'low' ELSE 'ok' END AS rating_band
     FROM review_rows v LEFT JOIN master_store s USING (master_store_id)""")
 add("p_ops_concentration", lambda t: complaints.p_ops_concentration(t, SALES), """

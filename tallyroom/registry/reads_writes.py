@@ -121,9 +121,9 @@ add("read_catalog", lambda t: graph.vocab_label_order(
     t.dim_product.select("sku", "status"), "status", graph.vocabulary(t.spark, "ProductStatus")).groupBy(
     "status", "label", "sort_order").agg(F.count("*").alias("skus")),
     """SELECT status, label, CAST(sort_order AS BIGINT) AS sort_order, count(*) AS skus FROM dim_product
-       LEFT JOIN (VALUES ('Live', 1, 'live'), ('OccasionallyLive', 2, 'occasionallylive'),
-                  ('UnderTrial', 3, 'undertrial'), ('UnderDevelopment', 4, 'underdevelopment'),
-                  ('Discontinued', 5, 'discontinued')) v(status, sort_order, label) USING (status) GROUP BY ALL""")
+       LEFT JOIN (VALUES ('Live', 1, 'Live'), ('OccasionallyLive', 2, 'Occasionally Live'),
+                  ('UnderTrial', 3, 'Under Trial'), ('UnderDevelopment', 4, 'Under Development'),
+                  ('Discontinued', 5, 'Discontinued')) v(status, sort_order, label) USING (status) GROUP BY ALL""")
 
 prop = lambda name: F.element_at("properties", name)
 add("load_nodes", lambda t: graph.load_nodes(
@@ -145,6 +145,10 @@ def table(t, label):
     return sinks.VersionedTable(t.spark, scratch_dir(t.spark, label))
 
 
+def keyed(t, label, key):
+    return sinks.KeyedTable(t.spark, scratch_dir(t.spark, label), key)
+
+
 def ddl_replace(t):
     competitors = table(t, "competitor")
     competitors.replace(t.dim_competitor)
@@ -173,9 +177,9 @@ def recipe_updates(t):
 
 
 def sink_upsert(t):
-    stored = table(t, "recipe")
-    stored.replace(t.dim_recipe.select("recipe_id", "recipe_name", "status", "batch_size_g"))
-    return stored.upsert(recipe_updates(t), ["recipe_id"])
+    stored = keyed(t, "recipe", ["recipe_id"])
+    stored.upsert(t.dim_recipe.select("recipe_id", "recipe_name", "status", "batch_size_g"))
+    return stored.upsert(recipe_updates(t))
 
 
 add("sink_upsert", sink_upsert, """
@@ -187,17 +191,17 @@ add("sink_upsert", sink_upsert, """
 
 def sink_upsert_keygen(t):
     """Briefs from stalled ideas, written under generated ids."""
-    ideas = table(t, "idea")
-    ideas.replace(t.dim_idea.select("idea_id", "name", "stage"))
+    ideas = keyed(t, "idea", ["idea_id"])
+    ideas.upsert(t.dim_idea.select("idea_id", "name", "stage"))
     fresh = t.dim_idea.where(F.col("stage").isNull()).select("name").distinct().select(
         F.lit("").alias("idea_id"), F.concat(F.lit("Reformulation: "), "name").alias("name"),
         F.lit("Triage").alias("stage"))
-    return ideas.upsert(sinks.with_keys(fresh, "idea_id", "IDEA_", ["name"]), ["idea_id"])
+    return ideas.upsert(sinks.with_keys(fresh, "idea_id", "IDEA_", ["name"]))
 
 
 add("sink_upsert_keygen", sink_upsert_keygen, """
     SELECT idea_id, name, stage FROM dim_idea
-    UNION ALL SELECT 'IDEA_' || upper(substr(sha256(nm), 1, 8)), nm, 'Triage'
+    UNION ALL SELECT 'IDEA_' || upper(sha256(nm)), nm, 'Triage'
     FROM (SELECT DISTINCT 'Reformulation: ' || name AS nm FROM dim_idea WHERE stage IS NULL)""")
 
 
@@ -218,11 +222,11 @@ add("sink_report_table", lambda t: sinks.report_table(
 
 
 def edits(t):
-    """Review edits derived from the order lines: one per larger line."""
+    """Review edits derived from the order lines, one per line."""
     line = t.lineitem
     kind = F.when(F.col("l_returnflag") == "A", "SET").when(F.col("l_returnflag") == "R", "SCALE").when(
         F.col("l_linestatus") == "F", "ZERO").otherwise("ADD")
-    return line.where(F.col("l_quantity") > 25).select(
+    return line.select(
         F.concat(F.lit("RCP-"), F.col("l_orderkey").cast("string"), F.lit("-v"),
                  (F.col("l_orderkey") % 3 + 1).cast("string")).alias("recipe_id"),
         (F.col("l_linenumber") * 100 + F.col("l_quantity")).cast("bigint").alias("round_no"), kind.alias("kind"),
@@ -234,15 +238,16 @@ def edits(t):
 def sink_bom_lines(t):
     """Fork the edited recipes: parents first, then their lines."""
     headers, lines = recipes.recipe_fork(t, edits(t))
-    heads = table(t, "fork-head")
-    heads.replace(t.dim_recipe.select(*headers.columns))
-    heads.upsert(headers, ["recipe_id"])
-    bom = table(t, "fork-line")
-    bom.upsert(lines, ["recipe_line_id"])
+    heads = keyed(t, "fork-head", ["recipe_id"])
+    heads.upsert(t.dim_recipe.select(*headers.columns))
+    heads.upsert(headers)
+    bom = keyed(t, "fork-line", ["recipe_line_id"])
+    bom.upsert(lines)
     return bom.read().join(heads.read().select("recipe_id", "parent_recipe_id", "status"), "recipe_id")
 
 
 add("sink_bom_lines", sink_bom_lines, """
     SELECT 'RCPL-' || f.new_id || '-' || l.ingredient_id AS recipe_line_id, f.new_id AS recipe_id, l.ingredient_id,
            l.qty_net_g, l.loss_pct, f.recipe_id AS parent_recipe_id, 'InTrial' AS status
-    FROM replayed_lines l JOIN forked_heads f USING (recipe_id)""")
+    FROM replayed_lines l JOIN forked_heads f USING (recipe_id)
+    QUALIFY row_number() OVER (PARTITION BY f.new_id, l.ingredient_id ORDER BY l.qty_net_g DESC NULLS LAST, l.loss_pct DESC NULLS LAST) = 1""")

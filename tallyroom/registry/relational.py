@@ -26,9 +26,8 @@ add("proj_drop", lambda t: t.dim_category.drop("category_id").join(
     "SELECT category_name, count(*) AS n FROM dim_product JOIN dim_category USING (category_id) GROUP BY 1")
 add("proj_star_except", lambda t: t.dim_competitor.drop("is_active"),
     "SELECT * EXCLUDE (is_active) FROM dim_competitor")
-add("proj_star_replace", lambda t: complaints.v_complaint_events(t).select("event_id", "email_message_id", "issue_type"),
-    """SELECT coalesce(event_id, email_message_id) AS event_id, email_message_id, issue_type
-       FROM customer_complaint_events""")
+add("proj_star_replace", lambda t: complaints.v_complaint_events(t),
+    "SELECT * REPLACE (coalesce(event_id, email_message_id) AS event_id) FROM customer_complaint_events")
 add("proj_star_qualified", lambda t: t.dim_competitor.alias("s").select(
     "s.*", F.length("s.competitor_name").cast("bigint").alias("name_length")),
     "SELECT s.*, length(s.competitor_name) AS name_length FROM dim_competitor s")
@@ -414,9 +413,10 @@ add("win_dense_rank", lambda t: K.exact_rank(
          ORDER BY coalesce(stage_rank, 0) DESC, coalesce(days_in_stage, -1) DESC, idea_id) AS rank FROM idea_inputs""")
 add("win_prev_month", lambda t: marketing.with_previous_month(marketing.v_store_campaign_history(t)).select(
     "master_store_id", "campaign_id", "month", "roi", "prev_roi", "prev_spend_rs"),
-    """SELECT a.master_store_id, a.campaign_id, a.month, a.roi, b.roi AS prev_roi, b.ad_spend_rs AS prev_spend_rs
-       FROM campaign_months a LEFT JOIN campaign_months b ON b.master_store_id = a.master_store_id
-        AND b.campaign_id = a.campaign_id AND b.month = a.month - INTERVAL 1 MONTH""")
+    """SELECT master_store_id, campaign_id, month, roi,
+              CASE WHEN lag(month) OVER w = month - INTERVAL 1 MONTH THEN lag(roi) OVER w END AS prev_roi,
+              CASE WHEN lag(month) OVER w = month - INTERVAL 1 MONTH THEN lag(ad_spend_rs) OVER w END AS prev_spend_rs
+       FROM campaign_months WINDOW w AS (PARTITION BY master_store_id, campaign_id ORDER BY month)""")
 
 # ---- sorts and limits ---------------------------------------------------------------------------------
 add("sort_by", lambda t: t.dim_competitor.select("competitor_id", "category").orderBy("category", "competitor_id"),
@@ -473,8 +473,7 @@ add("set_concat_gated", lambda t: SET.concat_unless_rejected([
     (t.dim_product.where("is_active").select("sku"), False),
     (t.dim_product.where("NOT is_active").select("sku"), True)]), "SELECT sku FROM dim_product WHERE is_active")
 add("set_missing_values", lambda t: SET.missing_values(
-    t.business_analytics, "store_id", t.business_analytics.where(col("quantity") == 50), "order_state"),
-    """SELECT s.store_id, v.order_state FROM (SELECT DISTINCT store_id FROM business_analytics) s,
-         (SELECT DISTINCT order_state FROM business_analytics WHERE quantity = 50) v
-       WHERE NOT EXISTS (SELECT 1 FROM business_analytics b WHERE b.quantity = 50 AND b.store_id = s.store_id
-                         AND b.order_state = v.order_state)""")
+    t.business_analytics, "sku_id", t.business_analytics, "order_state"),
+    """SELECT s.sku_id, v.order_state FROM (SELECT DISTINCT sku_id FROM business_analytics) s,
+         (SELECT DISTINCT order_state FROM business_analytics) v
+       WHERE NOT EXISTS (SELECT 1 FROM business_analytics b WHERE b.sku_id = s.sku_id AND b.order_state = v.order_state)""")

@@ -49,7 +49,8 @@ SAMPLE_SQL = {
                    AS org_labelling_compliance
         FROM {part}""",
     "product_nutrition": """
-        SELECT CAST(p_partkey AS STRING) AS sku, CAST(p_size AS STRING) || ' g' AS serving_size
+        SELECT CAST(p_partkey AS STRING) AS sku, CAST(p_size AS STRING) || ' g' AS serving_size,
+               CASE WHEN p_size <> 44 THEN DATE '2001-07-01' - CAST(p_size * 20 AS INT) END AS lab_reported_on
         FROM {part}""",
     "product_highlight": """
         SELECT CAST(p_partkey AS STRING) AS sku, CAST(1 AS BIGINT) AS highlight_seq,
@@ -67,8 +68,9 @@ SAMPLE_SQL = {
         SELECT DISTINCT p_brand AS product_line_id, 'Line ' || p_brand AS product_line_name FROM {part}""",
     "dim_category": "SELECT DISTINCT p_type AS category_id, p_type AS category_name FROM {part}",
     "map_product_allergen": """
-        SELECT CAST(l_partkey AS STRING) AS sku, 'Milk' AS allergen
-        FROM {lineitem} WHERE l_quantity >= 48 AND l_returnflag = 'R'""",
+        SELECT CAST(l_partkey * 2 AS STRING) AS sku,
+               CASE l_returnflag WHEN 'R' THEN 'Milk' WHEN 'A' THEN 'Nut' END AS allergen
+        FROM {lineitem}""",
     "dim_channel": """
         SELECT 'CH-' || CAST(n_nationkey AS STRING) AS channel_id,
                CASE n_nationkey WHEN 1 THEN 'Swiggy' WHEN 2 THEN 'Zomato' ELSE n_name END AS channel_name,
@@ -78,7 +80,7 @@ SAMPLE_SQL = {
     "map_product_channel": """
         SELECT CAST(l_partkey AS STRING) AS sku, 'CH-' || CAST(l_linenumber AS STRING) AS channel_id,
                CASE l_returnflag WHEN 'A' THEN 'Suitable For' WHEN 'R' THEN 'Small Pack' END AS applicable
-        FROM {lineitem} WHERE l_quantity < 10""",
+        FROM {lineitem}""",
     "listing_package": """
         SELECT CAST(p_partkey AS STRING) AS sku, p_size > 10 AS is_active,
                CASE WHEN p_size > 40 THEN '' WHEN p_size > 25 THEN 'barcode'
@@ -215,15 +217,14 @@ SAMPLE_SQL = {
                CAST(l_shipdate AS DATE) + l_linenumber * 2 AS expiry_date,
                CAST(date_trunc('month', l_shipdate) AS DATE) AS snapshot_date,
                CAST(l_linenumber AS BIGINT) AS batch_row_number
-        FROM {lineitem} WHERE l_shipdate < TIMESTAMP '2001-07-01 00:00:00'""",
+        FROM {lineitem}""",
     "order_day_inventory": """
         SELECT CAST(l.l_suppkey AS STRING) AS store_id, CAST(l.l_partkey AS STRING) AS product_sku,
                l.l_quantity AS available_quantity,
                CAST(o.o_orderdate AS DATE) + l.l_linenumber AS expiry_date,
                CAST(o.o_orderdate AS DATE) AS snapshot_date,
                CAST(l.l_linenumber AS BIGINT) AS batch_row_number
-        FROM {lineitem} l JOIN {orders} o ON o.o_orderkey = l.l_orderkey
-        WHERE l.l_quantity > 10""",
+        FROM {lineitem} l JOIN {orders} o ON o.o_orderkey = l.l_orderkey""",
     "flagged_inventory": """
         SELECT CAST(l_partkey AS STRING) AS sku_id, CAST(l_suppkey AS STRING) AS master_store_id,
                l_quantity AS total_stock, l_quantity - l_linenumber AS safe_stock,
@@ -240,7 +241,7 @@ SAMPLE_SQL = {
                CAST(max(l_quantity) AS BIGINT) AS min_count,
                CAST(min(l_linenumber) * 3 AS BIGINT) AS absolute_risk_count,
                CAST(max(l_linenumber) AS BIGINT) AS min_days_shelf_life
-        FROM {lineitem} WHERE l_quantity <= 45 GROUP BY l_partkey, l_suppkey""",
+        FROM {lineitem} GROUP BY l_partkey, l_suppkey""",
     "store_transfer_distances": """
         SELECT a.s_suppkey AS from_store_id, b.s_suppkey AS to_store_id,
                abs(CAST(a.s_acctbal AS DECIMAL(18,2)) - CAST(b.s_acctbal AS DECIMAL(18,2))) AS distance_km,
@@ -343,7 +344,7 @@ SAMPLE_SQL = {
     "store_checkin": """
         SELECT CAST(user_id AS STRING) AS master_store_id, CAST(ts - INTERVAL 8218 DAY AS DATE) AS checkin_date,
                'NATION_' || CAST(user_id % 25 AS STRING) AS address
-        FROM {events} WHERE event_type = 'signup'""",
+        FROM {events}""",
     "store_register": """
         SELECT CAST(s_suppkey AS STRING) AS master_store_id,
                'NATION_' || CAST(s_nationkey AS STRING) AS licensed_address,
@@ -362,5 +363,5 @@ SAMPLE_SQL = {
         FROM {part}""",
     "feed_output": """
         SELECT DISTINCT split_part(p_name, ' ', 1) AS feed_id, CAST(l_partkey AS STRING) AS signal_id
-        FROM {lineitem} JOIN {part} ON p_partkey = l_partkey WHERE l_quantity > 30""",
+        FROM {lineitem} JOIN {part} ON p_partkey = l_partkey""",
 }

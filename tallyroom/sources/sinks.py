@@ -1,13 +1,17 @@
 """Keyed table writes on plain Parquet.
 
-A table is a folder of numbered versions. A write produces a complete new
-version; readers take the newest one that carries Spark's ``_SUCCESS`` file, so
-a job that is lost half way leaves the table as it was.
+A table is a folder of numbered versions. Readers take what versions with Spark's ``_SUCCESS``
+file hold, so a job that is lost half way leaves the table as it was. A keyed table is split
+into buckets by key hash: a write reads and rewrites only the buckets that its rows touch, and a
+reader takes the newest version of each bucket. A version number may be given, such as a
+micro-batch id; writing it again reads the versions before it and writes the same rows.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyroom.constants import STAGE_RANK
@@ -15,62 +19,133 @@ from tallyroom.functions import generated_key, mapped
 from tallyroom.operators.ranking import first_per
 from tallyroom.session import scratch_dir
 
+BUCKETS = 64
+
+
+def _folders(spark: SparkSession, path: str) -> list[str]:
+    jvm = spark._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    return [s.getPath().getName() for s in fs.listStatus(root)] if fs.exists(root) else []
+
+
+def finished_versions(spark: SparkSession, path: str) -> list[int]:
+    """Numbers of the versions whose write has finished, ascending."""
+    numbers = [int(n[1:]) for n in _folders(spark, path) if n[:1] == "v" and n[1:].isdigit()]
+    return sorted(n for n in numbers if "_SUCCESS" in _folders(spark, f"{path}/v{n}"))
+
 
 class VersionedTable:
+    """A table that is replaced as a whole, or updated by key at the cost of a rewrite."""
+
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
         self.path = path.rstrip("/")
 
-    def _versions(self) -> list[int]:
-        jvm = self.spark._jvm
-        root = jvm.org.apache.hadoop.fs.Path(self.path)
-        fs = root.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        if not fs.exists(root):
-            return []
-        found = []
-        for status in fs.listStatus(root):
-            name = status.getPath().getName()
-            if name.startswith("v") and name[1:].isdigit():
-                if fs.exists(jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")):
-                    found.append(int(name[1:]))
-        return sorted(found)
-
     def exists(self) -> bool:
-        return bool(self._versions())
+        return bool(finished_versions(self.spark, self.path))
 
     def read(self) -> DataFrame:
-        versions = self._versions()
+        versions = finished_versions(self.spark, self.path)
         if not versions:
             raise FileNotFoundError(self.path)
         return self.spark.read.parquet(f"{self.path}/v{versions[-1]}")
 
     def replace(self, df: DataFrame) -> DataFrame:
-        """Create or replace: the new rows are the whole table."""
-        versions = self._versions()
-        target = f"{self.path}/v{(versions[-1] if versions else 0) + 1}"
-        df.write.mode("overwrite").parquet(target)
+        """Create or replace: the new rows are the whole table. A version that another writer has
+        begun is not written over: that write fails."""
+        versions = finished_versions(self.spark, self.path)
+        df.write.mode("errorifexists").parquet(f"{self.path}/v{(versions[-1] if versions else 0) + 1}")
         return self.read()
 
     def create_if_absent(self, df: DataFrame) -> DataFrame:
         return self.read() if self.exists() else self.replace(df)
 
-    def upsert(self, updates: DataFrame, key: list[str]) -> DataFrame:
-        """Insert or update by key; a NULL in an update keeps the stored value."""
-        if not self.exists():
-            return self.replace(updates)
-        return self.replace(merge_rows(self.read(), updates, key))
+
+class KeyedTable:
+    """A table with a key, in hash buckets that are versioned one by one."""
+
+    def __init__(self, spark: SparkSession, path: str, key: list[str], buckets: int = BUCKETS):
+        self.spark, self.path, self.key, self.buckets = spark, path.rstrip("/"), key, buckets
+
+    def _bucket(self) -> Column:
+        return F.pmod(F.xxhash64(*self.key), F.lit(self.buckets)).cast("int")
+
+    def _newest(self, before: int | None = None) -> dict[int, int]:
+        """Newest version of each bucket, of those under ``before``."""
+        found: dict[int, int] = {}
+        for version in finished_versions(self.spark, self.path):
+            if before is None or version < before:
+                for name in _folders(self.spark, f"{self.path}/v{version}"):
+                    if name.startswith("bucket="):
+                        found[int(name[7:])] = version
+        return found
+
+    def exists(self) -> bool:
+        return bool(self._newest())
+
+    def read(self, only: set[int] | None = None, before: int | None = None) -> DataFrame:
+        """The table, or its buckets ``only``."""
+        newest = self._newest(before)
+        paths = [f"{self.path}/v{v}/bucket={b}" for b, v in sorted(newest.items()) if only is None or b in only]
+        if not paths:
+            raise FileNotFoundError(self.path)
+        return self.spark.read.parquet(*paths)
+
+    def touched(self, rows: DataFrame, version: int | None = None) -> DataFrame | None:
+        """Stored rows of the buckets that ``rows`` fall into, of versions under ``version``."""
+        buckets = {r.b for r in rows.select(self._bucket().alias("b")).distinct().collect()}  # at most ``buckets``
+        held = buckets & set(self._newest(version))
+        return self.read(held, version) if held else None
+
+    def upsert(self, updates: DataFrame, version: int | None = None, newer: list[str] | None = None) -> DataFrame:
+        """Insert or update by key; a NULL in an update keeps the stored value, and a NULL key is a
+        key like any other. Of updates that share a key one is taken, the last by ``newer`` where
+        that names columns."""
+        order = [F.desc_nulls_last(c) for c in newer or [c for c in updates.columns if c not in self.key]]
+        updates = first_per(updates, self.key, order) if order else updates.dropDuplicates(self.key)
+        updates = written_once(updates, "updates")
+        if version is None:
+            versions = finished_versions(self.spark, self.path)
+            version = versions[-1] + 1 if versions else 0
+        rows = updates
+        stored = self.touched(rows, version)
+        if stored is not None:
+            rows = merge_rows(stored, rows, self.key)
+        if not rows.isEmpty():
+            rows = rows.withColumn("bucket", self._bucket()).repartition("bucket")
+            rows.write.mode("overwrite").partitionBy("bucket").parquet(f"{self.path}/v{version}")
+        return self.read() if self.exists() else updates
+
+
+    def replace_groups(self, rows: DataFrame, groups: DataFrame, version: int) -> None:
+        """Replace all rows of the keys in ``groups`` by ``rows``; here a key may have many rows. A group
+        without rows ends up with none."""
+        groups = groups.select(*self.key).distinct()
+        old = self.touched(groups, version)
+        if old is not None:
+            same = reduce(lambda a, b: a & b, [old[c].eqNullSafe(groups[c]) for c in self.key])
+            rows = old.join(groups, same, "left_anti").unionByName(rows)
+        rows.withColumn("bucket", self._bucket()).repartition("bucket").write.mode("overwrite").partitionBy(
+            "bucket").parquet(f"{self.path}/v{version}")
 
 
 def merge_rows(stored: DataFrame, updates: DataFrame, key: list[str]) -> DataFrame:
-    """Stored rows with updates applied. Columns the update lacks are kept."""
+    """Stored rows with updates applied, matched by null-safe equality. Columns the update lacks are
+    kept; keys must be unique on either side."""
     types = {f.name: f.dataType for f in stored.schema.fields}
     fresh = [c for c in updates.columns if c in types and c not in key]
     extra = [c for c in updates.columns if c not in types]
     if extra:
         raise ValueError(f"columns not in the table: {extra}")
-    new = updates.select(*key, *[F.col(c).cast(types[c]).alias(f"__new_{c}") for c in fresh])
-    merged = stored.join(new, key, "full")
-    return merged.select(*[F.coalesce(f"__new_{c}", c).alias(c) if c in fresh else F.col(c) for c in stored.columns])
+    new = updates.select(*[F.col(c).cast(types[c]).alias(f"__new_{c}") for c in [*key, *fresh]],
+                         F.lit(True).alias("__is_new"))
+    same = reduce(lambda a, b: a & b, [stored[c].eqNullSafe(new[f"__new_{c}"]) for c in key])
+    merged = stored.join(new, same, "full")
+    is_new = F.coalesce("__is_new", F.lit(False))
+    return merged.select(*[
+        F.when(is_new, F.col(f"__new_{c}")).otherwise(F.col(c)).alias(c) if c in key
+        else F.coalesce(f"__new_{c}", c).alias(c) if c in fresh else F.col(c) for c in stored.columns])
 
 
 def with_keys(updates: DataFrame, key: str, prefix: str, basis: list[str]) -> DataFrame:

@@ -1,8 +1,9 @@
 """Structured Streaming versions of the monitoring jobs.
 
-Every job writes to a table through ``foreachBatch``; a batch that is replayed
-after a failure writes the same rows again. State lives in the checkpoint
-folder below the shared scratch folder.
+Every job writes to a keyed table through ``foreachBatch``. A batch is a version of
+the key buckets it touches, so its cost follows the batch, and a replay after a
+failure writes the same version. State lives in the checkpoint folder below the
+shared scratch folder.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from tallyroom.constants import OPS_BAR, OPS_RX, SPAN_DAYS, SPAN_MIN_REVIEWS
 from tallyroom.functions import matches_any
 from tallyroom.operators.ranking import first_per
 from tallyroom.session import scratch_dir
-from tallyroom.sources.sinks import VersionedTable
+from tallyroom.sources.sinks import KeyedTable
 
 SWEEP_TRIGGER = {"processingTime": "8 minutes"}
 
@@ -22,10 +23,10 @@ SWEEP_TRIGGER = {"processingTime": "8 minutes"}
 def file_stream(spark: SparkSession, folder: str, table: str, max_files: int | None = None) -> DataFrame:
     """A folder of parquet files as a stream, with the schema of the files at hand."""
     schema = spark.read.parquet(f"{folder}/{table}.parquet").schema
-    reader = spark.readStream.schema(schema).option("pathGlobFilter", f"{table}*.parquet")
+    reader = spark.readStream.schema(schema)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.parquet(folder)
+    return reader.parquet(f"{folder}/{table}.parque[t]")  # a pattern for this one file or folder
 
 
 def run_available(stream: DataFrame, each_batch, checkpoint: str, mode: str = "update", trigger: dict | None = None):
@@ -38,11 +39,11 @@ def run_available(stream: DataFrame, each_batch, checkpoint: str, mode: str = "u
     return query
 
 
-def into_table(table: VersionedTable, key: list[str], order: list[str] | None = None):
-    """Batch writer: upsert by key (the last by ``order`` when a batch repeats one)."""
-    def write(batch: DataFrame, _batch_id: int) -> None:
-        rows = first_per(batch, key, [F.desc_nulls_last(c) for c in order]) if order else batch
-        table.upsert(rows, key)
+def into_table(table: KeyedTable, newer: list[str] | None = None):
+    """Batch writer: upsert by key. The batch id is the version, so a replay writes the same rows,
+    and only the key buckets of the batch are read and written."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        table.upsert(batch, batch_id, newer=newer)
     return write
 
 
@@ -89,22 +90,24 @@ def deduplicated(complaints: DataFrame, delay: str = "2 days") -> DataFrame:
     return complaints.withWatermark("ts", delay).dropDuplicatesWithinWatermark(["event_id"])
 
 
-def latest_state(stream: DataFrame, table: VersionedTable, key: list[str], order: list[str], checkpoint: str):
-    """Keep the newest row per key: each batch is reduced to its newest rows and
-    only newer ones replace what is stored."""
-    def write(batch: DataFrame, _batch_id: int) -> None:
-        rows = first_per(batch, key, [F.desc_nulls_last(c) for c in order])
-        if table.exists():
-            both = table.read().unionByName(rows)
-            rows = first_per(both, key, [F.desc_nulls_last(c) for c in order])
-        table.replace(rows)
+def latest_state(stream: DataFrame, table: KeyedTable, order: list[str], checkpoint: str):
+    """Keep the newest row per key: each batch is reduced to its newest rows, and of those that are
+    stored the touched buckets are compared. A row with a value no newer is left as it is."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        best = [F.desc_nulls_last(c) for c in order]
+        rows = first_per(batch, table.key, best)
+        stored = table.touched(rows, batch_id)
+        if stored is not None:
+            rows = first_per(stored.unionByName(rows), table.key, best)
+        table.upsert(rows, batch_id, newer=order)
+
     return run_available(stream, write, checkpoint, mode="append")
 
 
 def run_to_table(spark: SparkSession, stream: DataFrame, label: str, key: list[str], mode: str = "update") -> DataFrame:
     """Run a keyed stream over the available data and return the final table."""
-    table = VersionedTable(spark, scratch_dir(spark, label))
-    run_available(stream, into_table(table, key), scratch_dir(spark, f"{label}-checkpoint"), mode)
+    table = KeyedTable(spark, scratch_dir(spark, label), key)
+    run_available(stream, into_table(table), scratch_dir(spark, f"{label}-checkpoint"), mode)
     return table.read()
 
 

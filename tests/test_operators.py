@@ -3,10 +3,10 @@
 import random
 from itertools import combinations
 
+import pytest
 from pyspark.sql import functions as F
 
 from tallyroom.operators import joins as J
-from tallyroom.operators.cells import names_cell, paged_names
 from tallyroom.operators.ranking import exact_rank, top_n
 from tallyroom.operators.sets import missing_values, prefer
 from tallyroom.operators.swaps import cheapest_unused, ranked_catalog
@@ -27,9 +27,17 @@ def test_longest_term_both_ways_match_brute_force(spark):
         return min((h for h in hits if len(h) == max(map(len, hits))), default=None)
 
     want = [brute(t) for t in texts]
-    for local in (100, 0):
-        got = J.longest_term(td, "body", "id", vd, "term", "value", row_local_terms=local).orderBy("id").collect()
-        assert [r.value for r in got] == want
+    got = J.longest_term(td, "body", "id", vd, "term", "value").orderBy("id").collect()
+    assert [r.value for r in got] == want
+
+
+def test_longest_term_with_a_large_dictionary(spark):
+    """More terms than a single expression could hold, some longer than the looked-up piece."""
+    terms = [f"product number {i}" for i in range(3000)]
+    vd = spark.createDataFrame([(t, t) for t in terms], "term string, value string")
+    td = spark.createDataFrame([(1, "xx PRODUCT NUMBER 2999 yy product number 5"), (2, "product number"), (3, None)], "id int, body string")
+    got = {r.id: r.value for r in J.longest_term(td, "body", "id", vd, "term", "value").collect()}
+    assert got == {1: "product number 2999", 2: None, 3: None}
 
 
 def test_join_any_id_matches_once(spark):
@@ -81,19 +89,6 @@ def test_similar_names_match_brute_force(spark):
     assert got == want
 
 
-def test_names_cell_is_exact_around_the_cut(spark):
-    for names in (["a", "b"], [f"{i:04d}" for i in range(900)], [f"{i:05d}" + "x" * (i % 40) for i in range(400)]):
-        full = ", ".join(sorted(names))
-        r = names_cell(spark.createDataFrame([(n,) for n in names * 2], "nm string"), "nm", 4000).collect()[0]
-        assert (r.n, r.total_chars, r.text) == (len(names), len(full), full[:4000])
-
-
-def test_pages_hold_every_name(spark):
-    df = paged_names(spark.createDataFrame([(f"n{i}",) for i in range(100)], "fam string"), "fam", page_size=30)
-    assert df.count() == 100 and df.select("page").distinct().count() > 1
-    assert paged_names(spark.createDataFrame([("a",)], "fam string"), "fam").collect()[0].page == 0
-
-
 def test_replay_edits(spark):
     lines = spark.createDataFrame([("r", "a", 100.0, 5.0), ("r", "b", 40.0, 0.0), ("r", "c", 10.0, 0.0)],
                                   "recipe_id string, ingredient_id string, qty_net_g double, loss_pct double")
@@ -112,7 +107,17 @@ def test_sets_and_graph(spark):
     b = spark.createDataFrame([("k1", "old"), ("k2", "old")], "k string, v string")
     assert sorted(tuple(r) for r in prefer(a, b, "k").collect()) == [("k1", "new"), ("k2", "old")]
     members = spark.createDataFrame([("c", "b"), ("b", "a"), ("a", None)], "id string, parent string")
-    assert graph.ancestor_closure(members, "id", "parent", 3).count() == 6
+    assert graph.ancestor_closure(members, "id", "parent").count() == 6
+    chain = spark.range(9).selectExpr("id", "nullif(id - 1, -1) AS parent")  # deeper than any fixed number of levels here
+    assert graph.ancestor_closure(chain, "id", "parent").count() == 45
+    with pytest.raises(ValueError):
+        graph.ancestor_closure(spark.createDataFrame([(1, 2), (2, 1)], "id int, parent int"), "id", "parent")
+
+
+def test_more_probes_than_a_block(spark):
+    vectors = spark.range(100).selectExpr("id", "array(cos(id), sin(id)) AS v")
+    got = graph.vector_neighbors(vectors, vectors, "id", "v", 2)
+    assert got.count() == 200 and got.select("probe_id").distinct().count() == 100
 
 
 def test_top_n_limits_before_the_shuffle(spark):

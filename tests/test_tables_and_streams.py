@@ -12,12 +12,27 @@ from tallyroom.streaming import jobs
 
 
 def test_upsert_keeps_stored_values_for_nulls(spark):
-    t = sinks.VersionedTable(spark, scratch_dir(spark, "t"))
-    t.replace(spark.createDataFrame([("a", "x", 1.0), ("b", "y", 2.0)], "k string, s string, v double"))
-    got = t.upsert(spark.createDataFrame([("a", None, 9.0), ("c", "z", None)], "k string, s string, v double"), ["k"])
-    assert sorted(tuple(r) for r in got.collect()) == [("a", "x", 9.0), ("b", "y", 2.0), ("c", "z", None)]
+    schema = "k string, s string, v double"
+    t = sinks.KeyedTable(spark, scratch_dir(spark, "t"), ["k"])
+    t.upsert(spark.createDataFrame([("a", "x", 1.0), ("b", "y", 2.0), (None, "n", 0.0)], schema))
+    got = t.upsert(spark.createDataFrame([("a", None, 9.0), ("c", "z", None), (None, None, 5.0), ("b", "y", 3.0), ("b", "y", 4.0)],
+                                         schema), newer=["v"])
+    want = [("a", "x", 9.0), ("b", "y", 4.0), ("c", "z", None), (None, "n", 5.0)]
+    assert {tuple(r) for r in got.collect()} == set(want) and got.count() == 4
     with pytest.raises(ValueError):
-        t.upsert(spark.createDataFrame([("a", 1)], "k string, other int"), ["k"])
+        t.upsert(spark.createDataFrame([("a", 1)], "k string, other int"))
+
+
+def test_a_write_touches_its_own_buckets_and_a_replay_changes_nothing(spark):
+    t = sinks.KeyedTable(spark, scratch_dir(spark, "t"), ["k"])
+    t.upsert(spark.range(1000).selectExpr("id AS k", "id AS v"), 0)
+    for _ in range(2):  # the second run of batch 1 is a replay
+        t.upsert(spark.createDataFrame([(7, 70), (2000, 1)], "k bigint, v bigint"), 1)
+        assert t.read().count() == 1001 and t.read().where("k = 7").first().v == 70
+    assert len([n for n in os.listdir(f"{t.path}/v1") if n.startswith("bucket=")]) <= 2
+    t.replace_groups(spark.createDataFrame([(7, 71), (7, 72)], "k bigint, v bigint"),
+                     spark.createDataFrame([(7,), (8,)], "k bigint"), 2)
+    assert sorted(r.v for r in t.read().where("k IN (7, 8)").collect()) == [71, 72] and t.read().count() == 1001
 
 
 def test_unfinished_version_is_ignored(spark):
@@ -46,7 +61,8 @@ def write_events(spark, folder, name, rows):
     spark.createDataFrame(rows, "event_id bigint, ts timestamp, user_id bigint, event_type string, value double").coalesce(
         1).write.parquet(f"{folder}/{name}.dir")
     part = [f for f in os.listdir(f"{folder}/{name}.dir") if f.endswith(".parquet")][0]
-    os.link(f"{folder}/{name}.dir/{part}", f"{folder}/{name}.parquet")
+    os.makedirs(f"{folder}/events.parquet", exist_ok=True)
+    os.link(f"{folder}/{name}.dir/{part}", f"{folder}/events.parquet/{name}.parquet")
 
 
 def test_late_rows_are_dropped_and_counted(spark, tmp_path):
@@ -56,10 +72,10 @@ def test_late_rows_are_dropped_and_counted(spark, tmp_path):
     write_events(spark, tmp_path, "events3", [(3, day + timedelta(days=10), 1, "error", 1.0)])
     write_events(spark, tmp_path, "events4", [(4, day, 1, "error", 1.0)])
     for i, name in enumerate(["events", "events2", "events3", "events4"]):
-        os.utime(tmp_path / f"{name}.parquet", (1000 + i, 1000 + i))
+        os.utime(tmp_path / "events.parquet" / f"{name}.parquet", (1000 + i, 1000 + i))
     stream = jobs.complaint_stream(jobs.file_stream(spark, str(tmp_path), "events", max_files=1))
-    table = sinks.VersionedTable(spark, scratch_dir(spark, "late"))
-    query = jobs.run_available(jobs.tumbling_daily(stream, delay="1 day"), jobs.into_table(table, ["master_store_id", "day"]),
+    table = sinks.KeyedTable(spark, scratch_dir(spark, "late"), ["master_store_id", "day"])
+    query = jobs.run_available(jobs.tumbling_daily(stream, delay="1 day"), jobs.into_table(table),
                                scratch_dir(spark, "late-ckpt"))
     assert table.read().agg(F.sum("complaints")).collect()[0][0] == 3
     assert sum(n for _, n in jobs.late_counts(query)) == 1
@@ -70,8 +86,8 @@ def test_latest_state_over_batches(spark, tmp_path):
     for i, rows in enumerate([[("a", 1, 10), ("b", 5, 50)], [("a", 3, 30), ("b", 4, 40)], [("a", 2, 20)]]):
         spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / f"in/p={i}"))
     stream = spark.readStream.schema(schema + ", p int").option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in")).drop("p")
-    table = sinks.VersionedTable(spark, scratch_dir(spark, "state"))
-    jobs.latest_state(stream, table, ["k"], ["d"], scratch_dir(spark, "state-ckpt"))
+    table = sinks.KeyedTable(spark, scratch_dir(spark, "state"), ["k"])
+    jobs.latest_state(stream, table, ["d"], scratch_dir(spark, "state-ckpt"))
     assert sorted(tuple(r) for r in table.read().collect()) == [("a", 3, 30), ("b", 5, 50)]
 
 
