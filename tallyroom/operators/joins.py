@@ -57,13 +57,28 @@ def longest_term(texts: DataFrame, text: str, key: str, terms: DataFrame, term:
     return texts.join(best, texts[key] == best["__key"], "left").drop("__key")
 
 
-def join_same_day(left: DataFrame, right: DataFrame, keys: dict[str, str]) -> DataFrame:
-    """Left equi-join on (place, item, day) given as ``{left column: right column}``."""
+def left_join(left: DataFrame, right: DataFrame, keys: list[str], spread: list[str]) -> DataFrame:
+    """Left equi-join on string keys where many rows of ``left`` may have no key. Those rows get a
+    key of their own, made from the columns ``spread``, that nothing matches, so that they
+    do not all meet in one partition."""
+    none = F.lit(False)
+    for k in keys:
+        none = none | F.col(k).isNull()
+    apart = F.concat(F.lit("\u0000"), F.pmod(F.xxhash64(*spread), F.lit(1024)).cast("string"))
+    renamed = right.withColumnsRenamed({k: f"__k{i}" for i, k in enumerate(keys)})
+    keyed = left.withColumns({f"__k{i}": F.when(none, apart).otherwise(F.col(k)) if i == 0 else F.col(k)
+                              for i, k in enumerate(keys)})
+    return keyed.join(renamed, [f"__k{i}" for i in range(len(keys))], "left").drop(*[f"__k{i}" for i in range(len(keys))])
+
+
+def join_same_day(left: DataFrame, right: DataFrame, keys: dict[str, str], spread: list[str] | None = None) -> DataFrame:
+    """Left equi-join on (place, item, day) given as ``{left column: right column}``. ``spread`` names
+    columns that part the rows without a key, see :func:`left_join`."""
     renamed = right
     for lcol, rcol in keys.items():
         if lcol != rcol:
             renamed = renamed.withColumnRenamed(rcol, lcol)
-    return left.join(renamed, list(keys), "left")
+    return left_join(left, renamed, list(keys), spread) if spread else left.join(renamed, list(keys), "left")
 
 
 def attach_parent(children: DataFrame, parent_id: str, lines: DataFrame, line_parent: str) -> DataFrame:

@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 from tallyroom.operators.ranking import exact_rank
 
 
+SALTS = 32
+
+
 def ranked_catalog(items: DataFrame, group: str, price: str, item: str) -> DataFrame:
     """Position ``pos`` of every item in its group by price, then id. Items
     without a price come first."""
@@ -34,4 +37,10 @@ def cheapest_unused(wanted: DataFrame, used: DataFrame, catalog: DataFrame, owne
     taken = F.coalesce("__used", F.array().cast("array<bigint>"))
     free = F.array_except(F.sequence(F.lit(1).cast("bigint"), k + F.size(taken).cast("bigint")), taken)
     reach = wanted.join(pushed, [owner, group], "left").withColumn("pos", F.explode(free)).drop("__used")
-    return reach.join(catalog, [group, "pos"])
+    # few groups and positions hold all rows: owners are parted by a salt and the head of the
+    # catalog, no longer than k plus the positions one owner uses, is repeated for each
+    most = pushed.agg(F.coalesce(F.max(F.size("__used")), F.lit(0)) + k)
+    head = catalog.where(F.col("pos") <= most.scalar()).withColumn(
+        "__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salted = reach.withColumn("__salt", F.pmod(F.xxhash64(owner), F.lit(SALTS)).cast("int"))
+    return salted.join(head, [group, "pos", "__salt"]).drop("__salt")

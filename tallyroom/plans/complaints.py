@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tallyroom.constants import (CONDITION_TERMS, LATE_TERMS, OPS_BAR, OPS_CATEGORIES, OPS_TERMS, PRODUCT_RX,
                                  ROOT_CAUSE_CLASSES, SPAN_DAYS, SPAN_MIN_REVIEWS, WRONG_MISSING_TERMS)
 from tallyroom.functions import contains_any, day_index, in_trailing_days, ladder, match_key, matches_any
-from tallyroom.operators.joins import join_same_day
+from tallyroom.operators.joins import join_same_day, left_join
 from tallyroom.operators.ranking import best_span, top_n
 
 
@@ -42,12 +42,15 @@ def p_complaint_root_cause(t, as_of: date, complaint_days: int = 7, order_days:
              .agg(F.min("expiry_date").alias("earliest_expiry_that_day"),
                   F.sum("available_quantity").alias("inventory_that_day")))
     limits = t.low_stock_config.select("store_id", "sku_id", "min_days_shelf_life")
-    traced = complaints.join(lines, "online_order_id", "left")
-    traced = join_same_day(traced, stock, {"store_id": "store_id", "sku_id": "sku_id", "order_date": "order_date"})
-    traced = traced.join(limits, ["store_id", "sku_id"], "left")
+    # complaints without an order, or whose order is unknown, have no store and SKU to match
+    apart = ["complaint_received_at", "customer_comments", "item_name"]
+    traced = left_join(complaints, lines, ["online_order_id"], apart)
+    traced = join_same_day(traced, stock, {"store_id": "store_id", "sku_id": "sku_id", "order_date": "order_date"}, apart)
+    traced = left_join(traced, limits, ["store_id", "sku_id"], apart)
     stores = t.master_store.select("master_store_id", "store_name")
     products = t.dim_product.select(F.col("sku").alias("sku_id"), F.col("display_name").alias("product_name"))
-    return (traced.join(stores, "master_store_id", "left").join(products, "sku_id", "left")
+    named = left_join(left_join(traced, stores, ["master_store_id"], apart), products, ["sku_id"], apart)
+    return (named
             .select("master_store_id", "store_name", F.col("complaint_received_at").alias("complaint_date"),
                     F.col("customer_comments").alias("complaint"), "issue_type",
                     F.col("item_name").alias("complaint_item"), F.col("item_source_name").alias("order_item"),

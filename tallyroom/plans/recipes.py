@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tallyroom.constants import FORMULATION_RULES, INGREDIENT_TAGS
 from tallyroom.functions import (days_since, gross_from_net, num_text, pack, price_per_kg, safe_divide, target_fit,
                                  version_of, whole_text)
-from tallyroom.operators.joins import attach_parent
+from tallyroom.operators.joins import attach_parent, left_join
 from tallyroom.operators.ranking import commonest, share_of_total, top_n
 from tallyroom.operators.sets import tagged_union
 from tallyroom.operators.snapshots import in_force_row
@@ -63,7 +63,7 @@ def text_profile(t) -> DataFrame:
         F.expr("string_agg(highlight_text, ' ') WITHIN GROUP (ORDER BY highlight_seq, highlight_text)").alias("claims"))
     ideas = t.dim_idea.select("idea_id", F.col("name").alias("idea_name"), "hypothesis", "thesis_fit")
     return (t.dim_recipe.select("recipe_id", "recipe_name", "idea_id", "sku")
-            .join(ideas, "idea_id", "left").join(highlights, "sku", "left")
+            .transform(left_join, ideas, ["idea_id"], ["recipe_id"]).transform(left_join, highlights, ["sku"], ["recipe_id"])
             .select("recipe_id", F.lower(pack(" ", "recipe_name", "idea_name", "hypothesis", "thesis_fit",
                                               "claims")).alias("txt")))
 
@@ -120,7 +120,7 @@ def cost_recipes(recipes: DataFrame, lines: DataFrame, pricing: DataFrame) -> Da
         F.round(F.sum("line_cost_inr"), 4).alias("ingredient_cost_inr"))
     zero = F.lit(0.0)
     master = pricing.select("sku", F.col("total_cogs_inr").cast("double").alias("master_cogs_inr"))
-    costed = (recipes.join(sums, "recipe_id", "left").join(master, "sku", "left")
+    costed = (left_join(recipes.join(sums, "recipe_id", "left"), master, ["sku"], ["recipe_id"])
               .withColumn("version_no", version_of("version_no", "recipe_id"))
               .withColumn("batch_size_g", F.col("batch_size_g").cast("double"))
               .withColumn("target_cogs_inr", F.col("target_cogs_inr").cast("double"))

@@ -143,9 +143,11 @@ add("join_full_outer", lambda t: (
              FROM forecast_results GROUP BY ALL) FULL JOIN
             (SELECT store_id, product_sku, sum(available_quantity) AS stock FROM store_inventory_daily GROUP BY ALL)
        USING (store_id, product_sku)""")
-add("join_chain", lambda t: t.customer_complaint_events.select("email_message_id", "order_id").join(
-    t.business_analytics.select(col("online_order_id").alias("order_id"), "store_id", "sku_id"), "order_id", "left")
-    .join(t.low_stock_config.select("store_id", "sku_id", "min_count"), ["store_id", "sku_id"], "left"),
+add("join_chain", lambda t: J.left_join(J.left_join(
+    t.customer_complaint_events.select("email_message_id", "order_id"),
+    t.business_analytics.select(col("online_order_id").alias("order_id"), "store_id", "sku_id"),
+    ["order_id"], ["email_message_id"]),
+    t.low_stock_config.select("store_id", "sku_id", "min_count"), ["store_id", "sku_id"], ["email_message_id"]),
     """SELECT c.email_message_id, c.order_id, b.store_id, b.sku_id, l.min_count FROM customer_complaint_events c
        LEFT JOIN business_analytics b ON b.online_order_id = c.order_id
        LEFT JOIN low_stock_config l ON l.store_id = b.store_id AND l.sku_id = b.sku_id""")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -37,7 +38,7 @@ def scratch_root(spark: SparkSession) -> str:
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
         return shared.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
         raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
     root = os.path.join(tempfile.gettempdir(), "tallyroom-scratch")
     os.makedirs(root, exist_ok=True)

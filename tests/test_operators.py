@@ -124,3 +124,27 @@ def test_top_n_limits_before_the_shuffle(spark):
     df = spark.range(1000).select((F.col("id") % 2).alias("k"), "id")
     plan = top_n(df, ["k"], [F.desc("id")], 3)._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan and "Partial" in plan
+
+
+def test_left_join_with_one_hot_key(spark):
+    """90 % of the rows have no key: they come back unmatched, and do not meet in one partition."""
+    left = spark.range(1000).selectExpr("CAST(id AS STRING) AS id", "CASE WHEN id % 10 = 0 THEN CAST(id % 7 AS STRING) END AS k")
+    right = spark.createDataFrame([("0", "a"), ("3", "b"), (None, "never")], "k string, v string")
+    got = J.left_join(left, right, ["k"], ["id"])
+    assert got.columns == ["id", "k", "v"] and got.count() == 1000
+    assert got.where("k IS NULL AND v IS NOT NULL").isEmpty()
+    assert got.where("v IS NOT NULL").count() == left.where("k IN ('0', '3')").count()
+    parts = left.where("k IS NULL").withColumn("p", F.pmod(F.xxhash64("id"), F.lit(1024))).select("p").distinct().count()
+    assert parts > 200
+
+
+def test_swaps_with_one_role(spark):
+    """All owners want the same role: the k cheapest they do not use."""
+    catalog = spark.range(1, 21).selectExpr("CAST(id AS STRING) AS item", "'Base' AS role", "id AS pos")
+    used = spark.range(50).selectExpr("CAST(id AS STRING) AS owner", "CAST(id % 4 + 1 AS STRING) AS item")
+    wanted = spark.range(50).selectExpr("CAST(id AS STRING) AS owner", "'Base' AS role")
+    got = cheapest_unused(wanted, used, catalog, "owner", "role", "item", 3)
+    assert got.count() == 150
+    for o in (0, 1, 5):
+        want = [p for p in range(1, 21) if p != o % 4 + 1][:3]
+        assert sorted(r.pos for r in got.where(f"owner = '{o}'").collect()) == want
