@@ -12,6 +12,7 @@ from tallyroom.constants import (CONDITION_TERMS, LATE_TERMS, OPS_BAR, OPS_CATEG
 from tallyroom.functions import contains_any, day_index, in_trailing_days, ladder, match_key, matches_any
 from tallyroom.operators.joins import join_same_day, left_join
 from tallyroom.operators.ranking import best_span, top_n
+from tallyroom.plans.products import v_review_complaint_candidates
 
 
 def v_complaint_events(t) -> DataFrame:
@@ -108,16 +109,29 @@ def theme_rules(c="issue_type"):
     return ladder(*ops, *food, otherwise="OTHER|unclassified")
 
 
-def complaint_clusters(t, span: int = SPAN_DAYS, bar: int = SPAN_MIN_REVIEWS, evidence: int = 4) -> DataFrame:
-    """Groups of (product, theme): the 14-day window with most complaints,
-    its stores, and up to four lines of evidence. Operations themes never qualify."""
-    kind_theme = theme_rules()
-    events = v_complaint_events(t).select(
-        "event_id", "master_store_id", match_key("item_name").alias("product"),
-        F.split_part(kind_theme, F.lit("|"), F.lit(1)).alias("kind"),
-        F.split_part(kind_theme, F.lit("|"), F.lit(2)).alias("theme"),
+def complaint_clusters(t) -> DataFrame:
+    """Clusters of complaint events by the item they are filed under."""
+    return clusters(v_complaint_events(t).select(
+        "event_id", "master_store_id", match_key("item_name").alias("product"), theme_rules().alias("kind_theme"),
         day_index("complaint_received_at").alias("n"),
-        F.date_format("complaint_received_at", "yyyy-MM-dd").alias("d")).where(F.col("product").isNotNull())
+        F.date_format("complaint_received_at", "yyyy-MM-dd").alias("d")))
+
+
+def review_clusters(t, as_of: date) -> DataFrame:
+    """Clusters of low-rated reviews by the product that the review's own text names; a review
+    that names none belongs to no cluster. The theme is read off the whole text."""
+    named = v_review_complaint_candidates(t, as_of).where(F.col("p") != "")
+    return clusters(named.select(F.col("review_id").alias("event_id"), F.col("s").alias("master_store_id"),
+                                 F.col("p").alias("product"), theme_rules("t").alias("kind_theme"), "n", "d"))
+
+
+def clusters(rows: DataFrame, span: int = SPAN_DAYS, bar: int = SPAN_MIN_REVIEWS, evidence: int = 4) -> DataFrame:
+    """Groups of (product, theme) of rows (event_id, master_store_id, product, kind_theme, n, d): the
+    14-day window with most rows, its stores, and up to four lines of evidence. Operations themes
+    never qualify."""
+    events = rows.where(F.col("product").isNotNull()).select(
+        "event_id", "master_store_id", "product", F.split_part("kind_theme", F.lit("|"), F.lit(1)).alias("kind"),
+        F.split_part("kind_theme", F.lit("|"), F.lit(2)).alias("theme"), "n", "d")
     keys = ["product", "kind", "theme"]
     spans = best_span(events, keys, "n", span)
     inside = events.join(spans, keys).where(F.col("n").between(F.col("window_first"), F.col("window_last")))

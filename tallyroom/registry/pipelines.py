@@ -517,35 +517,54 @@ add("event_pick", lambda t: marketing.event_pick(t.calendar_events, SALES.replac
                                         'Industry'], event_type), title LIMIT 1""")
 
 # ---- complaints and ideas -----------------------------------------------------------------------------------------------
-check_view("themed", """
-    SELECT event_id, master_store_id, upper(trim(item_name)) AS product,
-           CAST(complaint_received_at AS DATE) - DATE '2026-01-01' AS n,
-           strftime(complaint_received_at, '%Y-%m-%d') AS d,
-           CASE WHEN regexp_matches(issue_type, '[Ww]rong') THEN 'OPERATIONS|Wrong item'
-                WHEN regexp_matches(issue_type, '[Mm]issing') THEN 'OPERATIONS|Missing item'
-                WHEN regexp_matches(issue_type, '[Pp]ackag|[Ss]pillage') THEN 'OPERATIONS|Bad condition / packaging'
-                WHEN regexp_matches(issue_type, '[Ll]ate|[Dd]elay|[Dd]eliver') THEN 'OPERATIONS|Late delivery'
-                WHEN regexp_matches(lower(issue_type), 'quality') THEN 'PRODUCT|quality'
-                WHEN regexp_matches(lower(issue_type), 'taste') THEN 'PRODUCT|taste'
-                WHEN regexp_matches(lower(issue_type), 'fresh') THEN 'PRODUCT|fresh'
-                WHEN regexp_matches(lower(issue_type), 'expir') THEN 'PRODUCT|expir' ELSE 'OTHER|unclassified' END AS kt
-    FROM complaints""")
-check_view("theme_spans", """
+def theme_sql(c: str) -> str:
+    return f"""CASE WHEN regexp_matches({c}, '[Ww]rong') THEN 'OPERATIONS|Wrong item'
+                WHEN regexp_matches({c}, '[Mm]issing') THEN 'OPERATIONS|Missing item'
+                WHEN regexp_matches({c}, '[Pp]ackag|[Ss]pillage') THEN 'OPERATIONS|Bad condition / packaging'
+                WHEN regexp_matches({c}, '[Ll]ate|[Dd]elay|[Dd]eliver') THEN 'OPERATIONS|Late delivery'
+                WHEN regexp_matches(lower({c}), 'quality') THEN 'PRODUCT|quality'
+                WHEN regexp_matches(lower({c}), 'taste') THEN 'PRODUCT|taste'
+                WHEN regexp_matches(lower({c}), 'fresh') THEN 'PRODUCT|fresh'
+                WHEN regexp_matches(lower({c}), 'expir') THEN 'PRODUCT|expir' ELSE 'OTHER|unclassified' END"""
+
+
+def clusters_sql(rows: str) -> str:
+    spans = f"""
     SELECT product, kt, n AS window_first, last AS window_last, hits FROM (
-      SELECT product, kt, n, count(*) OVER w AS hits, max(n) OVER w AS last FROM themed WHERE product IS NOT NULL
+      SELECT product, kt, n, count(*) OVER w AS hits, max(n) OVER w AS last FROM {rows} WHERE product IS NOT NULL
       WINDOW w AS (PARTITION BY product, kt ORDER BY n RANGE BETWEEN CURRENT ROW AND 14 FOLLOWING))
-    QUALIFY row_number() OVER (PARTITION BY product, kt ORDER BY hits DESC, n) = 1""")
-add("complaint_clusters", complaints.complaint_clusters, """
+    QUALIFY row_number() OVER (PARTITION BY product, kt ORDER BY hits DESC, n) = 1"""
+    return f"""
     SELECT s.product, split_part(s.kt, '|', 1) AS kind, split_part(s.kt, '|', 2) AS theme, s.window_first, s.window_last,
            s.window_last - s.window_first AS span, s.hits AS review_count,
            count(DISTINCT t.master_store_id) AS store_count, min(t.d) AS window_start, max(t.d) AS window_end,
            string_agg(t.d || ' ' || t.event_id, chr(10) ORDER BY t.n, t.event_id) FILTER (t.rk <= 4) AS evidence,
            split_part(s.kt, '|', 1) = 'PRODUCT' AND s.hits >= 3 AS qualifies
-    FROM theme_spans s JOIN (
+    FROM ({spans}) s JOIN (
       SELECT t.*, row_number() OVER (PARTITION BY t.product, t.kt ORDER BY t.n, t.event_id) AS rk
-      FROM themed t JOIN theme_spans x ON x.product = t.product AND x.kt = t.kt
+      FROM {rows} t JOIN ({spans}) x ON x.product = t.product AND x.kt = t.kt
        AND t.n BETWEEN x.window_first AND x.window_last) t ON t.product = s.product AND t.kt = s.kt
-    GROUP BY ALL""")
+    GROUP BY ALL"""
+
+
+check_view("themed", f"""
+    SELECT event_id, master_store_id, upper(trim(item_name)) AS product,
+           CAST(complaint_received_at AS DATE) - DATE '2026-01-01' AS n,
+           strftime(complaint_received_at, '%Y-%m-%d') AS d, {theme_sql('issue_type')} AS kt
+    FROM complaints""")
+add("complaint_clusters", complaints.complaint_clusters, clusters_sql("themed"))
+REVIEWS_NAMED = """
+    SELECT v.review_id, v.master_store_id AS s, strftime(v.day, '%Y-%m-%d') AS d, v.day - DATE '2026-01-01' AS n,
+           v.review_text AS t, coalesce(f.sku, '') AS p
+    FROM review_rows v LEFT JOIN (SELECT upper(fam) AS fam, min(sku) AS sku FROM family_list GROUP BY 1) f
+      ON contains(upper(v.review_text), f.fam)
+    WHERE v.star_rating <= 3
+    QUALIFY row_number() OVER (PARTITION BY v.review_id ORDER BY length(f.fam) DESC NULLS LAST, f.fam) = 1"""
+check_view("reviews_named", REVIEWS_NAMED)
+check_view("themed_reviews", f"""
+    SELECT review_id AS event_id, s AS master_store_id, p AS product, n, d, {theme_sql('t')} AS kt
+    FROM reviews_named WHERE p <> ''""")
+add("review_clusters", lambda t: complaints.review_clusters(t, REV), clusters_sql("themed_reviews"))
 add("complaint_theme_rules", lambda t: complaints.v_complaint_events(t).select(
     "event_id", complaints.theme_rules().alias("kind_theme")), "SELECT event_id, kt AS kind_theme FROM themed")
 

@@ -8,7 +8,7 @@ from tallyroom import functions as fn
 from tallyroom.operators import gather as G
 from tallyroom.operators.ranking import best_span, commonest, share_of_total
 from tallyroom.operators.snapshots import in_force_row, latest_global, latest_row, latest_snapshot
-from tallyroom.plans import ideas, marketing, products, recipes
+from tallyroom.plans import complaints, ideas, marketing, products, recipes
 from tallyroom.sources.tables import GivenTables
 
 DAY = date(2026, 6, 1)
@@ -182,3 +182,20 @@ def test_version_suffix_and_generated_key(spark):
     df = spark.createDataFrame([("RCP-a-v7", None, ""), ("RCP-b", 2, "K1")], "id string, v bigint, k string")
     got = df.select(fn.version_of("v", "id").alias("v"), fn.generated_key("k", "P_", "id").alias("k")).collect()
     assert [g.v for g in got] == [7, 2] and got[1].k == "K1" and got[0].k.startswith("P_") and len(got[0].k) == 10
+
+
+def test_review_clusters_follow_the_product_that_the_text_names(spark, monkeypatch):
+    from datetime import timedelta
+
+    day = date(2026, 3, 20)
+    texts = ["The Date Bar had no taste", "date bar: taste was off", "DATE BAR lost its taste", "wrong item, not the date bar",
+             "nut bite without taste", "no product, no taste"]
+    reviews = [(f"r{i}", "s1", day - timedelta(3 * i), x, 1.0) for i, x in enumerate(texts)]
+    t = GivenTables(
+        spark,
+        customer_review_events=spark.createDataFrame(reviews, "review_id string, master_store_id string, review_date date, review_text string, star_rating double"),
+        dim_product=spark.createDataFrame([("1", "Dessert - Date Bar - 40 gm", True), ("2", "Nut Bite - 20 gm", True)], "sku string, display_name string, is_active boolean"),
+        product_pricing=spark.createDataFrame([("1", 10.0), ("2", 5.0)], "sku string, total_cogs_inr double"))
+    monkeypatch.setattr(products, "product_facets", lambda t: t.dim_product.join(t.product_pricing, "sku"))
+    got = {(r["product"], r["theme"]): (r["review_count"], r["qualifies"]) for r in complaints.review_clusters(t, day).collect()}
+    assert got == {("1", "taste"): (3, True), ("1", "Wrong item"): (1, False), ("2", "taste"): (1, False)}
