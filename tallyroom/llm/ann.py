@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tallyroom.llm.tables import written
+from tallyroom.llm.tables import hash_share, written
 
 SAMPLE = 20_000  # vectors that fit the codebooks: the bound of the sample
 CENTROIDS = 256  # of each half, where the sample has eight vectors for each
@@ -167,11 +167,13 @@ def neighbours(vectors: DataFrame, every: int = 20, k: int = 20, share: float =
     """
     spark = vectors.sparkSession
     good = usable(vectors)
-    sample = good.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).select("v").collect()
+    total = good.count()
+    sample = (good.where(hash_share(["vec_id"], SAMPLE, total)).orderBy(F.xxhash64("vec_id"), "vec_id")
+              .limit(SAMPLE).select("v").collect())
     points = np.array([r.v for r in sample], np.float64)
     if not len(points):
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    total, dims = good.count(), points.shape[1]
+    dims = points.shape[1]
     size, half = int(min(CENTROIDS, max(1, len(points) // 8))), dims // 2
     index = MultiIndex(kmeans(points[:, :half], size), kmeans(points[:, half:], size))
     books = spark.sparkContext.broadcast(index)

@@ -24,6 +24,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyroom.llm.tables import hash_share
+
 SAMPLE = 300  # pages of the table that training reads: the bound of the sample
 BATCH = 64  # pages whose messages are passed together
 
@@ -365,9 +367,10 @@ _HIDDEN = re.compile(r"<(/?)(?:article|main)\b[^>]*>", re.I)
 
 def train(pages: DataFrame, sample: int = SAMPLE) -> TreeModel:
     """Fit on generated layouts and on at most ``sample`` pages of the table that mark their
-    article, those with the smallest hash of page_id and html."""
-    rows = (pages.select(F.col("html").cast("string").alias("html")).where(F.col("html").rlike("(?i)<(article|main)\\b"))
-            .orderBy(F.xxhash64("html"), "html").limit(sample).collect())
+    article, of a hash sample of distinct pages."""
+    texts = pages.select(F.col("html").cast("string").alias("html"))
+    rows = (texts.where(hash_share(["html"], sample, pages.count())).where(F.col("html").rlike("(?i)<(article|main)\\b"))
+            .distinct().orderBy(F.xxhash64("html"), "html").limit(sample).collect())
     known = []
     for source in layouts():
         page = Page(source)

@@ -21,7 +21,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-SAMPLE = 12_000  # labelled documents that are read for training: the bound of the sample
+from tallyroom.llm.tables import hash_share
+
+SAMPLE = 12_000  # documents of the hash sample that training reads, about a fifth of them held out
 WORDS = 20_000  # words kept per language
 GRAMS = 5_000  # n-grams kept per language and length
 LONGEST = 4  # characters of the longest n-gram
@@ -133,15 +135,12 @@ def held_out(doc_id) -> F.Column:
 
 
 def train(docs: DataFrame, sample: int = SAMPLE, words: int = WORDS, grams: int = GRAMS) -> Backoff:
-    """Fit on at most ``sample`` documents with a language that are not held out, those with the
-    smallest hash of doc_id and text. A null doc_id is not sampled."""
+    """Fit on those of about ``sample`` documents, drawn by the hash of doc_id, that have a language
+    and are not held out. A null doc_id is not sampled."""
     named = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"),
                         F.col("text").cast("string").alias("text"))
     chosen = named.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
-    cut = chosen.select(F.xxhash64("doc_id").alias("h")).orderBy("h").limit(sample).agg(F.max("h")).first()[0]
-    if cut is None:
-        return Backoff([], [{} for _ in range(LONGEST + 1)])
-    counted = (chosen.where(F.xxhash64("doc_id") <= cut).select("lang", "text")
+    counted = (chosen.where(hash_share(["doc_id"], sample, docs.count())).select("lang", "text")
                .mapInArrow(_counts, "lang string, n int, item string, c long")
                .groupBy("lang", "n", "item").agg(F.sum("c").alias("c")))
     # the most frequent entries per language and length: the window's rank limit cuts on the map side

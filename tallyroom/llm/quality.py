@@ -21,6 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyroom.llm.tables import hash_share
+
 DIMENSIONS = 1 << 18
 SAMPLE = 6_000  # rated documents that the fit reads: the bound of the sample
 GRADES = 3
@@ -157,13 +159,14 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Ordinal:
-    """Fit on at most ``sample`` rated documents, those with the smallest hash of doc_id.
+    """Fit on at most ``sample`` rated documents, drawn by the hash of doc_id.
 
     ``labels`` has doc_id, quality and toxic (0/1). Rows with a null doc_id or no rating take no
     part; of a doc_id rated twice the lower grade counts.
     """
     grade = F.when(F.col("toxic") == 1, 0).when(F.col("quality") == 0, 1).when(F.col("quality") == 1, 2)
-    rated = (labels.select(F.col("doc_id").cast("long").alias("doc_id"), grade.cast("int").alias("grade")).dropna()
+    named = labels.select(F.col("doc_id").cast("long").alias("doc_id"), grade.cast("int").alias("grade")).dropna()
+    rated = (named.where(hash_share(["doc_id"], sample, labels.count()))
              .groupBy("doc_id").agg(F.min("grade").alias("grade"))
              .orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample))
     # at most ``sample`` rows of two numbers, so this side may be broadcast

@@ -27,6 +27,14 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def hash_share(columns: list[str], n: int, total: int):
+    """Condition that about ``n`` of ``total`` rows meet, by a hash of their columns. It is the same for
+    any partitioning, and a scan applies it, so a sample's rows are all that moves."""
+    if n >= total:
+        return F.lit(True)
+    return F.xxhash64(*columns) < F.lit(-(1 << 63) + int((1 << 64) * (n / total)))
+
+
 def components(links: DataFrame, label: str, max_rounds: int = 60) -> DataFrame:
     """Smallest reachable node per linked node: (node, component).
 
