@@ -6,10 +6,11 @@ its own. Shingles are ordered with the longest inverted lists last and by hash o
 first n - T + 1 of a document enter the index. Following DivideSkip, the short lists of a
 document are merged with a heap, which yields the candidates and how often each occurred; what
 the bound on the rest cannot exclude is probed by binary search in the candidate's whole sorted
-set, which gives the exact overlap.
+set, which gives the exact overlap. Among long lists the shorter ones come first.
 
-Lists that stay longer than ``SHORT`` are not expanded into pairs: every member is compared with
-the list's first document, its hub. Pairs inside a component need no comparison, and Jaccard
+Lists that stay longer than ``SHORT`` are not expanded into pairs. A list's first document is its
+hub; every document is compared with the hub it shares most lists with, and with all its hubs only
+in lists whose members are then not in one component. Pairs inside a component need no comparison, and Jaccard
 distance is a metric, so a document whose similarity to the hub is below 1 - 2 * (1 - percent / 100)
 cannot link with any that links with the hub; only what both rules leave is compared after that.
 Equal sets are one node.
@@ -31,7 +32,7 @@ from tallyroom.llm.wordhash import Words, mix, windows
 
 WORDS = Words(b" \t\n\x0b\x0c\r")
 LONG = 64  # a list with more documents counts as long when shingles are ordered
-MAX_LONG = 400_000  # long lists that are named to the tasks, the longest first: 1.6 MB
+MAX_LONG = 400_000  # long lists that are named to the tasks, the longest first: 6.4 MB
 SHORT = 64  # members of a list that are merged as pairs
 BITS = 1 << 22  # size of the filter that picks the texts to shingle again
 
@@ -51,14 +52,16 @@ def needed(n, percent: int):
 
 
 def prefix_of(shingles: np.ndarray, percent: int, long_ones: np.ndarray) -> np.ndarray:
-    """The shingles of a set that enter the index; ``long_ones`` are sorted slots."""
+    """The shingles of a set that enter the index; ``long_ones`` has a row of sorted slots and a row of
+    their counts."""
     n = len(shingles)
     p = n - needed(n, percent) + 1 if n else 0
-    if len(long_ones) and n:
-        own = slots(shingles)
-        is_long = long_ones[np.minimum(np.searchsorted(long_ones, own), len(long_ones) - 1)] == own
-        if is_long[:p].any():
-            return np.concatenate((shingles[~is_long], shingles[is_long]))[:p]
+    if long_ones.shape[1] and n:
+        own = slots(shingles).astype(np.int64)
+        at = np.minimum(np.searchsorted(long_ones[0], own), long_ones.shape[1] - 1)
+        count = np.where(long_ones[0, at] == own, long_ones[1, at], 0)
+        if count[:p].any():
+            return shingles[np.argsort(count, kind="stable")][:p]
     return shingles[:p]
 
 
@@ -222,8 +225,9 @@ def near_copies(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     parts = int(min(1 << 16, max(16, words // 2_000_000)))
     long_rows = (rows.select("text").mapInArrow(_slot_counts(k, parts), "part int, planes binary")
                  .groupBy("part").applyInPandas(_long_slots, "slot long, c long")
-                 .orderBy(F.desc("c"), "slot").limit(MAX_LONG).select("slot").collect())
-    long_ones = spark.sparkContext.broadcast(np.sort(np.array([r.slot for r in long_rows], np.uint32)))
+                 .orderBy(F.desc("c"), "slot").limit(MAX_LONG).collect())
+    named = sorted((r.slot, r.c) for r in long_rows)
+    long_ones = spark.sparkContext.broadcast(np.array(named, np.int64).reshape(-1, 2).T.copy())
 
     index = written(rows.mapInArrow(_prefixes(k, percent, long_ones),
                                     "doc_id long, sig long, n long, prefix array<long>"), "shingle-prefixes")
@@ -251,25 +255,33 @@ def near_copies(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
               .select("x", "nx", F.coalesce("n_long", F.lit(0)).alias("n_long"), "l.reps", "l.sizes")
               .mapInArrow(_merge(percent), "a long, b long"))
     hubs = sizes.where(F.col("members") > SHORT).select("h", "hub", "hub_n")
-    to_hub = (live.join(hubs, "h").where("rep <> hub")
-              .where(100 * F.least("n", "hub_n") >= percent * F.greatest("n", "hub_n"))
-              .select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct())
+    fitting = 100 * F.least("n", "hub_n") >= percent * F.greatest("n", "hub_n")
+    best_hub = (live.join(hubs, "h").where("rep <> hub").where(fitting).groupBy("rep", "hub").count()
+                .groupBy("rep").agg(F.max_by("hub", F.struct("count", -F.col("hub"))).alias("hub")))
 
-    near = _reachable(index, merged, percent).unionByName(to_hub).distinct()
+    near = _reachable(index, merged, percent).unionByName(
+        best_hub.select(F.col("hub").alias("a"), F.col("rep").alias("b"))).distinct()
     tested = _tested(spark, rows, near, k, percent)
     found = components(tested.where("linked").select("a", "b"), "copy-components")
 
-    # long lists whose members are not all in one component
-    placed = (live.join(hubs, "h").join(found.withColumnRenamed("node", "rep"), "rep", "left")
-              .select("h", "hub", "rep", "n", F.coalesce("component", "rep").alias("component")))
-    opened = placed.groupBy("h").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
-    to_own_hub = tested.select(F.col("a").alias("hub"), F.col("b").alias("rep"), "linked", "gray")
-    open_rows = written(placed.join(opened.select("h"), "h").join(to_own_hub, ["hub", "rep"], "left").select(
-        "h", "rep", "n", "component", (F.coalesce("linked", F.lit(False)) | (F.col("rep") == F.col("hub"))).alias("linked"),
-        F.coalesce("gray", F.lit(False)).alias("gray")), "open-lists")
-    if not open_rows.where("NOT linked").isEmpty():
-        left = open_rows.where("NOT linked").toDF("h", "x", "nx", "cx", "lx", "gx")
-        right = open_rows.toDF("h", "y", "ny", "cy", "ly", "gy")
+    # a pair that sizes alone keep from linking was not tested, and may still be gray
+    may_be_gray = 100 * F.least("n", "hub_n") >= (2 * percent - 100) * F.greatest("n", "hub_n")
+
+    # in long lists whose members are not all in one component, every member meets the hub
+    in_long_lists = live.join(hubs, "h")
+    opened = written(_opened(in_long_lists, found), "open-lists")
+    if not opened.isEmpty():
+        to_hub = (opened.where("rep <> hub").where(fitting).select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct()
+                  .join(tested.select("a", "b"), ["a", "b"], "left_anti"))
+        tested = written(tested.unionByName(_tested(spark, rows, to_hub, k, percent)), "copy-tests")
+        found = components(tested.where("linked").select("a", "b"), "copy-components")
+        to_own_hub = tested.select(F.col("a").alias("hub"), F.col("b").alias("rep"), "linked", "gray")
+        opened = written(_opened(opened.drop("component"), found).join(to_own_hub, ["hub", "rep"], "left").select(
+            "h", "rep", "n", "component", (F.coalesce("linked", F.lit(False)) | (F.col("rep") == F.col("hub"))).alias("linked"),
+            F.coalesce("gray", may_be_gray).alias("gray")), "open-lists")
+    if "linked" in opened.columns and not opened.where("NOT linked").isEmpty():
+        left = opened.where("NOT linked").toDF("h", "x", "nx", "cx", "lx", "gx")
+        right = opened.toDF("h", "y", "ny", "cy", "ly", "gy")
         across = (left.join(right, "h").where("cx <> cy AND (gx OR NOT ly)")
                   .where(100 * F.least("nx", "ny") >= percent * F.greatest("nx", "ny"))
                   .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
@@ -283,6 +295,14 @@ def near_copies(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
                     .alias("component_id")))
 
 
+def _opened(entries: DataFrame, found: DataFrame) -> DataFrame:
+    """Entries, with their documents' components, of the lists that hold more than one component."""
+    placed = (entries.select("h", "hub", "hub_n", "rep", "n").join(found.withColumnRenamed("node", "rep"), "rep", "left")
+              .withColumn("component", F.coalesce("component", "rep")))
+    opened = placed.groupBy("h").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
+    return placed.join(opened.select("h"), "h").select("h", "hub", "hub_n", "rep", "n", "component")
+
+
 def _reachable(index: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
     """Candidate pairs (a, b) that their indexed shingles do not exclude."""
     known = index.where("n > 0").select("doc_id", "n", "prefix").dropDuplicates(["doc_id"])

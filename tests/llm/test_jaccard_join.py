@@ -70,6 +70,18 @@ def test_long_lists_lose_no_link(make_docs, monkeypatch, short, long):
     assert result(jaccard_join.near_copies(make_docs(rows))) == brute(rows)
 
 
+def test_a_chain_past_the_hubs_size(make_docs, monkeypatch):
+    """The longest of a chain is the hub; the shortest links only with the one between, whose size the
+    hub's list does not rule out."""
+    monkeypatch.setattr(jaccard_join, "SHORT", 1)
+    monkeypatch.setattr(jaccard_join, "LONG", 2)
+    words = [f"w{i}" for i in range(104)]
+    rows = [(1, " ".join(words)), (2, " ".join(words[:89])), (3, " ".join(words[:76])), (4, " ".join(words[:20]))]
+    want = brute(rows)
+    assert {i: c for i, (_, c) in want.items()} == {1: 1, 2: 1, 3: 1, 4: 4}
+    assert result(jaccard_join.near_copies(make_docs(rows))) == want
+
+
 def test_edges(make_docs, spark):
     text = " ".join(f"w{i}" for i in range(50))
     rows = [(1, None), (2, ""), (3, " \n"), (4, text), (5, text), (5, text), (6, "one two"), (7, "ONE  two"), (None, text), (8, None)]
