@@ -30,7 +30,9 @@ SAMPLE = 20_000  # vectors that fit the codebooks: the bound of the sample
 CENTROIDS = 256  # of each half, where the sample has eight vectors for each
 SHARE = 0.33  # share of all vectors that a walk collects, for a recall over 0.9 on vectors without clusters
 LEAST = 2_000  # vectors that a walk collects at least
-BLOCK = 2_048  # vectors, and queries, of a block
+BLOCK = 16_384  # vectors of a block: few blocks, as each gives back its best for every query
+QUERIES = 2_048  # queries of a block
+AT_ONCE = 128  # queries that are scored together
 
 
 def kmeans(points: np.ndarray, k: int, rounds: int = 12, seed: int = 7) -> np.ndarray:
@@ -131,18 +133,21 @@ def _rerank(k: int, width: int, blocks: int):
         v = np.stack(vectors["v"].to_numpy()).astype(np.float64)
         ids, query_ids, cell = vectors["vec_id"].to_numpy(), queries["query_id"].to_numpy(), vectors["cell"].to_numpy()
         place = cell // width // blocks * width + cell % width  # of the cell in the block's bit map
-        score = np.zeros((len(q), len(v)))
-        for d in range(q.shape[1]):  # one order of addition for every pair: equal vectors tie exactly
-            score += q[:, d, None] * v[None, :, d]
         out = []
         for i, bits in enumerate(queries["bits"]):
+            if i % AT_ONCE == 0:
+                some = q[i:i + AT_ONCE]
+                score = np.zeros((len(some), len(v)))
+                for d in range(q.shape[1]):  # one order of addition for every pair: equal vectors tie exactly
+                    score += some[:, d, None] * v[None, :, d]
+            own = score[i % AT_ONCE]
             walked = np.unpackbits(np.frombuffer(bits, np.uint8))[place].astype(bool)
             top = np.flatnonzero(walked & (ids != query_ids[i]))
-            s = score[i, top]
+            s = own[top]
             if len(s) > k:
                 top = top[s >= np.partition(s, len(s) - k)[len(s) - k]]
-            top = top[np.argsort(-score[i, top], kind="stable")][:k]
-            out.append((np.full(len(top), query_ids[i]), ids[top], score[i, top]))
+            top = top[np.argsort(-own[top], kind="stable")][:k]
+            out.append((np.full(len(top), query_ids[i]), ids[top], own[top]))
         return pd.DataFrame({c: np.concatenate([o[n] for o in out]) for n, c in enumerate(("query_id", "vec_id", "score"))})
     return run
 
@@ -190,7 +195,7 @@ def neighbours(vectors: DataFrame, every: int = 20, k: int = 20, share: float =
 
     # both sides of a block are cut by hash, each piece of one side meets each of the other
     pieces = (listed.groupBy("block").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("nv"))
-              .join(asked.groupBy("block").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("nq")), "block"))
+              .join(asked.groupBy("block").agg(F.ceil(F.count("*") / QUERIES).cast("int").alias("nq")), "block"))
     left = (asked.join(pieces, "block").withColumn("b", F.pmod(F.xxhash64("query_id"), "nq").cast("int"))
             .select("block", F.explode(F.sequence(F.lit(0), F.col("nv") - 1)).alias("a"), "b", "query_id", "q", "bits"))
     right = (listed.join(pieces, "block").withColumn("a", F.pmod(F.xxhash64("vec_id"), "nv").cast("int"))

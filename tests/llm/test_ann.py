@@ -61,6 +61,7 @@ def test_few_and_no_vectors(spark):
 
 def test_blocks_of_a_hot_cell(spark, monkeypatch):
     monkeypatch.setattr(ann, "BLOCK", 16)
+    monkeypatch.setattr(ann, "QUERIES", 7)
     rows = [(i, [1.0, 1.0, 1.0, 1.0 + i * 1e-3]) for i in range(200)]
     got = ann.neighbours(frame(spark, rows), every=5, k=3).collect()
     assert len(got) == 120
