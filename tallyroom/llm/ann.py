@@ -6,8 +6,9 @@ half are sorted by their inner product with the query's half, and a heap walks t
 order of the summed product (the multi-sequence algorithm) until the lists seen hold enough
 candidates. All vectors of those cells are then reranked with the exact product.
 
-Codebooks are fitted on a bounded sample; every vector is indexed and every walked list is read
-whole. Cells are dealt into blocks by their first centroid; a query goes to each block with a bit
+Equal vectors are one entry of the index, with the smallest of their ids, as many as an answer can
+show; so copies neither use up a walk nor take places from other vectors. Codebooks are fitted on
+a bounded sample; every entry is indexed and every walked list is read whole. Cells are dealt into blocks by their first centroid; a query goes to each block with a bit
 map of the cells it walked there. A block with many vectors or queries is cut by hash on both
 sides, so that no task holds more than a bounded number of each.
 """
@@ -26,11 +27,11 @@ from pyspark.sql.window import Window
 
 from tallyroom.llm.tables import hash_share, written
 
-SAMPLE = 20_000  # vectors that fit the codebooks: the bound of the sample
+SAMPLE = 20_000  # distinct vectors that fit the codebooks: the bound of the sample
 CENTROIDS = 256  # of each half, where the sample has eight vectors for each
-SHARE = 0.33  # share of all vectors that a walk collects, for a recall over 0.9 on vectors without clusters
-LEAST = 2_000  # vectors that a walk collects at least
-BLOCK = 16_384  # vectors of a block: few blocks, as each gives back its best for every query
+SHARE = 0.33  # share of all distinct vectors that a walk collects, for a recall over 0.9 on vectors without clusters
+LEAST = 2_000  # distinct vectors that a walk collects at least
+BLOCK = 16_384  # distinct vectors of a block: few blocks, as each gives back its best for every query
 QUERIES = 2_048  # queries of a block
 AT_ONCE = 128  # queries that are scored together
 
@@ -53,7 +54,7 @@ def nearest(points: np.ndarray, centres: np.ndarray) -> np.ndarray:
 
 
 class MultiIndex:
-    """Two codebooks, and how many vectors each cell holds."""
+    """Two codebooks, and how many distinct vectors each cell holds."""
 
     def __init__(self, left: np.ndarray, right: np.ndarray, counts: np.ndarray | None = None):
         self.left, self.right = left, right
@@ -98,7 +99,7 @@ def _assign(held, dims: int):
             if batch.num_rows:
                 cells = held.value.cells(_matrix(batch.column(1), dims))
                 yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(cells.astype(np.int32))],
-                                                 names=["vec_id", "v", "cell"])
+                                                 names=["ids", "v", "cell"])
     return run
 
 
@@ -124,14 +125,28 @@ def _walks(held, dims: int, wanted: int, blocks: int):
     return run
 
 
+def _best(score: np.ndarray, ids: np.ndarray, query_id: int, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first ``k`` distinct (score, id) of the vectors' ids, without the query's own; ties by id."""
+    take = k
+    while True:
+        # all vectors that tie with the last one; an id of several vectors may ask for more of them
+        top = np.flatnonzero(score >= np.partition(score, len(score) - take)[len(score) - take]) if take < len(score) \
+            else np.arange(len(score))
+        pairs = {(-s, i) for s, own in zip(score[top].tolist(), ids[top], strict=True) for i in own.tolist() if i != query_id}
+        if len(pairs) >= k or len(top) == len(score):
+            best = sorted(pairs)[:k]
+            return np.array([i for _, i in best], np.int64), np.array([-s for s, _ in best], np.float64)
+        take = 2 * len(top)
+
+
 def _rerank(k: int, width: int, blocks: int):
     def run(queries: pd.DataFrame, vectors: pd.DataFrame) -> pd.DataFrame:
         if not len(queries) or not len(vectors):
             return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
         q = np.stack(queries["q"].to_numpy()).astype(np.float64)
-        vectors = vectors.sort_values("vec_id", kind="stable")
         v = np.stack(vectors["v"].to_numpy()).astype(np.float64)
-        ids, query_ids, cell = vectors["vec_id"].to_numpy(), queries["query_id"].to_numpy(), vectors["cell"].to_numpy()
+        ids, query_ids, cell = vectors["ids"].to_numpy(), queries["query_id"].to_numpy(), vectors["cell"].to_numpy()
+        first, copies = np.array([x[0] for x in ids]), np.array([len(x) for x in ids])
         place = cell // width // blocks * width + cell % width  # of the cell in the block's bit map
         out = []
         for i, bits in enumerate(queries["bits"]):
@@ -142,12 +157,9 @@ def _rerank(k: int, width: int, blocks: int):
                     score += some[:, d, None] * v[None, :, d]
             own = score[i % AT_ONCE]
             walked = np.unpackbits(np.frombuffer(bits, np.uint8))[place].astype(bool)
-            top = np.flatnonzero(walked & (ids != query_ids[i]))
-            s = own[top]
-            if len(s) > k:
-                top = top[s >= np.partition(s, len(s) - k)[len(s) - k]]
-            top = top[np.argsort(-own[top], kind="stable")][:k]
-            out.append((np.full(len(top), query_ids[i]), ids[top], own[top]))
+            top = np.flatnonzero(walked & ((copies > 1) | (first != query_ids[i])))
+            found, score_of = _best(own[top], ids[top], query_ids[i], k)
+            out.append((np.full(len(found), query_ids[i]), found, score_of))
         return pd.DataFrame({c: np.concatenate([o[n] for o in out]) for n, c in enumerate(("query_id", "vec_id", "score"))})
     return run
 
@@ -162,6 +174,15 @@ def usable(vectors: DataFrame) -> DataFrame:
     return df.where(F.size("v") == (common.n if common else 0))
 
 
+def entries(good: DataFrame, total: int, most: int) -> DataFrame:
+    """(ids, v): each distinct vector once, with its ``most`` smallest ids. Ids are gathered per
+    share of them first, so that a vector with many copies is not one task's."""
+    shares = max(1, int(total ** 0.5))
+    some = good.groupBy("v", F.pmod(F.xxhash64("vec_id"), F.lit(shares)).alias("share")).agg(
+        F.slice(F.array_sort(F.collect_set("vec_id")), 1, most).alias("ids"))
+    return some.groupBy("v").agg(F.slice(F.array_sort(F.flatten(F.collect_list("ids"))), 1, most).alias("ids")).select("ids", "v")
+
+
 def neighbours(vectors: DataFrame, every: int = 20, k: int = 20, share: float = SHARE, least: int = LEAST) -> DataFrame:
     """Queries are the vectors whose vec_id is divisible by ``every``. Per query its ``k`` found
     neighbours with the largest inner product: query_id, rank (from 1), vec_id, score.
@@ -173,8 +194,9 @@ def neighbours(vectors: DataFrame, every: int = 20, k: int = 20, share: float =
     spark = vectors.sparkSession
     good = usable(vectors)
     total = good.count()
-    sample = (good.where(hash_share(["vec_id"], SAMPLE, total)).orderBy(F.xxhash64("vec_id"), "vec_id")
-              .limit(SAMPLE).select("v").collect())
+    different = good.select(F.xxhash64("v")).distinct().count()
+    sample = (good.where(hash_share(["v"], SAMPLE, different)).select("v").distinct()
+              .orderBy(F.xxhash64("v"), "v").limit(SAMPLE).collect())
     points = np.array([r.v for r in sample], np.float64)
     if not len(points):
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
@@ -182,14 +204,15 @@ def neighbours(vectors: DataFrame, every: int = 20, k: int = 20, share: float =
     size, half = int(min(CENTROIDS, max(1, len(points) // 8))), dims // 2
     index = MultiIndex(kmeans(points[:, :half], size), kmeans(points[:, half:], size))
     books = spark.sparkContext.broadcast(index)
-    listed = written(good.mapInArrow(_assign(books, dims), "vec_id long, v array<double>, cell int"), "vector-cells")
+    listed = written(entries(good, total, k + 1).mapInArrow(_assign(books, dims), "ids array<long>, v array<double>, cell int"),
+                     "vector-cells")
     counts = np.zeros(size * size, int)
     for r in listed.groupBy("cell").count().collect():  # at most CENTROIDS * CENTROIDS cells
         counts[r.cell] = r["count"]
     index = spark.sparkContext.broadcast(MultiIndex(index.left, index.right, counts))
-    blocks = int(min(size, max(1, total // BLOCK)))
-    wanted = max(least, int(share * total))
-    asked = written(listed.where(F.col("vec_id") % every == 0).select("vec_id", "v").mapInArrow(
+    blocks = int(min(size, max(1, counts.sum() // BLOCK)))
+    wanted = max(least, int(share * counts.sum()))
+    asked = written(good.where(F.col("vec_id") % every == 0).distinct().mapInArrow(
         _walks(index, dims, wanted, blocks), "query_id long, q array<double>, block int, bits binary"), "vector-walks")
     listed = listed.withColumn("block", (F.expr(f"cell div {size}") % blocks).cast("int"))
 
@@ -198,8 +221,8 @@ def neighbours(vectors: DataFrame, every: int = 20, k: int = 20, share: float =
               .join(asked.groupBy("block").agg(F.ceil(F.count("*") / QUERIES).cast("int").alias("nq")), "block"))
     left = (asked.join(pieces, "block").withColumn("b", F.pmod(F.xxhash64("query_id"), "nq").cast("int"))
             .select("block", F.explode(F.sequence(F.lit(0), F.col("nv") - 1)).alias("a"), "b", "query_id", "q", "bits"))
-    right = (listed.join(pieces, "block").withColumn("a", F.pmod(F.xxhash64("vec_id"), "nv").cast("int"))
-             .select("block", "a", F.explode(F.sequence(F.lit(0), F.col("nq") - 1)).alias("b"), "vec_id", "v", "cell"))
+    right = (listed.join(pieces, "block").withColumn("a", F.pmod(F.xxhash64("v"), "nv").cast("int"))
+             .select("block", "a", F.explode(F.sequence(F.lit(0), F.col("nq") - 1)).alias("b"), "ids", "v", "cell"))
     key = ["block", "a", "b"]
     found = (left.groupBy(*key).cogroup(right.groupBy(*key))
              .applyInPandas(_rerank(k, size, blocks), "query_id long, vec_id long, score double"))

@@ -75,3 +75,15 @@ def test_walk_goes_by_the_summed_product():
     cells = index.walk(q, 36)
     score = [index.left[c // 6] @ q[:3] + index.right[c % 6] @ q[3:] for c in cells]
     assert sorted(cells) == list(range(36)) and np.all(np.diff(score) <= 1e-12)
+
+
+def test_recall_with_a_third_copies(spark):
+    rng = np.random.default_rng(5)
+    rows = [(i, rng.normal(size=16) + 0.5) for i in range(1400)]
+    copies = [(2001 + i, [1.2] * 16) for i in range(700)]
+    got = ann.neighbours(frame(spark, rows + copies), every=20, k=10, share=0.15, least=50).where("query_id < 1400").collect()
+    found = {}
+    for r in got:
+        found.setdefault(r.query_id, set()).add(r.vec_id)
+    share = [len(found.get(q, set()) & {v for v, _ in exact(rows + copies, q, 10)}) / 10 for q in range(0, 1400, 20)]
+    assert np.mean(share) >= 0.95 and np.min(share) >= 0.5
