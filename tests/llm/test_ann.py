@@ -87,3 +87,10 @@ def test_recall_with_a_third_copies(spark):
         found.setdefault(r.query_id, set()).add(r.vec_id)
     share = [len(found.get(q, set()) & {v for v, _ in exact(rows + copies, q, 10)}) / 10 for q in range(0, 1400, 20)]
     assert np.mean(share) >= 0.95 and np.min(share) >= 0.5
+
+
+def test_repeated_rows_inside_the_answer(spark):
+    rows = [(i, [1.0, i * 0.01]) for i in range(1, 13)] + [(0, [1.0, 1.0])]
+    repeated = rows + [(12, [1.0, 0.12])] * 20 + [(11, [1.0, 0.11]), (11, [0.11, 1.0]), (0, [1.0, 1.0])]
+    got = sorted(ann.neighbours(frame(spark, repeated), every=20, k=5).collect(), key=lambda r: r["rank"])
+    assert [(r["rank"], r.vec_id) for r in got] == [(1, 12), (2, 11), (3, 10), (4, 9), (5, 8)]
