@@ -367,9 +367,11 @@ _HIDDEN = re.compile(r"<(/?)(?:article|main)\b[^>]*>", re.I)
 
 def train(pages: DataFrame, sample: int = SAMPLE) -> TreeModel:
     """Fit on generated layouts and on at most ``sample`` pages of the table that mark their
-    article, of a hash sample of distinct pages."""
+    article, drawn by hash from all distinct ones."""
     texts = pages.select(F.col("html").cast("string").alias("html"))
-    rows = (texts.where(hash_share(["html"], sample, pages.count())).where(F.col("html").rlike("(?i)<(article|main)\\b"))
+    texts = texts.where(F.col("html").rlike("(?i)<(article|main)\\b"))
+    different = texts.select(F.xxhash64("html")).distinct().count()
+    rows = (texts.where(hash_share(["html"], sample, different))
             .distinct().orderBy(F.xxhash64("html"), "html").limit(sample).collect())
     known = []
     for source in layouts():

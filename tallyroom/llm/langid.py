@@ -21,9 +21,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tallyroom.llm.tables import hash_share
+from tallyroom.llm.tables import label_share
 
-SAMPLE = 12_000  # documents of the hash sample that training reads, about a fifth of them held out
+SAMPLE = 12_000  # labelled documents that training reads, shared evenly by the languages
 WORDS = 20_000  # words kept per language
 GRAMS = 5_000  # n-grams kept per language and length
 LONGEST = 4  # characters of the longest n-gram
@@ -135,12 +135,14 @@ def held_out(doc_id) -> F.Column:
 
 
 def train(docs: DataFrame, sample: int = SAMPLE, words: int = WORDS, grams: int = GRAMS) -> Backoff:
-    """Fit on those of about ``sample`` documents, drawn by the hash of doc_id, that have a language
-    and are not held out. A null doc_id is not sampled."""
+    """Fit on about ``sample`` of the documents that have a language and are not held out, drawn by
+    the hash of doc_id. Languages have even parts, and a rare one is read whole. A null doc_id is
+    not sampled."""
     named = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"),
                         F.col("text").cast("string").alias("text"))
     chosen = named.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
-    counted = (chosen.where(hash_share(["doc_id"], sample, docs.count())).select("lang", "text")
+    counts = {r.lang: r["count"] for r in chosen.groupBy("lang").count().collect()}  # one row per language
+    counted = (chosen.where(label_share(["doc_id"], "lang", sample, counts)).select("lang", "text")
                .mapInArrow(_counts, "lang string, n int, item string, c long")
                .groupBy("lang", "n", "item").agg(F.sum("c").alias("c")))
     # the most frequent entries per language and length: the window's rank limit cuts on the map side

@@ -21,10 +21,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyroom.llm.tables import hash_share
+from tallyroom.llm.tables import label_share
 
 DIMENSIONS = 1 << 18
-SAMPLE = 6_000  # rated documents that the fit reads: the bound of the sample
+SAMPLE = 6_000  # rated documents that the fit reads, shared evenly by the grades: the bound of the sample
 GRADES = 3
 KEEP = 0.5  # documents whose tail probability P(grade >= 2) reaches this stay
 MAX_CHUNK = 1 << 20  # characters that are split into tokens at once
@@ -159,15 +159,17 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Ordinal:
-    """Fit on at most ``sample`` rated documents, drawn by the hash of doc_id.
+    """Fit on at most ``sample`` rated documents, drawn by the hash of doc_id. Grades have even parts,
+    and a rare one is read whole.
 
     ``labels`` has doc_id, quality and toxic (0/1). Rows with a null doc_id or no rating take no
     part; of a doc_id rated twice the lower grade counts.
     """
     grade = F.when(F.col("toxic") == 1, 0).when(F.col("quality") == 0, 1).when(F.col("quality") == 1, 2)
     named = labels.select(F.col("doc_id").cast("long").alias("doc_id"), grade.cast("int").alias("grade")).dropna()
-    rated = (named.where(hash_share(["doc_id"], sample, labels.count()))
-             .groupBy("doc_id").agg(F.min("grade").alias("grade"))
+    graded = named.groupBy("doc_id").agg(F.min("grade").alias("grade"))
+    counts = {r.grade: r["count"] for r in graded.groupBy("grade").count().collect()}
+    rated = (graded.where(label_share(["doc_id"], "grade", sample, counts))
              .orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample))
     # at most ``sample`` rows of two numbers, so this side may be broadcast
     texts = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))

@@ -35,6 +35,22 @@ def hash_share(columns: list[str], n: int, total: int):
     return F.xxhash64(*columns) < F.lit(-(1 << 63) + int((1 << 64) * (n / total)))
 
 
+def label_share(columns: list[str], label: str, n: int, counts: dict):
+    """Condition that about ``n`` rows meet, by a hash of their columns: labels share ``n`` evenly, and what
+    a rare one does not need goes to the others. ``counts`` has the rows of each label."""
+    left, shares = n, {}
+    for i, (value, count) in enumerate(sorted(counts.items(), key=lambda x: x[1])):
+        part = min(count, max(1, left // (len(counts) - i)))
+        left -= part
+        if part < count:
+            shares[value] = part / count
+    if not shares:
+        return F.lit(True)
+    bounds = F.create_map(*[F.lit(x) for value, share in shares.items()
+                            for x in (value, -(1 << 63) + int((1 << 64) * share))])
+    return F.coalesce(F.xxhash64(*columns) < bounds[F.col(label)], F.lit(True))
+
+
 def components(links: DataFrame, label: str, max_rounds: int = 60) -> DataFrame:
     """Smallest reachable node per linked node: (node, component).
 

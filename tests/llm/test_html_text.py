@@ -71,3 +71,11 @@ def test_deep_and_long_pages(spark):
     long = "<article>" + "<p>word word word.</p>" * 20_000 + "</article>"
     assert WANT.split("\n")[1] in model.texts([deep])[0] or model.texts([deep])[0] == ""
     assert model.texts([long])[0].count("\n") == 19_999
+
+
+def test_sample_is_of_marked_pages(spark, monkeypatch):
+    sources = [f"<div><p>{i}</p></div>" for i in range(950)] + [f"<article><p>{i}</p></article>" for i in range(50)]
+    read = []
+    monkeypatch.setattr(H, "fit", read.extend)
+    H.train(pages(spark, sources), sample=40)
+    assert 30 <= len(read) - len(H.layouts()) <= 40

@@ -57,3 +57,17 @@ def test_edges(make_docs):
     empty = make_docs([])
     assert langid.predict(empty, langid.train(empty)).collect() == []
     assert [r.lang_pred for r in langid.predict(make_docs([(1, "a")]), langid.train(empty)).collect()] == ["und"]
+
+
+def test_few_labels_and_rare_languages_in_a_large_table(make_docs):
+    free = [i for i in range(4000) if zlib.crc32(str(i).encode()) % 5]
+    rare, common = free[:20], free[20:420]
+    rows = [(i, "schung keit", "bb") if i in rare else (i, "kalo mita", "aa") if i in common else (i, "kalo mita", None) for i in range(4000)]
+    model = langid.train(make_docs(rows), sample=100)
+    assert model.languages == ["aa", "bb"]
+    words = {w: [np.exp(x) for x in s] for w, s in model.tables[0].items()}
+    assert set(words) == {"schung", "keit", "kalo", "mita"}
+    # of the rare language every document is read: 20 of 40 words, the unseen ones count FLOOR
+    assert np.isclose(words["schung"][1], 0.5) and np.isclose(words["kalo"][1], langid.FLOOR / 40)
+    # the common one gets what is left of the sample, about 80 documents
+    assert 60 <= round(langid.FLOOR / words["schung"][0] / 2) <= 100

@@ -54,3 +54,12 @@ def test_edges(make_docs, spark):
     assert quality.score(make_docs(rows), model).count() == 6
     assert quality.score(make_docs([]), model).collect() == []
     assert quality.tokens_of("ab " * 800_000) == {"ab"}
+
+
+def test_a_rare_grade_is_read_whole(make_docs, spark, monkeypatch):
+    rows = [(i, f"w{i}") for i in range(3000)]
+    labels = [(i, 1, 1 if i < 10 else 0) for i in range(1000)] + [(i, None, None) for i in range(1000, 3000)]
+    read = []
+    monkeypatch.setattr(quality, "fit", lambda rows: read.extend(g for g, _ in rows))
+    quality.train(make_docs(rows), spark.createDataFrame(labels, "doc_id long, quality int, toxic int"), sample=200)
+    assert read.count(0) == 10 and 150 <= read.count(2) <= 190
