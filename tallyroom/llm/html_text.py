@@ -29,8 +29,15 @@ from tallyroom.llm.tables import hash_share
 SAMPLE = 300  # pages of the table that training reads: the bound of the sample
 BATCH = 64  # pages whose messages are passed together
 
+# An svg is empty if it closes itself; one that is not closed ends where an element of the page begins or ends.
+_QUOTED = r"""(?:[^>"']|"[^"]*"|'[^']*')*+"""
+_OUTSIDE = (r"/?(?:p|div|span|h[1-6]|ul|ol|li|dl|dt|dd|table|tr|td|th|pre|blockquote|br|hr|img|b|i|em|strong|small|article|section"
+            r"|main|aside|nav|header|footer|form|body|html)\b")
 _TOKENS = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|svg|textarea|select)\b[^>]*>.*?(?:</\1\s*>|\Z)"
+    rf"<!--.*?(?:-->|\Z)|<(svg)\b{_QUOTED}(?<=/)>"
+    rf"|<(svg)\b{_QUOTED}>(?:[^<]++|<!--.*?-->|<(foreignObject|desc|title|style|script)\b[^>]*(?<!/)>.*?</\3\s*>"
+    rf"|<(?!/svg\b|{_OUTSIDE}))*+(?:</svg\s*>)?"
+    r"|<(script|style|noscript|template|svg|textarea|select)\b[^>]*>.*?(?:</\4\s*>|\Z)"
     r"|<[/!?]?[a-zA-Z][^<>]*(?:>|\Z)|<[!?/][^>]*(?:>|\Z)|[^<]+|<", re.S | re.I)
 _NAME = re.compile(r"</?([a-zA-Z][a-zA-Z0-9-]*)")
 _ATTRIBUTES = re.compile(r"""\b(class|id|role|data-y)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
@@ -67,7 +74,9 @@ BARRIER_CLASS = set(range(9))
 class Page:
     """Block elements in document order with their text blocks."""
 
-    def __init__(self, source: str):
+    def __init__(self, source: str, generated: bool = True):
+        """``data-y`` is a label in generated layouts only; other pages use the name for their own."""
+        self.generated = generated
         self.parent, self.depth, self.tag, self.names, self.label = [-1], [0], ["html"], [""], [None]
         self.blocks: list[tuple[int, str, int]] = []  # owner, text, characters inside links
         self._parse(source)
@@ -102,7 +111,7 @@ class Page:
                 if links:
                     self._linked += len(token)
                 continue
-            if match.group(1) or token[1:2] in "!?" or token[-1] != ">":
+            if match.lastindex or token[1:2] in "!?" or token[-1] != ">":
                 continue
             name = _NAME.match(token)
             if not name:
@@ -129,7 +138,8 @@ class Page:
                 for key, *values in _ATTRIBUTES.findall(token):
                     value = max(values, key=len)
                     if key.lower() == "data-y":
-                        label = int(value)
+                        if self.generated:
+                            label = int(value)
                     else:
                         names += " " + re.sub(r"[_-]+|(?<=[a-z])(?=[A-Z])", " ", value).lower() + " " + value.lower()
             if tag not in ("html",):
@@ -240,7 +250,7 @@ class TreeModel:
         """Main text of each page: blocks of content elements, joined by newlines."""
         out = []
         for start in range(0, len(sources), BATCH):
-            pages = [Page(s) for s in sources[start:start + BATCH]]
+            pages = [Page(s, generated=False) for s in sources[start:start + BATCH]]
             forest = Forest([(p, *p.features()) for p in pages])
             content, _ = propagate(forest, self.unary, self.edge)
             at = 0
@@ -378,7 +388,7 @@ def train(pages: DataFrame, sample: int = SAMPLE) -> TreeModel:
         page = Page(source)
         known.append((page, labelled(page)))
     for i, row in enumerate(rows):
-        page = Page(row.html)
+        page = Page(row.html, generated=False)
         labels = marked(page)
         if i % 2:  # the same labels, learned without the mark
             page.tag = ["div" if t in ("article", "main") else t for t in page.tag]

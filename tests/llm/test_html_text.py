@@ -79,3 +79,14 @@ def test_sample_is_of_marked_pages(spark, monkeypatch):
     monkeypatch.setattr(H, "fit", read.extend)
     H.train(pages(spark, sources), sample=40)
     assert 30 <= len(read) - len(H.layouts()) <= 40
+
+
+def test_svg_that_is_not_closed_and_foreign_marks(spark):
+    after = ['<svg class="i"/>', "<svg/>", '<svg aria-label="a > b" />', "<svg class=a><path d='M0'/>", "<svg><title>no</title></svg>",
+             "<svg><foreignObject><div>no</div></foreignObject></svg>"]
+    for svg in after:
+        page = H.Page(f"<article>{svg}<p>Whole text.</p>{svg}<p>To the end.</p></article>", generated=False)
+        assert [t for _, t, _ in page.blocks] == ["Whole text.", "To the end."], svg
+    model = H.train(pages(spark, ["<article><div data-y='x'><p>A page of the table.</p></div></article>"]))
+    sources = [f"<body><article><div data-y={y}>{BODY}</div></article></body>" for y in ("'12.5'", "''", "'0'")]
+    assert texts(spark, sources, model) == dict.fromkeys(range(3), WANT)
