@@ -22,9 +22,6 @@ commit protocol covers lost executors and any store that Spark can write to will
 
 from __future__ import annotations
 
-import json
-import os
-import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -36,14 +33,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyroom.llm.tables import scratch_dir
+from tallyroom.llm.bytepieces import checked, encoder
+from tallyroom.llm.tables import scratch_dir, text_views
 
 TOKENIZER = "byte_bpe_50k.json"
 END_ID = 0
-BLOCK_IDS = 4096  # ids of a block
+BLOCK_IDS = 2048  # ids of a block
 SEGMENT_IDS = 1 << 23  # a segment is closed when it holds so many; the last document is kept whole
 LANES = 4096  # blocks that are coded side by side; bounds memory
-CACHE_PIECES = 600_000  # pieces of text whose ids a worker remembers; others are encoded each time
 
 MAGIC = b"TRCM"
 HEADER = struct.Struct("<4sHHIIQQI")  # magic, version, reserved, ids a block, blocks, documents, ids, different ids
@@ -52,11 +49,11 @@ DECODED = "doc_id long, start long, n_tokens long, ids_crc32 long"
 
 ONE, FINE = 15, 17  # frequencies add up to 2 to these: of a mixture or a group choice, of the ids of a group
 GROUPS = 16  # groups of ids of about equal mass
-SLOTS = 11  # bits: contexts that order 1 and order 2 remember in a block
+SLOTS = 10  # bits: contexts that order 1 and order 2 remember in a block
 FLOOR = 4  # least frequency of a choice
 RATE = np.array([2, 2, 3, 3, 4, 4, 4, 5], np.int16)  # adaptation shift by visits of a node
 U16, U32 = np.uint64(16), np.uint64((1 << 32) - 1)
-UONE, UFINE = np.uint64(ONE), np.uint64(FINE)
+UONE, UFINE, UBOTH = np.uint64(ONE), np.uint64(FINE), np.uint64(ONE + FINE)
 
 
 def _targets() -> np.ndarray:
@@ -85,9 +82,12 @@ class _Order0:
         start = np.cumsum(size) - size
         first = np.flatnonzero(np.diff(group, prepend=-1))
         start -= np.repeat(start[first], np.diff(first, append=len(group)))
-        self.ids, self.keys = ids.astype(np.uint32), (group << FINE) + start
+        self.ids = ids.astype(np.uint32)
         self.start, self.size = start.astype(np.uint64), size.astype(np.uint64)
         self.group = group
+        self.at = np.zeros(GROUPS << FINE, np.uint16)  # position of the id whose share holds a place of its group
+        self.at[(group << FINE) + start] = np.arange(len(ids))
+        np.maximum.accumulate(self.at, out=self.at)
         self.place = np.zeros(1 << 16, np.int64)
         self.place[ids] = np.arange(len(ids))
 
@@ -156,8 +156,8 @@ class _Interval:
         self.low[:n] += r * start
         np.multiply(r, size, out=self.range[:n])
 
-    def narrow(self, lanes: np.ndarray, start: np.ndarray, size: np.ndarray, bits: np.uint64 = UONE) -> None:
-        r = self.range.take(lanes) >> bits
+    def narrow(self, lanes: np.ndarray, start: np.ndarray, size: np.ndarray) -> None:
+        r = self.range.take(lanes) >> UBOTH
         self.low[lanes] += r * start
         self.range[lanes] = r * size
 
@@ -223,10 +223,9 @@ class _Reader(_Interval):
     def value_all(self, n: int) -> np.ndarray:
         return (self.code[:n] - self.low[:n]) // np.maximum(self.range[:n] >> UONE, 1)
 
-    def value(self, lanes: np.ndarray, bits: int = ONE) -> np.ndarray:
-        r = np.maximum(self.range.take(lanes) >> np.uint64(bits), 1)
-        v = (self.code.take(lanes) - self.low.take(lanes)) // r
-        return np.minimum(v, np.uint64((1 << bits) - 1)).astype(np.int64)
+    def value(self, lanes: np.ndarray) -> np.ndarray:
+        r = np.maximum(self.range.take(lanes) >> UBOTH, 1)
+        return np.minimum((self.code.take(lanes) - self.low.take(lanes)) // r, U32)
 
 
 def _steps(ids: int, block_ids: int) -> Iterator[int]:
@@ -261,9 +260,8 @@ def encode_blocks(ids: np.ndarray, order0: _Order0, block_ids: int = BLOCK_IDS)
             group = order0.group.take(place)
             rows = model.nodes.take(rest, 0)
             start, size = _span(rows, group)
-            out.narrow(rest, start, size)
             model.adapt(rest, rows, group)
-            out.narrow(rest, order0.start.take(place), order0.size.take(place), UFINE)
+            out.narrow(rest, (start << UFINE) + size * order0.start.take(place), size * order0.size.take(place))
             out.settle(rest)
         model.learn(n, now)
     out.settle_all(lanes)
@@ -289,14 +287,15 @@ def decode_blocks(words: np.ndarray, sizes: np.ndarray, order0: _Order0, ids: in
         rest = np.flatnonzero(none)
         if len(rest):
             rows = model.nodes.take(rest, 0)
-            below = rows <= source.value(rest).astype(np.int16)[:, None]
+            v = source.value(rest)
+            below = rows <= (v >> UFINE).astype(np.int16)[:, None]
             below[:, 15] = False
             group = np.bitwise_count(np.packbits(below, axis=1).view(np.uint16)[:, 0]).astype(np.int64)
-            source.narrow(rest, *_span(rows, group))
+            start, size = _span(rows, group)
             model.adapt(rest, rows, group)
-            key = (group << FINE) + source.value(rest, FINE)
-            place = np.maximum(np.searchsorted(order0.keys, key, "right") - 1, 0)
-            source.narrow(rest, order0.start.take(place), order0.size.take(place), UFINE)
+            fine = np.minimum((v - (start << UFINE)) // size, np.uint64((1 << FINE) - 1)).astype(np.int64)
+            place = order0.at.take((group << FINE) + fine)
+            source.narrow(rest, (start << UFINE) + size * order0.start.take(place), size * order0.size.take(place))
             source.settle(rest)
             now[rest] = order0.ids.take(place)
         model.learn(n, now)
@@ -354,64 +353,6 @@ def decode_segment(data: bytes) -> tuple[list, np.ndarray, np.ndarray]:
     return [None if x else int(d) for d, x in zip(doc_ids, nulls, strict=True)], sizes, ids
 
 
-# The split before merges that byte-level BPE makes, for texts of these characters only; others take the library's own.
-_LETTERS = "A-Za-zÀ-ÖØ-öø-ſ"
-_OTHER = re.compile(f"[^\t\n\r -~¡¿«»{_LETTERS}]")
-_SPLIT = re.compile(f"'(?:[stmd]|re|ve|ll)| ?[{_LETTERS}]+| ?[0-9]+| ?[^ \t\n\r0-9{_LETTERS}]+"
-                    r"|[ \t\n\r]+(?![^ \t\n\r])|[ \t\n\r]+")
-
-
-class _Pieces(dict):
-    """Ids of pieces as little-endian bytes, encoded by the library when first met."""
-
-    def __init__(self, tokenizer):
-        super().__init__()
-        self.tokenizer = tokenizer
-
-    def __missing__(self, piece: str) -> bytes:
-        ids = packed(self.tokenizer.encode(piece, add_special_tokens=False).ids)
-        if len(self) < CACHE_PIECES:
-            self[piece] = ids
-        return ids
-
-
-def packed(ids: list[int]) -> bytes:
-    if ids and max(ids) > 0xFFFF:
-        raise ValueError("the file format holds ids below 65536")
-    return np.array(ids, "<u2").tobytes()
-
-
-class Encoder:
-    """Texts to ids, equal to the tokenizers library's. Pieces that its pre-tokenizer separates are
-    encoded by it once each."""
-
-    def __init__(self, spec: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_str(spec)
-        known = json.loads(spec)
-        pre = known.get("pre_tokenizer") or {}
-        self.by_piece = (known.get("normalizer") is None and pre.get("type") == "ByteLevel"
-                         and not pre.get("add_prefix_space") and pre.get("use_regex", True))
-        marks = [t["content"] for t in known.get("added_tokens", [])]
-        self.marks = re.compile("|".join(map(re.escape, marks)) if marks else r"(?!)")
-        self.pieces = _Pieces(self.tokenizer)
-
-    def ids(self, text: str | None) -> bytes:
-        if not text:
-            return b""
-        if self.by_piece and not _OTHER.search(text) and not self.marks.search(text):
-            return b"".join(map(self.pieces.__getitem__, _SPLIT.findall(text)))
-        return packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
-
-
-@cache
-def encoder(spec: str) -> Encoder:
-    """One per worker process, which keeps what it has learned for the next task."""
-    return Encoder(spec)
-
-
 def tokenizer_spec(path: str | None = None) -> str:
     """A tokenizer file's content; without a path the public byte-level BPE with 50k ids."""
     if path is None:
@@ -424,28 +365,29 @@ def tokenizer_spec(path: str | None = None) -> str:
 
 def _encode(spec, end_id: int, block_ids: int, segment_ids: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder, end = encoder(spec.value), packed([end_id])
+        coder, end = encoder(spec.value), checked([end_id])
         part, before = TaskContext.get().partitionId(), 0
         docs, sizes, held, total = [], [], [], 0
 
         def segment():
-            ids = np.frombuffer(b"".join(held), "<u2")
+            ids = np.concatenate(held)
             data = encode_segment(docs, sizes, ids, block_ids)
             return pa.RecordBatch.from_arrays(
                 [pa.array([part], pa.int64()), pa.array([before], pa.int64()), pa.array([len(ids)], pa.int64()),
                  pa.array([data], pa.binary())], names=["part", "before", "n_ids", "segment"])
 
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                ids = coder.ids(text.as_py())
-                held += [ids, end]
-                docs.append(doc_id)
-                sizes.append(len(ids) // 2 + 1)
-                total += sizes[-1]
-                if total >= segment_ids:
-                    yield segment()
-                    before += total
-                    docs, sizes, held, total = [], [], [], 0
+            for at in range(0, batch.num_rows, 2000):
+                rows = batch.slice(at, 2000)
+                for doc_id, ids in zip(rows.column(0).to_pylist(), coder.encode(list(text_views(rows.column(1)))), strict=True):
+                    held += [ids, end]
+                    docs.append(doc_id)
+                    sizes.append(len(ids) + 1)
+                    total += sizes[-1]
+                    if total >= segment_ids:
+                        yield segment()
+                        before += total
+                        docs, sizes, held, total = [], [], [], 0
         if docs:
             yield segment()
     return run

@@ -96,3 +96,18 @@ def windows(words: np.ndarray, k: int) -> np.ndarray:
     for i in range(1, k):
         total = total + words[i:i + m] * _RANDOM[300 + i]
     return mix(total + np.uint64(k))
+
+
+@cache
+def _long_powers(bits: int) -> tuple[np.ndarray, np.ndarray]:
+    inverse = np.uint64(pow(int(_BASE), -1, 1 << 64))
+    return tuple(np.cumprod(np.concatenate(([np.uint64(1)], np.full((1 << bits) - 1, b, np.uint64))), dtype=np.uint64)
+                 for b in (_BASE, inverse))
+
+
+def run_hashes(b: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
+    """uint64 hash, never 0, of each run of bytes ``b[start:stop]``."""
+    up, down = _long_powers(max(20, len(b).bit_length()))
+    sums = np.zeros(len(b) + 1, np.uint64)
+    np.cumsum(_RANDOM[:256].take(b) * up[:len(b)], dtype=np.uint64, out=sums[1:])
+    return mix((sums.take(stops) - sums.take(starts)) * down.take(starts) + (stops - starts).astype(np.uint64)) | np.uint64(1)

@@ -4,7 +4,7 @@ import zlib
 import numpy as np
 import pytest
 
-from tallyroom.llm import idcoder
+from tallyroom.llm import bytepieces, idcoder
 
 
 @pytest.fixture(scope="module")
@@ -58,18 +58,39 @@ def test_damage_is_noticed():
         with pytest.raises(ValueError, match="checksum|not a segment"):
             idcoder.decode_segment(bytes(wrong))
     with pytest.raises(ValueError, match="65536"):
-        idcoder.packed([70_000])
+        bytepieces.checked([70_000])
 
 
-def test_ids_are_the_librarys(library):
+POOL = ["the", "don't", "we'll", "'sx", " 's", "'re", "'rex", "'", "''s", "x'", "!'s", "'v", "'d'", "ñandú", "Größe", "12345", "x²", "½", "\n",
+        "\n\n", "  ", "\t ", "   y", "...", "?!'re", "日本語", "\u00a0", "\u2003", "\x1c", "\x85", "🙂", "<|endoftext|>", "<|endo", "_a_",
+        "ªº", "«q»", "¿Qué", "\r\n", "é\u0301", "×", "÷", "a" * 300, "\x7f", "Ω"]
+
+
+@pytest.mark.parametrize("pieces", [1_000_000, 40])  # with a table that is soon full, too
+def test_ids_are_the_librarys(library, pieces):
     rng = random.Random(1)
-    coder = idcoder.Encoder(idcoder.tokenizer_spec())
-    pool = ["the", "don't", "we'll", "'sx", " 's", "ñandú", "Größe", "12345", "x²", "½", "\n", "\n\n", "  ", "\t ", "   y", "...", "?!'re",
-            "日本語", " ", " ", "\x1c", "\x85", "🙂", "<|endoftext|>", "<|endo", "_a_", "ªº", "«q»", "¿Qué", "\r\n", "é́"]
-    for _ in range(400):
-        text = "".join(rng.choice(pool) + rng.choice(["", " ", " ", "\n"]) for _ in range(rng.randint(0, 30)))
-        want = library.encode(text, add_special_tokens=False).ids
-        assert np.frombuffer(coder.ids(text), "<u2").tolist() == want, text
+    coder = bytepieces.Encoder(idcoder.tokenizer_spec(), pieces)
+    texts = []
+    for _ in range(1500):
+        pool = rng.sample(POOL, 8) + ["w", "la"]
+        texts.append("".join(rng.choice(pool) + rng.choice(["", " ", " ", "\n"]) for _ in range(rng.randint(0, 30))))
+    texts += ["", "'s", "a'", "'", " ", "s", "'t", "l", "'l", "l", "  ", "x", "\n"] * 3
+    texts.append("long words " * 150_000)
+    for few in (texts, texts[::-1]):
+        got = coder.encode([np.frombuffer(t.encode(), np.uint8) for t in few])
+        want = [x.ids for x in library.encode_batch(few, add_special_tokens=False)]
+        for text, a, b in zip(few, got, want, strict=True):
+            assert a.tolist() == b, text[:200]
+    assert coder.encode([]) == []
+
+
+def test_other_tokenizers_are_left_to_the_library():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+    path = public_tokenizers.path("word_bpe_49k.json")
+    text = "Some Words, and more."
+    got = bytepieces.Encoder(idcoder.tokenizer_spec(path)).encode([np.frombuffer(text.encode(), np.uint8)])[0]
+    assert got.tolist() == Tokenizer.from_file(path).encode(text, add_special_tokens=False).ids
 
 
 def expected(library, rows):
