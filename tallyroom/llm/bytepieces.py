@@ -13,6 +13,7 @@ from __future__ import annotations
 import json
 import os
 from functools import cache
+from itertools import chain
 
 import numpy as np
 
@@ -206,15 +207,15 @@ class Encoder:
         new = np.flatnonzero(~known)
         if len(new):
             different, first, back = np.unique(h[new], return_index=True, return_inverse=True)
-            runs = np.empty(len(different), np.uint64)
+            tokenize, found = self.model.tokenize, []
+            for j, k in zip(starts[new[first]].tolist(), stops[new[first]].tolist(), strict=True):
+                found.append([t.id for t in tokenize(data[j:k].decode("latin-1").translate(LETTERS))])
+            sizes = np.fromiter(map(len, found), np.uint64, len(found))
+            own = np.cumsum(sizes) - sizes
+            at = table.add(checked(list(chain.from_iterable(found))))
+            runs = ((own + np.uint64(at)) << np.uint64(24)) | sizes
             kept = table.most - table.used
-            mark = table.size
-            for i, j in enumerate(new[first].tolist()):
-                if i == kept:
-                    mark = table.size
-                piece = data[starts[j]:stops[j]].decode("latin-1").translate(LETTERS)
-                ids = checked([t.id for t in self.model.tokenize(piece)])
-                runs[i] = (table.add(ids) << 24) | len(ids)
+            mark = at + int(own[kept]) if kept < len(found) else table.size
             table.keep(different, runs)
             run[new] = runs[back]
         sizes = (run & np.uint64((1 << 24) - 1)).astype(np.int64)
@@ -222,7 +223,7 @@ class Encoder:
         place = np.repeat((run >> np.uint64(24)).astype(np.int64) - (total - sizes), sizes)
         place += np.arange(len(place))
         ids = table.pool.take(place)
-        if len(new) and len(different) > kept:
+        if len(new):
             table.size = mark  # pieces beyond the table's size are forgotten
         return ids, sizes
 

@@ -52,8 +52,9 @@ GROUPS = 16  # groups of ids of about equal mass
 SLOTS = 10  # bits: contexts that order 1 and order 2 remember in a block
 FLOOR = 4  # least frequency of a choice
 RATE = np.array([2, 2, 3, 3, 4, 4, 4, 5], np.int16)  # adaptation shift by visits of a node
-U16, U32 = np.uint64(16), np.uint64((1 << 32) - 1)
-UONE, UFINE, UBOTH = np.uint64(ONE), np.uint64(FINE), np.uint64(ONE + FINE)
+ALL = ONE + ONE + FINE  # bits that one id may take
+U1, U16, U32, UONE, UFINE, UALL = (np.uint64(x) for x in (1, 16, 32, ONE, FINE, ALL))
+WORD = np.uint64(1 << 48)  # intervals below this lie within one upper word
 
 
 def _targets() -> np.ndarray:
@@ -89,7 +90,7 @@ class _Order0:
         self.at[(group << FINE) + start] = np.arange(len(ids))
         np.maximum.accumulate(self.at, out=self.at)
         self.place = np.zeros(1 << 16, np.int64)
-        self.place[ids] = np.arange(len(ids))
+        self.place[ids] = np.arange(len(ids))  # a guess may be another id: any place will do
 
 
 class _Model:
@@ -103,6 +104,7 @@ class _Model:
         self.one = self.two = np.zeros(lanes, np.uint32)
         row = np.append(np.arange(1, 16) << (ONE - 4), 0).astype(np.int16)
         self.nodes = np.tile(row, (lanes, 1))  # upper ends of choices 0 to 14, and the visits
+        self.row_at = np.arange(0, 16 * lanes, 16)
 
     def mix(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         """Weights of order 2's and order 1's ids for the next id of the first ``n`` blocks."""
@@ -128,61 +130,50 @@ class _Model:
             self.memory[k][self.at[k]] = np.where(state == 0, ids, self.held[k] + TRUST.take(state))
         self.two, self.one = self.one, ids
 
-    def adapt(self, at: np.ndarray, rows: np.ndarray, s: np.ndarray) -> None:
+    def choose(self, n: int, group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Start and size of each block's ``group``, which the block then learns."""
+        rows = self.nodes[:n]
+        flat, at = rows.ravel(), self.row_at[:n] + group
+        start = flat.take(at - 1, mode="wrap") * (group > 0)
+        size = np.where(group < 15, flat.take(at), 1 << ONE) - start
         visits = rows[:, 15].copy()
-        rows += (TARGETS.take(s, 0) - rows) >> RATE.take(visits)[:, None]
+        rows += (TARGETS.take(group, 0) - rows) >> RATE.take(visits)[:, None]
         rows[:, 15] = np.minimum(visits + 1, 7)
-        self.nodes[at] = rows
-
-
-def _span(rows: np.ndarray, s: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Start and size of choice ``s`` in each row."""
-    flat, at = rows.ravel(), np.arange(0, 16 * len(s), 16) + s
-    start = flat.take(at - 1) * (s > 0)
-    end = np.where(s < 15, flat.take(at), 1 << ONE)
-    return start.astype(np.uint64), (end - start).astype(np.uint64)
+        return start.astype(np.uint64), size.astype(np.uint64)
 
 
 class _Interval:
-    """Range coder state of every block: coding narrows it, full words leave or enter. Between two calls of
-    ``settle`` a block codes at most 32 bits."""
+    """Range coder state of every block: an id narrows it, full words leave or enter."""
 
     def __init__(self, lanes: int):
         self.low = np.zeros(lanes, np.uint64)
         self.range = np.full(lanes, (1 << 64) - 1, np.uint64)
 
-    def narrow_all(self, n: int, start: np.ndarray, size: np.ndarray) -> None:
-        r = self.range[:n] >> UONE
+    def narrow(self, n: int, start: np.ndarray, size: np.ndarray) -> None:
+        """Code one id of each of the first ``n`` blocks; of an interval too small for the next id that
+        crosses a border between words, the larger side stays."""
+        r = self.range[:n] >> UALL
         self.low[:n] += r * start
         np.multiply(r, size, out=self.range[:n])
-
-    def narrow(self, lanes: np.ndarray, start: np.ndarray, size: np.ndarray) -> None:
-        r = self.range.take(lanes) >> UBOTH
-        self.low[lanes] += r * start
-        self.range[lanes] = r * size
-
-    def settle_all(self, n: int) -> None:
-        self._pass(np.flatnonzero(self._full(self.low[:n], self.range[:n])))
-
-    def settle(self, lanes: np.ndarray) -> None:
-        self._pass(lanes[self._full(self.low.take(lanes), self.range.take(lanes))])
-
-    @staticmethod
-    def _full(low: np.ndarray, size: np.ndarray) -> np.ndarray:
-        """Is the upper word settled, or the interval too small for the next steps?"""
-        return ((low ^ (low + size)) < np.uint64(1 << 48)) | (size < np.uint64(1 << 32))
-
-    def _pass(self, lanes: np.ndarray) -> None:
+        lanes = np.flatnonzero(self._full(self.low[:n], self.range[:n]))
         while len(lanes):
             low, size = self.low.take(lanes), self.range.take(lanes)
-            crossing = (low ^ (low + size)) >= np.uint64(1 << 48)
-            if crossing.any():  # too small, and its upper word open: only the part below the border stays
-                size = np.where(crossing, (~low + np.uint64(1)) & U32, size)
+            crossing = (low ^ (low + size - U1)) >= WORD
+            if crossing.any():
+                below = (~low + U1) & (WORD - U1)
+                above = size - below
+                up = crossing & (above > below)
+                low = np.where(up, low + below, low)
+                size = np.where(crossing, np.where(up, above, below), size)
             self.move(lanes, low)
-            low, size = low << U16, size << U16
+            low, size = low << U16, np.minimum(size, WORD - U1) << U16  # a whole word's interval would overflow
             self.low[lanes], self.range[lanes] = low, size
             lanes = lanes[self._full(low, size)]
 
+    @staticmethod
+    def _full(low: np.ndarray, size: np.ndarray) -> np.ndarray:
+        return ((low ^ (low + size - U1)) < WORD) | (size < np.uint64(1 << ALL))
+
 
 class _Writer(_Interval):
     def __init__(self, lanes: int, size: int):
@@ -220,12 +211,9 @@ class _Reader(_Interval):
         self.code[lanes] = (self.code.take(lanes) << U16) | word
         self.next[lanes] = at + 1
 
-    def value_all(self, n: int) -> np.ndarray:
-        return (self.code[:n] - self.low[:n]) // np.maximum(self.range[:n] >> UONE, 1)
-
-    def value(self, lanes: np.ndarray) -> np.ndarray:
-        r = np.maximum(self.range.take(lanes) >> UBOTH, 1)
-        return np.minimum((self.code.take(lanes) - self.low.take(lanes)) // r, U32)
+    def value(self, n: int) -> np.ndarray:
+        v = (self.code[:n] - self.low[:n]) // np.maximum(self.range[:n] >> UALL, U1)
+        return np.minimum(v, np.uint64((1 << ALL) - 1))
 
 
 def _steps(ids: int, block_ids: int) -> Iterator[int]:
@@ -245,26 +233,18 @@ def encode_blocks(ids: np.ndarray, order0: _Order0, block_ids: int = BLOCK_IDS)
     grid[:len(ids)] = ids
     grid = np.ascontiguousarray(grid.reshape(lanes, block_ids).T)
     model, out = _Model(lanes), _Writer(lanes, block_ids + 8)
-    whole = np.uint64(1 << ONE)
     for t, n in enumerate(_steps(len(ids), block_ids)):
         now = grid[t, :n].astype(np.uint32)
         f2, f1 = model.mix(n)
-        two = model.guess[1] == now
-        one = (model.guess[0] == now) & ~two
+        two, one = model.guess[1] == now, model.guess[0] == now
         both = f2 + f1
-        out.narrow_all(n, np.where(two, 0, np.where(one, f2, both)), np.where(two, f2, np.where(one, f1, whole - both)))
-        out.settle_all(n)
-        rest = np.flatnonzero(~(two | one))
-        if len(rest):
-            place = order0.place.take(now.take(rest))
-            group = order0.group.take(place)
-            rows = model.nodes.take(rest, 0)
-            start, size = _span(rows, group)
-            model.adapt(rest, rows, group)
-            out.narrow(rest, (start << UFINE) + size * order0.start.take(place), size * order0.size.take(place))
-            out.settle(rest)
+        rest = (U1 << UONE) - both
+        place = order0.place.take(now)
+        start, size = model.choose(n, order0.group.take(place))
+        start = (both << U32) + rest * ((start << UFINE) + size * order0.start.take(place))
+        size *= rest * order0.size.take(place)
+        out.narrow(n, np.where(two, 0, np.where(one, f2 << U32, start)), np.where(two, f2 << U32, np.where(one, f1 << U32, size)))
         model.learn(n, now)
-    out.settle_all(lanes)
     return out.close()
 
 
@@ -275,29 +255,26 @@ def decode_blocks(words: np.ndarray, sizes: np.ndarray, order0: _Order0, ids: in
     lanes = len(sizes)
     grid = np.zeros((block_ids, lanes), np.uint16)
     model, source = _Model(lanes), _Reader(words, sizes)
-    whole = np.uint64(1 << ONE)
     for t, n in enumerate(_steps(ids, block_ids)):
         f2, f1 = model.mix(n)
         both = f2 + f1
-        v = source.value_all(n)
-        two, none = v < f2, v >= both
+        rest = (U1 << UONE) - both
+        v = source.value(n)
+        none = v >= both << U32
+        two = v < f2 << U32
+        x = np.where(none, v - (both << U32), 0) // rest
+        below = model.nodes[:n] <= (x >> UFINE).astype(np.int16)[:, None]
+        below[:, 15] = False
+        group = np.bitwise_count(np.packbits(below, axis=1).view(np.uint16)[:, 0]).astype(np.int64)
         now = np.where(two, model.guess[1], model.guess[0])
-        source.narrow_all(n, np.where(two, 0, np.where(none, both, f2)), np.where(two, f2, np.where(none, whole - both, f1)))
-        source.settle_all(n)
-        rest = np.flatnonzero(none)
-        if len(rest):
-            rows = model.nodes.take(rest, 0)
-            v = source.value(rest)
-            below = rows <= (v >> UFINE).astype(np.int16)[:, None]
-            below[:, 15] = False
-            group = np.bitwise_count(np.packbits(below, axis=1).view(np.uint16)[:, 0]).astype(np.int64)
-            start, size = _span(rows, group)
-            model.adapt(rest, rows, group)
-            fine = np.minimum((v - (start << UFINE)) // size, np.uint64((1 << FINE) - 1)).astype(np.int64)
-            place = order0.at.take((group << FINE) + fine)
-            source.narrow(rest, (start << UFINE) + size * order0.start.take(place), size * order0.size.take(place))
-            source.settle(rest)
-            now[rest] = order0.ids.take(place)
+        group = np.where(none, group, order0.group.take(order0.place.take(now)))
+        start, size = model.choose(n, group)
+        fine = np.minimum((np.maximum(x, start << UFINE) - (start << UFINE)) // size, np.uint64((1 << FINE) - 1))
+        place = order0.at.take((group << FINE) + fine.astype(np.int64))
+        now = np.where(none, order0.ids.take(place), now)
+        start = (both << U32) + rest * ((start << UFINE) + size * order0.start.take(place))
+        size *= rest * order0.size.take(place)
+        source.narrow(n, np.where(two, 0, np.where(none, start, f2 << U32)), np.where(two, f2 << U32, np.where(none, size, f1 << U32)))
         model.learn(n, now)
         grid[t, :n] = now
     return np.ascontiguousarray(grid.T).ravel()[:ids]
