@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyroom.llm import ann, chat, html_text, idcoder, jaccard_join, langid, pieces, pii, quality, sharding, tiling
+from tallyroom.llm import ann, chat, html_text, idcoder, jaccard_join, langid, lexical, pieces, pii, quality, resample, sharding, tiling
 from tallyroom.llm.tables import ship_package, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -44,3 +44,7 @@ add("op8_perspectives", lambda spark, folder: chat.perspectives(table(spark, fol
 add("op9_shards", lambda spark, folder: sharding.shards(table(spark, folder, "documents")))
 add("op10_tiling", lambda spark, folder: tiling.leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark")))
 add("op11_token_files", lambda spark, folder: idcoder.round_trip(table(spark, folder, "documents")))
+add("op12_resample", lambda spark, folder: resample.resample(table(spark, folder, "documents"), table(spark, folder, "benchmark")),
+    resample.SQL)
+add("op13_bag_search", lambda spark, folder: lexical.search(table(spark, folder, "documents"), table(spark, folder, "benchmark")),
+    lexical.SQL)
