@@ -134,7 +134,7 @@ def byte_letters() -> dict[int, str]:
     return {x: chr(x) for x in plain} | {x: chr(256 + i) for i, x in enumerate(rest)}
 
 
-LETTERS = byte_letters()
+LETTERS = np.array([ord(byte_letters()[x]) for x in range(256)], "<u2")
 
 
 def checked(ids: list[int]) -> np.ndarray:
@@ -197,19 +197,20 @@ class Encoder:
             own = np.searchsorted(ends, starts, "right")
             keep = ~np.isin(own, list(odd))
             starts, stops = starts[keep], stops[keep]
-        ids, sizes = self._ids(data, starts, stops, run_hashes(b, starts, stops))
+        ids, sizes = self._ids(b, starts, stops, run_hashes(b, starts, stops))
         at = np.concatenate([[0], np.cumsum(sizes)])[np.searchsorted(starts, np.concatenate([firsts, [len(b)]]))]
         return [self._library(t) if k in odd else ids[at[k]:at[k + 1]] for k, t in enumerate(texts)]
 
-    def _ids(self, data: bytes, starts: np.ndarray, stops: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def _ids(self, b: np.ndarray, starts: np.ndarray, stops: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         table = self.table
         run, known = table.find(h)
         new = np.flatnonzero(~known)
         if len(new):
             different, first, back = np.unique(h[new], return_index=True, return_inverse=True)
             tokenize, found = self.model.tokenize, []
+            letters = LETTERS.take(b).tobytes()
             for j, k in zip(starts[new[first]].tolist(), stops[new[first]].tolist(), strict=True):
-                found.append([t.id for t in tokenize(data[j:k].decode("latin-1").translate(LETTERS))])
+                found.append([t.id for t in tokenize(letters[2 * j:2 * k].decode("utf-16-le"))])
             sizes = np.fromiter(map(len, found), np.uint64, len(found))
             own = np.cumsum(sizes) - sizes
             at = table.add(checked(list(chain.from_iterable(found))))

@@ -51,7 +51,7 @@ ONE, FINE = 15, 17  # frequencies add up to 2 to these: of a mixture or a group
 GROUPS = 16  # groups of ids of about equal mass
 SLOTS = 10  # bits: contexts that order 1 and order 2 remember in a block
 FLOOR = 4  # least frequency of a choice
-RATE = np.array([2, 2, 3, 3, 4, 4, 4, 5], np.int16)  # adaptation shift by visits of a node
+RATE = 5  # adaptation shift of order 0
 ALL = ONE + ONE + FINE  # bits that one id may take
 U1, U16, U32, UONE, UFINE, UALL = (np.uint64(x) for x in (1, 16, 32, ONE, FINE, ALL))
 WORD = np.uint64(1 << 48)  # intervals below this lie within one upper word
@@ -94,51 +94,57 @@ class _Order0:
 
 
 class _Model:
-    """State of blocks that are coded side by side."""
+    """State of blocks that are coded side by side. Arrays of both orders have order 1 first."""
 
     def __init__(self, lanes: int):
         self.base = np.arange(lanes) << SLOTS
         self.cells = np.arange(lanes) * 32
-        self.memory = np.zeros((2, lanes << SLOTS), np.uint32)  # order 1, order 2: id, trust in the upper half
-        self.hit = np.full((2, lanes * 32), 1 << (ONE - 2), np.int32)  # how often each is right, by trusts
+        self.memory = np.zeros(2 * lanes << SLOTS, np.uint32)  # ids after a context, their trust in the upper half
+        self.hit = np.full((2, lanes * 32), 1 << (ONE - 2), np.int32)  # how often each order is right, by trusts
         self.one = self.two = np.zeros(lanes, np.uint32)
-        row = np.append(np.arange(1, 16) << (ONE - 4), 0).astype(np.int16)
-        self.nodes = np.tile(row, (lanes, 1))  # upper ends of choices 0 to 14, and the visits
+        self.ends = np.tile(np.append(np.arange(1, 16) << (ONE - 4), 0).astype(np.int16), (lanes, 1))  # of groups 0 to 14
         self.row_at = np.arange(0, 16 * lanes, 16)
 
     def mix(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         """Weights of order 2's and order 1's ids for the next id of the first ``n`` blocks."""
         one, two = self.one[:n], self.two[:n]
         low = np.uint32(32 - SLOTS)
-        self.at = (self.base[:n] + ((one * np.uint32(0x9E3779B1)) >> low),
-                   self.base[:n] + (((one * np.uint32(40503) + two) * np.uint32(0x85EBCA6B)) >> low))
-        self.held = self.memory[0].take(self.at[0]), self.memory[1].take(self.at[1])
-        self.trust = self.held[0] >> np.uint32(16), self.held[1] >> np.uint32(16)
-        self.guess = self.held[0] & np.uint32(0xFFFF), self.held[1] & np.uint32(0xFFFF)
+        self.at = np.empty((2, n), np.int64)
+        np.add(self.base[:n], (one * np.uint32(0x9E3779B1)) >> low, out=self.at[0])
+        np.add(self.base[:n], ((one * np.uint32(40503) + two) * np.uint32(0x85EBCA6B)) >> low, out=self.at[1])
+        self.at[1] += len(self.memory) // 2
+        self.held = self.memory.take(self.at)
+        self.trust = self.held >> np.uint32(16)
+        self.guess = self.held & np.uint32(0xFFFF)
         agree = self.guess[0] == self.guess[1]
         self.cell = self.cells[:n] + (agree * np.uint32(16) + self.trust[1] * np.uint32(4) + self.trust[0])
-        self.p = self.hit[0].take(self.cell), self.hit[1].take(self.cell)
+        self.p = self.hit.take(self.cell, 1)
         f1 = ((((1 << ONE) - self.p[1]) * self.p[0]) >> ONE) * ~agree
         return self.p[1].astype(np.uint64), f1.astype(np.uint64)
 
     def learn(self, n: int, ids: np.ndarray) -> None:
-        for k in (0, 1):
-            right = self.guess[k] == ids
-            p = self.p[k]
-            self.hit[k][self.cell] = p + ((right * np.int32((1 << ONE) - 576) + (64 - p)) >> 5)
-            state = right * np.uint32(4) + self.trust[k]
-            self.memory[k][self.at[k]] = np.where(state == 0, ids, self.held[k] + TRUST.take(state))
+        right = self.guess == ids
+        p = self.p + ((right * np.int32((1 << ONE) - 576) + (64 - self.p)) >> 5)
+        self.hit[0][self.cell], self.hit[1][self.cell] = p
+        state = right * np.uint32(4) + self.trust
+        self.memory[self.at] = np.where(state == 0, ids, self.held + TRUST.take(state))
         self.two, self.one = self.one, ids
 
+    def group_of(self, v: np.ndarray) -> np.ndarray:
+        """The group whose share holds ``v``, block by block."""
+        flat, at = self.ends.ravel(), self.row_at[:len(v)]
+        found = np.zeros(len(v), np.int64)
+        for step in (8, 4, 2, 1):
+            found += (flat.take(at + (found + (step - 1))) <= v) * step
+        return found
+
     def choose(self, n: int, group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Start and size of each block's ``group``, which the block then learns."""
-        rows = self.nodes[:n]
+        rows = self.ends[:n]
         flat, at = rows.ravel(), self.row_at[:n] + group
         start = flat.take(at - 1, mode="wrap") * (group > 0)
         size = np.where(group < 15, flat.take(at), 1 << ONE) - start
-        visits = rows[:, 15].copy()
-        rows += (TARGETS.take(group, 0) - rows) >> RATE.take(visits)[:, None]
-        rows[:, 15] = np.minimum(visits + 1, 7)
+        rows += (TARGETS.take(group, 0) - rows) >> RATE
         return start.astype(np.uint64), size.astype(np.uint64)
 
 
@@ -263,9 +269,7 @@ def decode_blocks(words: np.ndarray, sizes: np.ndarray, order0: _Order0, ids: in
         none = v >= both << U32
         two = v < f2 << U32
         x = np.where(none, v - (both << U32), 0) // rest
-        below = model.nodes[:n] <= (x >> UFINE).astype(np.int16)[:, None]
-        below[:, 15] = False
-        group = np.bitwise_count(np.packbits(below, axis=1).view(np.uint16)[:, 0]).astype(np.int64)
+        group = model.group_of((x >> UFINE).astype(np.int64))
         now = np.where(two, model.guess[1], model.guess[0])
         group = np.where(none, group, order0.group.take(order0.place.take(now)))
         start, size = model.choose(n, group)
