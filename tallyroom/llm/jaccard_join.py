@@ -8,23 +8,30 @@ document are merged with a heap, which yields the candidates and how often each
 the bound on the rest cannot exclude is probed by binary search in the candidate's whole sorted
 set, which gives the exact overlap. Among long lists the shorter ones come first.
 
-Lists that stay longer than ``SHORT`` are not expanded into pairs. A list's first document is its
-hub; every document is compared with the hub it shares most lists with, and with all its hubs only
+Lists longer than ``SHORT`` are first refined: split by the size of the smaller partner (classes
+of ratio ``RATIO``), which raises the overlap that a link needs from T to that of the two sizes,
+so that a document stays only in lists of shingles that come early enough in its order. Documents
+whose own rare shingles already use up what a link may miss drop out here. Refined lists of at
+most ``SHORT`` documents are merged as pairs.
+
+Lists that stay longer are not expanded into pairs. The document in which a list's shingle comes
+first, the one with the fewest rare shingles, is its hub; every document is compared with the hub it shares most lists with, and with all its hubs only
 in lists whose members are then not in one component. Pairs inside a component need no comparison, and Jaccard
 distance is a metric, so a document whose similarity to the hub is below 1 - 2 * (1 - percent / 100)
-cannot link with any that links with the hub; only what both rules leave is compared after that.
-Equal sets are one node.
+cannot link with any that links with the hub; only what both rules and the two positions of the
+shared shingle leave is compared after that. Equal sets are one node.
 """
 
 from __future__ import annotations
 
 import heapq
+import math
 from collections.abc import Iterator
 from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyroom.llm.tables import components, long_lists, text_views, written
@@ -34,7 +41,8 @@ WORDS = Words(b" \t\n\x0b\x0c\r")
 LONG = 64  # a list with more documents counts as long when shingles are ordered
 MAX_LONG = 400_000  # long lists that are named to the tasks, the longest first: 6.4 MB
 SHORT = 64  # members of a list that are merged as pairs
-BITS = 1 << 22  # size of the filter that picks the texts to shingle again
+RATIO = 1.05  # of the sizes in one class
+MIN_BITS, MAX_BITS = 1 << 16, 1 << 27  # size of the filter that picks the texts to shingle again
 
 
 def shingle_set(text: np.ndarray, k: int) -> np.ndarray:
@@ -234,26 +242,23 @@ def near_copies(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     first = index.where("n > 0").groupBy("sig").agg(F.min("doc_id").alias("rep"))
 
     # inverted lists with at least two different sets
-    entries = index.select("sig", "n", F.explode("prefix").alias("h"))
+    entries = index.select("sig", "n", F.posexplode("prefix").alias("pos", "h"))
     shared = entries.groupBy("h").count().where("count > 1").select("h")
-    live = (entries.join(shared, "h").groupBy("h", "sig").agg(F.min("n").alias("n"))
-            .join(first, "sig").where("rep IS NOT NULL").select("h", "rep", "n"))
+    live = (entries.join(shared, "h").groupBy("h", "sig").agg(F.min("n").alias("n"), F.min("pos").alias("pos"))
+            .join(first, "sig").where("rep IS NOT NULL").select("h", "rep", "n", "pos"))
     live = written(live, "shingle-lists")
-    sizes = live.groupBy("h").agg(F.count("*").alias("members"), F.min(F.struct("rep", "n")).alias("hub"))
+    members = live.groupBy("h").agg(F.count("*").alias("members"))
+    long_keys = members.where(F.col("members") > SHORT).select("h")
+    in_long = live.join(long_keys, "h").groupBy("rep").agg(F.count("*").alias("n_long"))
+    merged = _merged(live.join(members.where(F.col("members") <= SHORT).select("h"), "h"), in_long, percent)
+
+    # long lists, by size class; what has become short is merged too, whatever the long rest may share
+    live = written(_refined(live.join(long_keys, "h"), percent), "refined-lists")
+    sizes = live.groupBy("h").agg(F.count("*").alias("members"), F.min(F.struct("pos", "rep", "n")).alias("hub"))
     sizes = sizes.select("h", "members", F.col("hub.rep").alias("hub"), F.col("hub.n").alias("hub_n"))
-
-    short = live.join(sizes.where(F.col("members") <= SHORT).select("h"), "h")
-    lists = (short.groupBy("h").agg(F.array_sort(F.collect_list(F.struct("rep", "n"))).alias("m"))
-             .select(F.col("m.rep").alias("reps"), F.col("m.n").alias("sizes")))
-    in_long = (live.join(sizes.where(F.col("members") > SHORT).select("h"), "h")
-               .groupBy("rep").agg(F.count("*").alias("n_long")))
-    merged = (lists.select(F.posexplode("reps").alias("at", "x"), "reps", "sizes").where("at > 0")
-              .select("x", F.expr("sizes[at]").alias("nx"), F.expr("slice(reps, 1, at)").alias("reps"),
-                      F.expr("slice(sizes, 1, at)").alias("sizes"))
-              .groupBy("x").agg(F.min("nx").alias("nx"), F.collect_list(F.struct("reps", "sizes")).alias("l"))
-              .join(in_long.withColumnRenamed("rep", "x"), "x", "left")
-              .select("x", "nx", F.coalesce("n_long", F.lit(0)).alias("n_long"), "l.reps", "l.sizes")
-              .mapInArrow(_merge(percent), "a long, b long"))
+    short = live.join(sizes.where(F.col("members").between(2, SHORT)).select("h"), "h")
+    any_rest = short.select("rep").distinct().withColumn("n_long", F.lit(1 << 40))
+    merged = merged.unionByName(_merged(short, any_rest, percent))
     hubs = sizes.where(F.col("members") > SHORT).select("h", "hub", "hub_n")
     fitting = 100 * F.least("n", "hub_n") >= percent * F.greatest("n", "hub_n")
     best_hub = (live.join(hubs, "h").where("rep <> hub").where(fitting).groupBy("rep", "hub").count()
@@ -277,13 +282,15 @@ def near_copies(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
         found = components(tested.where("linked").select("a", "b"), "copy-components")
         to_own_hub = tested.select(F.col("a").alias("hub"), F.col("b").alias("rep"), "linked", "gray")
         opened = written(_opened(opened.drop("component"), found).join(to_own_hub, ["hub", "rep"], "left").select(
-            "h", "rep", "n", "component", (F.coalesce("linked", F.lit(False)) | (F.col("rep") == F.col("hub"))).alias("linked"),
+            "h", "rep", "n", "pos", "component", (F.coalesce("linked", F.lit(False)) | (F.col("rep") == F.col("hub"))).alias("linked"),
             F.coalesce("gray", may_be_gray).alias("gray")), "open-lists")
     if "linked" in opened.columns and not opened.where("NOT linked").isEmpty():
-        left = opened.where("NOT linked").toDF("h", "x", "nx", "cx", "lx", "gx")
-        right = opened.toDF("h", "y", "ny", "cy", "ly", "gy")
+        left = opened.where("NOT linked").toDF("h", "x", "nx", "px", "cx", "lx", "gx")
+        right = opened.toDF("h", "y", "ny", "py", "cy", "ly", "gy")
+        overlap = _overlap("nx", "ny", percent)
         across = (left.join(right, "h").where("cx <> cy AND (gx OR NOT ly)")
                   .where(100 * F.least("nx", "ny") >= percent * F.greatest("nx", "ny"))
+                  .where((F.col("px") <= F.col("nx") - overlap) & (F.col("py") <= F.col("ny") - overlap))
                   .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
         more = _tested(spark, rows, _reachable(index, across, percent), k, percent)
         found = components(tested.unionByName(more).where("linked").select("a", "b"), "copy-components")
@@ -295,12 +302,46 @@ def near_copies(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
                     .alias("component_id")))
 
 
+def _merged(entries: DataFrame, in_long: DataFrame, percent: int) -> DataFrame:
+    """Candidates (a, b) from lists of at most SHORT documents: each one's lists are merged."""
+    lists = (entries.groupBy("h").agg(F.array_sort(F.collect_list(F.struct("rep", "n"))).alias("m"))
+             .select(F.col("m.rep").alias("reps"), F.col("m.n").alias("sizes")))
+    return (lists.select(F.posexplode("reps").alias("at", "x"), "reps", "sizes").where("at > 0")
+            .select("x", F.expr("sizes[at]").alias("nx"), F.expr("slice(reps, 1, at)").alias("reps"),
+                    F.expr("slice(sizes, 1, at)").alias("sizes"))
+            .groupBy("x").agg(F.min("nx").alias("nx"), F.collect_list(F.struct("reps", "sizes")).alias("l"))
+            .join(in_long.withColumnRenamed("rep", "x"), "x", "left")
+            .select("x", "nx", F.coalesce("n_long", F.lit(0)).alias("n_long"), "l.reps", "l.sizes")
+            .mapInArrow(_merge(percent), "a long, b long"))
+
+
+def _overlap(x: str, y: str, percent: int) -> Column:
+    """Shingles that two sets of ``x`` and ``y`` shingles share at least if they link."""
+    return F.expr(f"({percent} * ({x} + {y}) + {99 + percent}) div {100 + percent}")
+
+
+def _refined(entries: DataFrame, percent: int) -> DataFrame:
+    """Entries (h, rep, n, pos) of long lists, split by the size class of the smaller partner.
+
+    The first shingle that two linking sets share stands in each at a place <= n - overlap. A class
+    bounds the smaller partner's size from below, and with it the overlap; entries that come later in
+    their set leave the class's list. Lists without a document of their own class hold no pair.
+    """
+    own = F.floor(F.log(F.col("n").cast("double")) / math.log(RATIO))
+    least = F.floor(F.log(F.ceil(F.col("n") * percent / 100).cast("double")) / math.log(RATIO))
+    fits = (f"c -> pos <= n - ({percent} * (n + bigint(ceil(pow({RATIO}D, c) * 0.999999999D))) + {99 + percent}) div {100 + percent}")
+    split = (entries.withColumn("own", own).withColumn("c", F.sequence(least, own))
+             .withColumn("c", F.explode(F.expr(f"filter(c, {fits})"))))
+    used = split.where("c = own").select("h", "c").distinct()
+    return split.join(used, ["h", "c"], "left_semi").select(F.xxhash64("h", "c").alias("h"), "rep", "n", "pos")
+
+
 def _opened(entries: DataFrame, found: DataFrame) -> DataFrame:
     """Entries, with their documents' components, of the lists that hold more than one component."""
-    placed = (entries.select("h", "hub", "hub_n", "rep", "n").join(found.withColumnRenamed("node", "rep"), "rep", "left")
+    placed = (entries.select("h", "hub", "hub_n", "rep", "n", "pos").join(found.withColumnRenamed("node", "rep"), "rep", "left")
               .withColumn("component", F.coalesce("component", "rep")))
     opened = placed.groupBy("h").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
-    return placed.join(opened.select("h"), "h").select("h", "hub", "hub_n", "rep", "n", "component")
+    return placed.join(opened.select("h"), "h").select("h", "hub", "hub_n", "rep", "n", "pos", "component")
 
 
 def _reachable(index: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
@@ -320,12 +361,14 @@ def _tested(spark: SparkSession, rows: DataFrame, pairs: DataFrame, k: int, perc
 
 
 def _shingle_sets(spark: SparkSession, rows: DataFrame, reps: DataFrame, k: int) -> DataFrame:
-    """(rep, shingles) of the named documents. Texts are picked by a bit filter of fixed size, so
+    """(rep, shingles) of the named documents. Texts are picked by a bit filter of bounded size, so
     the text column is not shuffled; false hits drop out in the join."""
-    slot = F.pmod(F.xxhash64("rep"), F.lit(BITS))
+    reps = written(reps, "copy-members")
+    size = min(MAX_BITS, max(MIN_BITS, 1 << (8 * reps.count()).bit_length()))
+    slot = F.pmod(F.xxhash64("rep"), F.lit(size))
     words = (reps.select(slot.alias("slot")).groupBy(F.shiftright("slot", 6).cast("int").alias("w"))
              .agg(F.bit_or(F.expr("shiftleft(1L, int(slot & 63))")).alias("b")).collect())
-    filled = np.zeros(BITS >> 6, np.uint64)
+    filled = np.zeros(size >> 6, np.uint64)
     for r in words:
         filled[r.w] = np.uint64(r.b % (1 << 64))
     bits = spark.sparkContext.broadcast(filled)

@@ -101,3 +101,41 @@ def test_word_hashes_do_not_depend_on_blocks():
     one = words.hashes(np.frombuffer(b"abc d", np.uint8))
     assert len(got) == 450_003 and (got[:450_000:3] == one[0]).all() and (got[1:450_000:3] == one[1]).all()
     assert got[-1] == got[-3] and got[-2] == one[1] and len(set(got.tolist())) == 3
+
+
+def group(rng, size):
+    """Near copies of one text; two with two changed words each do not link."""
+    base = [f"b{i}" for i in range(120)]
+    rows = []
+    for i in range(size):
+        copy = list(base)
+        for p in rng.sample(range(120), rng.randint(0, 2)):
+            copy[p] = f"x{i}y{p}"
+        rows.append((i, " ".join(copy)))
+    return rows
+
+
+def one_line(rng, size):
+    """Different short texts behind one common line."""
+    line = " ".join(f"l{i}" for i in range(14))
+    return [(i, line + " " + " ".join(f"u{i}v{j}" for j in range(rng.randint(1, 8)))) for i in range(size)]
+
+
+@pytest.mark.parametrize("make, sizes", [(group, (150, 300)), (one_line, (300, 600))])
+def test_compared_pairs_grow_with_the_group(make_docs, monkeypatch, make, sizes):
+    real, pairs = jaccard_join._tested, []
+
+    def counted(spark, rows, candidates, k, percent):
+        tested = real(spark, rows, candidates, k, percent)
+        pairs[-1] += tested.count()
+        return tested
+
+    monkeypatch.setattr(jaccard_join, "_tested", counted)
+    monkeypatch.setattr(jaccard_join, "SHORT", 8)
+    monkeypatch.setattr(jaccard_join, "LONG", 8)
+    for size in sizes:
+        pairs.append(0)
+        rows = make(random.Random(size), size)
+        assert result(jaccard_join.near_copies(make_docs(rows))) == brute(rows)
+    assert 0 < pairs[1] <= 2.6 * pairs[0], pairs
+    assert pairs[1] <= jaccard_join.SHORT * sizes[1], pairs
