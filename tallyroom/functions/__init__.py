@@ -135,8 +135,8 @@ def flags_list(*pairs: tuple[Column, str], empty: str = "none") -> Column:
 
 def generated_key(key, prefix: str, *basis) -> Column:
     """Given key, or a key computed from the row when it is blank. The same row
-    always gets the same key, so a retried task writes the same rows; the key holds
-    the whole digest, so different rows do not share one."""
+    always gets the same key, so a retried task writes the same rows; the key is
+    the prefix and the whole digest of 64 digits, so different rows do not share one."""
     digest = F.sha2(F.concat_ws("\u0001", *[F.coalesce(col(b).cast("string"), F.lit("")) for b in basis]), 256)
     return F.coalesce(F.nullif(F.trim(col(key)), F.lit("")),
                       F.concat(F.lit(prefix), F.upper(digest)))

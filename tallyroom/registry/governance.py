@@ -308,8 +308,9 @@ def st_latest_state(t):
     source = jobs.file_stream(t.spark, t.folder, "lineitem").select(
         col("l_suppkey").alias("store_id"), col("l_partkey").alias("sku_id"),
         col("l_shipdate").cast("date").alias("report_date"), col("l_quantity").alias("total_stock"))
-    table = KeyedTable(t.spark, scratch_dir(t.spark, "state"), ["store_id", "sku_id"])
-    jobs.latest_state(source, table, ["report_date", "total_stock"], scratch_dir(t.spark, "state-checkpoint"))
+    table = KeyedTable(t.spark, scratch_dir(t.spark, "state"), ["store_id", "sku_id"],
+                       newer=["report_date", "total_stock"])
+    jobs.latest_state(source, table, scratch_dir(t.spark, "state-checkpoint"))
     return table.read()
 
 
@@ -345,7 +346,7 @@ add("st_threshold_join", st_threshold_join, """
 def st_sweep(t):
     """The expiry-risk pipeline run from the stock stream: each batch re-evaluates the
     stores that it brings stock rows for, and replaces those stores' risks."""
-    out = KeyedTable(t.spark, scratch_dir(t.spark, "sweep"), ["store_id"])  # a store's rows share a bucket
+    out = KeyedTable(t.spark, scratch_dir(t.spark, "sweep"), ["store_id"])
     trigger = jobs.file_stream(t.spark, t.folder, "lineitem").select(col("l_suppkey").cast("string").alias("store_id"))
 
     def write(batch, batch_id):

@@ -1,8 +1,8 @@
 """Structured Streaming versions of the monitoring jobs.
 
-Every job writes to a keyed table through ``foreachBatch``. A batch is a version of
-the key buckets it touches, so its cost follows the batch, and a replay after a
-failure writes the same version. State lives in the checkpoint folder below the
+Every job writes to a keyed table through ``foreachBatch``. A batch is a delta of the
+table, so its cost follows the batch, and a replay after a failure writes the same
+delta. State lives in the checkpoint folder below the
 shared scratch folder.
 """
 
@@ -40,8 +40,8 @@ def run_available(stream: DataFrame, each_batch, checkpoint: str, mode: str = "u
 
 
 def into_table(table: KeyedTable, newer: list[str] | None = None):
-    """Batch writer: upsert by key. The batch id is the version, so a replay writes the same rows,
-    and only the key buckets of the batch are read and written."""
+    """Batch writer: upsert by key. The batch id is the version, so a replay writes the same rows;
+    nothing of the table is read."""
     def write(batch: DataFrame, batch_id: int) -> None:
         table.upsert(batch, batch_id, newer=newer)
     return write
@@ -90,18 +90,10 @@ def deduplicated(complaints: DataFrame, delay: str = "2 days") -> DataFrame:
     return complaints.withWatermark("ts", delay).dropDuplicatesWithinWatermark(["event_id"])
 
 
-def latest_state(stream: DataFrame, table: KeyedTable, order: list[str], checkpoint: str):
-    """Keep the newest row per key: each batch is reduced to its newest rows, and of those that are
-    stored the touched buckets are compared. A row with a value no newer is left as it is."""
-    def write(batch: DataFrame, batch_id: int) -> None:
-        best = [F.desc_nulls_last(c) for c in order]
-        rows = first_per(batch, table.key, best)
-        stored = table.touched(rows, batch_id)
-        if stored is not None:
-            rows = first_per(stored.unionByName(rows), table.key, best)
-        table.upsert(rows, batch_id, newer=order)
-
-    return run_available(stream, write, checkpoint, mode="append")
+def latest_state(stream: DataFrame, table: KeyedTable, checkpoint: str):
+    """Keep the newest row per key: each batch adds its own newest rows, and readers take each key's
+    newest by the table's ``newer`` columns. A row with a value no newer is left out."""
+    return run_available(stream, table.keep_latest, checkpoint, mode="append")
 
 
 def run_to_table(spark: SparkSession, stream: DataFrame, label: str, key: list[str], mode: str = "update") -> DataFrame:

@@ -1,6 +1,7 @@
 """Keyed writes and streams on small files."""
 
 import os
+import random
 from datetime import datetime, timedelta
 
 import pytest
@@ -35,6 +36,47 @@ def test_a_write_touches_its_own_buckets_and_a_replay_changes_nothing(spark):
     assert sorted(r.v for r in t.read().where("k IN (7, 8)").collect()) == [71, 72] and t.read().count() == 1001
 
 
+def test_log_against_a_plain_table(spark):
+    """Random upserts, group replacements, replays and folds against a dictionary."""
+    rng = random.Random(7)
+    schema = "k string, a bigint, b string"
+    t = sinks.KeyedTable(spark, scratch_dir(spark, "log"), ["k"], fold_deltas=3, bucket_bytes=2000)
+    want = {}
+    for version in range(11):
+        keys = rng.sample(["x", "y", "z", "u", "v", "w", None], rng.randint(1, 4))
+        if version % 4 == 2:
+            rows = [(k, rng.randint(0, 9), f"g{i}") for k in keys[1:] for i in range(rng.randint(1, 3))]
+            t.replace_groups(spark.createDataFrame(rows, schema), spark.createDataFrame([(k,) for k in keys], "k string"), version)
+            want |= {k: [r[1:] for r in rows if r[0] == k] for k in keys}
+        else:
+            rows = [(k, rng.choice([None, version]), rng.choice([None, f"b{version}"])) for k in keys]
+            for _ in range(1 + version % 2):  # some are replayed
+                t.upsert(spark.createDataFrame(rows, schema), version)
+            for k, a, b in rows:
+                old = want.get(k) or [(None, None)]
+                want[k] = [(a if a is not None else x, b if b is not None else y) for x, y in old]
+        got = sorted((tuple(r) for r in t.read().collect()), key=str)
+        assert got == sorted(((k, *r) for k, rows in want.items() for r in rows), key=str), version
+    names = os.listdir(t.path)
+    assert 1 <= sum(n[0] == "b" for n in names) <= 2 and len(names) <= 2 + 2 * 4 + 1, names
+    few = t.touched(spark.createDataFrame([("x",), (None,), ("q",)], "k string"))
+    assert sorted(map(str, {r.k for r in few.collect()})) == sorted(map(str, [k for k in ("x", None) if want.get(k)]))
+
+
+def test_a_small_batch_costs_the_same_on_any_table(spark):
+    sizes = []
+    for n in (10_000, 1_000_000):
+        t = sinks.KeyedTable(spark, scratch_dir(spark, "size"), ["k"], bucket_bytes=1 << 20)
+        t.upsert(spark.range(n).selectExpr("id AS k", "id * 3 AS v"), 0)
+        t.fold()
+        t.upsert(spark.range(500).selectExpr("id * 17 AS k", "-id AS v").coalesce(1), 1)
+        sizes.append(sum(os.path.getsize(f"{t.path}/v1/{f}") for f in os.listdir(f"{t.path}/v1") if f.endswith(".parquet")))
+        assert t.read().count() == n and t.read().where("v < 0").count() == 499
+        buckets = [x for x in os.listdir(t.path) if x[0] == "b"]
+        assert (int(buckets[0].split("-")[1]) > 1) == (n > 10_000)
+    assert sizes[0] == sizes[1]
+
+
 def test_unfinished_version_is_ignored(spark):
     t = sinks.VersionedTable(spark, scratch_dir(spark, "t"))
     t.replace(spark.range(3).toDF("k"))
@@ -86,8 +128,8 @@ def test_latest_state_over_batches(spark, tmp_path):
     for i, rows in enumerate([[("a", 1, 10), ("b", 5, 50)], [("a", 3, 30), ("b", 4, 40)], [("a", 2, 20)]]):
         spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / f"in/p={i}"))
     stream = spark.readStream.schema(schema + ", p int").option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in")).drop("p")
-    table = sinks.KeyedTable(spark, scratch_dir(spark, "state"), ["k"])
-    jobs.latest_state(stream, table, ["d"], scratch_dir(spark, "state-ckpt"))
+    table = sinks.KeyedTable(spark, scratch_dir(spark, "state"), ["k"], newer=["d"])
+    jobs.latest_state(stream, table, scratch_dir(spark, "state-ckpt"))
     assert sorted(tuple(r) for r in table.read().collect()) == [("a", 3, 30), ("b", 5, 50)]
 
 

@@ -181,7 +181,7 @@ def test_conditional_sum_policies_and_number_text(spark):
 def test_version_suffix_and_generated_key(spark):
     df = spark.createDataFrame([("RCP-a-v7", None, ""), ("RCP-b", 2, "K1")], "id string, v bigint, k string")
     got = df.select(fn.version_of("v", "id").alias("v"), fn.generated_key("k", "P_", "id").alias("k")).collect()
-    assert [g.v for g in got] == [7, 2] and got[1].k == "K1" and got[0].k.startswith("P_") and len(got[0].k) == 10
+    assert [g.v for g in got] == [7, 2] and got[1].k == "K1" and got[0].k.startswith("P_") and len(got[0].k) == 2 + 64
 
 
 def test_review_clusters_follow_the_product_that_the_text_names(spark, monkeypatch):
