@@ -27,6 +27,51 @@ def join_any_id(facts: DataFrame, fact_id: str, entities: DataFrame, id_columns:
 
 
 PIECE = 8  # characters by which a longer term is looked up
+BITS = 1 << 20  # of the filter over the dictionary's anchors
+
+
+def anchored_terms(terms: DataFrame, term: str, value: str) -> DataFrame:
+    """Upper-case terms with their value and anchor (__term, __value, __piece): the whole term if it has at
+    most ``PIECE`` characters, else that run of ``PIECE`` characters which the fewest terms share."""
+    words = terms.where(F.length(term) > 0).groupBy(F.upper(term).alias("__term")).agg(F.min(value).alias("__value"))
+    short = words.where(F.length("__term") <= PIECE).withColumn("__piece", F.col("__term"))
+    runs = words.where(F.length("__term") > PIECE).select("*", F.explode(F.array_distinct(F.transform(
+        F.sequence(F.lit(1), F.length("__term") - PIECE + 1), lambda i: F.substr("__term", i, F.lit(PIECE))))).alias("__piece"))
+    shared = runs.groupBy("__piece").agg(F.count("*").alias("__shared"))
+    rarest = (runs.join(shared, "__piece").groupBy("__term", "__value")
+              .agg(F.min_by("__piece", F.struct("__shared", "__piece")).alias("__piece")))
+    return short.unionByName(rarest)
+
+
+def _piece_patterns(anchors: DataFrame) -> DataFrame:
+    """One row: per size of anchors a look-ahead for runs whose every character stands at that place in
+    some anchor. At most ``PIECE`` patterns, each no longer than the alphabet times ``PIECE``."""
+    place = F.explode(F.sequence(F.lit(1), F.length("__piece")))
+    chars = anchors.select("__piece", F.length("__piece").alias("n"), place.alias("i")).groupBy("n", "i").agg(
+        F.array_join(F.array_sort(F.collect_set(F.concat(F.lit("\\x{"), F.hex(F.ascii(F.substr("__piece", F.col("i"), F.lit(1)))), F.lit("}")))), "").alias("c"))
+    sizes = chars.groupBy("n").agg(F.array_sort(F.collect_list(F.struct("i", F.concat(F.lit("["), "c", F.lit("]")).alias("c")))).alias("c"))
+    return sizes.agg(F.collect_list(F.concat(F.lit("(?s)(?=("), F.array_join(F.col("c.c"), ""), F.lit("))"))))
+
+
+def _piece_bits(anchors: DataFrame) -> DataFrame:
+    """One row: ``BITS`` bits as longs, those set that anchors hash to."""
+    slot = F.pmod(F.xxhash64("__piece"), F.lit(BITS))
+    used = (anchors.select(slot.alias("s")).groupBy(F.shiftright("s", 6).alias("id"))
+            .agg(F.bit_or(F.expr("shiftleft(1L, int(s & 63))")).alias("b")))
+    every = anchors.sparkSession.range(0, BITS >> 6, 1, 1)
+    return (every.join(used, "id", "left").agg(F.array_sort(F.collect_list(F.struct("id", F.coalesce("b", F.lit(0)).alias("b")))).alias("w"))
+            .select(F.col("w.b")))
+
+
+def anchor_hits(texts: DataFrame, anchors: DataFrame) -> DataFrame:
+    """(__key, __piece) of runs in ``texts`` (__key, __text) that are anchors; a few that are not, by chance.
+    What is no anchor is left out inside the text's row, before anything becomes a row of its own."""
+    patterns, bits = _piece_patterns(anchors), _piece_bits(anchors)
+    pieces = F.flatten(F.transform("__patterns", lambda p: F.regexp_extract_all(F.col("__text"), p, F.lit(1))))
+    known = F.expr(f"filter(__pieces, p -> getbit(get(__bits, int(shiftright(pmod(xxhash64(p), {BITS}), 6))), int(pmod(xxhash64(p), 64))) = 1)")
+    return (texts.withColumn("__patterns", F.coalesce(patterns.scalar(), F.array().cast("array<string>")))
+            .withColumn("__bits", bits.scalar()).withColumn("__pieces", pieces)
+            .select("__key", F.explode(F.array_distinct(known)).alias("__piece")))
 
 
 def longest_term(texts: DataFrame, text: str, key: str, terms: DataFrame, term: str, value: str) -> DataFrame:
@@ -34,23 +79,13 @@ def longest_term(texts: DataFrame, text: str, key: str, terms: DataFrame, term:
     (substring, case-insensitive; NULL when none is found; equal lengths are
     settled by the alphabet). Every text is searched whole.
 
-    Texts and terms meet in an equi-join on the term's first eight characters, or on the whole
-    term where it is shorter; longer terms are then looked for in the text. Each candidate is a
-    row, and a text brings back its best one only. A text whose key is NULL gets NULL.
+    Texts and terms meet in an equi-join on the terms' anchors; longer terms are then looked for
+    in the text. Each candidate is a row, and a text brings back its best one only. A text whose
+    key is NULL gets NULL.
     """
-    words = terms.where(F.length(term) > 0).groupBy(F.upper(term).alias("__term")).agg(
-        F.min(value).alias("__value"))
-    size = F.least(F.length("__term"), F.lit(PIECE))
-    anchors = words.withColumn("__piece", F.substr("__term", F.lit(1), size))
-    sizes = words.agg(F.collect_set(size))  # at most PIECE numbers
-
-    upper = F.upper(F.col(text))
-    found = texts.where(F.col(key).isNotNull()).select(F.col(key).alias("__key"), upper.alias("__text"))
-    # a look-ahead at every place: the text is walked once per size
-    pieces = F.flatten(F.transform("__sizes", lambda n: F.regexp_extract_all(
-        F.col("__text"), F.concat(F.lit("(?s)(?=(.{"), n.cast("string"), F.lit("}))")), F.lit(1))))
-    candidates = (found.withColumn("__sizes", sizes.scalar()).select("__key", F.explode(F.array_distinct(pieces)).alias("__piece")).join(anchors, "__piece")
-                  .select("__key", "__term", "__value").distinct())
+    anchors = anchored_terms(terms, term, value)
+    found = texts.where(F.col(key).isNotNull()).select(F.col(key).alias("__key"), F.upper(F.col(text)).alias("__text"))
+    candidates = anchor_hits(found, anchors).join(anchors, "__piece").select("__key", "__term", "__value").distinct()
     best = (candidates.join(found, "__key")
             .where((F.length("__term") <= PIECE) | (F.instr(F.col("__text"), F.col("__term")) > 0))
             .groupBy("__key").agg(F.min_by("__value", F.struct(-F.length("__term"), "__term")).alias(value)))

@@ -178,29 +178,55 @@ def name_tokens(c):
     return F.array_sort(F.array_distinct(F.filter(F.split(F.lower(F.trim(c)), "[^a-z0-9]+"), lambda w: w != "")))
 
 
+SUBSET_WORDS = 10  # names of at most so many words meet in what they must share, longer ones in two rare words
+
+
+def _name_keys(sets: DataFrame, threshold: float) -> DataFrame:
+    """Meeting points (shared, lo, hi) of word sets (words, n): two sets of ``lo`` and ``hi`` words that
+    reach the threshold have one in common.
+
+    Such sets share ``need`` words or more. Up to ``SUBSET_WORDS`` words a key is any ``need`` words of
+    the set, so that whoever meets there is similar; beyond it is any two of the rarest
+    ``n - need + 2``, of which similar sets share two.
+    """
+    partner = F.explode(F.expr(f"sequence(int(ceil(n * {threshold}D - 1e-9D)), int(floor(n / {threshold}D + 1e-9D)))"))
+    sized = (sets.withColumn("m", partner).withColumn("lo", F.least("n", "m")).withColumn("hi", F.greatest("n", "m"))
+             .withColumn("need", F.expr(f"int(ceil({threshold}D / (1 + {threshold}D) * (n + m) - 1e-9D))")).drop("m"))
+    picked = "transform(filter(sequence(1, int(pow(2, n)) - 1), b -> bit_count(b) = need), b -> array_join(filter(words, (w, i) -> getbit(b, i) = 1), ' '))"
+    short = sized.where(F.col("hi") <= SUBSET_WORDS).withColumn("shared", F.explode(F.expr(picked)))
+
+    long_names = sized.where(F.col("hi") > SUBSET_WORDS)
+    freq = sets.select(F.explode("words").alias("w")).groupBy("w").agg(F.count("*").alias("f"))
+    ordered = (sets.where(F.floor(F.col("n") / threshold + 1e-9) > SUBSET_WORDS).select("words", F.explode("words").alias("w")).join(freq, "w")
+               .groupBy("words").agg(F.array_sort(F.collect_list(F.struct("f", "w"))).alias("rare")))
+    two = """flatten(transform(slice(rare.w, 1, n - need + 2), (w, i) ->
+                transform(slice(rare.w, i + 2, greatest(n - need - i, 0)), v -> concat_ws(' ', w, v))))"""
+    rare = long_names.join(ordered, "words").withColumn("shared", F.explode(F.expr(two)))
+    columns = ["words", "n", "shared", "lo", "hi"]
+    return short.select(*columns).unionByName(rare.select(*columns))
+
+
 def similar_names(names: DataFrame, name: str, threshold: float = 0.6) -> DataFrame:
     """Pairs of distinct names whose word sets overlap by at least ``threshold``
     (Jaccard), exactly.
 
-    Copies of a name are reduced first. Words are ordered from rare to common
-    and only the first ``n - ceil(threshold * n) + 1`` of a name are joined:
-    two names that reach the threshold must share one of those, so the common
-    words never form a group.
+    Names with equal word sets are compared as one and expanded at the end. Sets meet in what
+    similar ones must share, see :func:`_name_keys`, never in a single word, so a common word
+    forms no group and joined rows follow the similar pairs.
     """
-    sets = (names.select(F.col(name).alias("nm")).where(F.col(name).isNotNull()).distinct()
-            .withColumn("words", name_tokens(F.col("nm"))).where(F.size("words") > 0))
-    freq = (sets.select(F.explode("words").alias("w")).groupBy("w").agg(F.count("*").alias("f")))
-    ranked = (sets.select("nm", F.size("words").alias("n"), F.explode("words").alias("w")).join(freq, "w")
-              .withColumn("i", F.row_number().over(Window.partitionBy("nm").orderBy("f", "w"))))
-    prefix = ranked.where(F.col("i") <= F.col("n") - F.ceil(F.col("n") * threshold - 1e-9) + 1)
-    a = prefix.select(F.col("nm").alias("name_a"), F.col("n").alias("n_a"), "w")
-    b = prefix.select(F.col("nm").alias("name_b"), F.col("n").alias("n_b"), "w")
-    pairs = (a.join(b, "w").where((F.col("name_a") < F.col("name_b"))
-                                  & (F.least("n_a", "n_b") >= F.greatest("n_a", "n_b") * threshold - 1e-9))
-             .select("name_a", "name_b").distinct())
-    left = sets.select(F.col("nm").alias("name_a"), F.col("words").alias("wa"))
-    right = sets.select(F.col("nm").alias("name_b"), F.col("words").alias("wb"))
-    return (pairs.join(left, "name_a").join(right, "name_b")
-            .withColumn("similarity", F.round(safe_divide(F.size(F.array_intersect("wa", "wb")),
-                                                          F.size(F.array_union("wa", "wb"))), 4))
-            .where(F.col("similarity") >= threshold).select("name_a", "name_b", "similarity"))
+    members = (names.select(F.col(name).alias("nm")).where(F.col(name).isNotNull()).distinct()
+               .withColumn("words", name_tokens(F.col("nm"))).where(F.size("words") > 0))
+    members = written_once(members, "name-sets")
+    sets = members.select("words").distinct().withColumn("n", F.size("words"))
+    keys = written_once(_name_keys(sets, threshold), "name-keys")
+    left = keys.where("n = lo").select(F.col("words").alias("wa"), "shared", "lo", "hi")
+    right = keys.where("n = hi").select(F.col("words").alias("wb"), "shared", "lo", "hi")
+    both = F.size(F.array_intersect("wa", "wb"))
+    pairs = (left.join(right, ["shared", "lo", "hi"]).where("lo < hi OR wa < wb").select("wa", "wb").distinct()
+             .withColumn("similarity", F.round(safe_divide(both, F.size("wa") + F.size("wb") - both), 4))
+             .where(F.col("similarity") >= threshold))
+    across = (pairs.join(members.toDF("x", "wa"), "wa").join(members.toDF("y", "wb"), "wb")
+              .select(F.least("x", "y").alias("name_a"), F.greatest("x", "y").alias("name_b"), "similarity"))
+    equal = (members.toDF("name_a", "words").join(members.toDF("name_b", "words"), "words").where("name_a < name_b")
+             .select("name_a", "name_b", F.lit(1.0).alias("similarity")))
+    return across.unionByName(equal)

@@ -1,6 +1,7 @@
 """Operators against brute force on small random inputs, hot keys included."""
 
 import random
+import re
 from itertools import combinations
 
 import pytest
@@ -148,3 +149,55 @@ def test_swaps_with_one_role(spark):
     for o in (0, 1, 5):
         want = [p for p in range(1, 21) if p != o % 4 + 1][:3]
         assert sorted(r.pos for r in got.where(f"owner = '{o}'").collect()) == want
+
+
+def test_only_anchors_become_rows(spark):
+    """Terms that begin alike meet few texts by their rarest piece; rows follow the true candidates."""
+    rng = random.Random(3)
+    terms = [f"ALMOND BAR {x}" for x in ("COCOA", "DATE", "HONEY MIX", "Ñandú (9%)")] + ["oat", "x.y", "é", "SEEDS AND NUTS", "日本の棒チョコ味"]
+    filler = ["almond bar", "almonds", "barely", "cocoa", "date", "seeds and", "nuts", "日本", "plain", "zz"]
+    texts = [(i, " ".join(rng.choice(filler) for _ in range(20)) + (" " + rng.choice(terms).lower() + " end" if i % 3 == 0 else "")) for i in range(300)]
+    texts += [(1000, None), (1001, ""), (None, "oat"), (1002, "b\n" * 5000 + "Seeds and NUTS")]
+    t = spark.createDataFrame(texts, "id long, body string")
+    d = spark.createDataFrame([(x, f"v{i}") for i, x in enumerate(terms)] + [("", "none"), ("OAT", "v0b")], "term string, v string")
+    got = {r.id: r.v for r in J.longest_term(t, "body", "id", d, "term", "v").collect()}
+    value = {x.upper(): f"v{i}" for i, x in enumerate(terms)} | {"OAT": "v0b"}
+    want, true = {}, 0
+    for i, body in texts:
+        found = sorted((x for x in value if i is not None and body and x in body.upper()), key=lambda x: (-len(x), x))
+        true += len(found)
+        want[i] = value[found[0]] if found else None
+    assert got == want
+    anchors = J.anchored_terms(d, "term", "v")
+    assert anchors.select("__piece").distinct().count() == anchors.count()
+    found = t.where("id IS NOT NULL").select(F.col("id").alias("__key"), F.upper("body").alias("__text"))
+    assert true / 2 <= J.anchor_hits(found, anchors).count() <= 2 * true
+    assert J.longest_term(t, "body", "id", d.limit(0), "term", "v").where("v IS NOT NULL").isEmpty()
+
+
+@pytest.mark.parametrize("vocabulary, most, threshold", [(20, 6, 0.6), (300, 4, 0.6), (30, 16, 0.6), (15, 8, 0.75), (12, 13, 0.5)])
+def test_similar_names_against_all_pairs(spark, vocabulary, most, threshold):
+    rng = random.Random(most)
+    words = [f"w{i}" for i in range(vocabulary)]
+    names = sorted({rng.choice([" ", "-", " , "]).join(rng.choices(words, k=rng.randint(1, most))) for _ in range(150)} | {"", "?!"})
+    sets = {n: set(re.findall("[a-z0-9]+", n)) for n in names}
+    want = {(a, b, round(len(sets[a] & sets[b]) / len(sets[a] | sets[b]), 4)) for a, b in combinations(names, 2)
+            if sets[a] and sets[b] and len(sets[a] & sets[b]) / len(sets[a] | sets[b]) >= threshold}
+    df = spark.createDataFrame([(n,) for n in names] * 2 + [(None,)], "nm string")
+    rows = ideas.similar_names(df, "nm", threshold).collect()
+    assert {(r.name_a, r.name_b, r.similarity) for r in rows} == want and len(rows) == len(want)
+
+
+def test_rows_that_meet_follow_the_similar_pairs(spark):
+    """Names over 20 words: whoever meets is similar, so joined rows grow as the result does."""
+    rng = random.Random(1)
+    per_pair = []
+    for size in (300, 600):
+        sets = {tuple(sorted(rng.sample(range(20), rng.randint(3, 6)))) for _ in range(size)}
+        df = spark.createDataFrame([([f"w{x}" for x in s], len(s)) for s in sets], "words array<string>, n int")
+        keys = ideas._name_keys(df, 0.6)
+        a, b = (keys.where(f"n = {side}").toDF(side + "w", side + "n", "shared", "x", "y") for side in ("lo", "hi"))
+        met = a.join(b, ["shared", "x", "y"]).where("x < y OR low < hiw").count()
+        similar = sum(len(set(p) & set(q)) >= 0.6 * len(set(p) | set(q)) for p, q in combinations(sets, 2))
+        per_pair.append(met / similar)
+    assert all(1 <= x <= 3 for x in per_pair), per_pair
