@@ -12,6 +12,7 @@ from tallyroom.functions import days_until, ladder, safe_divide
 from tallyroom.operators.snapshots import latest_row
 from tallyroom.plans.products import product_facets, v_product_ingredient
 from tallyroom.plans.recipes import claim_bans, name_tags
+from tallyroom.sources.sinks import written_once
 
 
 def price_gap(t, real_gap_pct: float = 5.0) -> DataFrame:
@@ -47,24 +48,42 @@ def words(c):
     return F.array_distinct(F.filter(F.split(F.lower(c), "[^a-z]+"), lambda w: F.length(w) > 2))
 
 
+def word_bitmaps(rows: DataFrame, label: str) -> DataFrame:
+    """(w, bucket, bits) of the different ids behind each word, from rows (w, id). Ids are numbered once,
+    and 32,768 of them share a bitmap, so a word has a row per bucket and not per id."""
+    rows = rows.distinct()
+    numbers = written_once(rows.select(F.col("id").alias("known")).distinct()
+                           .withColumn("no", F.monotonically_increasing_id() + 1), label)
+    return (rows.join(numbers, rows["id"].eqNullSafe(numbers["known"])).groupBy("w", F.bitmap_bucket_number("no").alias("bucket"))
+            .agg(F.bitmap_construct_agg(F.bitmap_bit_position("no")).alias("bits")))
+
+
+def ids_behind(kinds: DataFrame, bitmaps: DataFrame, out: str) -> DataFrame:
+    """Different ids behind any word of each word list ``ws``."""
+    return (kinds.select("ws", F.explode("ws").alias("w")).join(bitmaps, "w").groupBy("ws", "bucket")
+            .agg(F.bitmap_or_agg("bits").alias("bits")).groupBy("ws").agg(F.sum(F.bitmap_count("bits")).alias(out)))
+
+
 def regulation_impact(changes: DataFrame, key: str, body: str, products: DataFrame, sku: str, name: str,
                       suppliers: DataFrame) -> DataFrame:
     """Per change: matched product words, affected SKUs and their suppliers.
 
-    Product words are few, so the texts' words are reduced to them before
-    anything is counted; SKU and supplier counts per word are added up from
-    distinct (change, SKU) and (change, supplier) rows.
+    Product words are few, so the texts' words are reduced to them, and changes with the same words
+    are counted once. SKUs and suppliers are counted exactly by bitmaps per word; no row stands for a
+    change and a SKU, or for a change and a supplier.
     """
-    vocabulary = products.select(sku, F.explode(words(F.col(name))).alias("w")).distinct()
-    used = vocabulary.select("w").distinct()
-    hits = (changes.select(key, F.explode(words(F.col(body))).alias("w")).distinct()
-            .join(used, "w", "left_semi"))
-    affected = hits.join(vocabulary, "w").select(key, sku).distinct()
-    per_change = affected.groupBy(key).agg(F.count("*").alias("affected_skus"))
-    sources = (affected.join(suppliers.select(sku, "supplier_id").distinct(), sku)
-               .select(key, "supplier_id").distinct().groupBy(key).agg(F.count("*").alias("affected_suppliers")))
-    matched = hits.groupBy(key).agg(F.count("*").alias("matched_words"))
-    return matched.join(per_change, key).join(sources, key, "left").fillna(0, ["affected_suppliers"])
+    vocabulary = products.select(F.col(sku).alias("id"), F.explode(words(F.col(name))).alias("w")).distinct()
+    hits = (changes.where(F.col(key).isNotNull()).select(key, F.explode(words(F.col(body))).alias("w")).distinct()
+            .join(vocabulary.select("w").distinct(), "w", "left_semi"))
+    sets = written_once(hits.groupBy(key).agg(F.array_sort(F.collect_set("w")).alias("ws")), "matched-words")
+    kinds = sets.select("ws").distinct()
+    supplied = suppliers.select(F.col(sku).alias("id"), "supplier_id").distinct()
+    sources = vocabulary.join(supplied, "id").select("w", F.col("supplier_id").alias("id"))
+    affected = ids_behind(kinds, word_bitmaps(vocabulary.select("w", "id"), "sku-numbers"), "affected_skus")
+    behind = ids_behind(kinds, word_bitmaps(sources, "supplier-numbers"), "affected_suppliers")
+    return (sets.join(affected, "ws").join(behind, "ws", "left")
+            .select(key, F.size("ws").cast("bigint").alias("matched_words"), "affected_skus",
+                    F.coalesce("affected_suppliers", F.lit(0)).alias("affected_suppliers")))
 
 
 def exposure_overlap(own: DataFrame, cited: DataFrame, key: str) -> DataFrame:

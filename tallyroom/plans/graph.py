@@ -77,20 +77,22 @@ def related_grouped(edges: DataFrame) -> DataFrame:
 
 def ancestor_closure(members: DataFrame, child: str, parent: str) -> DataFrame:
     """``(descendant, ancestor, depth)`` for every member, itself included, up to the
-    roots whatever the depth: each round follows one more link, until none is left.
+    roots whatever the depth. Pointers are doubled: a round joins all paths of fewer than 2^k
+    links with those of exactly 2^k, so a chain of 1,000 members takes 10 rounds.
     A member that is its own ancestor is an error."""
-    links = members.where(F.col(parent).isNotNull()).select(F.col(child).alias("__c"), F.col(parent).alias("__p"))
-    step = members.select(F.col(child).alias("descendant"), F.col(child).alias("ancestor"),
-                          F.lit(0).cast("bigint").alias("depth"))
-    out = step
-    while True:
-        step = written_once(step.join(links, F.col("ancestor") == F.col("__c")).select(
-            "descendant", F.col("__p").alias("ancestor"), (F.col("depth") + 1).alias("depth")), "closure")
-        if step.isEmpty():
-            return out
-        if not step.where("descendant = ancestor").isEmpty():
+    out = members.select(F.col(child).alias("descendant"), F.col(child).alias("ancestor"), F.lit(0).cast("bigint").alias("depth"))
+    jump = written_once(members.where(F.col(parent).isNotNull()).select(F.col(child).alias("__from"), F.col(parent).alias("__to")), "closure")
+    length = 1
+    while not jump.isEmpty():
+        longer = written_once(out.join(jump, F.col("ancestor") == F.col("__from")).select(
+            "descendant", F.col("__to").alias("ancestor"), (F.col("depth") + length).alias("depth")), "closure")
+        if not longer.where("descendant = ancestor").isEmpty():
             raise ValueError("the hierarchy has a cycle")
-        out = out.unionByName(step)
+        out = out.unionByName(longer)
+        again = jump.select(F.col("__from").alias("__to"), F.col("__to").alias("__next"))
+        jump = written_once(jump.join(again, "__to").select("__from", F.col("__next").alias("__to")), "closure")
+        length *= 2
+    return out
 
 
 def hier_rollup(df: DataFrame, levels: list[str], aggregates: list[Column]) -> DataFrame:
@@ -148,32 +150,87 @@ def catalog_symmetry(left: DataFrame, right: DataFrame, keys: list[str]) -> Data
 
 # ---- stored vectors -----------------------------------------------------------------------
 
-PROBE_BLOCK = 64  # probes that one row of a block carries
+PIVOTS = 128  # stored vectors that name the cells
+BIN = 0.05  # radians: vectors of a cell are looked up by their angle to the pivot
+
+
+def _dot(a, b):
+    return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda acc, v: acc + v)
+
+
+def _angle(cosine):
+    return F.acos(F.least(F.greatest(cosine, F.lit(-1.0)), F.lit(1.0)))
+
+
+def vector_cells(stored: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Vectors (id, v, norm) with the cell ``c`` of their nearest pivot and the angle ``a`` to it; the pivots
+    as one row's array; one row with the cells' number of vectors and range of angles."""
+    unit = F.transform("v", lambda x: x / F.col("norm"))
+    first = stored.select(F.xxhash64("id").alias("h"), "id", unit.alias("u")).orderBy("h", "id").limit(PIVOTS)
+    first = first.agg(F.array_sort(F.collect_list(F.struct("h", "id", "u"))).alias("p"))
+    pivots = written_once(first.select(F.col("p.u").alias("pivots")), "vector-pivots")
+    cosines = F.transform("pivots", lambda p: _dot(F.col("v"), p) / F.col("norm"))
+    near = (stored.withColumn("pivots", pivots.scalar()).withColumn("cosines", cosines).drop("pivots")
+            .withColumn("best", F.array_max("cosines")))
+    cells = written_once(near.select("id", "v", "norm", F.expr("int(array_position(cosines, best) - 1)").alias("c"), _angle(F.col("best")).alias("a"))
+                         .withColumn("bin", F.floor(F.col("a") / BIN)), "vector-cells")
+    sizes = cells.groupBy("c").agg(F.count("*").alias("n"), F.min("bin").alias("lo"), F.max("bin").alias("hi")).agg(
+        F.array_sort(F.collect_list(F.struct("c", "n", "lo", "hi"))).alias("cells"))
+    return cells, pivots, sizes
+
+
+def _scored(pairs: DataFrame) -> DataFrame:
+    return pairs.select("probe_id", F.col("id").alias("neighbor_id"), F.try_divide(_dot(F.col("pv"), F.col("v")), F.col("pn") * F.col("norm")).alias("sim"))
+
+
+def neighbor_candidates(stored: DataFrame, probes: DataFrame, k: int) -> DataFrame:
+    """Pairs of probes (probe_id, pv, pn) and stored vectors (id, v, norm) that hold each probe's ``k`` nearest.
+
+    A probe first meets its nearest cells that hold more than ``k`` vectors; its k-th best angle there
+    bounds the search. By the triangle inequality only vectors whose angle to their pivot differs from
+    the probe's by no more than the bound can be nearer; those meet it by cell and bin of angles.
+    """
+    cells, pivots, sizes = vector_cells(stored)
+    probes = probes.withColumn("pivots", pivots.scalar()).withColumn("cells", sizes.scalar())
+    probes = probes.withColumn("reach", F.array_sort(F.transform("cells", lambda x: F.struct(
+        _angle(_dot(F.col("pv"), F.get(F.col("pivots"), x["c"])) / F.col("pn")).alias("t"), x["c"].alias("c"), x["n"].alias("n"),
+        x["lo"].alias("lo"), x["hi"].alias("hi"))))).drop("pivots", "cells")
+    probes = written_once(probes, "vector-probes")
+    nearest = F.expr(f"""aggregate(reach, struct(cast(array() as array<int>) as c, 0L as seen),
+        (s, x) -> if(s.seen > {k}, s, struct(concat(s.c, array(x.c)) as c, s.seen + x.n as seen))).c""")
+    first = probes.select("probe_id", "pv", "pn", F.explode(nearest).alias("c")).join(cells, "c").where("probe_id <> id")
+    best = top_n(_scored(first), ["probe_id"], [F.desc_nulls_last("sim"), F.asc("neighbor_id")], k, "rank")
+    bound = best.groupBy("probe_id").agg(F.when(F.count("sim") >= k, _angle(F.min("sim")) + 1e-6).otherwise(4.0).alias("tau"))
+    spans = F.expr(f"""filter(transform(reach, x -> struct(x.c as c, x.t as t,
+        greatest(x.lo, bigint(floor((x.t - tau) / {BIN}))) as lo, least(x.hi, bigint(floor((x.t + tau) / {BIN}))) as hi)), x -> x.lo <= x.hi)""")
+    looked = (probes.join(bound, "probe_id").select("probe_id", "pv", "pn", "tau", F.inline(spans))
+              .select("probe_id", "pv", "pn", "tau", "t", "c", F.explode(F.sequence("lo", "hi")).alias("bin")))
+    return looked.join(cells, ["c", "bin"]).where("probe_id <> id AND abs(t - a) <= tau").select("probe_id", "pv", "pn", "id", "v", "norm")
 
 
 def vector_neighbors(vectors: DataFrame, probes: DataFrame, key: str, vector: str, k: int) -> DataFrame:
-    """The ``k`` nearest stored vectors by cosine for each probe.
+    """The ``k`` nearest stored vectors by cosine for each probe, exactly; ties go to the smaller id.
 
-    The probes are packed into blocks of about ``PROBE_BLOCK``; every stored vector
-    meets every block by an equi-join on the block number, and only the best ``k``
-    per probe and task are shuffled.
+    Candidates are pruned by :func:`neighbor_candidates`. Vectors without a direction (null, zero, NaN)
+    have no similarity and come last, by id, where a probe has fewer than ``k`` others.
     """
-    def dot(a, b):
-        return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda acc, v: acc + v)
-
-    def doubles(c):
-        return F.col(c).cast("array<double>")
-
-    probe = probes.select(F.col(key).alias("probe_id"), doubles(vector).alias("pv"))
-    blocks = probe.agg(F.greatest(F.ceil(F.count("*") / PROBE_BLOCK), F.lit(1)).cast("int"))
-    packed = (probe.withColumn("block", F.pmod(F.xxhash64("probe_id"), blocks.scalar()).cast("int"))
-              .groupBy("block").agg(F.collect_list(F.struct("probe_id", "pv")).alias("a")))
-    pairs = (vectors.select(F.col(key).alias("neighbor_id"), doubles(vector).alias("nv"),
-                            F.explode(F.sequence(F.lit(0), blocks.scalar() - 1)).alias("block"))
-             .join(packed, "block").withColumn("p", F.explode("a")).where(F.col("p.probe_id") != F.col("neighbor_id"))
-             .select(F.col("p.probe_id").alias("probe_id"), "neighbor_id",
-                     F.try_divide(dot(F.col("p.pv"), F.col("nv")),
-                                  F.sqrt(dot(F.col("p.pv"), F.col("p.pv"))) * F.sqrt(dot(F.col("nv"), F.col("nv"))))
-                     .alias("sim")))
-    return top_n(pairs, ["probe_id"], [F.desc_nulls_last("sim"), F.asc("neighbor_id")], k, "rank").select(
+    def prepared(df, names):
+        v = F.col(vector).cast("array<double>")
+        return df.select(F.col(key).alias(names[0]), v.alias(names[1]), F.sqrt(_dot(v, v)).alias(names[2]))
+
+    def lowest(rows):
+        ids = rows.select("id").where("id IS NOT NULL").orderBy("id").limit(k + 1).agg(F.array_sort(F.collect_list("id")).alias("ids"))
+        return ids.scalar()
+
+    stored, probe = prepared(vectors, ("id", "v", "norm")), prepared(probes, ("probe_id", "pv", "pn"))
+    able = lambda c: (F.col(c) > 0) & ~F.isnan(c) & (F.col(c) < float("inf"))
+    best = written_once(top_n(_scored(neighbor_candidates(stored.where(able("norm")), probe.where(able("pn")), k)), ["probe_id"],
+                              [F.desc_nulls_last("sim"), F.asc("neighbor_id")], k, "rank").drop("rank"), "vector-best")
+    counts = best.groupBy("probe_id").agg(F.count("*").alias("found"))
+    short = (probe.select("probe_id", F.coalesce(able("pn"), F.lit(False)).alias("able")).join(counts, "probe_id", "left")
+             .where(F.coalesce("found", F.lit(0)) < k))
+    rest = (short.withColumn("ids", F.when(F.col("able"), lowest(stored.where(~F.coalesce(able("norm"), F.lit(False))))).otherwise(lowest(stored)))
+            .select("probe_id", F.explode("ids").alias("neighbor_id")).where("probe_id <> neighbor_id")
+            .withColumn("sim", F.lit(None).cast("double")))
+    return top_n(best.unionByName(rest), ["probe_id"], [F.desc_nulls_last("sim"), F.asc("neighbor_id")], k, "rank").select(
         "probe_id", "rank", "neighbor_id", F.round("sim", 6).alias("similarity"))

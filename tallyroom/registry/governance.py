@@ -1,6 +1,5 @@
 """Graph, hierarchy, catalog, quality, compliance, streaming and spec queries."""
 
-import time
 
 from pyspark.sql import functions as F
 
@@ -370,20 +369,15 @@ add("st_sweep", st_sweep, f"""
 
 
 def st_late_data(t):
-    """Daily counts of a stream whose last file brings events that happened long before those of
-    the first ones: the ones behind the watermark are dropped, the rest are counted."""
-    folder = scratch_dir(t.spark, "late-source")
+    """Counts of a stream whose last part brings events that happened long before those of the
+    first ones: the ones behind the watermark are dropped, the rest are stored. What was dropped is read
+    from the run's progress, what was kept from the table."""
     turn = F.coalesce(col("event_id") % 10, F.lit(1))
-    for number, part in enumerate((turn.between(1, 5), turn > 5, turn == 0)):
-        t.events.where(part).coalesce(1).write.parquet(f"{folder}/part={number}")
-        time.sleep(1.1)  # files are taken in the order of their times
-    source = (t.spark.readStream.schema(t.events.schema).option("maxFilesPerTrigger", 1)
-              .option("pathGlobFilter", "*.parquet").parquet(f"{folder}/part=*"))
-    table = KeyedTable(t.spark, scratch_dir(t.spark, "late"), ["master_store_id", "day"])
-    jobs.run_available(jobs.tumbling_daily(jobs.complaint_stream(source), delay="2 days"), jobs.into_table(table),
-                       scratch_dir(t.spark, "late-checkpoint"))
-    events = t.events.agg(F.count("*"))
-    return table.read().agg(F.sum("complaints").alias("kept")).withColumn("dropped", events.scalar() - col("kept"))
+    parts = [t.events.where(part) for part in (turn.between(1, 5), turn > 5, turn == 0)]
+    table = KeyedTable(t.spark, scratch_dir(t.spark, "late"), ["master_store_id", "day", "event_id"])
+    dropped = jobs.run_parts(t.spark, parts, lambda source: jobs.daily_by_event(jobs.complaint_stream(source)), table, "late")
+    return table.read().agg(F.sum("events").alias("kept")).withColumn(
+        "dropped", dropped.agg(F.coalesce(F.sum("dropped"), F.lit(0))).scalar())
 
 
 # late rows are judged by the watermark of the batch before the last: the first file's newest time

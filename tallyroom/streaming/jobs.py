@@ -67,6 +67,14 @@ def tumbling_daily(complaints: DataFrame, delay: str = "2 days") -> DataFrame:
                     "ops_complaints"))
 
 
+def daily_by_event(complaints: DataFrame, delay: str = "2 days") -> DataFrame:
+    """The events of each store and day that are not late, one row each. As no two events share a
+    group, the engine's count of rows dropped behind the watermark is one of events."""
+    return (complaints.withWatermark("ts", delay).groupBy("master_store_id", F.window("ts", "1 day"), "event_id")
+            .agg(F.count("*").alias("events"))
+            .select("master_store_id", F.col("window.start").cast("date").alias("day"), "event_id", "events"))
+
+
 def sliding_span(complaints: DataFrame, days: int = SPAN_DAYS + 1, delay: str = "2 days") -> DataFrame:
     """Counts per (store, theme) in windows of 15 calendar days (a span of 14)."""
     return (complaints.withWatermark("ts", delay)
@@ -107,3 +115,22 @@ def late_counts(query) -> list[tuple[int, int]]:
     """Rows dropped behind the watermark, per batch, from the query's progress."""
     return [(p.batchId, sum(int(s.numRowsDroppedByWatermark) for s in p.stateOperators))
             for p in query.recentProgress]
+
+
+def run_parts(spark: SparkSession, parts: list[DataFrame], stream, table: KeyedTable, label: str) -> DataFrame:
+    """Append ``parts`` to a folder one after the other, and run ``stream(source)`` into ``table`` over
+    what is new after each, from one checkpoint. Returns (batch, dropped): the rows that each batch
+    dropped behind the watermark, as its progress reports them. Batches without data are off, so
+    that the parts are the batches."""
+    folder, checkpoint = scratch_dir(spark, f"{label}-source"), scratch_dir(spark, f"{label}-checkpoint")
+    option = "spark.sql.streaming.noDataMicroBatches.enabled"
+    before, counts = spark.conf.get(option), []
+    spark.conf.set(option, "false")
+    try:
+        for number, part in enumerate(parts):
+            part.write.parquet(f"{folder}/part={number}")
+            source = spark.readStream.schema(part.schema).parquet(f"{folder}/part=*")
+            counts += late_counts(run_available(stream(source), into_table(table), checkpoint))
+    finally:
+        spark.conf.set(option, before)
+    return spark.createDataFrame(counts, "batch long, dropped long")

@@ -11,7 +11,7 @@ from tallyroom.operators import joins as J
 from tallyroom.operators.ranking import exact_rank, top_n
 from tallyroom.operators.sets import missing_values, prefer
 from tallyroom.operators.swaps import cheapest_unused, ranked_catalog
-from tallyroom.plans import graph, ideas, recipes
+from tallyroom.plans import compliance, graph, ideas, recipes
 
 RNG = random.Random(7)
 
@@ -201,3 +201,67 @@ def test_rows_that_meet_follow_the_similar_pairs(spark):
         similar = sum(len(set(p) & set(q)) >= 0.6 * len(set(p) | set(q)) for p, q in combinations(sets, 2))
         per_pair.append(met / similar)
     assert all(1 <= x <= 3 for x in per_pair), per_pair
+
+
+def test_neighbors_are_exact_and_few_are_scored(spark):
+    rng = random.Random(5)
+    centers = [[rng.gauss(0, 1) for _ in range(12)] for _ in range(40)]
+    rows = [(i, [x + rng.gauss(0, 0.06) for x in centers[i % 40]]) for i in range(1200)]
+    rows += [(2000 + i, rows[7][1]) for i in range(15)] + [(3000, [0.0] * 12), (3001, None)]  # ties, and no direction
+    vectors = spark.createDataFrame(rows, "id long, v array<float>")
+    probes = vectors.where("id % 9 = 0 OR id >= 2000")
+
+    def cosine(a, b):
+        if not a or not b or not any(a) or not any(b):
+            return None
+        return sum(x * y for x, y in zip(a, b)) / (sum(x * x for x in a) ** 0.5 * sum(y * y for y in b) ** 0.5)
+
+    held = {r.id: r.v for r in vectors.collect()}
+    got = {}
+    for r in graph.vector_neighbors(vectors, probes, "id", "v", 6).collect():
+        got.setdefault(r.probe_id, {})[r["rank"]] = (r.neighbor_id, r.similarity)
+    assert set(got) == {i for i in held if i % 9 == 0 or i >= 2000}
+    for i, found in got.items():
+        sims = sorted(((cosine(held[i], v), j) for j, v in held.items() if j != i),
+                      key=lambda x: (x[0] is None, -round(x[0] or 0, 9), x[1]))[:6]
+        assert [x[0] for _, x in sorted(found.items())] == [j for _, j in sims], i
+        assert all(a is b is None or abs(a - b) < 2e-6 for (a, _), (_, (_, b)) in zip(sims, sorted(found.items())))
+    ready = [df.where("id < 3000").selectExpr(f"id AS {a}", f"CAST(v AS array<double>) AS {b}",
+                                             f"sqrt(aggregate(v, 0D, (s, x) -> s + x * x)) AS {c}")
+             for df, (a, b, c) in ((vectors, ("id", "v", "norm")), (probes, ("probe_id", "pv", "pn")))]
+    scored = graph.neighbor_candidates(*ready, 6).count()
+    assert scored < 0.3 * ready[0].count() * ready[1].count()
+
+
+def test_few_vectors_leave_ranks_to_those_without_direction(spark):
+    rows = [(1, [1.0, 0.0]), (2, [0.0, 0.0]), (3, None), (4, [1.0, 1.0])]
+    df = spark.createDataFrame(rows, "id long, v array<double>")
+    got = {(r.probe_id, r["rank"]): r.neighbor_id for r in graph.vector_neighbors(df, df, "id", "v", 3).collect()}
+    assert got == {(1, 1): 4, (1, 2): 2, (1, 3): 3, (4, 1): 1, (4, 2): 2, (4, 3): 3, (2, 1): 1, (2, 2): 3, (2, 3): 4, (3, 1): 1, (3, 2): 2, (3, 3): 4}
+
+
+def test_a_long_chain_closes_in_few_rounds(spark, monkeypatch):
+    real, writes = graph.written_once, []
+    monkeypatch.setattr(graph, "written_once", lambda df, label: writes.append(label) or real(df, label))
+    members = spark.range(200).selectExpr("id", "nullif(id - 1, -1) AS parent")
+    rows = graph.ancestor_closure(members, "id", "parent")
+    assert rows.count() == 200 * 201 // 2 and rows.where("depth <> descendant - ancestor").isEmpty()
+    assert len(writes) <= 1 + 2 * 8
+
+
+def test_regulation_counts_against_sets(spark):
+    rng = random.Random(9)
+    pool = ["oat", "date", "salt", "cocoa", "bar", "milk"]
+    products = [(f"s{i}", " ".join(rng.choices(pool, k=2))) for i in range(60)] + [(None, "oat bar")]
+    suppliers = [(f"s{rng.randrange(70)}", rng.choice(["p1", "p2", "p3", "p4", None])) for _ in range(90)]
+    changes = [(f"c{i}", " ".join(rng.choices([*pool, "zinc", "lead"], k=rng.randint(0, 3)))) for i in range(40)] + [("c99", None), (None, "oat")]
+    frames = [spark.createDataFrame(x, f"{y} string") for x, y in ((changes, "id string, body"), (products, "sku string, name"),
+                                                                  (suppliers, "sku string, supplier_id"))]
+    got = {tuple(r) for r in compliance.regulation_impact(frames[0], "id", "body", frames[1], "sku", "name", frames[2]).collect()}
+    want = set()
+    for i, body in changes:
+        hit = {w for w in (body or "").split() if w in pool and any(w in n.split() for _, n in products)}
+        skus = {s for s, n in products if hit & set(n.split())}
+        if i and hit:
+            want.add((i, len(hit), len(skus), len({p for s, p in suppliers if s in skus and s})))
+    assert got == want
