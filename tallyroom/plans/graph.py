@@ -70,9 +70,22 @@ def khop_paths(start: DataFrame, hops: list[DataFrame]) -> DataFrame:
     return paths
 
 
+def related_parts(edges: DataFrame, size: int = 10_000) -> DataFrame:
+    """Different neighbours of every source by edge type, in rows of about ``size``: (src, type, part,
+    neighbours), sorted within a part. The number of parts follows a count made before anything is
+    gathered, so a source with very many neighbours is many rows of many tasks."""
+    pairs = edges.select("src", "type", "dst").distinct()
+    parts = pairs.groupBy(F.col("src").alias("s"), F.col("type").alias("t")).agg(F.ceil(F.count("*") / size).alias("parts"))
+    return (pairs.join(parts, F.col("src").eqNullSafe(F.col("s")) & F.col("type").eqNullSafe(F.col("t")))
+            .withColumn("part", F.pmod(F.xxhash64("dst"), "parts").cast("int"))
+            .groupBy("src", "type", "part").agg(F.array_sort(F.collect_list("dst")).alias("neighbours")))
+
+
 def related_grouped(edges: DataFrame) -> DataFrame:
-    """Neighbours of every source, grouped by edge type."""
-    return edges.groupBy("src", "type").agg(F.sort_array(F.collect_set("dst")).alias("neighbours"))
+    """Neighbours of every source, grouped by edge type: the parts of :func:`related_parts` merged into
+    one row, for sources whose neighbours fit one."""
+    return related_parts(edges).groupBy("src", "type").agg(
+        F.array_sort(F.flatten(F.collect_list("neighbours"))).alias("neighbours"))
 
 
 def ancestor_closure(members: DataFrame, child: str, parent: str) -> DataFrame:

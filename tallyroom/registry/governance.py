@@ -1,9 +1,9 @@
 """Graph, hierarchy, catalog, quality, compliance, streaming and spec queries."""
 
-
 from pyspark.sql import functions as F
 
-from tallyroom.constants import AS_OF_INVENTORY, AS_OF_SALES
+from tallyroom.constants import AS_OF_INVENTORY, AS_OF_SALES, OPS_BAR, OPS_RX, SPAN_DAYS, SPAN_MIN_REVIEWS
+from tallyroom.functions import matches_any
 from tallyroom.operators import gather as G
 from tallyroom.plans import compliance, graph, ideas, inventory, quality, recipes
 from tallyroom.registry.base import I, S, add, check_view
@@ -282,12 +282,18 @@ add("st_tumbling_daily", lambda t: jobs.run_to_table(
     t.spark, jobs.tumbling_daily(stream(t)), "daily", ["master_store_id", "day"]), """
     SELECT master_store_id, CAST(ts AS DATE) AS day, count(*) AS complaints,
            count(*) FILTER (issue_type IN ('Wrong item', 'Late delivery')) AS ops_complaints FROM streamed GROUP BY 1, 2""")
-add("st_sliding_14d", lambda t: jobs.run_to_table(
-    t.spark, jobs.sliding_span(stream(t)), "span", ["master_store_id", "issue_type", "window_start"]), f"""
+def daily_themes(t):
+    return jobs.run_to_table(t.spark, jobs.daily_by_theme(stream(t)), "themes", ["master_store_id", "issue_type", "day"])
+
+
+add("st_sliding_14d", lambda t: jobs.day_windows(
+    daily_themes(t), ["master_store_id", "issue_type"], "hits", SPAN_DAYS + 1, 1).withColumn(
+    "alert", col("hits") >= SPAN_MIN_REVIEWS), f"""
     SELECT master_store_id, issue_type, window_start, count(*) AS hits, count(*) >= 3 AS alert
     FROM ({slide(15, 1)}) GROUP BY 1, 2, 3""")
-add("st_trailing_60d", lambda t: jobs.run_to_table(
-    t.spark, jobs.trailing_ops(stream(t)), "trailing", ["master_store_id", "window_start"]), f"""
+add("st_trailing_60d", lambda t: jobs.day_windows(
+    daily_themes(t).where(matches_any("issue_type", OPS_RX)).withColumnRenamed("hits", "ops_complaints"),
+    ["master_store_id"], "ops_complaints", 60, 10).withColumn("over_bar", col("ops_complaints") >= OPS_BAR), f"""
     SELECT master_store_id, window_start, count(*) AS ops_complaints, count(*) >= 3 AS over_bar
     FROM ({slide(60, 10)}) WHERE issue_type IN ('Wrong item', 'Late delivery') GROUP BY 1, 2""")
 

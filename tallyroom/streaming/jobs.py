@@ -84,6 +84,22 @@ def sliding_span(complaints: DataFrame, days: int = SPAN_DAYS + 1, delay: str =
                     (F.col("hits") >= SPAN_MIN_REVIEWS).alias("alert")))
 
 
+def daily_by_theme(complaints: DataFrame, delay: str = "2 days") -> DataFrame:
+    """Complaints per store, theme and day: the only state that windows of whole days need."""
+    return (complaints.withWatermark("ts", delay).groupBy("master_store_id", "issue_type", F.window("ts", "1 day"))
+            .agg(F.count("*").alias("hits"))
+            .select("master_store_id", "issue_type", F.col("window.start").cast("date").alias("day"), "hits"))
+
+
+def day_windows(daily: DataFrame, keys: list[str], count: str, width: int, step: int) -> DataFrame:
+    """Sums of ``count`` over windows of ``width`` days that start every ``step`` days since 1970-01-01, from
+    rows per day: a day's row, not its events, stands in each of its windows."""
+    starts = F.expr(f"sequence(0, {width // step - 1})")
+    first = F.expr(f"date_add(DATE'1970-01-01', int({step} * floor(datediff(day, DATE'1970-01-01') / {step})))")
+    return (daily.select(*keys, count, F.explode(F.transform(starts, lambda i: F.date_sub(first, (i * step).cast("int")))).alias("window_start"))
+            .groupBy(*keys, "window_start").agg(F.sum(count).alias(count)))
+
+
 def trailing_ops(complaints: DataFrame, delay: str = "2 days") -> DataFrame:
     """Last-mile complaints per store in 60-day windows, against the bar."""
     return (complaints.where(matches_any("issue_type", OPS_RX)).withWatermark("ts", delay)

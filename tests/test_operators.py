@@ -265,3 +265,13 @@ def test_regulation_counts_against_sets(spark):
         if i and hit:
             want.add((i, len(hit), len(skus), len({p for s, p in suppliers if s in skus and s})))
     assert got == want
+
+
+def test_a_hubs_neighbours_are_many_rows(spark):
+    edges = spark.range(5000).selectExpr("'hub' AS src", "'t' AS type", "concat('n', id % 4000) AS dst").unionByName(
+        spark.createDataFrame([("a", "t", "x"), ("a", "t", "y"), ("a", "t", "x"), ("b", "u", None), (None, "t", "z")], "src string, type string, dst string"))
+    parts = graph.related_parts(edges, size=100).collect()
+    hub = [r.neighbours for r in parts if r.src == "hub"]
+    assert 35 <= len(hub) <= 40 and max(map(len, hub)) < 200 and sorted(sum(hub, [])) == sorted(f"n{i}" for i in range(4000))
+    whole = {(r.src, r.type): r.neighbours for r in graph.related_grouped(edges).collect()}
+    assert whole["hub", "t"] == sorted(f"n{i}" for i in range(4000)) and whole["a", "t"] == ["x", "y"] and whole[None, "t"] == ["z"]

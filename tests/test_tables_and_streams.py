@@ -139,3 +139,34 @@ def test_duplicates_arrive_once(spark, tmp_path):
     stream = jobs.complaint_stream(jobs.file_stream(spark, str(tmp_path), "events"))
     got = jobs.run_to_table(spark, jobs.deduplicated(stream), "dedup", ["event_id"], mode="append")
     assert sorted(r.event_id for r in got.collect()) == ["e1", "m10"]
+
+
+def test_windows_over_days_hold_a_row_per_day_and_key(spark, tmp_path):
+    rng, day = random.Random(2), datetime(2026, 1, 10)
+    rows = [(i, day + timedelta(days=rng.randint(0, 20), hours=rng.randint(0, 23)), rng.randint(1, 3), rng.choice(["error", "view"]), 1.0)
+            for i in range(400)]
+    write_events(spark, tmp_path, "events", rows)
+    daily = jobs.daily_by_theme(jobs.complaint_stream(jobs.file_stream(spark, str(tmp_path), "events")), delay="60 days")
+    table = sinks.KeyedTable(spark, scratch_dir(spark, "days"), ["master_store_id", "issue_type", "day"])
+    query = jobs.run_available(daily, jobs.into_table(table), scratch_dir(spark, "days-ckpt"))
+    kept = len({(user, kind, ts.date()) for _, ts, user, kind, _ in rows})
+    assert max(s.numRowsTotal for p in query.recentProgress for s in p.stateOperators) == kept == table.read().count()
+    got = {(r.master_store_id, r.issue_type, r.window_start): r.hits
+           for r in jobs.day_windows(table.read(), ["master_store_id", "issue_type"], "hits", 15, 1).collect()}
+    want = {}
+    for _, ts, user, kind, _ in rows:
+        for back in range(15):
+            key = (str(user), {"error": "Wrong item", "view": "View"}[kind], ts.date() - timedelta(days=back))
+            want[key] = want.get(key, 0) + 1
+    assert got == want
+
+
+def test_engine_counts_every_late_event(spark):
+    day = datetime(2026, 1, 10)
+    schema = "event_id bigint, ts timestamp, user_id bigint, event_type string, value double"
+    parts = [[(i, day + timedelta(days=i), 1, "error", 1.0) for i in range(1, 9)], [(11, day, 1, "error", 1.0)],
+             [(20 + i, day + timedelta(hours=i), 1, "error", 1.0) for i in range(1, 6)] + [(31, day + timedelta(days=8), 1, "view", 1.0)]]
+    table = sinks.KeyedTable(spark, scratch_dir(spark, "kept"), ["master_store_id", "day", "event_id"])
+    dropped = jobs.run_parts(spark, [spark.createDataFrame(p, schema) for p in parts],
+                             lambda s: jobs.daily_by_event(jobs.complaint_stream(s)), table, "late-parts")
+    assert dropped.agg(F.sum("dropped")).first()[0] == 5 and table.read().agg(F.sum("events")).first()[0] == 10
