@@ -5,11 +5,12 @@ documents in ascending doc_id order are cut into segments of whole documents. A
 blocks of a fixed number of ids; each block starts from the same fixed model, adapts on its own
 ids and has its own checksum, so any block can be decoded alone.
 
-Model of one id: order 2 and order 1 each predict the id that last proved right after the same
-two ids or one id. Order 0 has the ids in 16 groups of about equal mass, of which it learns how
+Model of one id: order 2 and order 1 each predict the id that came last after the same two ids
+or one id. Order 0 has the ids in 16 groups of about equal mass, of which it learns how
 often each is used in the block; shares within a group are the segment's and stand in its
 directory. The mixture ``w2 [id is order 2's] + w1 [id is order 1's] + w0 p0(id)`` has weights
-that adapt for every pair of the two orders' trust. A carryless range coder with a 64-bit
+that follow how often each order has been right in the block, where it was right the time before
+and where it was not. A carryless range coder with a 64-bit
 interval turns the mixture into 16-bit words. Blocks of a segment are coded side by side, one id
 of every block a step, so that coder and decoder share one vectorised model.
 
@@ -50,6 +51,7 @@ DECODED = "doc_id long, start long, n_tokens long, ids_crc32 long"
 ONE, FINE = 15, 17  # frequencies add up to 2 to these: of a mixture or a group choice, of the ids of a group
 GROUPS = 16  # groups of ids of about equal mass
 SLOTS = 10  # bits: contexts that order 1 and order 2 remember in a block
+RIGHT = 1 << 17  # mark of a remembered id that was predicted right when it last came
 FLOOR = 4  # least frequency of a choice
 RATE = 5  # adaptation shift of order 0
 ALL = ONE + ONE + FINE  # bits that one id may take
@@ -66,8 +68,6 @@ def _targets() -> np.ndarray:
 
 
 TARGETS = _targets()
-#: Change of a remembered id (its trust is in the upper half) by 4 * right + trust: more trust, or half of it.
-TRUST = np.array([0, -1, -1, -2, 1, 1, 1, 0], np.int64).astype(np.uint32) << np.uint32(16)
 
 
 class _Order0:
@@ -98,36 +98,36 @@ class _Model:
 
     def __init__(self, lanes: int):
         self.base = np.arange(lanes) << SLOTS
-        self.cells = np.arange(lanes) * 32
-        self.memory = np.zeros(2 * lanes << SLOTS, np.uint32)  # ids after a context, their trust in the upper half
-        self.hit = np.full((2, lanes * 32), 1 << (ONE - 2), np.int32)  # how often each order is right, by trusts
+        self.memory = np.zeros(2 * lanes << SLOTS, np.uint32)  # id after a context, plus 1; 0 where none is known
+        self.hit = np.full((2, 2, lanes), 1 << (ONE - 2), np.int32)  # how often each order is right, by its last time there
         self.one = self.two = np.zeros(lanes, np.uint32)
         self.ends = np.tile(np.append(np.arange(1, 16) << (ONE - 4), 0).astype(np.int16), (lanes, 1))  # of groups 0 to 14
         self.row_at = np.arange(0, 16 * lanes, 16)
 
     def mix(self, n: int) -> tuple[np.ndarray, np.ndarray]:
-        """Weights of order 2's and order 1's ids for the next id of the first ``n`` blocks."""
+        """Weights of order 2's and order 1's ids for the next id of the first ``n`` blocks; 0 where an order
+        knows none, or order 1 names the same."""
         one, two = self.one[:n], self.two[:n]
         low = np.uint32(32 - SLOTS)
         self.at = np.empty((2, n), np.int64)
         np.add(self.base[:n], (one * np.uint32(0x9E3779B1)) >> low, out=self.at[0])
         np.add(self.base[:n], ((one * np.uint32(40503) + two) * np.uint32(0x85EBCA6B)) >> low, out=self.at[1])
         self.at[1] += len(self.memory) // 2
-        self.held = self.memory.take(self.at)
-        self.trust = self.held >> np.uint32(16)
-        self.guess = self.held & np.uint32(0xFFFF)
-        agree = self.guess[0] == self.guess[1]
-        self.cell = self.cells[:n] + (agree * np.uint32(16) + self.trust[1] * np.uint32(4) + self.trust[0])
-        self.p = self.hit.take(self.cell, 1)
-        f1 = ((((1 << ONE) - self.p[1]) * self.p[0]) >> ONE) * ~agree
-        return self.p[1].astype(np.uint64), f1.astype(np.uint64)
+        held = self.memory.take(self.at)
+        self.known, self.sure = held != 0, held > np.uint32(RIGHT)
+        self.guess = (held & np.uint32(RIGHT - 1)) - np.uint32(1)
+        self.p = np.where(self.sure, self.hit[1, :, :n], self.hit[0, :, :n])
+        f2 = self.p[1] * self.known[1]
+        f1 = ((((1 << ONE) - f2) * self.p[0]) >> ONE) * (self.known[0] & (self.guess[0] != self.guess[1]))
+        return f2.astype(np.uint64), f1.astype(np.uint64)
 
     def learn(self, n: int, ids: np.ndarray) -> None:
         right = self.guess == ids
-        p = self.p + ((right * np.int32((1 << ONE) - 576) + (64 - self.p)) >> 5)
-        self.hit[0][self.cell], self.hit[1][self.cell] = p
-        state = right * np.uint32(4) + self.trust
-        self.memory[self.at] = np.where(state == 0, ids, self.held + TRUST.take(state))
+        step = ((right * np.int32((1 << ONE) - 576) + (64 - self.p)) >> 5) * self.known
+        sure = step * self.sure
+        self.hit[1, :, :n] += sure
+        self.hit[0, :, :n] += step - sure
+        self.memory[self.at] = right * np.uint32(RIGHT) + (ids + np.uint32(1))
         self.two, self.one = self.one, ids
 
     def group_of(self, v: np.ndarray) -> np.ndarray:
@@ -271,7 +271,7 @@ def decode_blocks(words: np.ndarray, sizes: np.ndarray, order0: _Order0, ids: in
         x = np.where(none, v - (both << U32), 0) // rest
         group = model.group_of((x >> UFINE).astype(np.int64))
         now = np.where(two, model.guess[1], model.guess[0])
-        group = np.where(none, group, order0.group.take(order0.place.take(now)))
+        group = np.where(none, group, order0.group.take(order0.place.take(now, mode="clip")))
         start, size = model.choose(n, group)
         fine = np.minimum((np.maximum(x, start << UFINE) - (start << UFINE)) // size, np.uint64((1 << FINE) - 1))
         place = order0.at.take((group << FINE) + fine.astype(np.int64))
