@@ -163,7 +163,7 @@ def catalog_symmetry(left: DataFrame, right: DataFrame, keys: list[str]) -> Data
 
 # ---- stored vectors -----------------------------------------------------------------------
 
-PIVOTS = 128  # stored vectors that name the cells
+PIVOTS = 64  # stored vectors that name the cells
 BIN = 0.05  # radians: vectors of a cell are looked up by their angle to the pivot
 
 
@@ -181,7 +181,7 @@ def vector_cells(stored: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     unit = F.transform("v", lambda x: x / F.col("norm"))
     first = stored.select(F.xxhash64("id").alias("h"), "id", unit.alias("u")).orderBy("h", "id").limit(PIVOTS)
     first = first.agg(F.array_sort(F.collect_list(F.struct("h", "id", "u"))).alias("p"))
-    pivots = written_once(first.select(F.col("p.u").alias("pivots")), "vector-pivots")
+    pivots = first.select(F.col("p.u").alias("pivots"))
     cosines = F.transform("pivots", lambda p: _dot(F.col("v"), p) / F.col("norm"))
     near = (stored.withColumn("pivots", pivots.scalar()).withColumn("cosines", cosines).drop("pivots")
             .withColumn("best", F.array_max("cosines")))
@@ -208,7 +208,6 @@ def neighbor_candidates(stored: DataFrame, probes: DataFrame, k: int) -> DataFra
     probes = probes.withColumn("reach", F.array_sort(F.transform("cells", lambda x: F.struct(
         _angle(_dot(F.col("pv"), F.get(F.col("pivots"), x["c"])) / F.col("pn")).alias("t"), x["c"].alias("c"), x["n"].alias("n"),
         x["lo"].alias("lo"), x["hi"].alias("hi"))))).drop("pivots", "cells")
-    probes = written_once(probes, "vector-probes")
     nearest = F.expr(f"""aggregate(reach, struct(cast(array() as array<int>) as c, 0L as seen),
         (s, x) -> if(s.seen > {k}, s, struct(concat(s.c, array(x.c)) as c, s.seen + x.n as seen))).c""")
     first = probes.select("probe_id", "pv", "pn", F.explode(nearest).alias("c")).join(cells, "c").where("probe_id <> id")
