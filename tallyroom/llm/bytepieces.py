@@ -20,7 +20,7 @@ import numpy as np
 from tallyroom.llm.wordhash import run_hashes
 
 PIECES = 1_000_000  # pieces whose ids a worker remembers; others are encoded each time they are met
-BLOCK = 1 << 20  # bytes of text that are split at once; one text is never divided
+BLOCK = 1 << 17  # bytes of text that are split at once, few enough for a cache; one text is never divided
 
 LETTER, DIGIT, MARK, SPACE, BREAK = 1, 2, 3, 4, 5
 

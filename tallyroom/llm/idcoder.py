@@ -91,6 +91,7 @@ class _Order0:
         np.maximum.accumulate(self.at, out=self.at)
         self.place = np.zeros(1 << 16, np.int64)
         self.place[ids] = np.arange(len(ids))  # a guess may be another id: any place will do
+        self.group_by_id = group.take(self.place)
 
 
 class _Model:
@@ -271,7 +272,7 @@ def decode_blocks(words: np.ndarray, sizes: np.ndarray, order0: _Order0, ids: in
         x = np.where(none, v - (both << U32), 0) // rest
         group = model.group_of((x >> UFINE).astype(np.int64))
         now = np.where(two, model.guess[1], model.guess[0])
-        group = np.where(none, group, order0.group.take(order0.place.take(now, mode="clip")))
+        group = np.where(none, group, order0.group_by_id.take(now, mode="clip"))
         start, size = model.choose(n, group)
         fine = np.minimum((np.maximum(x, start << UFINE) - (start << UFINE)) // size, np.uint64((1 << FINE) - 1))
         place = order0.at.take((group << FINE) + fine.astype(np.int64))
@@ -284,8 +285,14 @@ def decode_blocks(words: np.ndarray, sizes: np.ndarray, order0: _Order0, ids: in
     return np.ascontiguousarray(grid.T).ravel()[:ids]
 
 
-def _crc(ids: np.ndarray) -> int:
-    return zlib.crc32(ids.astype("<u4").tobytes())
+def _crcs(ids: np.ndarray, ends: list[int]) -> list[int]:
+    """crc32 of each run of ids, as little-endian uint32; ``ends`` are the runs' ends."""
+    wide = ids.astype("<u4")
+    return [zlib.crc32(wide[i:j]) for i, j in zip([0, *ends[:-1]], ends, strict=True)]
+
+
+def _block_ends(total: int, block_ids: int) -> list[int]:
+    return [*range(block_ids, total, block_ids), total] if total else []
 
 
 def encode_segment(doc_ids: list, sizes: list[int], ids: np.ndarray, block_ids: int = BLOCK_IDS) -> bytes:
@@ -300,7 +307,7 @@ def encode_segment(doc_ids: list, sizes: list[int], ids: np.ndarray, block_ids:
         np.array([0 if d is None else d for d in doc_ids], "<i8").tobytes(),
         np.array([d is None for d in doc_ids], np.uint8).tobytes(), np.array(sizes, "<i8").tobytes(),
         np.array([len(w) for w in words], "<u4").tobytes(),
-        np.array([_crc(ids[i:i + block_ids]) for i in range(0, len(ids), block_ids)], "<u4").tobytes(),
+        np.array(_crcs(ids, _block_ends(len(ids), block_ids)), "<u4").tobytes(),
         different.astype("<u2").tobytes(), counts[different].astype("<u8").tobytes()])
     return head + struct.pack("<I", zlib.crc32(head)) + b"".join(w.astype("<u2").tobytes() for w in words)
 
@@ -328,9 +335,9 @@ def decode_segment(data: bytes) -> tuple[list, np.ndarray, np.ndarray]:
         n = min(total, j * block_ids) - i * block_ids
         parts.append(decode_blocks(words[ends[i]:ends[j]], used[i:j].astype(np.int64), order0, n, block_ids))
     ids = np.concatenate(parts)
-    for k in range(blocks):
-        if _crc(ids[k * block_ids:(k + 1) * block_ids]) != sums[k]:
-            raise ValueError(f"checksum of block {k} is wrong")
+    wrong = [k for k, (a, b) in enumerate(zip(_crcs(ids, _block_ends(total, block_ids)), sums.tolist(), strict=True)) if a != b]
+    if wrong:
+        raise ValueError(f"checksum of blocks {wrong} is wrong")
     return [None if x else int(d) for d, x in zip(doc_ids, nulls, strict=True)], sizes, ids
 
 
@@ -398,7 +405,7 @@ def _decode(offsets):
                 part, before = batch.column(0)[row].as_py(), batch.column(1)[row].as_py()
                 doc_ids, sizes, ids = decode_segment(batch.column(2)[row].as_buffer().to_pybytes())
                 ends = np.cumsum(sizes)
-                crc = [_crc(ids[e - n:e]) for e, n in zip(ends.tolist(), sizes.tolist(), strict=True)]
+                crc = _crcs(ids, ends.tolist())
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(doc_ids, pa.int64()), pa.array(offsets.value[part] + before + ends - sizes, pa.int64()),
                      pa.array(sizes, pa.int64()), pa.array(crc, pa.int64())],
