@@ -410,8 +410,8 @@ def _extract(held):
 def extract(pages: DataFrame, model: TreeModel | None = None) -> DataFrame:
     """Per row of ``pages`` (page_id, url, html): page_id, url, text, n_chars (code points).
 
-    A null or empty page, or one without content, has an empty text. Repeated rows are treated
-    alike; other columns are ignored. Fits the model on ``pages`` unless one is given.
+    A null or empty page, or one without content, has an empty text; so has a page that is only text
+    outside of any element. ``<br>`` ends a block. Repeated rows are treated alike; other columns are ignored. Fits the model on ``pages`` unless one is given.
     """
     held = pages.sparkSession.sparkContext.broadcast(model or train(pages))
     out = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string"),

@@ -11,7 +11,8 @@ matrix between entry and exit states by dynamic programming; matrices are multip
 max-plus algebra, blocks of chunks first and then the blocks, which gives each chunk's entry and
 exit state, and each chunk is traced back on its own. Between two places that no piece can cross
 (a space after another character) the path does not depend on the states, and that part is
-encoded by the model's library. Documents of one chunk take the same code with one state.
+encoded by the model's library. A text shorter than one chunk has no cut and is encoded by the
+model's library as a whole; the results are the same.
 """
 
 from __future__ import annotations

@@ -163,7 +163,8 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Ordinal:
     and a rare one is read whole.
 
     ``labels`` has doc_id, quality and toxic (0/1). Rows with a null doc_id or no rating take no
-    part; of a doc_id rated twice the lower grade counts.
+    part; of a doc_id rated twice the lower grade counts. Features of fewer than three documents of
+    the sample weigh nothing, so very few ratings yield the thresholds only.
     """
     grade = F.when(F.col("toxic") == 1, 0).when(F.col("quality") == 0, 1).when(F.col("quality") == 1, 2)
     named = labels.select(F.col("doc_id").cast("long").alias("doc_id"), grade.cast("int").alias("grade")).dropna()
