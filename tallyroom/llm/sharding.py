@@ -1,9 +1,11 @@
-"""Even shards by balanced label propagation.
+"""Even shards that keep equal texts together, by votes under quotas.
 
 Documents are linked when their texts are equal. Every document starts with a random shard as
 its label. In each round the documents of a group move to the label that most of their linked
 neighbours carry, among the shards that have room; each shard admits whole groups, large ones
-first, as long as its quota of rows lasts, and the others try again with what room is left.
+first, as long as its quota of rows lasts, and the others try again with what room is left. As equal
+texts are the only links, a group's votes are the same in every round: this is one vote and then
+packing, and labels do not travel from neighbour to neighbour as in label propagation proper.
 Documents without links, and those that found no room, then fill every shard to its exact size.
 
 A group larger than a quarter of a shard moves as several parts of about that size. State is one
