@@ -1,16 +1,18 @@
-"""Even shards that keep equal texts together, by votes under quotas.
-
-Documents are linked when their texts are equal. Every document starts with a random shard as
-its label. In each round the documents of a group move to the label that most of their linked
-neighbours carry, among the shards that have room; each shard admits whole groups, large ones
-first, as long as its quota of rows lasts, and the others try again with what room is left. As equal
-texts are the only links, a group's votes are the same in every round: this is one vote and then
-packing, and labels do not travel from neighbour to neighbour as in label propagation proper.
-Documents without links, and those that found no room, then fill every shard to its exact size.
-
-A group larger than a quarter of a shard moves as several parts of about that size. State is one
-row per linked group with its count per shard; ranks are built from counts per bucket, so no
-window ever holds more than one bucket or one row per bucket.
+"""Even shards that keep linked documents together, by balanced label propagation.
+
+Documents are nodes, and a link says that a node belongs to a hub: equal texts share a hub, so a
+group of copies is a star and never a list of pairs. Every node starts with a random shard as its
+label. In each round the hubs count their members' current labels, every node hears the counts of
+its hubs and asks for the label that most of its neighbours carry, among the shards that have room
+for all of them; from the third round on it may also ask for a shard where it has no neighbour. A
+shard grants requests, those of large neighbourhoods first, up to its quota of rows, counting
+what leaves it in the same round. Rounds go on until no node moves; cut edges (pairs of linked
+rows in different shards) are counted in each.
+
+Documents whose hub did not come together, and documents without links, then fill every shard to
+its exact size, group by group. A group larger than a quarter of a shard has several hubs of about
+that size. Hubs are counted, and their counts brought back, by (hub, salt), so a group with a
+third of all rows is many keys. The driver sees row counts per pair of shards and turn only.
 """
 
 from __future__ import annotations
@@ -22,7 +24,9 @@ from pyspark.sql.window import Window
 from tallyroom.llm.tables import written
 
 SHARDS = 24
-ROUNDS = 6
+ROUNDS = 8
+TURNS = 16  # turns per power of two of a neighbourhood's size
+CROWD = 50_000  # rows of a group from which on its rows are dealt to several buckets
 LAW = "rows"  # shard sizes in rows are at most one apart
 KEY = ["g", "text_crc32", "size"]  # equal texts: hash, checksum and length together
 
@@ -44,42 +48,107 @@ def _ranked(rows: DataFrame, by: list[str], name: str) -> DataFrame:
     counts = rows.groupBy(*by, "bucket").agg(F.count("*").alias("here"))
     before = Window.partitionBy(*by).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select(*by, "bucket", F.coalesce(F.sum("here").over(before), F.lit(0)).alias("first"))
-    place = F.row_number().over(Window.partitionBy(*by, "bucket").orderBy("rid", *KEY))
+    place = F.row_number().over(Window.partitionBy(*by, "bucket").orderBy("hub", "rid", *KEY))
     return (rows.join(starts, [*by, "bucket"])
             .withColumn(name, (F.col("first") + place - 1).cast("long")).drop("first"))
 
 
-def _propagate(units: DataFrame, room: list[int], rounds: int) -> tuple[DataFrame | None, list[int]]:
-    """Rounds of moves. Returns placements (key, sub, shard) and the room that is left."""
-    n = len(room)
-    placed = None
-    for turn in range(rounds):
-        free = F.array(*[F.lit(r) for r in room])
-        # votes: linked neighbours with that label; later rounds also take shards without one
-        votes = F.transform("labels", lambda c, j: F.when(
-            (free[j] >= F.col("members")) & ((c > 0) | F.lit(turn >= 2)),
-            c * 64 + F.pmod(F.xxhash64("g", "sub", j), F.lit(64))).otherwise(F.lit(-1)))
-        wish = (units.withColumn("votes", votes).withColumn("best", F.array_max("votes"))
-                .withColumn("shard", F.when(F.col("best") >= 0, (F.array_position("votes", F.col("best")) - 1).cast("int")))
-                # large groups first, then in random order: 64 slots per power of two
-                .withColumn("turn", ((F.lit(48) - F.floor(F.log2("members"))) * 64
-                                     + F.pmod(F.xxhash64("sub", "g", F.lit(turn)), F.lit(64))).cast("int")))
-        wish = written(wish.drop("votes", "best"), "shard-wishes")
-        asked = wish.where("shard IS NOT NULL").groupBy("shard", "turn").agg(F.sum("members").alias("rows"))
-        run = Window.partitionBy("shard").orderBy("turn")  # at most 64 rows per power of two
-        sums = asked.withColumn("sum", F.sum("rows").over(run))
-        limit = F.array(*[F.lit(r) for r in room])[F.col("shard")]
-        cuts = sums.where(F.col("sum") <= limit).groupBy("shard").agg(F.max("turn").alias("t"), F.max("sum").alias("s"))
-        taken = {r.shard: (r.t, r.s) for r in cuts.collect()}  # one row per shard
-        last = F.array(*[F.lit(taken.get(j, (-1, 0))[0]) for j in range(n)])
-        moves = F.col("shard").isNotNull() & (F.col("turn") <= last[F.col("shard")])
-        new = wish.where(moves).select(*KEY, "sub", "shard")
-        placed = new if placed is None else placed.unionByName(new)
-        units = wish.where(~F.coalesce(moves, F.lit(False))).drop("shard", "turn")
-        room = [r - taken.get(j, (-1, 0))[1] for j, r in enumerate(room)]
-        if units.isEmpty():
+def _heard(labels: DataFrame, links: DataFrame, n: int) -> DataFrame:
+    """Adds to ``labels`` (node, weight, label): votes (rows per label among the members of the node's
+    hubs, itself included) and anchor (its smallest hub)."""
+    here = (links.join(labels, "node").groupBy("hub", "salt")
+            .agg(*[F.sum(F.when(F.col("label") == j, F.col("weight")).otherwise(0)).alias(f"l{j}") for j in range(n)]))
+    hubs = here.groupBy("hub").agg(F.array(*[F.sum(f"l{j}") for j in range(n)]).alias("v"), F.collect_set("salt").alias("salts"))
+    told = links.join(hubs.select("hub", "v", F.explode("salts").alias("salt")), ["hub", "salt"])
+    votes = told.groupBy("node").agg(F.min("hub").alias("anchor"),
+                                     F.array(*[F.sum(F.col("v")[j]) for j in range(n)]).alias("votes"))
+    return labels.join(votes, "node")
+
+
+def _granted(asked: list[tuple[int, int, int, int]], held: list[int], quotas: list[int]) -> list[int]:
+    """Per shard the last turn whose requests it grants, -1 for none.
+
+    ``asked`` has (from, to, turn, rows). All requests are granted at first; a shard that they would
+    fill above its quota takes back its last turns until it fits with what leaves it. That may keep
+    rows in other shards, so this goes on until every shard fits. No shard grows above its quota."""
+    n = len(held)
+    last = [max((t for _, _, t, _ in asked), default=-1)] * n
+    into: list[dict[int, int]] = [{} for _ in range(n)]
+    for _, to, turn, rows in asked:
+        into[to][turn] = into[to].get(turn, 0) + rows
+    while True:
+        size = list(held)
+        for start, to, turn, rows in asked:
+            if turn <= last[to]:
+                size[start] -= rows
+                size[to] += rows
+        full = [j for j in range(n) if size[j] > max(quotas[j], held[j]) and last[j] >= 0]
+        if not full:
+            return last
+        for j in full:
+            over = size[j] - max(quotas[j], held[j])
+            for turn in sorted((t for t in into[j] if t <= last[j]), reverse=True):
+                over -= into[j][turn]
+                last[j] = turn - 1
+                if over <= 0:
+                    break
+            else:
+                last[j] = -1
+
+
+def propagate(labels: DataFrame, links: DataFrame, quotas: list[int], rounds: int = ROUNDS) -> tuple[DataFrame, list[float]]:
+    """Move labels (node, weight, label) along ``links`` (node, hub, salt) under ``quotas`` of rows.
+
+    Returns (node, weight, label, anchor, united) and the cut edges before each round. ``united``
+    says that all neighbours carry the node's label. Every node has at least one link; a node
+    occurs once in ``labels`` and once per hub in ``links``."""
+    n = len(quotas)
+    held, cuts = None, []
+    for turn in range(rounds + 1):
+        heard = _heard(labels, links, n).withColumn("all", F.aggregate("votes", F.lit(0).cast("long"), lambda a, x: a + x))
+        # the first round's labels are all about to move: any shard may have room
+        free = F.array(*[F.lit(q if held is None else max(q - h, 0)) for q, h in zip(quotas, held or quotas, strict=True)])
+        score = F.transform("votes", lambda c, j: F.when(
+            (F.col("all") - c <= free[j]) & ((c > 0) | F.lit(turn >= 2)),
+            c * 64 + F.pmod(F.xxhash64("anchor", j), F.lit(64))).otherwise(F.lit(-1)))
+        wish = heard.withColumn("score", score).withColumn("best", F.array_max("score"))
+        wish = wish.withColumn("to", F.when(F.col("best") >= 0, F.array_position("score", F.col("best")) - 1)
+                               .otherwise(F.col("label")).cast("int"))
+        wish = wish.withColumn("turn", F.when(F.col("to") != F.col("label"), (
+            (F.lit(62) - F.floor(F.log2("all"))) * TURNS + F.pmod(F.xxhash64("anchor", F.lit(turn)), F.lit(TURNS))).cast("int")))
+        wish = wish.withColumn("cut", F.col("all") - F.col("votes")[F.col("label")])
+        wish = written(wish.select("node", "weight", "label", "anchor", "cut", "to", "turn"), "shard-wishes")
+        # at most shards * shards * powers of two * TURNS rows
+        counts = wish.groupBy("label", "to", "turn").agg(
+            F.sum("weight").alias("rows"), F.sum(F.col("weight").cast("double") * F.col("cut")).alias("cut")).collect()
+        cuts.append(sum(r.cut for r in counts) / 2)
+        held = [sum(r.rows for r in counts if r.label == j) for j in range(n)]
+        asked = [(r.label, r.to, r.turn, r.rows) for r in counts if r.turn is not None]
+        last = _granted(asked, held, quotas)
+        if turn == rounds or not any(t <= last[to] for _, to, t, _ in asked):
             break
-    return placed, room
+        moves = F.coalesce(F.col("turn") <= F.array(*[F.lit(t) for t in last])[F.col("to")], F.lit(False))
+        labels = wish.select("node", "weight", F.when(moves, F.col("to")).otherwise(F.col("label")).alias("label"))
+        for start, to, t, rows in asked:
+            if t <= last[to]:
+                held[start] -= rows
+                held[to] += rows
+    return wish.select("node", "weight", "label", "anchor", (F.col("cut") == 0).alias("united")), cuts
+
+
+def _fitting(placed: DataFrame, quotas: list[int]) -> tuple[DataFrame, list[int]]:
+    """Nodes of united hubs, as many as the quotas hold, and the room that they leave. Only a shard that
+    started above its quota has more than it holds."""
+    placed = placed.where("united").withColumn("lot", F.pmod(F.xxhash64("anchor"), F.lit(256)).cast("int"))
+    lots = placed.groupBy("label", "lot").agg(F.sum("weight").alias("rows")).collect()  # at most 256 a shard
+    left, last = list(quotas), [256] * len(quotas)
+    for r in sorted(lots, key=lambda r: (r.label, r.lot)):
+        if last[r.label] == 256 and r.rows <= left[r.label]:
+            left[r.label] -= r.rows
+        else:
+            last[r.label] = min(last[r.label], r.lot)
+    kept = F.col("lot") < F.array(*[F.lit(t) for t in last])[F.col("label")]
+    return placed.where(kept).select("node", F.col("label").alias("shard")), left
 
 
 def shards(docs: DataFrame, n: int = SHARDS, rounds: int = ROUNDS) -> DataFrame:
@@ -94,29 +163,31 @@ def shards(docs: DataFrame, n: int = SHARDS, rounds: int = ROUNDS) -> DataFrame:
     total = rows.count()
     quota = total // n
     buckets = max(64, min(1 << 16, total // 2000))
-    rows = rows.withColumn("bucket", _bucket(buckets))
-
-    part = max(1, quota // 4)
-    label = F.pmod(F.xxhash64("rid", F.lit(n)), F.lit(n)).cast("int")
-    sizes = rows.groupBy(*KEY).agg(F.count("*").alias("group_rows")).where("group_rows > 1")
-    linked = sizes.withColumn("parts", F.ceil(F.col("group_rows") / part)).select(*KEY, "parts")
-    linked = written(linked, "shard-groups")
-    sub = F.pmod(F.xxhash64("bucket", "rid"), F.col("parts")).cast("long")
-    with_sub = rows.join(linked, KEY, "left").withColumn("sub", F.when(F.col("parts").isNotNull(), sub))
-    counts = (with_sub.where("sub IS NOT NULL").groupBy(*KEY, "sub")
-              .agg(F.count("*").alias("members"),
-                   *[F.count(F.when(label == j, 1)).alias(f"l{j}") for j in range(n)]))
-    units = written(counts.select(*KEY, "sub", "members", F.array(*[f"l{j}" for j in range(n)]).alias("labels")),
-                    "shard-units")
-    placed, left = _propagate(units, [quota] * n, rounds)
-
-    out = written(with_sub.join(placed, [*KEY, "sub"], "left").drop("parts", "sub"), "shard-placed")
-    # the rest fills what is left of each shard: shard j gets the ranks below edge j
+    salt = F.pmod(F.xxhash64("rid"), F.lit(max(16, min(1 << 12, total // CROWD)))).cast("int")
+    rows = rows.withColumn("bucket", _bucket(buckets)).withColumn("salt", salt)
+
+    sizes = (rows.groupBy(*KEY, "salt").agg(F.count("*").alias("here"))
+             .groupBy(*KEY).agg(F.sum("here").alias("group_rows"), F.collect_set("salt").alias("salts")).where("group_rows > 1"))
+    parts = F.ceil(F.col("group_rows") / max(1, quota // 4))
+    hub = F.xxhash64(*KEY, F.pmod(F.xxhash64("bucket", "rid"), parts))
+    tagged = rows.join(sizes.select(*KEY, "group_rows", F.explode("salts").alias("salt")), [*KEY, "salt"], "left")
+    tagged = written(tagged.withColumn("hub", F.when(F.col("group_rows").isNotNull(), hub))
+                     .withColumn("node", F.xxhash64("rid", *KEY)), "shard-nodes")
+    nodes = tagged.where("hub IS NOT NULL").groupBy("node", "hub", "salt").agg(F.count("*").alias("weight"))
+    start = F.pmod(F.xxhash64("node"), F.lit(n)).cast("int").alias("label")
+    placed, _ = propagate(nodes.select("node", "weight", start), nodes.select("node", "hub", "salt"), [quota] * n, rounds)
+    kept, left = _fitting(placed, [quota] * n)
+
+    out = written(tagged.join(kept, "node", "left"), "shard-placed")
+    # the rest fills what is left of each shard, group by group: shard j gets the ranks below edge j
     room = [r + (j < total % n) for j, r in enumerate(left)]
     edges = [sum(room[:j + 1]) for j in range(n)]
-    rest = _ranked(out.where("shard IS NULL"), [], "rank")
+    lane = (F.pmod(F.xxhash64(F.coalesce("hub", "node")), F.lit(buckets)) * (1 << 12)
+            + F.when(F.col("group_rows") > CROWD, F.col("salt")).otherwise(0))
+    rest = _ranked(out.where("shard IS NULL").withColumn("bucket", lane), [], "rank")
     filled = F.coalesce(*[F.when(F.col("rank") < e, F.lit(j)) for j, e in enumerate(edges)])
-    every = out.where("shard IS NOT NULL").unionByName(rest.withColumn("shard", filled).drop("rank"))
+    rest = rest.withColumn("shard", filled).drop("rank").withColumn("bucket", _bucket(buckets))
+    every = out.where("shard IS NOT NULL").unionByName(rest)
     return _ranked(every, ["shard"], "slot").select(
         "doc_id", "size", "text_crc32", F.lit(LAW).alias("law"), F.col("shard").cast("int").alias("shard"), "slot",
         F.lit(None).cast("int").alias("grown_shard"))

@@ -1,7 +1,11 @@
+import math
 import random
+import struct
 import zlib
 from collections import Counter, defaultdict
 
+import xxhash
+
 from tallyroom.llm import chat, sharding
 
 CONV = "conv_id long, turn long, role string, text string, name string, perspective string"
@@ -60,3 +64,90 @@ def test_a_group_larger_than_a_shard_and_edges(make_docs):
     few = [(1, "a"), (2, "a"), (3, None)]
     check(sharding.shards(make_docs(few), n=24).collect(), few, 24)
     assert sharding.shards(make_docs([])).collect() == []
+
+
+def mixed(*values):
+    """The 64-bit hash of longs (Python int) and ints ((value,))."""
+    seed = 42
+    for v in values:
+        raw = struct.pack("<i", v[0]) if isinstance(v, tuple) else struct.pack("<q", v)
+        seed = xxhash.xxh64(raw, seed=seed).intdigest()
+    return seed - (1 << 64) if seed >> 63 else seed
+
+
+def plain_rounds(label, weight, hubs_of, quotas, rounds):
+    """The same rounds node by node."""
+    n, held, cuts = len(quotas), None, []
+    members = defaultdict(list)
+    for node, hubs in hubs_of.items():
+        for h in hubs:
+            members[h].append(node)
+    for turn in range(rounds + 1):
+        votes = {node: [sum(weight[m] for h in hubs for m in members[h] if label[m] == j) for j in range(n)]
+                 for node, hubs in hubs_of.items()}
+        free = quotas if held is None else [max(q - h, 0) for q, h in zip(quotas, held)]
+        held = [sum(weight[m] for m in label if label[m] == j) for j in range(n)]
+        cuts.append(sum(weight[m] * (sum(v) - v[label[m]]) for m, v in votes.items()) / 2)
+        wish = {}
+        for node, v in votes.items():
+            anchor = min(hubs_of[node])
+            open_ = [(v[j] * 64 + mixed(anchor, (j,)) % 64, -j) for j in range(n) if sum(v) - v[j] <= free[j] and (v[j] > 0 or turn >= 2)]
+            to = -max(open_)[1] if open_ else label[node]
+            if to != label[node]:
+                wish[node] = (to, (62 - int(math.log2(sum(v)))) * 16 + mixed(anchor, (turn,)) % 16)
+        last = [10 ** 9] * n
+        while True:
+            size = list(held)
+            for m, (to, t) in wish.items():
+                if t <= last[to]:
+                    size[label[m]] -= weight[m]
+                    size[to] += weight[m]
+            full = [j for j in range(n) if size[j] > max(quotas[j], held[j])]
+            if not full:
+                break
+            for j in full:
+                over = size[j] - max(quotas[j], held[j])
+                for t in sorted({t for to, t in wish.values() if to == j and t <= last[j]}, reverse=True):
+                    over -= sum(weight[m] for m, w in wish.items() if w == (j, t))
+                    last[j] = t - 1
+                    if over <= 0:
+                        break
+        moving = {m: to for m, (to, t) in wish.items() if t <= last[to]}
+        if turn == rounds or not moving:
+            return label, cuts
+        for m, to in moving.items():
+            held[label[m]] -= weight[m]
+            held[to] += weight[m]
+        label = {**label, **moving}
+
+
+def test_rounds_equal_plain_ones_and_cut_less(spark):
+    rng = random.Random(3)
+    nodes = list(range(300))
+    label, weight = {m: rng.randrange(4) for m in nodes}, {m: 1 + (m % 50 == 0) for m in nodes}
+    hubs_of = {m: {m // 6, *([100 + m // 20] if m % 7 == 0 else [])} for m in nodes}  # copies, and looser groups across them
+    labels = spark.createDataFrame([(m, weight[m], label[m]) for m in nodes], "node long, weight long, label int")
+    links = spark.createDataFrame([(m, h, m % 3) for m, hubs in hubs_of.items() for h in hubs], "node long, hub long, salt int")
+    quotas = [80] * 4
+    got, cuts = sharding.propagate(labels, links, quotas, 5)
+    want, plain_cuts = plain_rounds(label, weight, hubs_of, quotas, 5)
+    rows = got.collect()
+    assert {r.node: r.label for r in rows} == want and cuts == plain_cuts
+    assert cuts == sorted(cuts, reverse=True) and cuts[-1] < cuts[0] / 2  # looser groups pull apart what copies bind
+    assert all(sum(r.weight for r in rows if r.label == j) <= max(80, sum(weight[m] for m in nodes if label[m] == j)) for j in range(4))
+
+
+def test_copies_come_together_where_there_is_room(spark):
+    labels = spark.createDataFrame([(m, 1, m * 7 % 4) for m in range(240)], "node long, weight long, label int")
+    links = labels.selectExpr("node", "node div 6 AS hub", "cast(node % 3 AS int) AS salt")
+    got, cuts = sharding.propagate(labels, links, [80] * 4)
+    rows = got.collect()
+    assert cuts[-1] == 0 and all(r.united for r in rows)
+    assert max(Counter(r.label for r in rows).values()) <= 80
+
+
+def test_quotas_hold_when_every_row_is_linked():
+    asked = [(0, 1, 5, 10), (1, 2, 5, 10), (2, 0, 5, 10)]
+    assert sharding._granted(asked, [10, 10, 10], [10, 10, 10]) == [5, 5, 5]  # moves in a ring need no free room
+    last = sharding._granted(asked[:2], [10, 10, 10], [10, 10, 10])
+    assert last[2] < 5 and last[1] < 5
