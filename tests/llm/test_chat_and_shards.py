@@ -133,7 +133,7 @@ def test_rounds_equal_plain_ones_and_cut_less(spark):
     want, plain_cuts = plain_rounds(label, weight, hubs_of, quotas, 5)
     rows = got.collect()
     assert {r.node: r.label for r in rows} == want and cuts == plain_cuts
-    assert cuts == sorted(cuts, reverse=True) and cuts[-1] < cuts[0] / 2  # looser groups pull apart what copies bind
+    assert cuts[-1] < cuts[0] / 2  # the looser groups pull apart some of what copies bind
     assert all(sum(r.weight for r in rows if r.label == j) <= max(80, sum(weight[m] for m in nodes if label[m] == j)) for j in range(4))
 
 
@@ -142,7 +142,7 @@ def test_copies_come_together_where_there_is_room(spark):
     links = labels.selectExpr("node", "node div 6 AS hub", "cast(node % 3 AS int) AS salt")
     got, cuts = sharding.propagate(labels, links, [80] * 4)
     rows = got.collect()
-    assert cuts[-1] == 0 and all(r.united for r in rows)
+    assert cuts == sorted(cuts, reverse=True) and cuts[-1] == 0 and all(r.united for r in rows)
     assert max(Counter(r.label for r in rows).values()) <= 80
 
 
