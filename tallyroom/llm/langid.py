@@ -5,8 +5,8 @@ met backs off to its character n-grams, the longest length first: the word score
 over its n-grams of the longest length of which any is known, down to single letters. The
 language with the largest sum wins.
 
-Frequencies come from a bounded sample of labelled documents and the model keeps a bounded number
-of words and n-grams per language; anything else is reached by the backoff.
+Frequencies come from a bounded sample of labelled documents, and the model keeps every word and
+n-gram of it, those seen once too, so that a language with a single short document is learned.
 """
 
 from __future__ import annotations
@@ -24,12 +24,10 @@ from pyspark.sql.window import Window
 from tallyroom.llm.tables import label_share
 
 SAMPLE = 12_000  # labelled documents that training reads, shared evenly by the languages
-WORDS = 20_000  # words kept per language
-GRAMS = 5_000  # n-grams kept per language and length
 LONGEST = 4  # characters of the longest n-gram
 CACHE = 300_000  # words whose scores a task remembers
 PIECE = 1 << 20  # characters that are split into words at once
-FLOOR = 0.5  # count that an entry unseen in one language has there
+FLOOR = 0.5  # count that an entry unseen in one language has there, and the most that all unseen ones share
 
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -134,10 +132,14 @@ def held_out(doc_id) -> F.Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
-def train(docs: DataFrame, sample: int = SAMPLE, words: int = WORDS, grams: int = GRAMS) -> Backoff:
+def train(docs: DataFrame, sample: int = SAMPLE, words: int | None = None, grams: int | None = None) -> Backoff:
     """Fit on about ``sample`` of the documents that have a language and are not held out, drawn by
     the hash of doc_id. Languages have even parts, and a rare one is read whole. A null doc_id is
-    not sampled."""
+    not sampled. ``words`` and ``grams``, where given, prune the model to that many of the most
+    frequent words per language, and n-grams per language and length; by default nothing is pruned.
+
+    An entry that a language has not seen counts ``FLOOR`` of its total, or of the number of unseen
+    entries where that is larger: a small language does not win by what it never met."""
     named = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"),
                         F.col("text").cast("string").alias("text"))
     chosen = named.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
@@ -145,22 +147,25 @@ def train(docs: DataFrame, sample: int = SAMPLE, words: int = WORDS, grams: int
     counted = (chosen.where(label_share(["doc_id"], "lang", sample, counts)).select("lang", "text")
                .mapInArrow(_counts, "lang string, n int, item string, c long")
                .groupBy("lang", "n", "item").agg(F.sum("c").alias("c")))
-    # the most frequent entries per language and length: the window's rank limit cuts on the map side
-    order = Window.partitionBy("lang", "n").orderBy(F.desc("c"), "item")
-    top = (counted.withColumn("r", F.row_number().over(order))
-           .where((F.col("r") <= max(words, grams)) & (F.col("c") > 1))
-           .where(F.col("r") <= F.when(F.col("n") == 0, words).otherwise(grams)))
-    rows = top.select("lang", "n", "item", "c").collect()
+    if words is not None or grams is not None:
+        order = Window.partitionBy("lang", "n").orderBy(F.desc("c"), "item")
+        most = F.when(F.col("n") == 0, F.lit(words).cast("int")).otherwise(F.lit(grams).cast("int"))
+        counted = counted.withColumn("r", F.row_number().over(order)).where(most.isNull() | (F.col("r") <= most))
+    rows = counted.select("lang", "n", "item", "c").collect()  # entries of the bounded sample
     languages = sorted({r.lang for r in rows})
     place = {lang: i for i, lang in enumerate(languages)}
     tables: list[dict[str, list[float]]] = [{} for _ in range(LONGEST + 1)]
     total = np.zeros((LONGEST + 1, len(languages)))
     for r in rows:
-        tables[r.n].setdefault(r.item, [FLOOR] * len(languages))[place[r.lang]] = float(r.c)
+        tables[r.n].setdefault(r.item, [0.0] * len(languages))[place[r.lang]] = float(r.c)
         total[r.n, place[r.lang]] += r.c
     for n, entries in enumerate(tables):
-        for item, c in entries.items():
-            entries[item] = [float(x) for x in np.log(np.array(c) / np.maximum(total[n], 1))]
+        if not entries:
+            continue
+        counts = np.array(list(entries.values()))
+        unseen = FLOOR / np.maximum(np.maximum(total[n], (counts == 0).sum(0)), 1)
+        logs = np.log(np.where(counts > 0, counts / np.maximum(total[n], 1), unseen))
+        tables[n] = dict(zip(entries, logs.tolist(), strict=True))
     return Backoff(languages, tables)
 
 

@@ -71,3 +71,15 @@ def test_few_labels_and_rare_languages_in_a_large_table(make_docs):
     assert np.isclose(words["schung"][1], 0.5) and np.isclose(words["kalo"][1], langid.FLOOR / 40)
     # the common one gets what is left of the sample, about 80 documents
     assert 60 <= round(langid.FLOOR / words["schung"][0] / 2) <= 100
+
+
+def test_a_language_of_one_document_is_learned_and_takes_no_others(make_docs):
+    own = next(i for i in range(5000, 5100) if zlib.crc32(str(i).encode()) % 5)
+    rows = corpus(400)
+    model = langid.train(make_docs(rows + [(own, "xyw hjp fzd", "dd")]))
+    assert model.languages == ["aa", "bb", "cc", "dd"] and {"xyw", "hjp", "fzd"} <= set(model.tables[0])
+    assert model.predict("fzd hjp")[0] == "dd"
+    held = [(text, lang) for i, text, lang in rows if zlib.crc32(str(i).encode()) % 5 == 0]
+    assert np.mean([model.predict(text)[0] == lang for text, lang in held]) > 0.98
+    for n, entries in enumerate(model.tables):  # no language has more than one and a half in all
+        assert (np.exp(list(entries.values())).sum(0) <= 1.5 + 1e-9).all(), n
