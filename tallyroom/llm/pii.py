@@ -246,18 +246,26 @@ def train(docs: DataFrame) -> Boosted:
     return fit([c for c in cells.values() if c["ones"] + c["zeros"]])
 
 
+def apart(spans: str) -> str:
+    """SQL for those of ``spans`` (array of kind, start, end) that stay: the longest first, then the one
+    that begins first, each unless it overlaps one that stays."""
+    order = ("CASE WHEN l.end - l.start > r.end - r.start THEN -1 WHEN l.end - l.start < r.end - r.start THEN 1 "
+             "WHEN l.start < r.start THEN -1 WHEN l.start > r.start THEN 1 ELSE 0 END")
+    return (f"aggregate(array_sort({spans}, (l, r) -> {order}), cast(array() AS {SPAN}), (stay, x) -> "
+            f"CASE WHEN exists(stay, o -> o.start < x.end AND x.start < o.end) THEN stay "
+            f"ELSE cast(concat(stay, array(x)) AS {SPAN}) END)")
+
+
 def find(docs: DataFrame, model: Boosted, keep: list[str]) -> DataFrame:
     """Adds to the columns ``keep`` of ``docs``: body (text, null as empty), base and spans (arrays of
     kind, start, end, in code points with the end exclusive; by kind as listed, then start)."""
     df = _candidates(_based(docs, keep)).drop("raw")
     limits = "array(" + ", ".join(f"{t:.6f}D" for t in model.thresholds) + ")"
     df = df.withColumn("added", F.expr(
-        f"filter(candidates, x -> NOT exists(base, b -> b.start < x.end AND x.start < b.end) "
-        f"AND ({model.sql('x')}) >= {limits}[x.generator])")).drop("candidates")
-    longer = "(o.end - o.start > x.end - x.start OR (o.end - o.start = x.end - x.start AND o.start < x.start))"
-    df = df.withColumn("added", F.expr(
-        f"transform(filter(added, x -> NOT exists(added, o -> o.start < x.end AND x.start < o.end AND {longer})), "
-        "x -> struct(x.kind AS kind, x.start AS start, x.end AS end))"))
+        f"transform(filter(candidates, x -> NOT exists(base, b -> b.start < x.end AND x.start < b.end) "
+        f"AND ({model.sql('x')}) >= {limits}[x.generator]), "
+        "x -> struct(x.kind AS kind, x.start AS start, x.end AS end))")).drop("candidates")
+    df = df.withColumn("added", F.expr(f"CASE WHEN size(added) > 1 THEN {apart('added')} ELSE added END"))
     both = "concat(base, added)"
     by_kind = ", ".join(f"array_sort(array_distinct(filter({both}, x -> x.kind = '{k}')))" for k, _ in KINDS)
     return df.withColumn("spans", F.expr(f"CASE WHEN size({both}) = 0 THEN base ELSE concat({by_kind}) END")).drop("added")

@@ -1,6 +1,9 @@
 import hashlib
+import random
 import re
 
+from pyspark.sql import functions as F
+
 from tallyroom.llm import pii
 
 
@@ -65,3 +68,29 @@ def test_redaction(make_docs):
     got = {r.doc_id: (r.text, r.n_chars) for r in pii.redacted(docs, length="n_chars").collect()}
     assert got[1] == ("mail [EMAIL] now [IP] é", 23) and got[2] == (None, None) and got[3] == ("", 0) and got[4] == ("clean text 12", 13)
     assert pii.redacted(docs).columns == docs.columns
+
+
+def test_overlapping_candidates_are_chosen_greedily(spark):
+    rng = random.Random(4)
+    cases = [[("card", 0, 10), ("card", 8, 22), ("phone", 20, 40)]]  # the middle one goes, so the first stays
+    cases += [[(rng.choice(["card", "phone"]), a, a + rng.randint(1, 12)) for a in rng.choices(range(40), k=rng.randint(0, 9))] for _ in range(60)]
+    df = spark.createDataFrame([(i, c) for i, c in enumerate(cases)], f"i int, a {pii.SPAN}")
+    got = {r.i: {tuple(x) for x in r.s} for r in df.select("i", F.expr(pii.apart("a")).alias("s")).collect()}
+    for i, case in enumerate(cases):
+        stay = []
+        for x in sorted(case, key=lambda x: (x[1] - x[2], x[1])):
+            if all(x[2] <= o[1] or o[2] <= x[1] for o in stay):
+                stay.append(x)
+        assert got[i] == set(stay), case
+    assert got[0] == {("card", 0, 10), ("phone", 20, 40)}
+
+
+def test_trees_as_sql_equal_their_odds(spark):
+    rng = random.Random(5)
+    cells = [{**{f: rng.randrange(6) for f in pii.FEATURES}, "part": rng.randrange(2), "ones": rng.randrange(5), "zeros": rng.randrange(5) + 1}
+             for _ in range(300)]
+    model = pii.fit(cells)
+    df = spark.createDataFrame([tuple(c[f] for f in pii.FEATURES) for c in cells], ", ".join(f"{f} int" for f in pii.FEATURES))
+    got = df.select(F.struct(*pii.FEATURES).alias("x")).select(F.expr(model.sql("x")).alias("odds")).collect()
+    assert len(model.trees) == pii.ROUNDS
+    assert all(abs(r.odds - model.odds(c)) < 1e-4 for r, c in zip(got, cells, strict=True))
