@@ -13,10 +13,11 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -55,10 +56,43 @@ def grams_of(word: str, n: int) -> list[str]:
     return [marked[i:i + n] for i in range(len(marked) - n + 1)]
 
 
+class Table(Mapping):
+    """Log frequencies per language by entry. It travels as an Arrow column and a matrix; the index is
+    made where entries are looked up, so the driver holds no object per entry."""
+
+    def __init__(self, entries: pa.Array, logs: np.ndarray):
+        self.entries, self.logs = entries, logs
+        self._index: dict[str, int] | None = None
+
+    def __reduce__(self):
+        return Table, (self.entries, self.logs)
+
+    def get(self, entry, default=None):
+        if self._index is None:
+            self._index = {e: i for i, e in enumerate(self.entries.to_pylist())}
+        at = self._index.get(entry)
+        return default if at is None else self.logs[at]
+
+    def __getitem__(self, entry):
+        found = self.get(entry)
+        if found is None:
+            raise KeyError(entry)
+        return found
+
+    def __contains__(self, entry):
+        return self.get(entry) is not None
+
+    def __iter__(self):
+        return iter(self.entries.to_pylist())
+
+    def __len__(self):
+        return len(self.entries)
+
+
 class Backoff:
     """Log frequencies per language: one table of words, one per n-gram length."""
 
-    def __init__(self, languages: list[str], tables: list[dict[str, list[float]]]):
+    def __init__(self, languages: list[str], tables: list[Table]):
         self.languages, self.tables = languages, tables  # tables[0]: words, tables[n]: n-grams
         self._seen: dict[str, np.ndarray] = {}
 
@@ -81,7 +115,7 @@ class Backoff:
             return np.array(known)
         for n in range(min(LONGEST, len(word) + 2), 0, -1):
             table = self.tables[n]
-            found = [table[g] for g in grams_of(word, n) if g in table]
+            found = [x for x in map(table.get, grams_of(word, n)) if x is not None]
             if found:
                 return np.mean(found, axis=0)
         return np.zeros(len(self.languages))
@@ -151,22 +185,24 @@ def train(docs: DataFrame, sample: int = SAMPLE, words: int | None = None, grams
         order = Window.partitionBy("lang", "n").orderBy(F.desc("c"), "item")
         most = F.when(F.col("n") == 0, F.lit(words).cast("int")).otherwise(F.lit(grams).cast("int"))
         counted = counted.withColumn("r", F.row_number().over(order)).where(most.isNull() | (F.col("r") <= most))
-    rows = counted.select("lang", "n", "item", "c").collect()  # entries of the bounded sample
-    languages = sorted({r.lang for r in rows})
-    place = {lang: i for i, lang in enumerate(languages)}
-    tables: list[dict[str, list[float]]] = [{} for _ in range(LONGEST + 1)]
-    total = np.zeros((LONGEST + 1, len(languages)))
-    for r in rows:
-        tables[r.n].setdefault(r.item, [0.0] * len(languages))[place[r.lang]] = float(r.c)
-        total[r.n, place[r.lang]] += r.c
-    for n, entries in enumerate(tables):
-        if not entries:
-            continue
-        counts = np.array(list(entries.values()))
-        unseen = FLOOR / np.maximum(np.maximum(total[n], (counts == 0).sum(0)), 1)
-        logs = np.log(np.where(counts > 0, counts / np.maximum(total[n], 1), unseen))
-        tables[n] = dict(zip(entries, logs.tolist(), strict=True))
-    return Backoff(languages, tables)
+    names = sorted(counts)
+    if not names:
+        return Backoff([], [Table(pa.array([], pa.string()), np.zeros((0, 0)))] * (LONGEST + 1))
+    # one row per entry of the bounded sample, one column per language
+    wide = counted.groupBy("n", "item").agg(
+        *[F.sum(F.when(F.col("lang") == lang, F.col("c")).otherwise(0)).alias(f"c{i}") for i, lang in enumerate(names)])
+    rows = wide.toArrow().combine_chunks()
+    learned = [i for i in range(len(names)) if pc.sum(rows.column(f"c{i}")).as_py()]
+    size = rows.column("n").to_numpy()
+    tables = []
+    for n in range(LONGEST + 1):
+        at = np.flatnonzero(size == n)
+        seen = np.stack([rows.column(f"c{i}").to_numpy()[at] for i in learned], axis=1) if learned else np.zeros((len(at), 0))
+        total = np.maximum(seen.sum(0), 1)
+        unseen = FLOOR / np.maximum(total, (seen == 0).sum(0))
+        logs = np.log(np.where(seen > 0, seen / total, unseen))
+        tables.append(Table(rows.column("item").take(pa.array(at)).combine_chunks(), logs))
+    return Backoff([names[i] for i in learned], tables)
 
 
 def _predict(held):
