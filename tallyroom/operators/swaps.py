@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyroom.operators.ranking import exact_rank
+from tallyroom.sources.sinks import written_once
 
-
-SALTS = 32
+HEAD = 64  # positions beyond the wanted ones that are looked at first
 
 
 def ranked_catalog(items: DataFrame, group: str, price: str, item: str) -> DataFrame:
@@ -18,29 +18,58 @@ def ranked_catalog(items: DataFrame, group: str, price: str, item: str) -> DataF
                       [F.asc_nulls_first(price), F.asc(item)], "pos")
 
 
+def _head(used: DataFrame, catalog: DataFrame, owner: str, group: str, item: str, k: int) -> tuple[DataFrame, DataFrame]:
+    """The head of the catalog that holds every answer, and the positions in it that owners use. Where
+    no owner uses more than ``m`` of a group's first ``k + m`` items, nothing beyond those can be wanted."""
+    reach = k + HEAD
+    while True:
+        head = written_once(catalog.where(F.col("pos") <= reach), "swap-head")
+        taken = written_once(used.join(head.select(item, group, "pos"), item).select(owner, group, "pos").distinct(), "swap-taken")
+        most = taken.groupBy(owner, group).agg(F.count("*").alias("n")).agg(F.coalesce(F.max("n"), F.lit(0))).first()[0]
+        if k + most <= reach:
+            return head.where(F.col("pos") <= k + most), taken.where(F.col("pos") <= k + most)
+        reach = 2 * (k + most)
+
+
+def unused_lists(owners: DataFrame, used: DataFrame, catalog: DataFrame, owner: str, group: str, item: str, k: int,
+                 first: list[str]) -> tuple[DataFrame, DataFrame]:
+    """``owners`` (owner, ``groups``: array of (g, n)) with ``free``: per group an array of the first ``k`` catalog
+    items that the owner does not use, each ``n`` times; and the head of the catalog. Items are given by
+    their ``place`` in the head, sorted by the columns ``first``.
+
+    ``used`` meets only the head of the catalog, ``k`` items a group and as many more as one owner uses
+    of them, and owners stay one row each: neither is multiplied by the positions looked at.
+    """
+    head, taken = _head(used, catalog, owner, group, item, k)
+    columns = [*first, *[c for c in catalog.columns if c not in first]]
+    head = written_once(head.agg(F.array_sort(F.collect_list(F.struct(*columns))).alias("l")).select(
+        F.posexplode("l").alias("place", "x")).select("place", "x.*"), "swap-places")
+    lists = head.groupBy(F.col(group).alias("g")).agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "place"))), lambda s: s["place"]).alias("l"))
+    heads = lists.agg(F.map_from_entries(F.collect_list(F.struct("g", "l"))))
+    mine = (taken.join(head.select(group, "pos", "place"), [group, "pos"])
+            .groupBy(F.col(owner).alias("__owner")).agg(F.collect_list("place").alias("__taken")))
+
+    def of(x):
+        every = F.col("__heads")[x["g"]]
+        unused = F.filter(F.slice(every, F.lit(1), k + F.size("__taken")), lambda i: ~F.array_contains(F.col("__taken"), i))
+        free = F.slice(F.when(F.col("__taken").isNull(), every).otherwise(unused), 1, k)
+        copies = F.when(x["n"] == 1, free).otherwise(F.flatten(F.transform(free, lambda i: F.array_repeat(i, x["n"].cast("int")))))
+        return F.coalesce(copies, F.array().cast("array<int>"))
+
+    found = (owners.join(mine, owners[owner] == mine["__owner"], "left").withColumn("__heads", heads.scalar())
+             .withColumn("free", F.transform("groups", of)).drop("__owner", "__taken", "__heads", "groups"))
+    return found, head
+
+
+def owner_groups(wanted: DataFrame, owner: str, group: str) -> DataFrame:
+    """``(owner, group)`` rows as one row per owner, the groups with their number of rows."""
+    return wanted.groupBy(owner, F.col(group).alias("g")).agg(F.count("*").alias("n")).groupBy(owner).agg(
+        F.collect_list(F.struct("g", "n")).alias("groups"))
+
+
 def cheapest_unused(wanted: DataFrame, used: DataFrame, catalog: DataFrame, owner: str, group: str,
                     item: str, k: int) -> DataFrame:
     """For each ``(owner, group)`` of ``wanted``, the first ``k`` catalog items
-    of that group which the owner does not use.
-
-    Of the positions an owner uses in a group, only those with fewer than ``k``
-    unused ones before them can push a candidate back. With ``m`` such
-    positions the answer is exactly positions ``1 .. k + m`` without those
-    ``m``; they are left out before any row is made, so an owner costs ``k``
-    rows per group.
-    """
-    mine = used.join(catalog.select(item, group, "pos"), item).select(owner, group, "pos")
-    w = Window.partitionBy(owner, group).orderBy("pos")
-    pushed = (mine.withColumn("__j", F.row_number().over(w))
-              .where(F.col("pos") - F.col("__j") < k)
-              .groupBy(owner, group).agg(F.collect_list("pos").alias("__used")))
-    taken = F.coalesce("__used", F.array().cast("array<bigint>"))
-    free = F.array_except(F.sequence(F.lit(1).cast("bigint"), k + F.size(taken).cast("bigint")), taken)
-    reach = wanted.join(pushed, [owner, group], "left").withColumn("pos", F.explode(free)).drop("__used")
-    # few groups and positions hold all rows: owners are parted by a salt and the head of the
-    # catalog, no longer than k plus the positions one owner uses, is repeated for each
-    most = pushed.agg(F.coalesce(F.max(F.size("__used")), F.lit(0)) + k)
-    head = catalog.where(F.col("pos") <= most.scalar()).withColumn(
-        "__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    salted = reach.withColumn("__salt", F.pmod(F.xxhash64(owner), F.lit(SALTS)).cast("int"))
-    return salted.join(head, [group, "pos", "__salt"]).drop("__salt")
+    of that group which the owner does not use, a row each."""
+    lists, head = unused_lists(owner_groups(wanted, owner, group), used, catalog, owner, group, item, k, [item])
+    return lists.select(owner, F.explode(F.flatten("free")).alias("place")).join(head, "place").drop("place")
