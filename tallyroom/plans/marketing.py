@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyroom.constants import (CAMPAIGN_ACTIONS, CAUTIOUS_PCT, CONFIDENT_PCT, CRITICAL_SPEND, EVENT_TYPES, HIGH_SPEND,
@@ -23,7 +23,11 @@ LABELS = ["product_type", "targeting", "segments", "ads_m2o_pct", "overall_m2o_p
 def _campaign_totals(ads: DataFrame, mapping: DataFrame, grain: list[str], spans: list[Column],
                      spans_out: list[Column]) -> DataFrame:
     """Totals per (store, campaign, ...). Daily rows are first summed per ad id,
-    which is what travels into the id join; ratios come from the totals."""
+    which is what travels into the id join; ratios come from the totals.
+
+    With a grain, rows move once, by campaign and grain: both groupings hold these columns."""
+    if grain:
+        ads = ads.repartition("campaign_id", *grain)
     per_ad = ads.groupBy("res_id", "campaign_id", *grain).agg(
         *[F.sum(c).alias(c) for c in TOTALS], *[F.min(c).alias(c) for c in LABELS], *spans)
     stores = mapping.select("master_store_id", "zomato_id", "swiggy_id")
@@ -118,10 +122,13 @@ def campaign_ladder(df: DataFrame, actions: dict[str, str] = CAMPAIGN_ACTIONS) -
 
 
 def with_previous_month(history: DataFrame) -> DataFrame:
-    """Each month beside the calendar month before it; a gap gives NULL."""
-    before = history.select("master_store_id", "campaign_id", F.add_months("month", 1).alias("month"),
-                            F.col("roi").alias("prev_roi"), F.col("ad_spend_rs").alias("prev_spend_rs"))
-    return history.join(before, ["master_store_id", "campaign_id", "month"], "left")
+    """Each month beside the calendar month before it; a gap gives NULL. ``history`` has a row per
+    store, campaign and month."""
+    w = Window.partitionBy("master_store_id", "campaign_id").orderBy("month")
+    follows = (F.col("master_store_id").isNotNull() & F.col("campaign_id").isNotNull()
+               & (F.add_months(F.lag("month").over(w), 1) == F.col("month")))
+    return history.select("*", F.when(follows, F.lag("roi").over(w)).alias("prev_roi"),
+                          F.when(follows, F.lag("ad_spend_rs").over(w)).alias("prev_spend_rs"))
 
 
 # ---- expansion ------------------------------------------------------------------------------

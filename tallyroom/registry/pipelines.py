@@ -9,6 +9,7 @@ from tallyroom.plans import complaints, ideas, inventory, kpis, marketing, produ
 from tallyroom.registry.base import C, I, R, S, add, check_view, num_text, rounded, whole_text
 from tallyroom.registry.check_views import ladder_sql
 from tallyroom.registry.reads_writes import edits
+from tallyroom.sources.sinks import written_once
 
 col = F.col
 INV, SALES, CAMP, REV = AS_OF_INVENTORY, AS_OF_SALES, AS_OF_CAMPAIGN, AS_OF_REVIEWS
@@ -464,8 +465,8 @@ check_view("unspent_rows", f"""
     FROM budget_rows b WHERE allocated_budget_rs > 0 AND budget_month = date_trunc('month', {C})
       AND NOT EXISTS (SELECT 1 FROM campaign_now n WHERE n.master_store_id = b.master_store_id
                       AND n.platform = upper(b.channel))""")
-unspent = lambda t: marketing.campaign_unspent_budget(
-    marketing.v_segment_budget(t), marketing.v_store_campaign_current(t, CAMP), CAMP).drop("expected_revenue_rs")
+unspent = lambda t, running=None: marketing.campaign_unspent_budget(
+    marketing.v_segment_budget(t), running or marketing.v_store_campaign_current(t, CAMP), CAMP).drop("expected_revenue_rs")
 add("campaign_expansion_gap", lambda t: marketing.campaign_expansion_gap(now(t)), "SELECT * FROM expansion_rows")
 add("campaign_unspent_budget", unspent, "SELECT * FROM unspent_rows")
 add("campaign_segment_normalise", lambda t: t.raw_marketing_data.select(
@@ -473,8 +474,15 @@ add("campaign_segment_normalise", lambda t: t.raw_marketing_data.select(
     F.count("*").alias("rows"), F.count_distinct("segments").alias("spellings")),
     f"""SELECT {AUDIENCE} AS audience, count(*) AS rows, count(DISTINCT segments) AS spellings
         FROM raw_marketing_data GROUP BY 1""")
-add("campaign_final_plan", lambda t: marketing.campaign_final_plan(
-    now(t), marketing.campaign_expansion_gap(now(t)), unspent(t)), """
+
+
+def final_plan(t):
+    """The ladder's rows are made once; the plan, the gaps and the unspent budget all read them."""
+    acted = written_once(now(t), "campaign-now")
+    return marketing.campaign_final_plan(acted, marketing.campaign_expansion_gap(acted), unspent(t, acted))
+
+
+add("campaign_final_plan", final_plan, """
     SELECT *, CAST(CASE priority WHEN 'HIGH' THEN 1 WHEN 'MEDIUM' THEN 2 ELSE 3 END AS BIGINT) AS band_order FROM (
       SELECT master_store_id, campaign_id, platform, segments, category, suggested_action, confidence, priority,
              ad_spend_rs, roi, 1::BIGINT AS seq FROM campaign_now_acted
