@@ -261,7 +261,8 @@ class KeyedTable:
         folders = [f"{k}{v}" for v, k in deltas.items()] + ([f"b{base[0]}-{base[1]}"] if base else [])
         buckets = max(1, -(-sum(_bytes(self.spark, f"{self.path}/{x}") for x in folders) // self.bucket_bytes))
         rows = self.read().withColumn("__bucket", self._bucket(buckets))
-        (rows.repartition(buckets, "__bucket").write.mode("overwrite").partitionBy("__bucket")
+        # rebalanced, not one task per bucket: a large bucket, or several that fall together, are split into files
+        (rows.hint("rebalance", "__bucket").write.mode("overwrite").partitionBy("__bucket")
          .parquet(f"{self.path}/b{max(deltas)}-{buckets}"))
         for name in _folders(self.spark, self.path):
             number = name[1:].partition("-")[0]
