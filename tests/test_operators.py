@@ -1,6 +1,7 @@
 """Operators against brute force on small random inputs, hot keys included."""
 
 import random
+from datetime import date
 import re
 from itertools import combinations
 
@@ -8,10 +9,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyroom.operators import joins as J
+from tallyroom.operators import swaps
 from tallyroom.operators.ranking import exact_rank, top_n
 from tallyroom.operators.sets import missing_values, prefer
 from tallyroom.operators.swaps import cheapest_unused, ranked_catalog
-from tallyroom.plans import compliance, graph, ideas, recipes
+from tallyroom.plans import compliance, graph, ideas, marketing, recipes
 
 RNG = random.Random(7)
 
@@ -275,3 +277,33 @@ def test_a_hubs_neighbours_are_many_rows(spark):
     assert 35 <= len(hub) <= 40 and max(map(len, hub)) < 200 and sorted(sum(hub, [])) == sorted(f"n{i}" for i in range(4000))
     whole = {(r.src, r.type): r.neighbours for r in graph.related_grouped(edges).collect()}
     assert whole["hub", "t"] == sorted(f"n{i}" for i in range(4000)) and whole["a", "t"] == ["x", "y"] and whole[None, "t"] == ["z"]
+
+
+def test_unused_lists_are_one_row_per_owner(spark):
+    """An owner that uses more of the first items than are looked at first, one that is wanted twice, one without a name."""
+    catalog = spark.range(1, 301).selectExpr("CAST(id AS STRING) AS item", "'Base' AS role", "id AS pos")
+    used = spark.createDataFrame([("a", str(i)) for i in range(1, 201)] * 2 + [("b", "2"), (None, "1")], "owner string, item string")
+    wanted = spark.createDataFrame([("a", "Base"), ("b", "Base"), ("b", "Base"), ("b", "none"), (None, "Base")], "owner string, role string")
+    found, head = swaps.unused_lists(swaps.owner_groups(wanted, "owner", "role"), used, catalog, "owner", "role", "item", 2, ["pos"])
+    assert found.count() == 3 and head.count() == 202
+    rows = cheapest_unused(wanted, used, catalog, "owner", "role", "item", 2).collect()
+    assert sorted((r.owner or "", r.pos) for r in rows) == [("", 1), ("", 2), ("a", 201), ("a", 202), ("b", 1), ("b", 1), ("b", 3), ("b", 3)]
+
+
+def test_paths_are_grouped_once_per_hop(spark):
+    start = spark.createDataFrame([(1,), (1,), (2,)], "id bigint")
+    hops = [spark.createDataFrame([(1, 5), (1, 5), (1, 6), (2, 6)], "src bigint, dst bigint"),
+            spark.createDataFrame([(5, 9), (6, 9), (6, 8)], "src bigint, dst bigint")]
+    got = graph.khop_paths(start, hops)
+    assert {(r.origin, r.node): r.paths for r in got.collect()} == {(1, 9): 3, (1, 8): 1, (2, 9): 1, (2, 8): 1}
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("Aggregate [") == 3
+
+
+def test_previous_month_needs_no_second_history(spark):
+    rows = [("s", "c", date(2026, 1, 1), 1.0, 10.0), ("s", "c", date(2026, 2, 1), 2.0, 20.0), ("s", "c", date(2026, 4, 1), 4.0, 40.0),
+            (None, "c", date(2026, 1, 1), 5.0, 50.0), (None, "c", date(2026, 2, 1), 6.0, 60.0), ("s", "c", None, 7.0, 70.0)]
+    got = marketing.with_previous_month(spark.createDataFrame(
+        rows, "master_store_id string, campaign_id string, month date, roi double, ad_spend_rs double"))
+    assert [(r.prev_roi, r.prev_spend_rs) for r in got.where("roi = 2").collect()] == [(1.0, 10.0)]
+    assert got.count() == 6 and got.where("prev_roi IS NOT NULL").count() == 1
+    assert "Join" not in got._jdf.queryExecution().optimizedPlan().toString()

@@ -86,3 +86,17 @@ def test_history_is_dropped_before_it_is_summed(spark):
     """The newest day per store is found first; the sum comes after the semi-join."""
     plan = entry.queries()["p_shelf_life_risk"](spark, FOLDER)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.index("LeftSemi") > plan.index("total_available")
+
+
+def test_shared_rows_are_made_once(spark):
+    """The plan reads the written ladder, not the ads; the board reads the written stock rows."""
+    plan = entry.queries()["campaign_final_plan"](spark, FOLDER)._jdf.queryExecution().optimizedPlan().toString()
+    assert "l_extendedprice" not in plan and "l_discount" not in plan
+    board = entry.queries()["kpi_status"](spark, FOLDER)._jdf.queryExecution().optimizedPlan().toString()
+    assert "report_date" not in board
+
+
+def test_ad_rows_move_once(spark):
+    """Both groupings of the history use one partitioning by campaign and month."""
+    plan = entry.queries()["v_store_campaign_history"](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
+    assert sum("hashpartitioning(" in x and "campaign_id" in x for x in plan.splitlines()) == 1

@@ -170,3 +170,23 @@ def test_engine_counts_every_late_event(spark):
     dropped = jobs.run_parts(spark, [spark.createDataFrame(p, schema) for p in parts],
                              lambda s: jobs.daily_by_event(jobs.complaint_stream(s)), table, "late-parts")
     assert dropped.agg(F.sum("dropped")).first()[0] == 5 and table.read().agg(F.sum("events")).first()[0] == 10
+
+
+def test_a_fold_splits_a_large_bucket(spark):
+    """A bucket is written by several tasks: none reads a whole one, however much it holds."""
+    sizes = ["spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.adaptive.coalescePartitions.minPartitionSize"]
+    before = [spark.conf.get(x) for x in sizes]
+    for x in sizes:
+        spark.conf.set(x, "64k")
+    try:
+        t = sinks.KeyedTable(spark, scratch_dir(spark, "fold"), ["k"])
+        t.upsert(spark.range(200_000).selectExpr("id AS k", "id * 3 AS v"), 0)
+        t.fold()
+        base = [x for x in os.listdir(t.path) if x[0] == "b"]
+        assert base == ["b0-1"]
+        files = [f for f in os.listdir(f"{t.path}/b0-1/__bucket=0") if f.endswith(".parquet")]
+        assert len(files) > 1
+        assert t.read().count() == 200_000 and t.read().where("v <> k * 3").isEmpty()
+    finally:
+        for x, value in zip(sizes, before):
+            spark.conf.set(x, value)
