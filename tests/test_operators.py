@@ -307,3 +307,18 @@ def test_previous_month_needs_no_second_history(spark):
     assert [(r.prev_roi, r.prev_spend_rs) for r in got.where("roi = 2").collect()] == [(1.0, 10.0)]
     assert got.count() == 6 and got.where("prev_roi IS NOT NULL").count() == 1
     assert "Join" not in got._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_many_to_many_rows_are_spread(spark):
+    from tallyroom.operators.joins import join_many
+
+    left = spark.createDataFrame([(f"e{i}", "hot" if i % 10 else f"k{i}") for i in range(400)] + [("x", None), (None, "hot")],
+                                 "event_id string, k string")
+    right = spark.createDataFrame([(f"s{i}", "hot") for i in range(30)] + [("s30", "k10"), ("s31", None), ("s30", "k10")],
+                                  "sku string, k string")
+    got = join_many(left, right, ["k"], "event_id")
+    want = left.join(right, "k").select(got.columns)
+    assert sorted(got.collect(), key=str) == sorted(want.collect(), key=str)
+    sizes = got.rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)]).collect()
+    assert len(sizes) == int(spark.conf.get("spark.sql.shuffle.partitions"))  # not as few as the small inputs need
+    assert max(sizes) < got.count() / 2
