@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyroom.llm import jaccard_join, pieces, pii, quality, tiling
-from tallyroom.llm.tables import ship_package, table, written
+from tallyroom.llm.tables import ship_package, small_batches, table, written
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -19,6 +19,7 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the ordinal classifier rates good stay; toxic and poor ones go."""
     ship_package(spark)
+    small_batches(spark)
     docs = docs.select(*COLUMNS)
     return quality.selected(docs, quality.train(docs, table(spark, sf_dir, "labels")))
 
@@ -26,6 +27,7 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays, the one with the smallest doc_id."""
     ship_package(spark)
+    small_batches(spark)
     docs = docs.select(*COLUMNS)
     return jaccard_join.one_per_component(docs, jaccard_join.near_copies(docs))
 
@@ -33,6 +35,7 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents into which a benchmark item leaks go."""
     ship_package(spark)
+    small_batches(spark)
     return tiling.clean(docs.select(*COLUMNS), table(spark, sf_dir, "benchmark"))
 
 
@@ -45,6 +48,7 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, lang, source, ids (pieces of the whole text) and n_tokens of what is left; a null
     text has null ids."""
     ship_package(spark)
+    small_batches(spark)
     return pieces.tokenised(docs.select(*COLUMNS), pieces.load_model(), ["doc_id", "lang", "source"])
 
 

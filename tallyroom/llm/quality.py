@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyroom.llm.tables import label_share
+from tallyroom.llm.tables import label_share, packed, row_texts
 
 DIMENSIONS = 1 << 18
 SAMPLE = 6_000  # rated documents that the fit reads, shared evenly by the grades: the bound of the sample
@@ -179,13 +179,13 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Ordinal:
     return fit(sorted((r.grade, r.slots) for r in rows))
 
 
-def _score(held, keep: float):
+def _score(held, keep: float, at: int | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = held.value
         for batch in batches:
             for part in range(0, batch.num_rows, 500):
                 rows = batch.slice(part, 500)
-                latent = np.array([model.latent(x or "") for x in rows.column(1).to_pylist()])
+                latent = np.array([model.latent(x or "") for x in row_texts(rows, at).to_pylist()])
                 tails = np.round(model.tails(latent), 9)
                 yield pa.RecordBatch.from_arrays(
                     [rows.column(0), pa.array(np.round(tails.sum(1), 9)), pa.array(tails[:, -1]),
@@ -196,17 +196,21 @@ def _score(held, keep: float):
 def score(docs: DataFrame, model: Ordinal, key: str = "doc_id", keep: float = KEEP) -> DataFrame:
     """Per row of ``docs`` (key, text): key, expected_grade (0 to 2), tail = P(grade >= 2), keep.
 
-    ``key`` may be a struct that carries the row. A null text scores as an empty one; repeated
+    ``key`` may be a struct. A null text scores as an empty one; repeated
     rows score alike, and other columns are ignored.
     """
-    held = docs.sparkSession.sparkContext.broadcast(model)
-    kind = docs.select(key).schema[0].dataType.simpleString()
-    out = docs.select(F.col(key).alias("key"), F.col("text").cast("string").alias("text")).mapInArrow(
-        _score(held, keep), f"key {kind}, expected_grade double, tail double, keep boolean")
-    return out.withColumnRenamed("key", key)
+    return _scored(docs.select(F.col(key).alias("key"), F.col("text").cast("string").alias("text")), model, keep
+                   ).withColumnRenamed("key", key)
+
+
+def _scored(rows: DataFrame, model: Ordinal, keep: float, at: int | None = None) -> DataFrame:
+    """``rows`` (key, text); with ``at`` the text is that field of the key."""
+    held = rows.sparkSession.sparkContext.broadcast(model)
+    kind = rows.schema["key"].dataType.simpleString()
+    return rows.mapInArrow(_score(held, keep, at), f"key {kind}, expected_grade double, tail double, keep boolean")
 
 
 def selected(docs: DataFrame, model: Ordinal, keep: float = KEEP) -> DataFrame:
     """Rows of ``docs`` that the classifier keeps, with all their columns."""
-    packed = docs.select(F.struct(*docs.columns).alias("row"), F.col("text"))
-    return score(packed, model, "row", keep).where("keep").select("row.*")
+    rows, at = packed(docs, "key")
+    return _scored(rows, model, keep, at).where("keep").select("key.*")

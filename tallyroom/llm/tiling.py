@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyroom.llm.tables import text_views
+from tallyroom.llm.tables import packed, row_texts, text_views
 from tallyroom.llm.wordhash import Words, windows
 
 WORDS = Words(bytes(b for b in range(128) if not chr(b).isalnum()))
@@ -102,17 +102,17 @@ def _lowered(column: pa.Array) -> pa.Array:
     return pa.array([x.lower() if x is not None else None for x in column.to_pylist()], pa.large_string())
 
 
-def _tile(block, k: int, coverage: float):
+def _tile(block, k: int, coverage: float, at: int | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in range(0, batch.num_rows, 500):
-                yield _tiled(batch.slice(part, 500), block.value, k, coverage)
+                yield _tiled(batch.slice(part, 500), block.value, k, coverage, at)
     return run
 
 
-def _tiled(rows: pa.RecordBatch, b: Block, k: int, coverage: float) -> pa.RecordBatch:
+def _tiled(rows: pa.RecordBatch, b: Block, k: int, coverage: float, text_at: int | None) -> pa.RecordBatch:
     out = []
-    for text in text_views(_lowered(rows.column(1))):
+    for text in text_views(_lowered(row_texts(rows, text_at))):
         words = WORDS.hashes(text)
         best = (None, 0, None, None)
         for length in b.lengths if len(b.seeds) else []:
@@ -175,13 +175,14 @@ def leaks(docs: DataFrame, benchmark: DataFrame, k: int = K, coverage: float = C
             .withColumn("contaminated", F.col("item_id").isNotNull()))
 
 
-def _searched(rows: DataFrame, key: str, benchmark: DataFrame, k: int, coverage: float, block_chars: int) -> list[DataFrame]:
-    """``rows`` (key, text) against each block of the benchmark."""
+def _searched(rows: DataFrame, key: str, benchmark: DataFrame, k: int, coverage: float, block_chars: int,
+              text_at: int | None = None) -> list[DataFrame]:
+    """``rows`` (key, text) against each block of the benchmark; with ``text_at`` the text is that field of the key."""
     items = benchmark.select(F.col("item_id").cast("long"), F.col("text").cast("string")).dropna()
     out = []
     for block in benchmark_blocks(items, block_chars):
         held = rows.sparkSession.sparkContext.broadcast(Block([(r.item_id, r.text) for r in block.collect()], k))
-        out.append(rows.mapInArrow(_tile(held, k, coverage), f"{key}, {FOUND}"))
+        out.append(rows.mapInArrow(_tile(held, k, coverage, text_at), f"{key}, {FOUND}"))
     return out
 
 
@@ -190,8 +191,8 @@ def clean(docs: DataFrame, benchmark: DataFrame, k: int = K, coverage: float = C
     """Rows of ``docs`` into which no benchmark item leaks, with all their columns. The blocks of the
     benchmark sift the rows one after the other."""
     for block in benchmark_blocks(benchmark, block_chars):
-        packed = docs.select(F.struct(*docs.columns).alias("key"), F.col("text").cast("string").alias("text"))
-        kind = packed.schema["key"].dataType.simpleString()
-        found, = _searched(packed, f"key {kind}", block, k, coverage, 1 << 62)
+        rows, at = packed(docs, "key")
+        kind = rows.schema["key"].dataType.simpleString()
+        found, = _searched(rows, f"key {kind}", block, k, coverage, 1 << 62, at)
         docs = found.where("item_id IS NULL").select("key.*")
     return docs

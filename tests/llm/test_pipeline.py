@@ -74,3 +74,24 @@ def test_nulls_clashing_columns_and_an_empty_table(spark):
     for name, stage in P.STAGES:
         assert stage(spark, odd, FOLDER).count() <= 6
         assert stage(spark, odd.limit(0), FOLDER).collect() == []
+
+
+def test_texts_reach_the_workers_once_and_in_small_batches(spark, make_docs):
+    from tallyroom.llm.tables import BATCH_ROWS, packed, small_batches
+
+    docs = make_docs([(1, "a b c"), (2, None)])
+    rows, at = packed(docs, "key")
+    assert rows.columns == ["key"] and docs.columns[at] == "text"
+    wide, at = packed(docs.withColumn("text", F.lit(7)), "key")  # a text that is no string is cast beside its row
+    assert wide.columns == ["key", "text"] and at is None and dict(wide.dtypes)["text"] == "string"
+    assert sorted(r.doc_id for r in tiling.clean(docs, docs.selectExpr("doc_id item_id", "text")).collect()) == [2]
+    model = quality.Ordinal(quality.np.zeros(quality.DIMENSIONS), quality.np.array([-1.0, -0.5]))
+    assert quality.selected(docs, model, keep=0.0).collect() == docs.collect()
+    old = spark.conf.get(BATCH_ROWS)
+    try:
+        for chosen, want in (("10000", "1000"), ("77", "77")):
+            spark.conf.set(BATCH_ROWS, chosen)
+            small_batches(spark)
+            assert spark.conf.get(BATCH_ROWS) == want
+    finally:
+        spark.conf.set(BATCH_ROWS, old)
