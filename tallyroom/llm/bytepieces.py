@@ -84,26 +84,30 @@ def piece_starts(b: np.ndarray, c: np.ndarray, texts: np.ndarray) -> np.ndarray:
     return np.flatnonzero(start)
 
 
-class _Table:
+class PieceTable:
     """Piece hash to a run of ids in a pool; open addressing."""
 
-    def __init__(self, pieces: int):
+    def __init__(self, pieces: int, kind: type = np.uint16):
         self.bits = max(8, (2 * pieces - 1).bit_length())
-        self.keys, self.runs = np.zeros((2, 1 << self.bits), np.uint64)
-        self.pool = np.zeros(1 << 16, np.uint16)
+        cells = np.zeros(2 << self.bits, np.uint64)  # a key and its run lie side by side
+        self.keys, self.runs = cells[::2], cells[1::2]
+        self.cells = cells
+        self.pool = np.zeros(1 << 16, kind)
         self.size, self.used, self.most = 0, 0, pieces
 
     def find(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(run, known) of every hash."""
         at = (h >> np.uint64(64 - self.bits)).astype(np.int64)
-        key = self.keys.take(at)
-        run, known = self.runs.take(at), key == h
+        at2 = at << 1
+        key = self.cells.take(at2)
+        at2 += 1
+        run, known = self.cells.take(at2), key == h
         left = np.flatnonzero(~known & (key != 0))
         while len(left):
             at = (at[left] + 1 if len(at) == len(h) else at + 1) & ((1 << self.bits) - 1)
-            key = self.keys.take(at)
+            key = self.keys[at]
             same = key == h[left]
-            run[left[same]], known[left[same]] = self.runs.take(at[same]), True
+            run[left[same]], known[left[same]] = self.runs[at[same]], True
             more = ~same & (key != 0)
             left, at = left[more], at[more]
         return run, known
@@ -127,6 +131,32 @@ class _Table:
         return self.size - len(ids)
 
 
+    def ids(self, h: np.ndarray, encode) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of pieces one after the other, and how many each has. ``encode`` gives the ids of the pieces
+        at the places it is handed, one of each that is not in the table."""
+        run, known = self.find(h)
+        new = np.flatnonzero(~known)
+        if len(new):
+            different, first, back = np.unique(h[new], return_index=True, return_inverse=True)
+            found = encode(new[first])
+            sizes = np.fromiter(map(len, found), np.uint64, len(found))
+            own = np.cumsum(sizes) - sizes
+            at = self.add(checked(list(chain.from_iterable(found)), self.pool.dtype.type))
+            runs = ((own + np.uint64(at)) << np.uint64(24)) | sizes
+            kept = self.most - self.used
+            mark = at + int(own[kept]) if kept < len(found) else self.size
+            self.keep(different, runs)
+            run[new] = runs[back]
+        sizes = (run & np.uint64((1 << 24) - 1)).astype(np.int64)
+        total = np.cumsum(sizes)
+        place = np.repeat((run >> np.uint64(24)).astype(np.int64) - (total - sizes), sizes)
+        place += np.arange(len(place))
+        ids = self.pool.take(place)
+        if len(new):
+            self.size = mark  # pieces beyond the table's size are forgotten
+        return ids, sizes
+
+
 def byte_letters() -> dict[int, str]:
     """The printable character that stands for each byte in a byte-level vocabulary."""
     plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -137,10 +167,10 @@ def byte_letters() -> dict[int, str]:
 LETTERS = np.array([ord(byte_letters()[x]) for x in range(256)], "<u2")
 
 
-def checked(ids: list[int]) -> np.ndarray:
-    if ids and max(ids) > 0xFFFF:
+def checked(ids: list[int], kind: type = np.uint16) -> np.ndarray:
+    if ids and kind is np.uint16 and max(ids) > 0xFFFF:
         raise ValueError("ids below 65536 are expected")
-    return np.array(ids, np.uint16)
+    return np.array(ids, kind)
 
 
 class Encoder:
@@ -158,7 +188,7 @@ class Encoder:
                          and split.get("type") == "ByteLevel" and not split.get("add_prefix_space")
                          and split.get("use_regex", True) and known["model"]["type"] == "BPE")
         self.marks = [t["content"].encode() for t in known.get("added_tokens", [])]
-        self.table = _Table(pieces)
+        self.table = PieceTable(pieces)
 
     def encode(self, texts: list[np.ndarray]) -> list[np.ndarray]:
         """Ids of every text, which is given as its UTF-8 bytes."""
@@ -197,36 +227,15 @@ class Encoder:
             own = np.searchsorted(ends, starts, "right")
             keep = ~np.isin(own, list(odd))
             starts, stops = starts[keep], stops[keep]
-        ids, sizes = self._ids(b, starts, stops, run_hashes(b, starts, stops))
+        ids, sizes = self.table.ids(run_hashes(b, starts, stops), lambda new: self._fresh(b, starts[new], stops[new]))
         at = np.concatenate([[0], np.cumsum(sizes)])[np.searchsorted(starts, np.concatenate([firsts, [len(b)]]))]
         return [self._library(t) if k in odd else ids[at[k]:at[k + 1]] for k, t in enumerate(texts)]
 
-    def _ids(self, b: np.ndarray, starts: np.ndarray, stops: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        table = self.table
-        run, known = table.find(h)
-        new = np.flatnonzero(~known)
-        if len(new):
-            different, first, back = np.unique(h[new], return_index=True, return_inverse=True)
-            tokenize, found = self.model.tokenize, []
-            letters = LETTERS.take(b).tobytes()
-            for j, k in zip(starts[new[first]].tolist(), stops[new[first]].tolist(), strict=True):
-                found.append([t.id for t in tokenize(letters[2 * j:2 * k].decode("utf-16-le"))])
-            sizes = np.fromiter(map(len, found), np.uint64, len(found))
-            own = np.cumsum(sizes) - sizes
-            at = table.add(checked(list(chain.from_iterable(found))))
-            runs = ((own + np.uint64(at)) << np.uint64(24)) | sizes
-            kept = table.most - table.used
-            mark = at + int(own[kept]) if kept < len(found) else table.size
-            table.keep(different, runs)
-            run[new] = runs[back]
-        sizes = (run & np.uint64((1 << 24) - 1)).astype(np.int64)
-        total = np.cumsum(sizes)
-        place = np.repeat((run >> np.uint64(24)).astype(np.int64) - (total - sizes), sizes)
-        place += np.arange(len(place))
-        ids = table.pool.take(place)
-        if len(new):
-            table.size = mark  # pieces beyond the table's size are forgotten
-        return ids, sizes
+    def _fresh(self, b: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> list[list[int]]:
+        """Ids of pieces, from the model. Each byte is one letter to it."""
+        letters = LETTERS.take(b).tobytes().decode("utf-16-le")
+        tokenize = self.model.tokenize
+        return [[t.id for t in tokenize(letters[j:k])] for j, k in zip(starts.tolist(), stops.tolist(), strict=True)]
 
 
 @cache

@@ -18,7 +18,6 @@ model's library as a whole; the results are the same.
 from __future__ import annotations
 
 import math
-import re
 from collections.abc import Iterator
 from functools import cached_property
 from itertools import chain
@@ -28,12 +27,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyroom.llm.bytepieces import PieceTable
+from tallyroom.llm.tables import text_views
+from tallyroom.llm.wordhash import run_hashes
+
 MARK = "▁"
 GUARD = "\ue000"  # a private-use character
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 CHUNK = 32_768  # characters of a chunk
 BLOCK = 256  # chunks that are multiplied in one task
-CACHE = 80_000  # words whose pieces a task remembers
+CACHE = 80_000  # pairs of pieces that a task remembers
+WORDS = 1 << 18  # words whose pieces a worker remembers; others are encoded each time they are met
+SPLIT = 1 << 17  # bytes of text that are split at once, few enough for a cache; one text is never divided
+MARK_BYTES = MARK.encode()
+BLANK = np.array([32], np.uint8)
 
 
 class Pieces:
@@ -86,49 +93,64 @@ class Pieces:
     # --- whole symbols -------------------------------------------------------------------
 
     @cached_property
-    def _met(self) -> dict:
-        return {"place": {}, "ids": np.zeros(0, np.int32), "at": np.zeros(1, np.int64)}
+    def _met(self) -> PieceTable:
+        return PieceTable(WORDS, np.uint32)
 
     def encode_texts(self, texts: list[str | None]) -> pa.Array:
-        """Arrow list column with the pieces of whole texts; null stays null, empty text has none.
+        """Arrow list column with the pieces of whole texts; null stays null, empty text has none."""
+        return self.encode_column(pa.array(texts, pa.large_string()))
+
+    def encode_column(self, texts: pa.Array) -> pa.Array:
+        """The same for an Arrow string column.
 
-        Where no piece crosses the front of a space, a text is its words, and a word's pieces are
-        remembered, so each call encodes only words that it has not met."""
+        Where no piece crosses the front of a space, a text is its words: stretches that start with a
+        space. Words are found and hashed with array operations, and a worker remembers the pieces of
+        words that it has met, so each call encodes only others."""
         if not self.spaces_split:
-            return pa.array([None if t is None else self.library.encode(t) for t in texts], pa.list_(pa.int32()))
-        split = [[] if t is None else self.words(t) for t in texts]
-        if len(self._met["place"]) > CACHE:
-            del self._met
-        met = self._met
-        place = met["place"]
-        fresh = list(set().union(*split).difference(place))
-        if fresh:
-            coded = self.library.encode(fresh, num_threads=1)
-            if "" in fresh:  # a bare mark, which the library does not see
-                coded[fresh.index("")] = self.ids_of(MARK)
-            place.update(zip(fresh, range(len(place), len(place) + len(fresh)), strict=True))
-            ends = np.cumsum(np.fromiter(map(len, coded), np.int64, len(coded))) + met["at"][-1]
-            met["at"] = np.concatenate((met["at"], ends))
-            met["ids"] = np.concatenate((met["ids"], np.fromiter(chain.from_iterable(coded), np.int32)))
-        words = np.fromiter(map(place.__getitem__, chain.from_iterable(split)), np.int64)
-        sizes = met["at"][words + 1] - met["at"][words]
-        done = np.concatenate(([0], np.cumsum(sizes)))
-        flat = met["ids"][np.repeat(met["at"][words] - done[:-1], sizes) + np.arange(done[-1])]
-        ends = done[np.concatenate(([0], np.cumsum([len(w) for w in split])))]
-        out = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int32()),
-                                       mask=pa.array([t is None for t in texts]))
-        return out
-
-    @staticmethod
-    def words(text: str) -> list[str]:
-        """Stretches of a text that start with a space, without that one space, which the model
-        puts in front by itself."""
-        if not text:
-            return []
-        text = text.replace(MARK, " ")
-        if "  " in text or text[0] == " ":
-            return [w[1:] for w in re.findall(" +[^ ]*", " " + text)]
-        return text.split(" ")
+            return pa.array([None if t is None else self.library.encode(t) for t in texts.to_pylist()], pa.list_(pa.int32()))
+        views = [v if v.size < 3 or MARK_BYTES not in v.tobytes() else
+                 np.frombuffer(v.tobytes().replace(MARK_BYTES, b" "), np.uint8) for v in text_views(texts)]
+        ids, sizes, at = [], np.zeros(len(views), np.int64), 0
+        while at < len(views):
+            to, size = at, 0
+            while to < len(views) and (to == at or size + len(views[to]) < SPLIT):
+                size += len(views[to]) + 1
+                to += 1
+            got, sizes[at:to] = self._spelled(views[at:to])
+            ids.append(got)
+            at = to
+        flat = np.concatenate(ids) if ids else np.zeros(0, np.uint32)
+        return pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(sizes))), pa.int32()),
+                                        pa.array(flat.view(np.int32), pa.int32()), mask=texts.is_null())
+
+    def _spelled(self, texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """Pieces of texts one after the other, and how many each text has."""
+        full = [t for t in texts if len(t)]
+        if not full:
+            return np.zeros(0, np.uint32), np.zeros(len(texts), np.int64)
+        b = np.concatenate(list(chain.from_iterable((BLANK, t) for t in full)))
+        sizes = np.fromiter((len(t) + 1 if len(t) else 0 for t in texts), np.int64, len(texts))
+        firsts = np.cumsum(sizes) - sizes
+        blank = b == 32
+        start = blank.copy()
+        start[1:] &= ~blank[:-1]
+        start[firsts[sizes > 0]] = True
+        starts = np.flatnonzero(start)
+        stops = np.append(starts[1:], len(b))
+        ids, counts = self._met.ids(run_hashes(b, starts, stops), lambda new: self._fresh(b, starts[new], stops[new]))
+        before = np.concatenate(([0], np.cumsum(counts)))
+        ends = before[np.searchsorted(starts, firsts + sizes)]
+        return ids, np.diff(ends, prepend=0)
+
+    def _fresh(self, b: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> list[list[int]]:
+        """Pieces of words, whose first space the model puts in front by itself."""
+        data = b.tobytes()
+        words = [data[j + 1:k].decode() for j, k in zip(starts.tolist(), stops.tolist(), strict=True)]
+        coded = self.library.encode(words, num_threads=1)
+        if "" in words:  # a bare mark, which the library does not see
+            bare = self.ids_of(MARK)
+            coded = [c if w else bare for w, c in zip(words, coded, strict=True)]
+        return coded
 
     def between(self, stretch: str) -> list[int]:
         """Pieces of symbols that no piece enters or leaves: encoded behind a character that is
@@ -141,6 +163,13 @@ class Pieces:
     def decode(self, ids: list[int]) -> str:
         return self.library.decode(ids)
 
+    def decode_column(self, rows: pa.ListArray) -> list[str | None]:
+        """Text of each list of pieces, null for null."""
+        ends, flat = rows.offsets.to_numpy().tolist(), rows.values.to_numpy()
+        there = rows.is_valid().to_numpy(zero_copy_only=False).tolist()
+        return [self.library.decode(flat[i:j].tolist()) if x else None
+                for i, j, x in zip(ends[:-1], ends[1:], there, strict=True)]
+
     # --- lattice -------------------------------------------------------------------------
 
     @cached_property
@@ -400,7 +429,7 @@ def _encode_small(model):
         for batch in batches:
             for part in range(0, batch.num_rows, 200):
                 rows = batch.slice(part, 200)
-                ids = model.value.encode_texts(rows.column(1).to_pylist())
+                ids = model.value.encode_column(rows.column(1))
                 yield pa.RecordBatch.from_arrays([rows.column(0), ids], names=["key", "ids"])
     return run
 
@@ -515,7 +544,7 @@ def _decoded(model):
         for batch in batches:
             for part in range(0, batch.num_rows, 100):
                 rows = batch.slice(part, 100)
-                texts = [None if x is None else model.value.decode(x) for x in rows.column(1).to_pylist()]
+                texts = model.value.decode_column(rows.column(1))
                 yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(texts, pa.string())], names=["key", "text"])
     return run
 

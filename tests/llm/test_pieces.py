@@ -89,3 +89,25 @@ def test_a_lost_task_starts_from_the_models_bytes(bpe):
     again = pickle.loads(pickle.dumps(bpe))
     assert again.library.encode("a b") == bpe.library.encode("a b")
     assert isinstance(again.library, sentencepiece.SentencePieceProcessor)
+
+
+def test_a_full_table_keeps_what_it_has(bpe, monkeypatch):
+    monkeypatch.setattr(pieces, "WORDS", 8)
+    model = pieces.Pieces(bpe.proto)
+    handed = []
+    fresh = model._fresh
+    monkeypatch.setattr(model, "_fresh", lambda b, starts, stops: handed.append(len(starts)) or fresh(b, starts, stops))
+    for n in range(6):
+        texts = ["common words come again", f"rare{n} other{n}", "common words", None]
+        assert model.encode_texts(texts).to_pylist() == [*map(bpe.library.encode, texts[:3]), None]
+    assert handed == [6, 2, 2, 2, 2, 2]  # the words met first are never encoded again
+
+
+def test_columns_of_any_cut(bpe):
+    import pyarrow as pa
+
+    texts = pa.array([*TEXTS, None, *TEXTS[::-1]])
+    for part in (texts, texts.slice(3, 9), texts.slice(len(TEXTS) - 1, 4), texts.slice(2, 0)):
+        ids = bpe.encode_column(part)
+        assert ids.to_pylist() == [None if t is None else bpe.library.encode(t) for t in part.to_pylist()]
+        assert bpe.decode_column(ids.slice(1)) == [None if x is None else bpe.library.decode(x) for x in ids.to_pylist()[1:]]
