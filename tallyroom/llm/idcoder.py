@@ -56,6 +56,7 @@ FLOOR = 4  # least frequency of a choice
 RATE = 5  # adaptation shift of order 0
 ALL = ONE + ONE + FINE  # bits that one id may take
 U1, U16, U32, UONE, UFINE, UALL = (np.uint64(x) for x in (1, 16, 32, ONE, FINE, ALL))
+SMALL = np.uint64(1 << ALL)  # intervals below this are too small for the next id
 WORD = np.uint64(1 << 48)  # intervals below this lie within one upper word
 
 
@@ -124,11 +125,17 @@ class _Model:
 
     def learn(self, n: int, ids: np.ndarray) -> None:
         right = self.guess == ids
-        step = ((right * np.int32((1 << ONE) - 576) + (64 - self.p)) >> 5) * self.known
+        step = np.where(right, np.int32((1 << ONE) - 512), np.int32(64))
+        step -= self.p
+        step >>= 5
+        step *= self.known
         sure = step * self.sure
+        step -= sure
         self.hit[1, :, :n] += sure
-        self.hit[0, :, :n] += step - sure
-        self.memory[self.at] = right * np.uint32(RIGHT) + (ids + np.uint32(1))
+        self.hit[0, :, :n] += step
+        held = np.where(right, np.uint32(RIGHT + 1), np.uint32(1))
+        held += ids
+        self.memory.put(self.at, held)
         self.two, self.one = self.one, ids
 
     def group_of(self, v: np.ndarray) -> np.ndarray:
@@ -145,7 +152,10 @@ class _Model:
         flat, at = rows.ravel(), self.row_at[:n] + group
         start = flat.take(at - 1, mode="wrap") * (group > 0)
         size = np.where(group < 15, flat.take(at), 1 << ONE) - start
-        rows += (TARGETS.take(group, 0) - rows) >> RATE
+        step = TARGETS.take(group, 0)
+        step -= rows
+        step >>= RATE
+        rows += step
         return start.astype(np.uint64), size.astype(np.uint64)
 
 
@@ -160,8 +170,9 @@ class _Interval:
         """Code one id of each of the first ``n`` blocks; of an interval too small for the next id that
         crosses a border between words, the larger side stays."""
         r = self.range[:n] >> UALL
-        self.low[:n] += r * start
         np.multiply(r, size, out=self.range[:n])
+        r *= start
+        self.low[:n] += r
         lanes = np.flatnonzero(self._full(self.low[:n], self.range[:n]))
         while len(lanes):
             low, size = self.low.take(lanes), self.range.take(lanes)
@@ -179,7 +190,12 @@ class _Interval:
 
     @staticmethod
     def _full(low: np.ndarray, size: np.ndarray) -> np.ndarray:
-        return ((low ^ (low + size - U1)) < WORD) | (size < np.uint64(1 << ALL))
+        last = low + size
+        last -= U1
+        last ^= low
+        full = last < WORD
+        full |= size < SMALL
+        return full
 
 
 class _Writer(_Interval):
@@ -269,7 +285,7 @@ def decode_blocks(words: np.ndarray, sizes: np.ndarray, order0: _Order0, ids: in
         v = source.value(n)
         none = v >= both << U32
         two = v < f2 << U32
-        x = np.where(none, v - (both << U32), 0) // rest
+        x = np.where(none, v - (both << U32), np.uint64(0)) // rest
         group = model.group_of((x >> UFINE).astype(np.int64))
         now = np.where(two, model.guess[1], model.guess[0])
         group = np.where(none, group, order0.group_by_id.take(now, mode="clip"))
