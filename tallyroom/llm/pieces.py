@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyroom.llm.bytepieces import PieceTable
-from tallyroom.llm.tables import text_views
+from tallyroom.llm.tables import small_batches, text_views
 from tallyroom.llm.wordhash import run_hashes
 
 MARK = "▁"
@@ -566,7 +566,8 @@ def proof_of(text) -> F.Column:
 def round_trip(docs: DataFrame, model: Pieces, chunk: int = CHUNK) -> DataFrame:
     """Per row: doc_id, n_tokens, ids_hash (xxhash64 of the ids), n_chars of the decoded text, and
     whether it equals the text (space marks read as spaces; by hashes and length, so that the
-    text does not travel along). Null text: null, and not a failure."""
+    text does not travel along). Null text: null, and not a failure. Batches are made small for the session."""
+    small_batches(docs.sparkSession)
     text = F.col("text").cast("string")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"),
                        proof_of(F.translate(text, MARK, " ")).alias("proof"))
