@@ -105,7 +105,8 @@ class Pieces:
 
         Where no piece crosses the front of a space, a text is its words: stretches that start with a
         space. Words are found and hashed with array operations, and a worker remembers the pieces of
-        words that it has met, so each call encodes only others."""
+        words that it has met, so each call encodes only others. Two different words share a hash with a
+        chance near 2^-64."""
         if not self.spaces_split:
             return pa.array([None if t is None else self.library.encode(t) for t in texts.to_pylist()], pa.list_(pa.int32()))
         views = [v if v.size < 3 or MARK_BYTES not in v.tobytes() else

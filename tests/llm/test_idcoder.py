@@ -119,3 +119,22 @@ def test_files_against_the_library(make_docs, spark, library, tmp_path):
     assert back[1000] == back[1001] == [0]
     assert sorted(map(tuple, idcoder.round_trip(docs).collect()), key=lambda r: r[1]) == expected(library, rows)
     assert idcoder.round_trip(make_docs([])).collect() == []
+
+
+def test_a_piece_is_encoded_once_also_when_slots_collide():
+    import numpy as np
+
+    from tallyroom.llm.bytepieces import PieceTable
+
+    table, handed = PieceTable(100), []
+
+    def encode(places):
+        handed.append(len(places))
+        return [[int(p) % 7] * (1 + int(p) % 3) for p in places]
+
+    h = np.arange(1, 61, dtype=np.uint64)  # all start at the table's first slot
+    ids, sizes = table.ids(np.concatenate([h, h]), encode)
+    assert handed == [60] and sizes.tolist() == [1 + p % 3 for p in range(60)] * 2
+    assert ids.tolist() == [p % 7 for p in range(60) for _ in range(1 + p % 3)] * 2
+    again, _ = table.ids(h[::-1].copy(), encode)
+    assert handed == [60] and again.tolist() == [p % 7 for p in range(59, -1, -1) for _ in range(1 + p % 3)]
