@@ -2,9 +2,10 @@
 
 Vectors are split into two halves and each half is quantised with its own codebook; a pair of
 centroids is a cell, and every vector is listed in its cell. For a query the centroids of each
-half are sorted by their inner product with the query's half, and a heap walks the pairs in
-order of the summed product (the multi-sequence algorithm) until the lists seen hold enough
-candidates. All vectors of those cells are then reranked with the exact product.
+half are sorted by their inner product with the query's half, and the pairs are walked in order
+of the summed product (multi-sequence: above any sum lies a prefix of every sorted row) until the
+lists seen hold enough candidates. All vectors of those cells are then reranked with the exact
+product; a matrix product with a bound on its rounding picks those that may be among the nearest.
 
 Equal vectors are one entry of the index, with the smallest of their ids, as many as an answer can
 show; so copies neither use up a walk nor take places from other vectors. Codebooks are fitted on
@@ -15,7 +16,6 @@ sides, so that no task holds more than a bounded number of each.
 
 from __future__ import annotations
 
-import heapq
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,6 +34,7 @@ LEAST = 2_000  # distinct vectors that a walk collects at least
 BLOCK = 16_384  # distinct vectors of a block: few blocks, as each gives back its best for every query
 QUERIES = 2_048  # queries of a block
 AT_ONCE = 128  # queries that are scored together
+HALVINGS = 12  # of the sums between which a walk ends; the cells above the lower one are sorted
 
 
 def kmeans(points: np.ndarray, k: int, rounds: int = 12, seed: int = 7) -> np.ndarray:
@@ -64,29 +65,31 @@ class MultiIndex:
         half = self.left.shape[1]
         return nearest(vectors[:, :half], self.left) * len(self.right) + nearest(vectors[:, half:], self.right)
 
-    def walk(self, query: np.ndarray, wanted: int) -> list[int]:
+    def walk(self, query: np.ndarray, wanted: int) -> np.ndarray:
         """Cells in order of the summed product until they hold ``wanted`` vectors.
 
-        The heap holds, for each row it has entered, the next pair of that row; a row is entered
-        when the first pair of the row above is taken."""
+        Both halves are sorted, so the cells above a sum are a prefix of each row, and cumulated counts
+        say how many vectors they hold. Halving finds a low sum that holds enough; the cells above it
+        are put in order."""
         half = self.left.shape[1]
         a, b = self.left @ query[:half], self.right @ query[half:]
         first, second = np.argsort(-a, kind="stable"), np.argsort(-b, kind="stable")
-        counts = self.counts.reshape(len(a), len(b))[np.ix_(first, second)].tolist()
-        a, b, first, second = (-a[first]).tolist(), (-b[second]).tolist(), first.tolist(), second.tolist()
-        heap, out, held, width = [(a[0] + b[0], 0, 0)], [], 0, len(b)
-        while heap and held < wanted:
-            _, i, j = heap[0]
-            if counts[i][j]:
-                out.append(first[i] * width + second[j])
-                held += counts[i][j]
-            if j + 1 < width:
-                heapq.heapreplace(heap, (a[i] + b[j + 1], i, j + 1))
+        a, b, rows = a[first], b[second], np.arange(len(a))
+        counts = self.counts.reshape(len(a), len(b))[first[:, None], second]
+        held = np.zeros((len(a), len(b) + 1), np.int64)
+        np.cumsum(counts, axis=1, out=held[:, 1:])
+        low, high, width = a[-1] + b[-1], a[0] + b[0], np.full(len(a), len(b))
+        for _ in range(HALVINGS):
+            middle = low + (high - low) / 2
+            reached = np.searchsorted(-b, a - middle, side="right")  # of each row, the cells with a + b >= middle
+            if held[rows, reached].sum() < wanted:
+                high = middle
             else:
-                heapq.heappop(heap)
-            if j == 0 and i + 1 < len(a):
-                heapq.heappush(heap, (a[i + 1] + b[0], i + 1, 0))
-        return out
+                low, width = middle, reached
+        i, j = np.nonzero((np.arange(len(b)) < width[:, None]) & (counts > 0))
+        order = np.argsort(-(a[i] + b[j]), kind="stable")
+        order = order[:np.searchsorted(np.cumsum(counts[i, j][order]), wanted) + 1]
+        return first[i[order]] * len(b) + second[j[order]]
 
 
 def _matrix(column: pa.Array, dims: int) -> np.ndarray:
@@ -125,15 +128,17 @@ def _walks(held, dims: int, wanted: int, blocks: int):
     return run
 
 
-def _best(score: np.ndarray, ids: np.ndarray, query_id: int, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """The first ``k`` distinct (score, id) of the vectors' ids, without the query's own; ties by id."""
+def _best(rough: np.ndarray, error: float, exact, ids: np.ndarray, query_id: int, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first ``k`` distinct (score, id) of the vectors' ids, without the query's own; ties by id.
+    ``exact`` gives the scores of the vectors at some places, from which ``rough`` differs by ``error`` at most."""
     take = k
     while True:
-        # all vectors that tie with the last one; an id of several vectors may ask for more of them
-        top = np.flatnonzero(score >= np.partition(score, len(score) - take)[len(score) - take]) if take < len(score) \
-            else np.arange(len(score))
-        pairs = {(-s, i) for s, own in zip(score[top].tolist(), ids[top], strict=True) for i in own.tolist() if i != query_id}
-        if len(pairs) >= k or len(top) == len(score):
+        # all vectors that may tie with the last one; an id of several vectors may ask for more of them
+        last = np.partition(rough, len(rough) - take)[len(rough) - take] if take < len(rough) else -np.inf
+        top = np.flatnonzero(~(rough < last - 2 * error))
+        pairs = {(-s, i) for s, own in zip(exact(top).tolist(), ids[top], strict=True) for i in own.tolist() if i != query_id}
+        # a vector that was not scored lies below ``last - error``
+        if len(top) == len(rough) or sum(-s >= last - error for s, _ in pairs) >= k:
             best = sorted(pairs)[:k]
             return np.array([i for _, i in best], np.int64), np.array([-s for s, _ in best], np.float64)
         take = 2 * len(top)
@@ -148,17 +153,19 @@ def _rerank(k: int, width: int, blocks: int):
         ids, query_ids, cell = vectors["ids"].to_numpy(), queries["query_id"].to_numpy(), vectors["cell"].to_numpy()
         first, copies = np.array([x[0] for x in ids]), np.array([len(x) for x in ids])
         place = cell // width // blocks * width + cell % width  # of the cell in the block's bit map
+        # of two sums of the same products in any order, by twice as much as they can differ
+        errors = 4 * (q.shape[1] + 2) * np.finfo(float).eps * np.linalg.norm(q, axis=1) * np.linalg.norm(v, axis=1).max() + 1e-300
         out = []
         for i, bits in enumerate(queries["bits"]):
             if i % AT_ONCE == 0:
-                some = q[i:i + AT_ONCE]
-                score = np.zeros((len(some), len(v)))
-                for d in range(q.shape[1]):  # one order of addition for every pair: equal vectors tie exactly
-                    score += some[:, d, None] * v[None, :, d]
-            own = score[i % AT_ONCE]
+                rough = q[i:i + AT_ONCE] @ v.T
             walked = np.unpackbits(np.frombuffer(bits, np.uint8))[place].astype(bool)
-            top = np.flatnonzero(walked & ((copies > 1) | (first != query_ids[i])))
-            found, score_of = _best(own[top], ids[top], query_ids[i], k)
+            some = np.flatnonzero(walked & ((copies > 1) | (first != query_ids[i])))
+
+            def exact(top: np.ndarray) -> np.ndarray:  # one order of addition for every pair: equal vectors tie exactly
+                return np.add.accumulate(v[some[top]] * q[i], axis=1)[:, -1] + 0.0
+
+            found, score_of = _best(rough[i % AT_ONCE, some], errors[i], exact, ids[some], query_ids[i], k)
             out.append((np.full(len(found), query_ids[i]), found, score_of))
         return pd.DataFrame({c: np.concatenate([o[n] for o in out]) for n, c in enumerate(("query_id", "vec_id", "score"))})
     return run

@@ -1,3 +1,6 @@
+import heapq
+import sys
+
 import numpy as np
 
 from tallyroom.llm import ann
@@ -94,3 +97,30 @@ def test_repeated_rows_inside_the_answer(spark):
     repeated = rows + [(12, [1.0, 0.12])] * 20 + [(11, [1.0, 0.11]), (11, [0.11, 1.0]), (0, [1.0, 1.0])]
     got = sorted(ann.neighbours(frame(spark, repeated), every=20, k=5).collect(), key=lambda r: r["rank"])
     assert [(r["rank"], r.vec_id) for r in got] == [(1, 12), (2, 11), (3, 10), (4, 9), (5, 8)]
+
+
+def test_walk_takes_the_cells_of_a_heap_in_few_calls():
+    rng = np.random.default_rng(7)
+    index = ann.MultiIndex(rng.normal(size=(64, 4)), rng.normal(size=(64, 4)), rng.poisson(0.7, 64 * 64))
+    for wanted in (1, 40, 900, 10**6):
+        q = rng.normal(size=8)
+        cells = [(-(index.left[c // 64] @ q[:4] + index.right[c % 64] @ q[4:]), c) for c in np.flatnonzero(index.counts)]
+        heapq.heapify(cells)
+        want, held, calls = [], 0, []
+        while cells and held < wanted:
+            want.append(heapq.heappop(cells)[1])
+            held += index.counts[want[-1]]
+        sys.setprofile(lambda frame, event, arg: calls.append(event) if event == "c_call" else None)
+        try:
+            got = index.walk(q, wanted)
+        finally:
+            sys.setprofile(None)
+        assert list(got) == want and len(calls) < 200
+
+
+def test_rounding_of_the_matrix_product_does_not_reach_the_answer():
+    exact = np.array([3.0, 2.0, 2.0, 2.0, 1.0, 5.0])
+    ids = np.array([np.array(x) for x in ([7], [9], [4, 8], [5], [1], [6])] + [None], object)[:-1]
+    for rough in (exact, exact + [0, 1e-9, -1e-9, 0, 0, -1e-9]):
+        found, score = ann._best(rough, 2e-9, lambda top: exact[top], ids, 6, 3)
+        assert found.tolist() == [7, 4, 5] and score.tolist() == [3.0, 2.0, 2.0]
