@@ -39,9 +39,9 @@ from tallyroom.llm.tables import scratch_dir, text_views
 
 TOKENIZER = "byte_bpe_50k.json"
 END_ID = 0
-BLOCK_IDS = 2048  # ids of a block
+BLOCK_IDS = 1024  # ids of a block; half as many make twice as many blocks, and a step's calls serve them all
 SEGMENT_IDS = 1 << 23  # a segment is closed when it holds so many; the last document is kept whole
-LANES = 4096  # blocks that are coded side by side; bounds memory
+LANES = 8192  # blocks that are coded side by side; bounds memory
 
 MAGIC = b"TRCM"
 HEADER = struct.Struct("<4sHHIIQQI")  # magic, version, reserved, ids a block, blocks, documents, ids, different ids

@@ -138,3 +138,10 @@ def test_a_piece_is_encoded_once_also_when_slots_collide():
     assert ids.tolist() == [p % 7 for p in range(60) for _ in range(1 + p % 3)] * 2
     again, _ = table.ids(h[::-1].copy(), encode)
     assert handed == [60] and again.tolist() == [p % 7 for p in range(59, -1, -1) for _ in range(1 + p % 3)]
+
+
+def test_a_segment_takes_few_steps_and_longer_blocks_are_still_read():
+    ids = (np.random.default_rng(6).zipf(1.3, 9000) % 50_000).astype(np.uint16)
+    assert sum(1 for _ in idcoder._steps(len(ids), idcoder.BLOCK_IDS)) <= 1024
+    for block in (idcoder.BLOCK_IDS, 2048):
+        assert (idcoder.decode_segment(idcoder.encode_segment([1], [9000], ids, block))[2] == ids).all()
