@@ -37,7 +37,7 @@ def num_text(c, digits: int) -> Column:
     text = F.round(col(c).cast("double"), digits).cast(f"decimal(30,{digits})").cast("string")
     if digits == 0:
         return text
-    return F.regexp_replace(F.regexp_replace(text, r"0+$", ""), r"\.$", "")
+    return F.rtrim(F.rtrim(text, F.lit("0")), F.lit("."))
 
 
 def score_text(c) -> Column:

@@ -10,6 +10,7 @@ writing it again writes the same rows.
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -290,12 +291,27 @@ def stage_advance(ideas: DataFrame, approved: DataFrame, to: str = "Pipeline") -
             .withColumn("stage", F.when(moves, F.lit(to)).otherwise(F.col("stage"))).drop("__ok"))
 
 
-def written_once(df: DataFrame, label: str) -> DataFrame:
+def written_once(df: DataFrame, label: str, by: list[str] = ()) -> DataFrame:
     """Write an intermediate that several branches of a plan read to the shared
-    folder, and read it back. A lost executor costs a re-read, not a recompute."""
-    path = scratch_dir(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    folder, and read it back. A lost executor costs a re-read, not a recompute.
+
+    With ``by``, rows are written in buckets of these columns, as many as the session's shuffle
+    partitions: joins and groupings on them move nothing of it. What the write itself has moved is not
+    read again, so the driver is made to let go of it, and Spark's cleaner removes those files."""
+    spark = df.sparkSession
+    path = scratch_dir(spark, label)
+    if by:
+        parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        name = "written_" + re.sub(r"\W", "_", path.rpartition("/")[2])
+        (df.repartition(parts, *by).sortWithinPartitions(*by).write.option("path", path).option("compression", "zstd")
+         .bucketBy(parts, *by).sortBy(*by).saveAsTable(name))
+        rows = spark.table(name)
+        spark.sql(f"DROP TABLE {name}")  # only its name: the files stay, and ``rows`` has read where they are
+    else:
+        df.write.option("compression", "zstd").parquet(path)
+        rows = spark.read.parquet(path)
+    spark._jvm.System.gc()
+    return rows
 
 
 def report_table(df: DataFrame, columns: list[str], order_by: list[str], path: str) -> DataFrame:

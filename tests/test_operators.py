@@ -322,3 +322,38 @@ def test_many_to_many_rows_are_spread(spark):
     sizes = got.rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)]).collect()
     assert len(sizes) == int(spark.conf.get("spark.sql.shuffle.partitions"))  # not as few as the small inputs need
     assert max(sizes) < 0.9 * sum(sizes)  # the hot key is more than 0.99 of the rows
+
+
+def test_rows_written_in_buckets_are_not_moved_again(spark):
+    from tallyroom.sources.sinks import written_once
+
+    rows = spark.range(200).selectExpr("CASE WHEN id % 7 > 0 THEN CAST(id % 7 AS STRING) END AS k", "id AS v")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        kept = written_once(rows, "buckets", by=["k"])
+        sums = kept.join(kept.groupBy("k").agg(F.sum("v").alias("s")), "k")
+        assert "Exchange" not in sums._jdf.queryExecution().executedPlan().toString()
+        assert sorted((r.k, r.v) for r in sums.collect()) == sorted((r.k, r.v) for r in rows.where("k IS NOT NULL").collect())
+        assert kept.count() == 200 and not [x for x in spark.catalog.listTables() if x.name.startswith("written_")]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_what_a_write_has_moved_is_cleared(spark):
+    """Shuffle files of a finished write do not stay on the disk until the query ends."""
+    import os
+    import time
+
+    from tallyroom.sources.sinks import written_once
+
+    root = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()[0]
+
+    def moved():
+        return {os.path.join(d, f) for d, _, names in os.walk(root) for f in names if f.startswith("shuffle_") and f.endswith(".data")}
+
+    before = moved()
+    written_once(spark.range(100000).selectExpr("id % 5000 AS k", "id AS v").groupBy("k").agg(F.sum("v")), "cleared")
+    until = time.time() + 20
+    while moved() - before and time.time() < until:
+        time.sleep(0.2)
+    assert not moved() - before

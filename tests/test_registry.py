@@ -100,3 +100,16 @@ def test_ad_rows_move_once(spark):
     """Both groupings of the history use one partitioning by campaign and month."""
     plan = entry.queries()["v_store_campaign_history"](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
     assert sum("hashpartitioning(" in x and "campaign_id" in x for x in plan.splitlines()) == 1
+
+
+def _plan(spark, key):
+    return entry.queries()[key](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("key", ["v_recipe_workbench"])
+def test_recipe_lines_move_before_the_board_is_planned(spark, key):
+    """The board reads lines in buckets by recipe; the lines themselves are neither scanned nor moved again."""
+    plan = _plan(spark, key)
+    assert "l_partkey" not in plan and "l_orderkey" not in plan and "Bucketed: true" in plan
+    moved = [x for x in plan.splitlines() if "Exchange hashpartitioning(recipe_id" in x or "Exchange hashpartitioning(ingredient_id" in x]
+    assert len(moved) <= 2  # the recipes' statuses, for lines and for candidates
