@@ -357,3 +357,11 @@ def test_what_a_write_has_moved_is_cleared(spark):
     while moved() - before and time.time() < until:
         time.sleep(0.2)
     assert not moved() - before
+
+
+def test_tags_travel_as_bits(spark):
+    from tallyroom.plans.recipes import name_tags, tag_bits, tags_of
+
+    names = spark.createDataFrame([("Almond milk",), ("caster sugar",), ("oats",), (None,)], "n string")
+    got = names.select(name_tags(F.col("n")).alias("a")).select("a", tags_of(tag_bits(F.col("a"))).alias("b")).collect()
+    assert all(r.a == r.b for r in got) and got[0].a == ["NUT"]

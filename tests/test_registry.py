@@ -113,3 +113,8 @@ def test_recipe_lines_move_before_the_board_is_planned(spark, key):
     assert "l_partkey" not in plan and "l_orderkey" not in plan and "Bucketed: true" in plan
     moved = [x for x in plan.splitlines() if "Exchange hashpartitioning(recipe_id" in x or "Exchange hashpartitioning(ingredient_id" in x]
     assert len(moved) <= 2  # the recipes' statuses, for lines and for candidates
+
+
+def test_candidates_are_packed_in_the_recipes_row(spark):
+    plan = _plan(spark, "v_recipe_formulation_context")
+    assert "l_partkey" not in plan and "Bucketed: true" in plan and "Generate" not in plan
