@@ -106,7 +106,7 @@ def _plan(spark, key):
     return entry.queries()[key](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("key", ["v_recipe_workbench"])
+@pytest.mark.parametrize("key", ["v_recipe_workbench", "dq_truncation_check"])
 def test_recipe_lines_move_before_the_board_is_planned(spark, key):
     """The board reads lines in buckets by recipe; the lines themselves are neither scanned nor moved again."""
     plan = _plan(spark, key)
