@@ -17,11 +17,15 @@ STOCK_TIES = ["total_stock", "safe_stock", "expired_stock", "qty_expiring_within
               "wastage_flag", "low_stock_flag", "shelf_life_days"]
 
 
-def v_stocked_at(t) -> DataFrame:
-    """Latest stock row per store and SKU."""
-    return latest_row(t.flagged_inventory, ["master_store_id", "sku_id"], "report_date", STOCK_TIES).select(
-        "sku_id", "master_store_id", "total_stock", "safe_stock", "expired_stock", "soonest_expiry",
-        "qty_expiring_within_risk_days", "wastage_flag", "low_stock_flag", "shelf_life_days")
+STOCKED = ["sku_id", "master_store_id", "total_stock", "safe_stock", "expired_stock", "soonest_expiry",
+           "qty_expiring_within_risk_days", "wastage_flag", "low_stock_flag", "shelf_life_days"]
+
+
+def v_stocked_at(t, columns: list[str] = STOCKED) -> DataFrame:
+    """Latest stock row per store and SKU. Rows that tie in every column wanted need no further
+    tie-break, so columns after the last of these do not travel."""
+    ties = STOCK_TIES[:1 + max((i for i, c in enumerate(STOCK_TIES) if c in columns), default=-1)]
+    return latest_row(t.flagged_inventory, ["master_store_id", "sku_id"], "report_date", ties).select(*columns)
 
 
 def v_transfer_route(t) -> DataFrame:

@@ -92,13 +92,17 @@ def near_expiry_kpi(t, as_of) -> DataFrame:
     complaints = t.customer_complaint_events.where(
         in_trailing_days("complaint_received_at", as_of, 60) & matches_any("issue_type", PRODUCT_RX)
         & F.col("order_id").isNotNull()).select(F.col("order_id").alias("online_order_id"))
-    lines = sold(t).select("online_order_id", "store_id", "sku_id", "order_date").distinct()
+    # only lines of these complaints, and only their stock and limits, are made distinct, summed and moved on
+    lines = (sold(t).select("online_order_id", "store_id", "sku_id", "order_date")
+             .join(complaints.distinct(), "online_order_id", "left_semi").distinct())
+    held = written_once(complaints.join(lines, "online_order_id").select("store_id", "sku_id", "order_date"), "kpi-traced")
     batch = (t.order_day_inventory.where(F.col("available_quantity") > 0)
-             .groupBy("store_id", F.col("product_sku").alias("sku_id"), F.col("snapshot_date").alias("order_date"))
-             .agg(F.min("expiry_date").alias("soonest")))
-    limits = t.low_stock_config.select("store_id", "sku_id", "min_days_shelf_life")
-    traced = (complaints.join(lines, "online_order_id")
-              .join(batch, ["store_id", "sku_id", "order_date"], "left")
+             .select("store_id", F.col("product_sku").alias("sku_id"), F.col("snapshot_date").alias("order_date"), "expiry_date")
+             .join(held.distinct(), ["store_id", "sku_id", "order_date"], "left_semi")
+             .groupBy("store_id", "sku_id", "order_date").agg(F.min("expiry_date").alias("soonest")))
+    limits = t.low_stock_config.select("store_id", "sku_id", "min_days_shelf_life").join(
+        held.select("store_id", "sku_id").distinct(), ["store_id", "sku_id"], "left_semi")
+    traced = (written_once(held.join(batch, ["store_id", "sku_id", "order_date"], "left"), "kpi-traced")
               .join(limits, ["store_id", "sku_id"], "left"))
     left = F.datediff("soonest", "order_date")
     return traced.agg(share_pct(F.coalesce(left <= F.coalesce("min_days_shelf_life", F.lit(2)), F.lit(False)))
@@ -175,17 +179,19 @@ def on_target(value: Column, target: Column, comparison: Column) -> Column:
 
 def kpi_rows(t, dates: dict, only: list[str] | None = None) -> DataFrame:
     """``(kpi, value)`` rows. ``dates`` maps a source function to its date, with
-    ``None`` for the default. The latest stock rows are made once for all sources that read them."""
+    ``None`` for the default. The latest stock rows are made once for all sources that read them, and each
+    source's own row is written, so that disk holds the moved rows of one source at a time."""
     parts = []
     wanted_of = {source: [n for n in names if only is None or n in only] for source, names in KPI_SOURCES.items()}
     shared = {}
     if sum(bool(wanted_of[s]) for s in STOCKED) > 1:
-        shared["stocked"] = written_once(v_stocked_at(t).select(
-            "sku_id", "master_store_id", "total_stock", "expired_stock", "qty_expiring_within_risk_days"), "kpi-stocked")
+        shared["stocked"] = written_once(v_stocked_at(t, [
+            "sku_id", "master_store_id", "total_stock", "expired_stock", "qty_expiring_within_risk_days"]), "kpi-stocked")
     for source, wanted in wanted_of.items():
         if not wanted:
             continue
-        wide = source(t, dates.get(source, dates[None]), **(shared if source in STOCKED else {}))
+        # written one after the other: what one source has moved is cleared before the next begins
+        wide = written_once(source(t, dates.get(source, dates[None]), **(shared if source in STOCKED else {})), "kpi-row")
         rows = F.array(*[F.struct(F.lit(n).alias("kpi"), F.col(n).cast("double").alias("value")) for n in wanted])
         parts.append(wide.select(F.inline(rows)))
     return reduce(DataFrame.unionByName, parts)

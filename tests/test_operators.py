@@ -359,6 +359,28 @@ def test_what_a_write_has_moved_is_cleared(spark):
     assert not moved() - before
 
 
+def test_stock_rows_travel_with_the_columns_that_are_wanted(spark):
+    from datetime import date
+
+    from tallyroom.plans import inventory
+    from tallyroom.sources.tables import GivenTables
+
+    columns = ["sku_id", "master_store_id", "total_stock", "expired_stock"]
+    stock = spark.createDataFrame(
+        [("a", "s", 5.0, 1.0, e, q, d, date(2026, 1, x), w, True, 3) for x, e, q, d, w in
+         [(1, 2.0, 3.0, date(2026, 2, 1), "x"), (1, 2.0, 9.0, date(2026, 3, 1), "y"), (1, 1.0, 9.0, date(2026, 3, 1), None)]]
+        + [("b", "s", 7.0, None, None, None, None, None, None, None, None)],
+        "sku_id string, master_store_id string, total_stock double, safe_stock double, expired_stock double, "
+        "qty_expiring_within_risk_days double, soonest_expiry date, report_date date, wastage_flag string, low_stock_flag boolean, "
+        "shelf_life_days int")
+    t = GivenTables(spark, flagged_inventory=stock)
+    few = inventory.v_stocked_at(t, columns)
+    assert sorted(map(tuple, few.collect())) == sorted(map(tuple, inventory.v_stocked_at(t).select(*columns).collect()))
+    assert [r.expired_stock for r in few.orderBy("sku_id").collect()] == [2.0, None]
+    window = [x for x in few._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Window" in x][0]
+    assert "shelf_life_days" not in window and "expired_stock" in window
+
+
 def test_tags_travel_as_bits(spark):
     from tallyroom.plans.recipes import name_tags, tag_bits, tags_of
 

@@ -118,3 +118,9 @@ def test_recipe_lines_move_before_the_board_is_planned(spark, key):
 def test_candidates_are_packed_in_the_recipes_row(spark):
     plan = _plan(spark, "v_recipe_formulation_context")
     assert "l_partkey" not in plan and "Bucketed: true" in plan and "Generate" not in plan
+
+
+def test_disk_holds_one_source_of_the_board_at_a_time(spark):
+    """The board's plan moves nothing: each source's row was written before the next source began."""
+    plan = _plan(spark, "kpi_status")
+    assert "Exchange" not in plan and "lineitem" not in plan
